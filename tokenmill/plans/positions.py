@@ -71,3 +71,11 @@ def seeded_key(seed, *id_cols) -> Column:
             parts.append(F.lit(":"))
         parts.append((F.col(c) if isinstance(c, str) else c).cast("string"))
     return F.md5(F.concat(*parts))
+
+
+def seeded_int(seed, *id_cols) -> Column:
+    """Deterministic 32-bit draw from ``md5(seed:ids)`` (first 8 hex digits).
+
+    DuckDB replays it as ``cast('0x' || substr(md5(...), 1, 8) as bigint)``.
+    """
+    return F.conv(F.substring(seeded_key(seed, *id_cols), 1, 8), 16, 10).cast("long")
