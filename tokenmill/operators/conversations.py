@@ -179,7 +179,8 @@ def mixture(tasks: list[tuple[str, DataFrame]], seed: int = 42, row_col: str = "
     """Union + seeded order + dense index (index -> (task_no, row_id))."""
     u = union_tasks(tasks, row_col)
     u = u.withColumn("_k", seeded_key(seed, "task_no", row_col))
-    return global_position(u, ["_k", "task_no", row_col], (), out=out).drop("_k")
+    return global_position(u, ["_k", "task_no", row_col], (), out=out,
+                           block=F.substring("_k", 1, 4)).drop("_k")
 
 
 def task_sequence(tasks: list[tuple[str, DataFrame]], row_col: str = "row_id",

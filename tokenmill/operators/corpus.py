@@ -111,7 +111,7 @@ def length_histogram(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def seeded_shuffle(df: DataFrame, seed, id_col: str, out: str = "shuffle_pos") -> DataFrame:
     """Dense position in the seeded order ``md5(seed:id), id`` (two-pass)."""
     d = df.withColumn("_sk", seeded_key(seed, id_col))
-    return global_position(d, ["_sk", id_col], (), out=out).drop("_sk")
+    return global_position(d, ["_sk", id_col], (), out=out, block=F.substring("_sk", 1, 4)).drop("_sk")
 
 
 def pretrain_text(df: DataFrame, title_col: str = "title", text_col: str = "text",

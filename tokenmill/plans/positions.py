@@ -2,62 +2,87 @@
 
 Running totals over a whole table (or over one group that may hold a
 large share of it) must not go through a ``Window`` that puts the group
-into one task. The helpers here use two passes instead:
-
-1. range-partition on (group, order) so each partition holds a contiguous
-   key range, and sum per (partition, group) -> a table of at most
-   ``#partitions + #groups`` rows;
-2. a window over that small table gives each partition its starting
-   offset per group; a window partitioned by (partition, group) adds the
-   local running sum. Both windows are bounded by one range partition.
-
-Result rows are exact and deterministic as long as the order key is
-unique within the group.
+into one task. ``prefix_sum`` works on *blocks* instead:
+
+* every row gets a block key that is a deterministic, order-preserving
+  function of its own order key (all order columns but the last, plus a
+  coarse version of the last one: ``floor((x - min) / width)`` for
+  integers, a short prefix for strings). Because the block is computed
+  from the row itself, a recomputed task after an executor loss gets the
+  same block - nothing depends on shuffle order or partition ids;
+* one grouped aggregation gives the total per block (small table);
+  a window over that table gives each block its starting offset;
+* a window partitioned by (group, block) adds the local running sum.
+
+With unique integer order keys a block never holds more than ``width``
+rows, so no task ever sees more than one bounded block, however hot a
+group is. Callers with other keys can pass their own ``block`` column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+ROWS_PER_BLOCK = 1 << 20
+MAX_BLOCKS = 1 << 16
+STRING_BLOCK_PREFIX = 3
 
 
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _auto_block(df: DataFrame, last: str, rows_per_block: int, max_blocks: int) -> Column:
+    dtype = df.schema[last].dataType
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        lo, hi = df.agg(F.min(last), F.max(last)).first()
+        if lo is None:
+            return F.lit(0)
+        width = max(rows_per_block, -(-(hi - lo + 1) // max_blocks))
+        return F.floor((F.col(last) - F.lit(lo)) / F.lit(width)).cast("long")
+    if isinstance(dtype, T.StringType):
+        return F.substring(F.col(last), 1, STRING_BLOCK_PREFIX)
+    return F.col(last)
+
+
 def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
-               group_cols=(), out: str = "cum_before",
-               num_partitions: int | None = None) -> DataFrame:
+               group_cols=(), out: str = "cum_before", block: Column | None = None,
+               rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """Add ``out`` = sum of ``value`` over earlier rows of the same group.
 
-    ``value=None`` counts rows, so ``out`` is the 0-based position.
+    ``value=None`` counts rows, so ``out`` is the 0-based position. The
+    order key must be unique within a group. ``block`` (optional) must be
+    non-decreasing in the order within a group.
     """
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     v = F.lit(1).cast("long") if value is None else (
         F.col(value) if isinstance(value, str) else value).cast("long")
-    keys = _cols(group_cols + order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumn("_tm_v", v)
-                .repartitionByRange(n, *keys)
-                .withColumn("_tm_pid", F.spark_partition_id()))
-    part_sums = ranged.groupBy("_tm_pid", *group_cols).agg(F.sum("_tm_v").alias("_tm_s"))
-    w_off = (Window.partitionBy(*group_cols).orderBy("_tm_pid")
+    if block is None:
+        prefix = order_cols[:-1]
+        block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
+    else:
+        prefix = []
+    bkeys = [*group_cols, *prefix, "_tm_b"]
+    d = df.withColumn("_tm_v", v).withColumn("_tm_b", block)
+    sums = d.groupBy(*bkeys).agg(F.sum("_tm_v").alias("_tm_s"))
+    w_off = (Window.partitionBy(*group_cols).orderBy(*prefix, "_tm_b")
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = part_sums.select("_tm_pid", *group_cols,
-                               F.coalesce(F.sum("_tm_s").over(w_off), F.lit(0)).alias("_tm_off"))
-    w_loc = (Window.partitionBy("_tm_pid", *group_cols).orderBy(*_cols(order_cols))
+    offsets = sums.select(*bkeys, F.coalesce(F.sum("_tm_s").over(w_off), F.lit(0)).alias("_tm_off"))
+    w_loc = (Window.partitionBy(*bkeys).orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, -1))
-    local = ranged.withColumn("_tm_loc", F.coalesce(F.sum("_tm_v").over(w_loc), F.lit(0)))
-    joined = local.join(offsets, on=["_tm_pid", *group_cols], how="inner")
+    local = d.withColumn("_tm_loc", F.coalesce(F.sum("_tm_v").over(w_loc), F.lit(0)))
+    joined = local.join(offsets, on=bkeys, how="inner")
     return (joined.withColumn(out, (F.col("_tm_off") + F.col("_tm_loc")).cast("long"))
-                  .drop("_tm_v", "_tm_pid", "_tm_s", "_tm_off", "_tm_loc"))
+                  .drop("_tm_v", "_tm_b", "_tm_off", "_tm_loc"))
 
 
 def global_position(df: DataFrame, order_cols, group_cols=(), out: str = "pos",
-                    num_partitions: int | None = None) -> DataFrame:
+                    block: Column | None = None) -> DataFrame:
     """Dense 0-based position in ``order_cols`` order within ``group_cols``."""
-    return prefix_sum(df, order_cols, None, group_cols, out, num_partitions)
+    return prefix_sum(df, order_cols, None, group_cols, out, block)
 
 
 def seeded_key(seed, *id_cols) -> Column:

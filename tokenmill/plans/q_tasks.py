@@ -166,7 +166,8 @@ select idx.i as idx, w.word, 'Spell the word: ' || w.word as user_msg,
 from idx join w on w.wpos = idx.pick""", "words"))
 def q_simple_spelling_rows(spark, sf_dir):
     words = load(spark, sf_dir).words
-    w = global_position(words.withColumn("_k", seeded_key(42, "word")), ["_k", "word"], (), out="wpos")
+    w = global_position(words.withColumn("_k", seeded_key(42, "word")), ["_k", "word"], (), out="wpos",
+                        block=F.substring("_k", 1, 4))
     n = words.count()                      # one scalar; the index range is distributed
     idx = spark.range(n).withColumnRenamed("id", "idx")
     idx = idx.withColumn("pick", F.pmod(seeded_int(0, "idx"), F.lit(n)))
