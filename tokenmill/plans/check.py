@@ -82,7 +82,7 @@ def main(argv):
     sf_dir = "/root/testdata/sf0.01"
     names = [a for a in argv if not a.startswith("--")]
     queries, _ = load_all()
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     con = duckdb_con(sf_dir)
     bad = 0
     for n in names or sorted(queries):
