@@ -1 +1,217 @@
-"""Registered queries (filled in progressively)."""
+"""Registered rendering and packing queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tokenmill.functions.grading import parse_tool_calls
+from tokenmill.operators import packing as PK
+from tokenmill.operators import render as RD
+from tokenmill.operators.conversations import nest_conversations
+from tokenmill.operators.corpus import crop_document, split_last_shard
+from tokenmill.operators.tokenizer import BOS, byte_tokens, byte_vocab
+from tokenmill.plans.catalog import load, oracle
+from tokenmill.plans.packing_report import byte_token_lengths, packing_report
+from tokenmill.plans.positions import global_position
+from tokenmill.plans.registry import query
+
+T_DOCS = 256          # row length T (rows hold T + 1 tokens) for corpus packing checks
+T_CONVS = 512         # row length for conversation packing
+GROUP_DOCS = 100_000
+
+
+def _lengths(spark, sf_dir):
+    return byte_token_lengths(load(spark, sf_dir).documents)
+
+
+def _doc_tokens(spark, sf_dir):
+    d = split_last_shard(load(spark, sf_dir).documents.select("doc_id", "source", "text"), "source")
+    d = crop_document(d)
+    return d.select("doc_id", "source", "split", byte_tokens("text").alias("ids"))
+
+
+_LEN_SQL = """lens as (select doc_id, source, case when source = (select max(source) from documents) then 'val' else 'train' end
+                 as split, octet_length(encode(substr(text, 1, 10000))) + 1 as n from documents),
+spans as (select *, cast(coalesce(sum(n) over (partition by split order by source, doc_id
+                    rows between unbounded preceding and 1 preceding), 0) as bigint) as st from lens),
+cut as (select split, doc_id, n, st, unnest(generate_series(st // {cap}, cast((st + n - 1) // {cap} as bigint))) as row_no
+        from spans),
+segs as (select split, row_no, doc_id, greatest(st, row_no * {cap}) as s, least(st + n, (row_no + 1) * {cap}) as e, st
+         from cut)"""
+
+
+@query("chunk_stream", oracle(f"""
+with {_LEN_SQL.format(cap=T_DOCS + 1)}
+select split, row_no, cast(sum(e - s) as bigint) as n_tokens, count(*) as n_docs,
+       arg_min(doc_id, s) as first_doc, arg_min(s - st, s) as first_src
+from segs group by split, row_no"""))
+def q_chunk_stream(spark, sf_dir):
+    plan = PK.chunk_plan(_lengths(spark, sf_dir), T_DOCS + 1, ["source", "doc_id"], ["split"])
+    return plan.groupBy("split", "row_no").agg(
+        F.sum("take").alias("n_tokens"), F.count("*").alias("n_docs"),
+        F.min_by("doc_id", "dst").alias("first_doc"), F.min_by("src", "dst").alias("first_src"))
+
+
+@query("chunk_stream_rows")
+def q_chunk_stream_rows(spark, sf_dir):
+    plan = PK.chunk_plan(_lengths(spark, sf_dir), T_DOCS + 1, ["source", "doc_id"], ["split"])
+    return PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
+
+
+@query("eval_token_budget", oracle(f"""
+with {_LEN_SQL.format(cap=T_DOCS + 1)}
+select split, row_no, cast(sum(e - s) as bigint) as n_tokens from segs
+where row_no < (100000 // (4 * {T_DOCS})) * 4 group by split, row_no"""))
+def q_eval_token_budget(spark, sf_dir):
+    """Round a 100k-token budget down to whole steps (4 rows x T) and take
+    that many rows per split."""
+    budget, rows_per_step = 100_000, 4
+    n_rows = (budget // (rows_per_step * T_DOCS)) * rows_per_step
+    plan = PK.chunk_plan(_lengths(spark, sf_dir), T_DOCS + 1, ["source", "doc_id"], ["split"])
+    return plan.filter(F.col("row_no") < n_rows).groupBy("split", "row_no").agg(F.sum("take").alias("n_tokens"))
+
+
+@query("packing_report")
+def q_packing_report(spark, sf_dir):
+    return packing_report(load(spark, sf_dir).documents)
+
+
+def _plan(spark, sf_dir, packer, T=T_DOCS, **kw):
+    lengths = _lengths(spark, sf_dir)
+    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"], GROUP_DOCS)
+    return lengths, PK.pack_plan(grouped, packer, T + 1, ["split"], **kw)
+
+
+@query("pack_bestfit_crop_rows")
+def q_pack_bestfit_crop_rows(spark, sf_dir):
+    _, plan = _plan(spark, sf_dir, "bestfit_crop", buffer_size=1000)
+    rows = PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
+    return PK.shift_targets(rows, mask_col=None).select("split", "pack_group", "row_no", "n_content",
+                                                       "inputs", "targets")
+
+
+@query("pack_greedy_crop")
+def q_pack_greedy_crop(spark, sf_dir):
+    lengths, plan = _plan(spark, sf_dir, "greedy_crop")
+    return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
+
+
+@query("pack_greedy_pad")
+def q_pack_greedy_pad(spark, sf_dir):
+    lengths, plan = _plan(spark, sf_dir, "greedy_pad")
+    return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
+
+
+@query("pack_ffd")
+def q_pack_ffd(spark, sf_dir):
+    lengths, plan = _plan(spark, sf_dir, "ffd")
+    return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
+
+
+# ------------------------------------------------------------ rendering --
+
+def _rendered(spark, sf_dir, **kw):
+    convs = nest_conversations(load(spark, sf_dir).conversations)
+    return RD.render_conversations(convs, **kw)
+
+
+_RENDER_SQL = """
+c0 as (select conv_id, turn, role, octet_length(encode(text)) as len from conversations),
+sys as (select conv_id, len as slen from c0 where turn = 0 and role = 'system'),
+m as (select c0.conv_id, c0.turn, c0.role,
+             c0.len + case when c0.turn = 1 and sys.slen is not null then sys.slen + 2 else 0 end as len
+      from c0 left join sys on sys.conv_id = c0.conv_id
+      where not (c0.turn = 0 and c0.role = 'system')),
+seg as (select conv_id, turn, 0 as k, case when role = 'user' then len + 2 else 1 end as n, 0 as mask from m
+        union all select conv_id, turn, 1, len + 1, 1 from m where role = 'assistant'),
+pos as (select *, 1 + coalesce(sum(n) over (partition by conv_id order by turn, k
+                  rows between unbounded preceding and 1 preceding), 0) as st from seg)"""
+
+
+@query("render_conversation", oracle(f"""
+with {_RENDER_SQL}
+select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n_tokens,
+       cast(sum(case when mask = 1 then greatest(0, least(st + n, {RD.MAX_TOKENS}) - st) else 0 end) as bigint) as mask_sum
+from pos group by conv_id"""))
+def q_render_conversation(spark, sf_dir):
+    r = _rendered(spark, sf_dir)
+    return r.select("conv_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
+
+
+@query("render_for_completion", oracle("""
+with c as (select conv_id, count(*) as n, arg_max(role, turn) as last_role from conversations group by conv_id),
+c0 as (select conv_id, turn, role, octet_length(encode(text)) as len from conversations
+       where (conv_id, turn) not in (select conv_id, n - 1 from c)),
+sys as (select conv_id, len as slen from c0 where turn = 0 and role = 'system'),
+m as (select c0.conv_id, c0.turn, c0.role,
+             c0.len + case when c0.turn = 1 and sys.slen is not null then sys.slen + 2 else 0 end as len
+      from c0 left join sys on sys.conv_id = c0.conv_id where not (c0.turn = 0 and c0.role = 'system'))
+select c.conv_id, case when c.last_role = 'assistant' then 1 + coalesce(sum(m.len + 2), 0) + 1 end as n_tokens
+from c left join m on m.conv_id = c.conv_id group by c.conv_id, c.last_role"""))
+def q_render_for_completion(spark, sf_dir):
+    r = _rendered(spark, sf_dir, for_completion=True)
+    return r.select("conv_id", F.size("ids").cast("long").alias("n_tokens"))
+
+
+def _tool_convs(spark, sf_dir):
+    t = load(spark, sf_dir).tool_text
+    msgs = F.array(
+        F.struct(F.lit("user").alias("role"),
+                 F.array(F.struct(F.lit("text").alias("type"),
+                                  F.concat(F.lit("Problem "), F.col("problem_id").cast("string")).alias("text")))
+                 .alias("parts")),
+        F.struct(F.lit("assistant").alias("role"), parse_tool_calls("answer").alias("parts")))
+    return t.select(F.col("problem_id").alias("conv_id"), msgs.alias("messages"))
+
+
+@query("render_tool_conversation", oracle("""
+with p as (select problem_id, regexp_split_to_array(answer, '<<[^>]+>>') as texts,
+                  regexp_extract_all(answer, '<<([^>]+)>>', 1) as tags from tool_text),
+t as (select problem_id, unnest(texts) as text from p),
+g as (select problem_id, unnest(tags) as tag from p),
+tl as (select problem_id, sum(octet_length(encode(text))) as tlen from t group by problem_id),
+gl as (select problem_id,
+         sum(octet_length(encode(case when strpos(tag, '=') > 0 then regexp_extract(tag, '(?s)^(.*)=(.*)$', 1) else tag end)) + 2) as py,
+         sum(octet_length(encode(case when strpos(tag, '=') > 0 then regexp_extract(tag, '(?s)^(.*)=(.*)$', 2) else '' end)) + 2) as outp
+       from g group by problem_id)
+select tl.problem_id as conv_id,
+  cast(1 + (octet_length(encode('Problem ' || cast(tl.problem_id as varchar))) + 2) + 1 + tlen + coalesce(py, 0)
+       + coalesce(outp, 0) + 1 as bigint) as n_tokens,
+  cast(tlen + coalesce(py, 0) + 1 as bigint) as mask_sum
+from tl left join gl using (problem_id)""", "tool_text"))
+def q_render_tool_conversation(spark, sf_dir):
+    r = RD.render_conversations(_tool_convs(spark, sf_dir), has_parts=True)
+    return r.select("conv_id", F.size("ids").cast("long").alias("n_tokens"),
+                    F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
+
+
+@query("drop_unusable_examples")
+def q_drop_unusable_examples(spark, sf_dir):
+    r = RD.render_conversations(_tool_convs(spark, sf_dir), has_parts=True, max_tokens=24)
+    return RD.drop_unusable_examples(r.filter(F.col("reason").isNull())).select(
+        "conv_id", F.size("ids").alias("n_tokens"))
+
+
+@query("mask_breakdown")
+def q_mask_breakdown(spark, sf_dir):
+    return RD.mask_breakdown(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), byte_vocab(spark))
+
+
+@query("pad_right")
+def q_pad_right(spark, sf_dir):
+    r = global_position(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), ["conv_id"], (), out="row_id")
+    p = RD.pad_batches(r, 8, BOS)
+    return p.select("conv_id", "batch", F.size("ids").alias("n_tokens"),
+                    F.aggregate("mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+
+
+@query("pack_bestfit_pad_rows")
+def q_pack_bestfit_pad_rows(spark, sf_dir):
+    r = _rendered(spark, sf_dir).filter(F.col("reason").isNull())
+    r = r.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("split", F.lit("train"))
+    g = PK.assign_pack_groups(r.withColumnRenamed("conv_id", "doc_id"), ["doc_id"], ["split"], GROUP_DOCS)
+    plan = PK.pack_plan(g, "bestfit_pad", T_CONVS + 1, ["split"], buffer_size=100, oversize="truncate")
+    rows = PK.assemble_rows(plan, r.withColumnRenamed("conv_id", "doc_id"), T_CONVS + 1, BOS, ["split"],
+                            ids_col="ids", mask_col="mask")
+    return PK.shift_targets(rows).select("split", "pack_group", "row_no", "n_content", "inputs", "targets")
