@@ -38,10 +38,15 @@ def utf8_len(c) -> Column:
 
 
 def utf8_byte_ids(c) -> Column:
-    """UTF-8 bytes of a string as ``ARRAY<INT>`` (values 0-255), JVM side."""
-    hx = F.hex(F.encode(col(c), "UTF-8"))
-    pairs = F.regexp_extract_all(hx, F.lit("([0-9A-F]{2})"), 1)
-    return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int"))
+    """UTF-8 bytes of a string as ``ARRAY<INT>`` (values 0-255), JVM side.
+
+    The UTF-8 bytes are re-read as ISO-8859-1, where every byte is exactly
+    one character with that code point, so ``split`` + ``ascii`` yields the
+    byte values without regexes or base conversion.
+    """
+    latin = F.decode(F.encode(col(c), "UTF-8"), "ISO-8859-1")
+    return F.when(F.length(latin) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(latin, ""), lambda ch: F.ascii(ch)))
 
 
 def count_occurrences(c, sub) -> Column:

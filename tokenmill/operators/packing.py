@@ -66,6 +66,38 @@ def pack_plan(docs: DataFrame, packer: str, cap: int, group_cols=(),
                 .groupBy(*keys).applyInPandas(plan_group, schema))
 
 
+def pack_plans(docs: DataFrame, packers: dict, cap: int, group_cols=(),
+               len_col: str = "n_tokens", pos_col: str = "pos", id_col: str = "doc_id") -> DataFrame:
+    """Several packers over the same groups in one pass: one shuffle of the
+    ``(pos, doc_id, n_tokens)`` rows, every rule run on the group while it
+    is in the Python worker. Output = ``pack_plan`` columns + ``packer``.
+    ``packers`` maps packer name -> keyword arguments."""
+    keys = [*group_cols, "pack_group"]
+    key_fields = [docs.schema[k] for k in keys]
+    schema = T.StructType([T.StructField("packer", T.StringType())] + key_fields +
+                          [T.StructField(c, T.LongType()) for c in PLAN_COLS])
+    names = [f.name for f in schema.fields]
+    rules = [(name, PACKERS[name], dict(kw)) for name, kw in packers.items()]
+
+    def plan_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(pos_col, kind="stable")
+        lengths = pdf[len_col].to_numpy()
+        ids = pdf[id_col].to_numpy()
+        outs = []
+        for name, rule, kw in rules:
+            d, r, dst, src, take = rule(lengths, cap, **kw)
+            o = pd.DataFrame({"packer": name, "row_no": r, "doc_id": ids[d].astype("int64"),
+                              "dst": dst, "src": src, "take": take, "n_tokens": lengths[d].astype("int64")})
+            outs.append(o)
+        out = pd.concat(outs, ignore_index=True)
+        for k, v in zip(keys, key):
+            out[k] = v
+        return out[names]
+
+    return (docs.select(*keys, pos_col, id_col, F.col(len_col).cast("long").alias(len_col))
+                .groupBy(*keys).applyInPandas(plan_group, schema))
+
+
 def assemble_rows(plan: DataFrame, tokens: DataFrame, cap: int, pad_id: int,
                   group_cols=(), ids_col: str = "ids", mask_col: str | None = None,
                   id_col: str = "doc_id") -> DataFrame:

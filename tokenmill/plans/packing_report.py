@@ -17,9 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.operators.corpus import DOC_CAP, crop_document, split_last_shard
-from tokenmill.operators.packing import (
-    assign_pack_groups, chunk_plan, pack_plan, packing_stats,
-)
+from tokenmill.operators.packing import assign_pack_groups, chunk_plan, pack_plans, packing_stats
 
 DEFAULT_PACKERS = ("chunk", "bestfit_crop", "greedy_crop", "greedy_pad", "ffd")
 
@@ -32,30 +30,31 @@ def byte_token_lengths(docs: DataFrame, doc_cap: int = DOC_CAP, shard_col: str =
                     (F.octet_length("text") + 1).cast("long").alias("n_tokens"))
 
 
-def packing_plans(lengths: DataFrame, T: int = 2048, packers=DEFAULT_PACKERS,
-                  group_docs: int = 100_000, buffer_size: int = 1000,
-                  shard_col: str = "source") -> dict[str, DataFrame]:
-    cap = T + 1
-    order = [shard_col, "doc_id"]
-    grouped = assign_pack_groups(lengths, order, ["split"], group_docs)
-    plans = {}
-    for p in packers:
-        if p == "chunk":
-            plans[p] = chunk_plan(lengths, cap, order, ["split"])
-        elif p == "bestfit_crop":
-            plans[p] = pack_plan(grouped, p, cap, ["split"], buffer_size=buffer_size)
-        else:
-            plans[p] = pack_plan(grouped, p, cap, ["split"])
-    return plans
-
-
 def packing_report(docs: DataFrame, T: int = 2048, doc_cap: int = DOC_CAP,
                    packers=DEFAULT_PACKERS, group_docs: int = 100_000,
                    buffer_size: int = 1000) -> DataFrame:
+    """Utilisation / crop % / pad % per packer and split.
+
+    The sequential packers share one ``applyInPandas`` pass over the bounded
+    pack groups; the chunking packer is relational.
+    """
+    cap = T + 1
+    order = ["source", "doc_id"]
     lengths = byte_token_lengths(docs, doc_cap)
-    plans = packing_plans(lengths, T, packers, group_docs, buffer_size)
-    parts = [packing_stats(plan, lengths, T + 1, ["split"]).withColumn("packer", F.lit(name))
-             for name, plan in plans.items()]
+    seq = {p: ({"buffer_size": buffer_size} if p == "bestfit_crop" else {}) for p in packers if p != "chunk"}
+    parts = []
+    if seq:
+        grouped = assign_pack_groups(lengths, order, ["split"], group_docs)
+        plans = pack_plans(grouped, seq, cap, ["split"])
+        parts.append(packing_stats(plans, _inputs_per_packer(lengths, list(seq)), cap, ["packer", "split"]))
+    if "chunk" in packers:
+        parts.append(packing_stats(chunk_plan(lengths, cap, order, ["split"]), lengths, cap, ["split"])
+                     .withColumn("packer", F.lit("chunk")))
     out = reduce(DataFrame.unionByName, parts)
     return out.select("packer", "split", "docs", "rows", "input_tokens", "used_tokens",
                       "util_pct", "crop_pct", "pad_pct")
+
+
+def _inputs_per_packer(lengths: DataFrame, names) -> DataFrame:
+    """The input documents once per packer name (a generator, not a join)."""
+    return lengths.withColumn("packer", F.explode(F.array(*[F.lit(n) for n in names])))
