@@ -22,16 +22,16 @@ MESSAGES = T.ArrayType(T.StructType([
 def read_conversations_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """One JSON array of ``{role, content}`` per line; blank lines skipped.
 
-    Returns ``line_no`` (row index within file), ``messages`` and ``reason``
+    Returns ``file_name``, ``messages`` and ``reason``
     ('not_json' when the line is not such an array); validation of roles is
     ``operators.conversations.validate_conversations``.
     """
-    raw = spark.read.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.row_index").alias("line_no"))
+    df = spark.read.text(path)
+    extra = [c for c in df.columns if c != "value"]          # partition columns, if any
+    raw = df.select(*extra, F.col("value").alias("line"), F.col("_metadata.file_name").alias("file_name"))
     raw = raw.withColumn("line", strip("line")).filter(F.length("line") > 0)
     msgs = F.from_json("line", MESSAGES, {"mode": "PERMISSIVE"})
-    return raw.select("file_name", "line_no", msgs.alias("messages"),
+    return raw.select(*extra, "file_name", msgs.alias("messages"),
                       F.when(msgs.isNull(), F.lit("not_json")).alias("reason"))
 
 
