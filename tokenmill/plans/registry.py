@@ -28,6 +28,6 @@ def load_all():
     """Import every query module (registration happens at import)."""
     from tokenmill.plans import (  # noqa: F401
         q_corpus, q_conversations, q_tasks, q_scoring, q_runs, q_tokenizer, q_packing, q_core,
-        q_streaming, q_sources,
+        q_streaming, q_sources, q_synth,
     )
     return QUERIES, ORACLES
