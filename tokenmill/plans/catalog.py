@@ -29,7 +29,15 @@ _DEPS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a table; spread it over the cores when the files give fewer
+    scan tasks than the cluster has slots (a single-row-group file is one
+    task). At scale the scan already has far more splits than slots and
+    this is a no-op, so no shuffle is added there."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        df = df.repartition(slots)
+    return df
 
 
 def load(spark: SparkSession, sf_dir: str) -> "Catalog":
