@@ -14,10 +14,10 @@ from conftest import SF_SMALL
 def test_stream_pack_equals_batch(spark):
     lengths = byte_token_lengths(load(spark, SF_SMALL).documents)
     d = global_position(lengths, ["source", "doc_id"], ["split"], out="pos")
-    stream = S.stream_pack(spark, d, 257, buffer_size=16, refill=4)
-    batch = pack_plan(d.withColumn("pack_group", F.lit(0).cast("long")), "bestfit_crop", 257, ["split"],
-                      buffer_size=16, refill=4)
-    cols = ["split", "row_no", "doc_id", "dst", "take"]
+    stream = S.stream_pack(spark, d, 257, buffer_size=16, refill=4, group_docs=64)
+    batch = pack_plan(d.withColumn("pack_group", F.floor(F.col("pos") / 64).cast("long")), "bestfit_crop", 257,
+                      ["split"], buffer_size=16, refill=4)
+    cols = ["split", "pack_group", "row_no", "doc_id", "dst", "take"]
     a = sorted(map(tuple, stream.select(*cols).collect()))
     b = sorted(map(tuple, batch.select(*cols).collect()))
     assert a == b and len(a) > 0

@@ -45,27 +45,33 @@ def valid_runs(df: DataFrame, metric: str = "val_bpb") -> DataFrame:
 def interpolate_at(points: DataFrame, at: DataFrame, keys, x: str, y: str, at_x: str,
                    out: str) -> DataFrame:
     """``np.interp``: linear interpolation of ``y(x)`` at ``at_x`` per key,
-    clamped to the first / last point. Segments come from ``lead()`` per
-    key, then a range condition picks the bracketing one."""
+    clamped to the first / last point.
+
+    As-of style, without pairing queries with segments: points and query
+    rows are unioned and ordered by x per key; the previous point (last
+    non-null looking back) and the next point (first non-null looking
+    ahead) bracket each query. The window spans one key's points only.
+    """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(x)
-    seg = points.select(*keys, F.col(x).alias("_x0"), F.col(y).alias("_y0"),
-                        F.lead(x).over(w).alias("_x1"), F.lead(y).over(w).alias("_y1"))
-    ends = points.groupBy(*keys).agg(F.min_by(y, x).alias("_ylo"), F.max_by(y, x).alias("_yhi"),
-                                     F.min(x).alias("_xlo"), F.max(x).alias("_xhi"))
-    a = at.join(ends, keys, "left")
-    q = F.col(at_x)
-    inside = (q > F.col("_xlo")) & (q < F.col("_xhi"))
-    cand = a.filter(inside).join(seg, keys).filter((q >= F.col("_x0")) & (q <= F.col("_x1")) &
-                                                   F.col("_x1").isNotNull())
-    t = (q - F.col("_x0")) / (F.col("_x1") - F.col("_x0"))
-    val = cand.groupBy(*keys, at_x).agg(F.min_by(F.col("_y0") + t * (F.col("_y1") - F.col("_y0")),
-                                                 F.col("_x0")).alias("_v"))
-    res = a.join(val, [*keys, at_x], "left")
-    v = (F.when(q <= F.col("_xlo"), F.col("_ylo"))
-          .when(q >= F.col("_xhi"), F.col("_yhi"))
-          .otherwise(F.col("_v")))
-    return res.withColumn(out, v).drop("_ylo", "_yhi", "_xlo", "_xhi", "_v")
+    pts = points.select(*keys, F.col(x).cast("double").alias("_x"), F.lit(0).alias("_q"),
+                        F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).alias("_p"))
+    qs = at.select(*keys, F.col(at_x).cast("double").alias("_x"), F.lit(1).alias("_q"),
+                   F.lit(None).cast("struct<x:double,y:double>").alias("_p"))
+    u = pts.unionByName(qs)
+    w = Window.partitionBy(*keys).orderBy("_x", "_q")
+    prev = F.last("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    nxt = F.first("_p", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    lo = F.first("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    hi = F.last("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    b = u.select(*keys, "_x", "_q", prev.alias("_a"), nxt.alias("_b"), lo.alias("_lo"), hi.alias("_hi")) \
+         .filter(F.col("_q") == 1)
+    t = (F.col("_x") - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
+    v = (F.when(F.col("_a").isNull(), F.col("_lo.y"))
+          .when(F.col("_b").isNull(), F.col("_hi.y"))
+          .when(F.col("_b.x") == F.col("_a.x"), F.col("_a.y"))
+          .otherwise(F.col("_a.y") + t * (F.col("_b.y") - F.col("_a.y"))))
+    vals = b.select(*keys, F.col("_x").alias(at_x), v.alias(out)).dropDuplicates([*keys, at_x])
+    return at.join(vals, [*keys, at_x], "left")
 
 
 def isoflop_fit(runs: DataFrame, keys=("exp_id", "flops_budget"), x_raw: str = "effective_params",

@@ -110,7 +110,7 @@ def spelling_bee_rows(index: DataFrame, words: DataFrame, split: str = "train",
     letter and word, '?' (50%); the assistant message has the spelled-out
     word, running ``hit! count=`` lines, a python check and ``#### n``.
     """
-    w = global_position(words.select(word_col).distinct(), [word_col], (), out="_wpos", block=F.lit(0))
+    w = global_position(words.select(word_col).distinct(), [word_col], (), out="_wpos")
     n = words.select(F.countDistinct(word_col)).scalar()
     seed = F.col(idx_col) + (TEST_SEED_OFFSET if split == "test" else 0)
     d = index.select(idx_col, seed.alias("_seed"))
@@ -204,7 +204,7 @@ PROMPT_TEMPLATE = ("Write a realistic conversation.\nTopic: {topic}\nUser person
 
 def _indexed(df: DataFrame, cols, group=None, out="_pos"):
     g = [group] if group else []
-    return global_position(df.select(*g, *cols).distinct(), cols, g, out=out, block=F.lit(0) if not g else None)
+    return global_position(df.select(*g, *cols).distinct(), cols, g, out=out)
 
 
 def sample_diversity(index: DataFrame, topics: DataFrame, personas: DataFrame, dynamics: DataFrame,

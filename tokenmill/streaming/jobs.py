@@ -159,7 +159,8 @@ def _run_metrics(beta: float, warmup: int):
                 rows.append((key[0], r.step, s / (1 - beta ** (r.step + 1)), best, total))
                 last = r.step
         state.update((s, best, total, last))
-        yield pd.DataFrame(rows, columns=[f.name for f in RUN_OUT.fields])
+        if rows:
+            yield pd.DataFrame(rows, columns=[f.name for f in RUN_OUT.fields])
     return fn
 
 
@@ -182,7 +183,8 @@ def stream_run_metrics(spark: SparkSession, steps: DataFrame, beta: float = 0.9,
 # ----------------------------------------------------------------- ST2 --
 
 PLAN_OUT = T.StructType([
-    T.StructField("split", T.StringType()), T.StructField("row_no", T.LongType()),
+    T.StructField("split", T.StringType()), T.StructField("pack_group", T.LongType()),
+    T.StructField("row_no", T.LongType()),
     T.StructField("doc_id", T.LongType()), T.StructField("dst", T.LongType()),
     T.StructField("take", T.LongType()),
 ])
@@ -229,7 +231,7 @@ def _stream_bestfit(cap: int, buffer_size: int, refill: int):
                 cur.append([d, pos, room])
                 pos = cap
             if pos == cap:
-                out.extend((key[0], row, d, dst, take) for d, dst, take in cur)
+                out.extend((key[0], key[1], row, d, dst, take) for d, dst, take in cur)
                 row, cur, pos = row + 1, [], 0
         # buffer back to arrival order (ids are increasing stream positions of entry)
         rest = []
@@ -237,24 +239,28 @@ def _stream_bestfit(cap: int, buffer_size: int, refill: int):
             rest.extend([d, length] for d in q)
         st.update(pending=pending, buf=rest, row=row, cur=cur, pos=pos)
         state.update((json.dumps(st),))
-        yield pd.DataFrame(out, columns=[f.name for f in PLAN_OUT.fields])
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in PLAN_OUT.fields])
     return fn
 
 
 def stream_pack(spark: SparkSession, docs: DataFrame, cap: int, buffer_size: int = 1000,
-                refill: int = 128, shard_col: str = "source") -> DataFrame:
+                refill: int = 128, shard_col: str = "source", group_docs: int = 100_000) -> DataFrame:
     """ST2: best-fit crop packing over a shard stream with the buffer kept
-    in state per split; shards arrive in order, an end marker flushes."""
+    in state per (split, pack group) - the same bounded groups as the batch
+    packer; shards arrive in order, an end marker per group flushes."""
     src, out, ck = _paths(spark, "pack")
     shards = sorted(r[0] for r in docs.select(shard_col).distinct().collect())
-    marker = docs.groupBy("split").agg(F.max("pos").alias("pos")).select(
-        "split", (F.col("pos") + 1).alias("pos"), F.lit(-1).cast("long").alias("doc_id"),
+    d = docs.withColumn("pack_group", F.floor(F.col("pos") / group_docs).cast("long"))
+    marker = d.groupBy("split", "pack_group").agg(F.max("pos").alias("pos")).select(
+        "split", "pack_group", (F.col("pos") + 1).alias("pos"), F.lit(-1).cast("long").alias("doc_id"),
         F.lit(0).cast("long").alias("n_tokens"), F.lit(True).alias("eos"), F.lit("~eos").alias(shard_col))
-    body = docs.select("split", "pos", "doc_id", "n_tokens", F.lit(False).alias("eos"), shard_col)
+    body = d.select("split", "pack_group", "pos", "doc_id", "n_tokens", F.lit(False).alias("eos"), shard_col)
     stage_in_order(body.unionByName(marker), src, shard_col, shards + ["~eos"])
-    schema = "split string, pos long, doc_id long, n_tokens long, eos boolean, " + f"{shard_col} string"
+    schema = ("split string, pack_group long, pos long, doc_id long, n_tokens long, eos boolean, "
+              + f"{shard_col} string")
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    res = s.groupBy("split").applyInPandasWithState(
+    res = s.groupBy("split", "pack_group").applyInPandasWithState(
         _stream_bestfit(cap, buffer_size, refill), PLAN_OUT, PACK_STATE, "append", GroupStateTimeout.NoTimeout)
     w = res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append")
     run_to_completion(w)
