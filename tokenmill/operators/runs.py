@@ -305,7 +305,7 @@ def metric_pivot(kv: DataFrame, stages=STAGES, section: str = "stage", key: str
                  value: str = "value") -> DataFrame:
     """metric x stage table, '-' where missing; CORE first, ChatCORE last,
     others by name (``sort_key``)."""
-    p = kv.groupBy(key).pivot(section, list(stages)).agg(F.first(value))
+    p = kv.groupBy(key).pivot(section, list(stages)).agg(F.max(value))
     for s in stages:
         p = p.withColumn(s, F.coalesce(F.col(s), F.lit("-")))
     sort_key = F.concat(F.when(F.col(key) == "CORE", "0").when(F.col(key) == "ChatCORE", "2").otherwise("1"),

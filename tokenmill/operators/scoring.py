@@ -12,18 +12,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.plans.broadcast import sized_broadcast
 from tokenmill.plans.positions import seeded_key
 
 LN2 = math.log(2.0)
-# Largest lookup table we broadcast without measuring it first (rows).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven small (bounded count);
-    otherwise the plain DataFrame so Catalyst / AQE pick a shuffle join."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
 
 
 # ---------------------------------------------------------------- joins --
@@ -141,7 +133,7 @@ def option_loss_choice(option_losses: DataFrame, item_col: str = "item_id", opt_
                        loss_col: str = "loss", gold_col: str = "gold") -> DataFrame:
     """Mean loss over the answer span per option; lowest wins (first on ties)."""
     per = option_losses.groupBy(item_col, opt_col).agg(F.avg(loss_col).alias("mean_loss"),
-                                                       F.first(gold_col).alias("_gold"))
+                                                       F.max(gold_col).alias("_gold"))
     pick = per.groupBy(item_col).agg(
         F.min_by(opt_col, F.struct("mean_loss", opt_col)).alias("predicted"),
         F.max("_gold").alias(gold_col))

@@ -1,0 +1,17 @@
+"""Broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest lookup table we broadcast (rows); checked with a bounded count.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only when the table is proven small (``limit(n+1).count()``
+    reads at most n+1 rows); otherwise the plain DataFrame, so Catalyst / AQE
+    pick a shuffle join."""
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
