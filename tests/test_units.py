@@ -92,3 +92,29 @@ def test_token_bytes_replacement_char(spark):
                                   "token_id int, hex string, is_special boolean")
     r = {x.token_id: x.n_bytes for x in TK.token_bytes(vocab).collect()}
     assert r == {0: 1, 1: 3, 2: 2, 3: 0}
+
+
+def test_shard_cuts_match_sequential_rule(spark):
+    import random
+    from tokenmill.sources.shards import cut_chunks, shard_of_chunks
+    rnd = random.Random(3)
+    for trial in range(4):
+        chars = [rnd.randint(0, 50) for _ in range(rnd.randint(1, 120))]
+        cps = rnd.randint(20, 200)
+        for keep in (False, True):
+            exp = cut_chunks(chars, cps, keep)
+            df = spark.createDataFrame([(i, c) for i, c in enumerate(chars)], "chunk long, chars long")
+            got = {r.chunk: r.shard for r in shard_of_chunks(df, cps, keep).collect()}
+            want = {i: int(s) for i, s in enumerate(exp) if s >= 0}
+            assert got == want, (chars, cps, keep)
+
+
+def test_prefix_extreme(spark):
+    from tokenmill.plans.positions import prefix_extreme
+    rows = [(i, float((i * 37) % 101)) for i in range(500)]
+    df = spark.createDataFrame(rows, "k long, v double")
+    got = {r.k: r.m for r in prefix_extreme(df, ["k"], "v", (), out="m", rows_per_block=16).collect()}
+    best = None
+    for k, v in rows:
+        assert got[k] == best
+        best = v if best is None else min(best, v)

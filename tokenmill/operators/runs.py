@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.plans.positions import global_position
+from tokenmill.plans.positions import global_position, prefix_extreme
 
 TOKENS_PER_ITER = 524288          # fixed batch the log scraper assumes
 EMA_BETA = 0.9
@@ -263,11 +263,10 @@ def time_to_target(steps: DataFrame, target: float, metric: str = "val_bpb", key
 
 def record_improvement(runs: DataFrame, order: str, metric: str, lower_is_better: bool = True) -> DataFrame:
     """Runs that beat every earlier run, with the % gain on the previous
-    record. The input is one row per submitted run (a leaderboard), so the
-    global order here spans that small table only."""
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    best_before = F.min(metric).over(w) if lower_is_better else F.max(metric).over(w)
-    d = runs.withColumn("_prev_best", best_before)
+    record (the best value before it). The best-so-far is a block prefix
+    min/max, so no window spans the whole table."""
+    kind = "min" if lower_is_better else "max"
+    d = prefix_extreme(runs, [order], metric, (), out="_prev_best", kind=kind)
     better = (F.col(metric) < F.col("_prev_best")) if lower_is_better else (F.col(metric) > F.col("_prev_best"))
     rec = d.filter(F.col("_prev_best").isNull() | better)
     gain = F.lit(100.0) * (F.col("_prev_best") - F.col(metric)) / F.col("_prev_best")

@@ -79,6 +79,35 @@ def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
                   .drop("_tm_v", "_tm_b", "_tm_off", "_tm_loc"))
 
 
+def prefix_extreme(df: DataFrame, order_cols, value: str, group_cols=(), out: str = "min_before",
+                   kind: str = "min", block: Column | None = None,
+                   rows_per_block: int = ROWS_PER_BLOCK, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """Add ``out`` = min (or max) of ``value`` over earlier rows of the group
+    (NULL for the first row). Same block scheme as ``prefix_sum``: the
+    extreme of all earlier blocks comes from a window over the small block
+    table, the in-block part from a window bounded by one block."""
+    group_cols = list(group_cols)
+    order_cols = list(order_cols)
+    fn = F.min if kind == "min" else F.max
+    comb = F.least if kind == "min" else F.greatest
+    if block is None:
+        prefix = order_cols[:-1]
+        block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
+    else:
+        prefix = []
+    bkeys = [*group_cols, *prefix, "_tm_b"]
+    d = df.withColumn("_tm_b", block)
+    ext = d.groupBy(*bkeys).agg(fn(value).alias("_tm_e"))
+    w_off = (Window.partitionBy(*group_cols).orderBy(*prefix, "_tm_b")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = ext.select(*bkeys, fn("_tm_e").over(w_off).alias("_tm_off"))
+    w_loc = (Window.partitionBy(*bkeys).orderBy(*_cols(order_cols))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    local = d.withColumn("_tm_loc", fn(value).over(w_loc))
+    joined = local.join(offsets, on=bkeys, how="inner")
+    return joined.withColumn(out, comb("_tm_off", "_tm_loc")).drop("_tm_b", "_tm_off", "_tm_loc")
+
+
 def global_position(df: DataFrame, order_cols, group_cols=(), out: str = "pos",
                     block: Column | None = None) -> DataFrame:
     """Dense 0-based position in ``order_cols`` order within ``group_cols``."""
