@@ -30,6 +30,10 @@ def _doc_tokens(spark, sf_dir):
     return d.select("doc_id", "source", "split", byte_tokens("text").alias("ids"))
 
 
+_GREEDY_HEAD = """lens as (select doc_id, source, case when source = (select max(source) from documents) then 'val'
+                 else 'train' end as split, octet_length(encode(substr(text, 1, 10000))) + 1 as n from documents),
+d as (select split, n, row_number() over (partition by split order by source, doc_id) - 1 as i from lens)"""
+
 _LEN_SQL = """lens as (select doc_id, source, case when source = (select max(source) from documents) then 'val' else 'train' end
                  as split, octet_length(encode(substr(text, 1, 10000))) + 1 as n from documents),
 spans as (select *, cast(coalesce(sum(n) over (partition by split order by source, doc_id
@@ -90,13 +94,55 @@ def q_pack_bestfit_crop_rows(spark, sf_dir):
                                                        "inputs", "targets")
 
 
-@query("pack_greedy_crop")
+_GREEDY_CROP_SQL = f"""
+with recursive {_GREEDY_HEAD},
+r(split, i, row_no, fill, take) as (
+  select split, i, 0, least(n, {{cap}}), least(n, {{cap}}) from d where i = 0
+  union all
+  select d.split, d.i,
+         case when r.fill = {{cap}} then r.row_no + 1 else r.row_no end,
+         (case when r.fill = {{cap}} then 0 else r.fill end)
+           + least(d.n, {{cap}} - case when r.fill = {{cap}} then 0 else r.fill end),
+         least(d.n, {{cap}} - case when r.fill = {{cap}} then 0 else r.fill end)
+  from r join d on d.split = r.split and d.i = r.i + 1),
+full_rows as (select split, row_no from r group by split, row_no having max(fill) = {{cap}}),
+st as (select r.split, count(distinct r.row_no) as rows, sum(r.take) as used from r
+       join full_rows f on f.split = r.split and f.row_no = r.row_no group by r.split),
+tin as (select split, count(*) as docs, sum(n) as input_tokens from d group by split)
+select tin.split, tin.docs, cast(coalesce(st.rows, 0) as bigint) as rows, cast(tin.input_tokens as bigint) as input_tokens,
+       cast(coalesce(st.used, 0) as bigint) as used_tokens,
+       round(st.used * 100.0e0 / (st.rows * {{cap}}), 6) as util_pct,
+       round((tin.input_tokens - st.used) * 100.0e0 / tin.input_tokens, 6) as crop_pct,
+       round((st.rows * {{cap}} - st.used) * 100.0e0 / (st.rows * {{cap}}), 6) as pad_pct
+from tin join st on st.split = tin.split"""
+
+_GREEDY_PAD_SQL = f"""
+with recursive {_GREEDY_HEAD},
+r(split, i, row_no, fill, take) as (
+  select split, i, 0, least(n, {{cap}}), least(n, {{cap}}) from d where i = 0
+  union all
+  select d.split, d.i,
+         case when least(d.n, {{cap}}) > {{cap}} - r.fill then r.row_no + 1 else r.row_no end,
+         case when least(d.n, {{cap}}) > {{cap}} - r.fill then least(d.n, {{cap}}) else r.fill + least(d.n, {{cap}}) end,
+         least(d.n, {{cap}})
+  from r join d on d.split = r.split and d.i = r.i + 1),
+st as (select split, max(row_no) + 1 as rows, sum(take) as used from r group by split),
+tin as (select split, count(*) as docs, sum(n) as input_tokens from d group by split)
+select tin.split, tin.docs, cast(st.rows as bigint) as rows, cast(tin.input_tokens as bigint) as input_tokens,
+       cast(st.used as bigint) as used_tokens,
+       round(st.used * 100.0e0 / (st.rows * {{cap}}), 6) as util_pct,
+       round((tin.input_tokens - st.used) * 100.0e0 / tin.input_tokens, 6) as crop_pct,
+       round((st.rows * {{cap}} - st.used) * 100.0e0 / (st.rows * {{cap}}), 6) as pad_pct
+from tin join st on st.split = tin.split"""
+
+
+@query("pack_greedy_crop", oracle(_GREEDY_CROP_SQL.format(cap=T_DOCS + 1)))
 def q_pack_greedy_crop(spark, sf_dir):
     lengths, plan = _plan(spark, sf_dir, "greedy_crop")
     return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
 
 
-@query("pack_greedy_pad")
+@query("pack_greedy_pad", oracle(_GREEDY_PAD_SQL.format(cap=T_DOCS + 1)))
 def q_pack_greedy_pad(spark, sf_dir):
     lengths, plan = _plan(spark, sf_dir, "greedy_pad")
     return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
@@ -198,12 +244,19 @@ def q_mask_breakdown(spark, sf_dir):
     return RD.mask_breakdown(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), byte_vocab(spark))
 
 
-@query("pad_right")
+@query("pad_right", oracle(f"""
+with {_RENDER_SQL},
+lens as (select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n_tokens,
+                cast(sum(case when mask = 1 then greatest(0, least(st + n, {RD.MAX_TOKENS}) - st) else 0 end) as bigint)
+                  as mask_sum
+         from pos group by conv_id),
+b as (select *, (row_number() over (order by conv_id) - 1) // 8 as batch from lens)
+select conv_id, cast(batch as bigint) as batch, max(n_tokens) over (partition by batch) as n_tokens, mask_sum from b"""))
 def q_pad_right(spark, sf_dir):
     r = global_position(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), ["conv_id"], (), out="row_id")
     p = RD.pad_batches(r, 8, BOS)
-    return p.select("conv_id", "batch", F.size("ids").alias("n_tokens"),
-                    F.aggregate("mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+    return p.select("conv_id", F.col("batch").cast("long").alias("batch"), F.size("ids").cast("long").alias("n_tokens"),
+                    F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
 
 
 @query("pack_bestfit_pad_rows")
