@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
+    """A fresh path for an intermediate table (or a stream's input, sink and
+    checkpoint) inside the shared checkpoint folder. Every call gets its own
+    folder, so a rerun never appends to or resumes from an earlier run."""
     base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
