@@ -118,3 +118,9 @@ def test_prefix_extreme(spark):
     for k, v in rows:
         assert got[k] == best
         best = v if best is None else min(best, v)
+
+
+def test_token_bytes_specials_variant(spark):
+    vocab = TK.merges_vocab(spark, [])
+    r = {x.token_id: x.n_bytes for x in TK.token_bytes(vocab, zero_specials=False).collect()}
+    assert r[256] == len("<|bos|>") and r[264] == len("<|output_end|>") and r[65] == 1

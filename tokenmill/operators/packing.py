@@ -108,7 +108,10 @@ def assemble_rows(plan: DataFrame, tokens: DataFrame, cap: int, pad_id: int,
     """
     keys = [*group_cols, "pack_group", "row_no"]
     tok_cols = [id_col, ids_col] + ([mask_col] if mask_col else [])
-    seg = plan.join(tokens.select(*tok_cols), on=id_col, how="inner")
+    # the token side grows with the corpus and its size estimate (from the
+    # text files) understates the int arrays: never broadcast it; hash the
+    # placements (one small row per document) instead
+    seg = plan.hint("shuffle_hash").join(tokens.select(*tok_cols), on=id_col, how="inner")
     start = F.col("src") + 1
     parts = [F.col("dst"), F.slice(ids_col, start, F.col("take")).alias("seg")]
     if mask_col:

@@ -78,13 +78,21 @@ def _decoded_utf8_len(hexes: pd.Series) -> pd.Series:
                      len(bytes.fromhex(h).decode("utf-8", errors="replace").encode("utf-8"))).astype("Int32")
 
 
-def token_bytes(vocab: DataFrame, exact: bool = False) -> DataFrame:
+def token_bytes(vocab: DataFrame, exact: bool = False, zero_specials: bool = True) -> DataFrame:
     """``n_bytes`` per token: UTF-8 length of the *decoded* token (a lone
     continuation byte decodes to U+FFFD and counts 3); 0 for specials.
-    ``exact=True`` counts the raw bytes instead. The vocabulary is a small
+    ``exact=True`` counts the raw bytes instead; ``zero_specials=False`` is
+    the variant that counts a special's own text. The vocabulary is a small
     bounded table, so the lenient decode runs as a pandas UDF over it."""
     n = F.octet_length(F.unhex("hex")) if exact else _decoded_utf8_len(F.col("hex"))
-    return vocab.select("token_id", F.when(F.col("is_special"), F.lit(0)).otherwise(n).cast("int").alias("n_bytes"))
+    if zero_specials:
+        n = F.when(F.col("is_special"), F.lit(0)).otherwise(n)
+    else:
+        names = F.array(*[F.lit(t) for t in SPECIAL_TOKENS])
+        first_special = vocab.filter(F.col("is_special")).select(F.min("token_id")).scalar()
+        n = F.when(F.col("is_special"), F.octet_length(F.get(names, F.col("token_id") - first_special))) \
+             .otherwise(n)
+    return vocab.select("token_id", n.cast("int").alias("n_bytes"))
 
 
 def token_bytes_stats(tb: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from tokenmill.operators.packing import multi_epoch
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.positions import global_position
 from tokenmill.plans.registry import query
-from tokenmill.sources.corpus import scan_shards
+from tokenmill.session import scratch_path
+from tokenmill.sources.corpus import scan_shards, write_train_val
 
 # DuckDB spelling of Python's Unicode whitespace class (RE2 \s is ASCII only)
 WS = r"[\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -24,7 +25,8 @@ def _docs_with_pos(spark, sf_dir):
 @query("scan_shards", oracle("""
 select doc_id, 'documents.parquet' as file_name, n_chars from documents"""))
 def q_scan_shards(spark, sf_dir):
-    df = scan_shards(spark, sf_dir, glob="documents*.parquet")
+    missing = scratch_path(spark, "no_shards_here")     # primary folder absent -> legacy folder
+    df = scan_shards(spark, missing, glob="documents*.parquet", legacy_path=sf_dir)
     return df.select("doc_id", "file_name", "n_chars")
 
 
@@ -165,7 +167,13 @@ where doc_pos < n.n - 1 or (n.n = 1 and doc_pos = 0)"""))
 def q_train_val_docs(spark, sf_dir):
     d = C.split_last_shard(load(spark, sf_dir).documents, "source").filter("split = 'val'").drop("split")
     d = C.train_val_docs(d, ["doc_id"])
-    return d.select("doc_id", "split", F.col("copy").cast("long").alias("copy"))
+    path = scratch_path(spark, "train_val")
+    write_train_val(d.select("split", F.concat_ws("|", F.col("doc_id").cast("string"),
+                                                  F.col("copy").cast("string"), "text").alias("text")), path)
+    back = spark.read.parquet(path)
+    parts = F.split("text", r"\|", 3)
+    return back.select(parts.getItem(0).cast("long").alias("doc_id"), "split",
+                       parts.getItem(1).cast("long").alias("copy"))
 
 
 @query("pretrain_text", oracle("""

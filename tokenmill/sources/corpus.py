@@ -9,13 +9,26 @@ from pyspark.sql import types as T
 from tokenmill.functions.text import strip
 
 
+def _has_files(spark: SparkSession, path: str, glob: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return False
+    return len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + glob))) > 0
+
+
 def scan_shards(spark: SparkSession, path: str, glob: str = "*.parquet",
-                schema: T.StructType | None = None) -> DataFrame:
+                schema: T.StructType | None = None, legacy_path: str | None = None) -> DataFrame:
     """All parquet shards of a folder (``.tmp`` and other files ignored).
 
-    Adds ``file_name`` and ``row_index`` from the hidden file metadata, so
+    Falls back to ``legacy_path`` when ``path`` holds no shard. Adds
+    ``file_name`` and ``row_index`` from the hidden file metadata, so
     "order by file name, then row" is available without reading order.
     """
+    if legacy_path and not _has_files(spark, path, glob):
+        path = legacy_path
     r = spark.read.option("pathGlobFilter", glob)
     if schema is not None:
         r = r.schema(schema)
@@ -30,6 +43,14 @@ def read_delimited_corpus(spark: SparkSession, path: str, sep: str = "\n\n---\n\
     return df.select(strip("value").alias("text")).filter(F.length("text") > 0)
 
 
+def write_train_val(df: DataFrame, path: str, text_col: str = "text", rows_per_group: int = 1024) -> None:
+    """Write the ``split`` column's train and val rows as separate shard
+    folders (``split=train`` / ``split=val``), zstd, no dictionary."""
+    (df.select("split", text_col).repartition("split").write.mode("overwrite").partitionBy("split")
+       .option("compression", "zstd").option("parquet.enable.dictionary", "false")
+       .option("parquet.block.row.count.limit", rows_per_group).parquet(path))
+
+
 def write_delimited_corpus(df: DataFrame, path: str, text_col: str = "text",
                            sep: str = "\n\n---\n\n") -> None:
     df.select(text_col).write.mode("overwrite").option("lineSep", sep).text(path)
