@@ -124,3 +124,12 @@ def test_token_bytes_specials_variant(spark):
     vocab = TK.merges_vocab(spark, [])
     r = {x.token_id: x.n_bytes for x in TK.token_bytes(vocab, zero_specials=False).collect()}
     assert r[256] == len("<|bos|>") and r[264] == len("<|output_end|>") and r[65] == 1
+
+
+def test_bpe_batched_round_trips(spark):
+    text = ["the cat sat on the mat", "then the rat ate the oat", "that other hat"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
+    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 10, merges_per_round=4)
+    assert len(merges) == 10 and len({m[2] for m in merges}) == 10
+    dec = TK.decode_ids(TK.encode_bpe(docs, merges), TK.merges_vocab(spark, merges)).toPandas()
+    assert sorted(dec["text"]) == sorted(text)

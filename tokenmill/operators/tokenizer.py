@@ -130,53 +130,77 @@ def word_table(hist: DataFrame) -> DataFrame:
                .groupBy("ids").agg(F.sum("freq").alias("freq"))
 
 
-def _merge_pair(ids: Column, a: int, b: int, new: int) -> Column:
-    """Replace non-overlapping adjacent ``(a, b)`` left to right by ``new``."""
+def _merge_pairs(ids: Column, pairs: dict) -> Column:
+    """Replace non-overlapping adjacent pairs left to right by their new ids.
+
+    ``pairs`` maps ``(a, b) -> new``; the pairs of one call are token
+    disjoint, so a left-to-right scan is unambiguous. One pass, one map
+    lookup per position (key ``a * 2^21 + b``)."""
+    lookup = F.create_map(*[x for (a, b), new in pairs.items()
+                            for x in (F.lit(a * (1 << 21) + b), F.lit(new))])
     init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(False).alias("skip"))
 
     def step(acc, i):
         cur = F.element_at(ids, i + 1)
         nxt = F.element_at(ids, i + 2)
-        hit = (~acc["skip"]) & (i + 1 < F.size(ids)) & (cur == a) & (nxt == b)
-        out = F.when(acc["skip"], acc["out"]).when(hit, F.array_append(acc["out"], F.lit(new))) \
+        key = cur.cast("long") * (1 << 21) + nxt.cast("long")
+        new = F.when(i + 1 < F.size(ids), F.element_at(lookup, key))
+        hit = (~acc["skip"]) & new.isNotNull()
+        out = F.when(acc["skip"], acc["out"]).when(hit, F.array_append(acc["out"], new)) \
                .otherwise(F.array_append(acc["out"], cur))
         return F.struct(out.alias("out"), hit.alias("skip"))
 
     return F.aggregate(F.sequence(F.lit(0), F.size(ids) - 1), init, step, lambda acc: acc["out"])
 
 
-def train_bpe(hist: DataFrame, vocab_size: int) -> list[tuple[int, int, int]]:
+def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1) -> list[tuple[int, int, int]]:
     """Greedy byte-level BPE: ``vocab_size - 256 - 9`` merges.
 
     Per round: explode adjacent pairs of the word table, ``sum(freq)`` per
     pair, take the top pair (count desc, then pair asc - our tie rule), and
-    rewrite only the words that contain it. Returns ``[(a, b, new_id)]`` in
+    rewrite the words that contain it. Returns ``[(a, b, new_id)]`` in
     merge order; the scalars of each round are the only driver traffic.
     The rewritten word table is checkpointed every round: it keeps the plan
     flat (the merge expression reads ``ids`` several times, so stacked
     rounds would inline into each other) and makes every round restartable.
+
+    ``merges_per_round > 1`` is the batched mode: each round takes up to that
+    many of the best pairs that share no token with a better pair of the
+    same round and applies them in one pass. It needs far fewer rounds for
+    large vocabularies but is not exact (a pair created by one of the
+    round's merges could have outranked a later pick).
     """
     n_merges = vocab_size - N_BYTES - len(SPECIAL_TOKENS)
     if n_merges < 0:
         raise ValueError("vocab_size must leave room for 256 bytes and 9 specials")
     words = word_table(hist).checkpoint()
-    merges = []
-    for r in range(n_merges):
+    merges: list[tuple[int, int, int]] = []
+    while len(merges) < n_merges:
+        want = min(merges_per_round, n_merges - len(merges))
         pairs = words.filter(F.size("ids") >= 2).select(
             F.explode(F.transform(F.sequence(F.lit(1), F.size("ids") - 1),
                                   lambda i: F.struct(F.element_at("ids", i).alias("a"),
                                                      F.element_at("ids", i + 1).alias("b")))).alias("p"),
             "freq")
         top = (pairs.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n"))
-                    .orderBy(F.col("n").desc(), "a", "b").limit(1).collect())
+                    .orderBy(F.col("n").desc(), "a", "b").limit(4 * want).collect())
         if not top:
             break
-        a, b = int(top[0]["a"]), int(top[0]["b"])
-        new = N_BYTES + r
-        merges.append((a, b, new))
-        has = F.exists(F.sequence(F.lit(1), F.greatest(F.size("ids") - 1, F.lit(1))),
-                       lambda i: (F.element_at("ids", i) == a) & (F.element_at("ids", i + 1) == b))
-        words = words.select(F.when((F.size("ids") >= 2) & has, _merge_pair(F.col("ids"), a, b, new))
+        chosen: dict = {}
+        used: set = set()
+        for r in top:
+            a, b = int(r["a"]), int(r["b"])
+            if a in used or b in used:
+                if want == 1:
+                    break
+                continue
+            new = N_BYTES + len(merges)
+            merges.append((a, b, new))
+            chosen[(a, b)] = new
+            used.update((a, b))
+            if len(chosen) == want:
+                break
+        words = words.select(F.when(F.size("ids") >= 2, _merge_pairs(F.col("ids"), chosen))
                              .otherwise(F.col("ids")).alias("ids"), "freq").checkpoint()
     return merges
 
