@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,16 +154,19 @@ def _merge_pairs(ids: Column, pairs: dict) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(ids) - 1), init, step, lambda acc: acc["out"])
 
 
-def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1) -> list[tuple[int, int, int]]:
+def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1,
+              checkpoint_every: int = 10) -> list[tuple[int, int, int]]:
     """Greedy byte-level BPE: ``vocab_size - 256 - 9`` merges.
 
     Per round: explode adjacent pairs of the word table, ``sum(freq)`` per
     pair, take the top pair (count desc, then pair asc - our tie rule), and
     rewrite the words that contain it. Returns ``[(a, b, new_id)]`` in
     merge order; the scalars of each round are the only driver traffic.
-    The rewritten word table is checkpointed every round: it keeps the plan
-    flat (the merge expression reads ``ids`` several times, so stacked
-    rounds would inline into each other) and makes every round restartable.
+    The rewritten word table is persisted every round (it is materialised
+    by the next round's pair count, so no extra job) - the cached relation
+    also keeps the plan flat, since the merge expression reads ``ids``
+    several times and stacked rounds would otherwise inline into each other;
+    every ``checkpoint_every`` rounds a reliable checkpoint cuts the lineage.
 
     ``merges_per_round > 1`` is the batched mode: each round takes up to that
     many of the best pairs that share no token with a better pair of the
@@ -175,6 +179,8 @@ def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1) -> li
         raise ValueError("vocab_size must leave room for 256 bytes and 9 specials")
     words = word_table(hist).checkpoint()
     merges: list[tuple[int, int, int]] = []
+    previous = None
+    rounds = 0
     while len(merges) < n_merges:
         want = min(merges_per_round, n_merges - len(merges))
         pairs = words.filter(F.size("ids") >= 2).select(
@@ -184,6 +190,11 @@ def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1) -> li
             "freq")
         top = (pairs.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n"))
                     .orderBy(F.col("n").desc(), "a", "b").limit(4 * want).collect())
+        # this round's pair count materialised ``words``; the table it was
+        # built from is no longer needed
+        if previous is not None and previous is not words:
+            previous.unpersist()
+        previous = words if words.storageLevel.useMemory or words.storageLevel.useDisk else None
         if not top:
             break
         chosen: dict = {}
@@ -200,8 +211,17 @@ def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1) -> li
             used.update((a, b))
             if len(chosen) == want:
                 break
-        words = words.select(F.when(F.size("ids") >= 2, _merge_pairs(F.col("ids"), chosen))
-                             .otherwise(F.col("ids")).alias("ids"), "freq").checkpoint()
+        rounds += 1
+        nxt = words.select(F.when(F.size("ids") >= 2, _merge_pairs(F.col("ids"), chosen))
+                           .otherwise(F.col("ids")).alias("ids"), "freq")
+        if rounds % checkpoint_every == 0:
+            nxt = nxt.checkpoint()
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+        words = nxt
+    for df in (previous, words):
+        if df is not None:
+            df.unpersist()
     return merges
 
 
