@@ -32,3 +32,12 @@ def test_composite_order(spark):
     out = global_position(df, ["s", "i"], (), out="p").orderBy("p").toPandas()
     exp = sorted(rows)
     assert list(zip(out["s"], out["i"])) == exp
+
+
+def test_hot_shard_is_split_into_bounded_pack_groups(spark):
+    from tokenmill.operators.packing import assign_pack_groups
+    rows = [("hot" if i % 4 else "cold", i, 10) for i in range(4000)]
+    df = spark.createDataFrame(rows, "source string, doc_id long, n_tokens long").withColumn("split", F.lit("train"))
+    g = assign_pack_groups(df, ["source", "doc_id"], ["split"], group_docs=500)
+    sizes = [r["count"] for r in g.groupBy("split", "pack_group").count().collect()]
+    assert max(sizes) <= 500 and sum(sizes) == 4000

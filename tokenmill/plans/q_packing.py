@@ -62,6 +62,22 @@ def q_chunk_stream_rows(spark, sf_dir):
     return PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
 
 
+@query("shift_targets", oracle(f"""
+with {_LEN_SQL.format(cap=T_DOCS + 1)},
+r as (select split, row_no, cast(sum(e - s) as bigint) as n_content from segs group by split, row_no)
+select split, row_no, cast({T_DOCS} as bigint) as n_inputs,
+       cast(case when n_content < {T_DOCS + 1} then n_content - 1 else {T_DOCS} end as bigint) as n_targets
+from r"""))
+def q_shift_targets(spark, sf_dir):
+    """Chunked rows shifted to inputs / targets; targets past the content of
+    a short (padded) row are -1."""
+    plan = PK.chunk_plan(_lengths(spark, sf_dir), T_DOCS + 1, ["source", "doc_id"], ["split"])
+    rows = PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
+    sh = PK.shift_targets(rows, mask_col=None)
+    return sh.select("split", "row_no", F.size("inputs").cast("long").alias("n_inputs"),
+                     F.size(F.filter("targets", lambda t: t >= 0)).cast("long").alias("n_targets"))
+
+
 @query("eval_token_budget", oracle(f"""
 with {_LEN_SQL.format(cap=T_DOCS + 1)}
 select split, row_no, cast(sum(e - s) as bigint) as n_tokens from segs

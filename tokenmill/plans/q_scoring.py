@@ -234,3 +234,18 @@ where rn <= 40""", "eval_outcomes"))
 def q_subsample_task(spark, sf_dir):
     items = load(spark, sf_dir).eval_outcomes.select("task", "idx").distinct()
     return S.subsample_task(items, 40).select("task", "idx")
+
+
+@query("read_results_csv", oracle(f"""
+{_CORE_SQL}
+select task as "Task", round(accuracy, 6) as "Accuracy", round(centered, 6) as "Centered" from res
+union all
+select 'CORE', null, round(avg(centered), 6) from res""", "mc_answers"))
+def q_read_results_csv(spark, sf_dir):
+    """The CORE results CSV (S14) read back: header skipped, values trimmed,
+    blank accuracy of the total row -> NULL."""
+    res = _core_results(spark, sf_dir)
+    path = scratch_path(spark, "core_results_read")
+    write_results_csv(res, path)
+    back = read_results_csv(spark, path, key="Task", value=["Accuracy", "Centered"])
+    return back.select("Task", F.round("Accuracy", 6).alias("Accuracy"), F.round("Centered", 6).alias("Centered"))
