@@ -27,19 +27,21 @@ TITLE_PREFIX = "Video "
 with m as (select conv_id, turn, case when role is null then 'missing_role' when text is null then 'missing_content'
             when role <> case when turn % 2 = 0 then 'user' else 'assistant' end then 'bad_role' end as code
            from conversations_bad),
-c as (select conv_id, count(*) as n, min(case when code is not null then turn end) as bad_turn from m group by conv_id)
-select c.conv_id, cast(c.n as bigint) as n_messages, case when c.n < 2 then 'too_short' else m.code end as reason
+c as (select conv_id, count(*) as n, min(case when code is not null then turn end) as bad_turn,
+             md5(min(case when turn = 0 then text end)) as first_md5 from m join conversations_bad using (conv_id, turn)
+      group by conv_id)
+select c.first_md5, cast(c.n as bigint) as n_messages, case when c.n < 2 then 'too_short' else m.code end as reason
 from c left join m on m.conv_id = c.conv_id and m.turn = c.bad_turn""", "conversations_bad"))
 def q_read_conversations_jsonl(spark, sf_dir):
-    """conversations_bad written as one JSON array per line (with blank lines
-    between), read back, validated; ``conv_id`` travels in a side field."""
+    """conversations_bad written as plain JSONL (one array of messages per
+    line, whitespace-only lines between), read back and validated. The file
+    carries no id, so rows are identified by the first message's digest."""
     nested = nest_conversations(load(spark, sf_dir).conversations_bad)
     path = scratch_path(spark, "conversations_jsonl")
-    lines = nested.select("conv_id", F.concat(F.to_json("messages"), F.lit("\n   ")).alias("value"))
-    lines.write.mode("overwrite").partitionBy("conv_id").text(path)
+    nested.select(F.concat(F.to_json("messages"), F.lit("\n   ")).alias("value")).write.mode("overwrite").text(path)
     r = SF.read_conversations_jsonl(spark, path)
     v = validate_conversations(r, "strict")
-    return v.select(F.col("conv_id").cast("long").alias("conv_id"),
+    return v.select(F.md5(F.get(F.col("messages"), 0)["content"]).alias("first_md5"),
                     F.size("messages").cast("long").alias("n_messages"), "reason")
 
 
