@@ -1,11 +1,11 @@
 """Conversation rendering to token ids + loss mask.
 
-The conversation is exploded to one row per message part, each part
-becomes a segment ``(ids, mask)`` with its special-token wrappers, and
-the segments are re-assembled per conversation in (turn, part) order.
-Text is tokenised with a Column function (byte ids by default), so the
-whole job stays in Catalyst; a conversation is the largest unit held in
-one row.
+A conversation is one row with its messages in order, so rendering is a
+per-row map: every message part becomes a segment ``(ids, mask)`` with its
+special-token wrappers and the segments are concatenated with
+higher-order functions - no explode, shuffle or regrouping. Text is
+tokenised with a Column function (byte ids by default), so the whole job
+stays in Catalyst; a conversation is the largest unit held in one row.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from tokenmill.operators.tokenizer import special_id
 from tokenmill.plans.broadcast import sized_broadcast
 
 MAX_TOKENS = 2048
-_LAST = 1 << 30
 
 
 def as_parts(messages: Column) -> Column:
@@ -62,11 +61,6 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
     d = d.withColumn("reason", F.coalesce("_r0", "reason",
                                           F.when(F.size("messages") < 1, F.lit("empty"))
                                            .when(bad_role, F.lit("bad_role_order")))).drop("_r0")
-    good = d.filter(F.col("reason").isNull())
-    msgs = good.select(id_col, F.posexplode("messages").alias("turn", "m"))
-    parts = msgs.select(id_col, "turn", F.col("m.role").alias("role"),
-                        F.posexplode("m.parts").alias("part_no", "p"))
-
     def seg(ids: Column, mask: int, pre=None, post=None) -> Column:
         out = ids
         if pre is not None:
@@ -75,34 +69,33 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
             out = F.concat(out, F.array(F.lit(sid[post])))
         return F.struct(out.alias("ids"), F.array_repeat(F.lit(mask), F.size(out)).alias("mask"))
 
-    ids = tokenize(F.col("p.text"))
-    typ = F.col("p.type")
-    user = F.col("role") == "user"
-    body = (F.when(user, seg(ids, 0, "<|user_start|>", "<|user_end|>"))
-             .when(typ == "python", seg(ids, 1, "<|python_start|>", "<|python_end|>"))
-             .when(typ == "python_output", seg(ids, 0, "<|output_start|>", "<|output_end|>"))
-             .otherwise(seg(ids, 1)))
-    segs = parts.select(id_col, "turn", "part_no", body.alias("s"))
-    asst = msgs.filter(F.col("m.role") == "assistant")
-    start = asst.select(id_col, "turn", F.lit(-1).alias("part_no"),
-                        F.struct(F.array(F.lit(sid["<|assistant_start|>"])).alias("ids"),
-                                 F.array(F.lit(0)).alias("mask")).alias("s"))
-    end = asst.select(id_col, "turn", F.lit(_LAST).alias("part_no"),
-                      F.struct(F.array(F.lit(sid["<|assistant_end|>"])).alias("ids"),
-                               F.array(F.lit(1)).alias("mask")).alias("s"))
-    allsegs = segs.unionByName(start).unionByName(end)
-    per = allsegs.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("turn", "part_no", "s"))).alias("_segs"))
-    flat_ids = F.concat(F.array(F.lit(sid["<|bos|>"])), F.flatten(F.transform("_segs", lambda x: x["s"]["ids"])))
-    flat_mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform("_segs", lambda x: x["s"]["mask"])))
+    def single(token: str, mask: int) -> Column:
+        return F.struct(F.array(F.lit(sid[token])).alias("ids"), F.array(F.lit(mask)).alias("mask"))
+
+    def part_seg(p: Column) -> Column:
+        ids = tokenize(p["text"])
+        return (F.when(p["type"] == "python", seg(ids, 1, "<|python_start|>", "<|python_end|>"))
+                 .when(p["type"] == "python_output", seg(ids, 0, "<|output_start|>", "<|output_end|>"))
+                 .otherwise(seg(ids, 1)))
+
+    def message_segs(m: Column) -> Column:
+        user = F.transform(m["parts"], lambda p: seg(tokenize(p["text"]), 0, "<|user_start|>", "<|user_end|>"))
+        asst = F.concat(F.array(single("<|assistant_start|>", 0)), F.transform(m["parts"], part_seg),
+                        F.array(single("<|assistant_end|>", 1)))
+        return F.when(m["role"] == "user", user).otherwise(asst)
+
+    # the conversation is one row with its messages in order: segments are
+    # built and concatenated per row, no explode / shuffle / regroup
+    ok = F.col("reason").isNull()
+    segs = d.withColumn("_segs", F.when(ok, F.flatten(F.transform("messages", message_segs))))
+    flat_ids = F.concat(F.array(F.lit(sid["<|bos|>"])), F.flatten(F.transform("_segs", lambda x: x["ids"])))
+    flat_mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform("_segs", lambda x: x["mask"])))
     if for_completion:
         out_ids = F.concat(flat_ids, F.array(F.lit(sid["<|assistant_start|>"])))
         out_mask = F.concat(flat_mask, F.array(F.lit(0)))
     else:
         out_ids, out_mask = F.slice(flat_ids, 1, max_tokens), F.slice(flat_mask, 1, max_tokens)
-    rendered = per.select(id_col, out_ids.alias("ids"), out_mask.alias("mask"))
-    res = d.select(id_col, "reason").join(rendered, id_col, "left")
-    return res.select(id_col, "ids", "mask", "reason")
+    return segs.select(id_col, F.when(ok, out_ids).alias("ids"), F.when(ok, out_mask).alias("mask"), "reason")
 
 
 def drop_unusable_examples(rendered: DataFrame, min_tokens: int = 4) -> DataFrame:
