@@ -182,18 +182,22 @@ def transcript_conversations(df: DataFrame, title_col: str = "title", text_col:
 
     chunks = F.aggregate(sents, init, step, lambda acc: F.when(
         F.size(acc["cur"]) > 0, F.array_append(acc["chunks"], F.array_join(acc["cur"], " "))).otherwise(acc["chunks"]))
-    d = df.withColumn("_chunks", chunks)
     topic = strip(F.substring_index(strip(F.substring_index(F.col(title_col), "|", 1)), ":", 1))
-    summ = d.filter(F.length(text) > SUMMARY_MIN_CHARS).select(
-        "id", F.lit(0).alias("part"), _fill(summary_question, title=F.col(title_col)).alias("user_msg"),
+
+    def conv(part, user, assistant):
+        return F.struct(part.cast("int").alias("part"), user.alias("user_msg"), assistant.alias("assistant_msg"))
+
+    summary = F.when(F.length(text) > SUMMARY_MIN_CHARS, F.array(conv(
+        F.lit(0), _fill(summary_question, title=F.col(title_col)),
         F.concat(F.substring(text, 1, SUMMARY_MAX_CHARS),
-                 F.when(F.length(text) > SUMMARY_MAX_CHARS, F.lit("...")).otherwise(F.lit(""))).alias("assistant_msg"))
-    parts = d.select("id", topic.alias("_topic"), F.posexplode(F.slice("_chunks", 1, MAX_CHUNKS)).alias("i", "chunk"))
-    parts = parts.filter(F.length("chunk") >= CHUNK_MIN_CHARS).select(
-        "id", (F.col("i") + 1).alias("part"),
-        F.concat(F.lit("Tell me about "), F.col("_topic"), F.lit(" - part "), (F.col("i") + 1).cast("string"))
-        .alias("user_msg"), F.col("chunk").alias("assistant_msg"))
-    return summ.unionByName(parts)
+                 F.when(F.length(text) > SUMMARY_MAX_CHARS, F.lit("...")).otherwise(F.lit("")))))
+                     ).otherwise(F.array().cast("array<struct<part:int,user_msg:string,assistant_msg:string>>"))
+    numbered = F.transform(F.slice(chunks, 1, MAX_CHUNKS), lambda c, i: conv(
+        i + 1, F.concat(F.lit("Tell me about "), topic, F.lit(" - part "), (i + 1).cast("string")), c))
+    kept = F.filter(numbered, lambda x: F.length(x["assistant_msg"]) >= CHUNK_MIN_CHARS)
+    # one pass per transcript: summary + numbered chunk pairs, exploded once
+    out = df.select("id", F.explode(F.concat(summary, kept)).alias("_c"))
+    return out.select("id", "_c.part", "_c.user_msg", "_c.assistant_msg")
 
 
 # ---------------------------------------------------------- O6 / F14 --
