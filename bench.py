@@ -59,6 +59,19 @@ def main():
             df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
+    # BPE encoding throughput: merges learnt (untimed) on the smallest corpus,
+    # then the whole sf corpus encoded once per distinct piece and re-assembled
+    from tokenmill.operators import tokenizer as TK
+    from tokenmill.plans.catalog import load
+    if os.path.isdir(warm):
+        merges = TK.train_bpe(TK.pretoken_histogram(load(spark, warm).documents), 256 + 9 + 64,
+                              merges_per_round=8)
+        enc = TK.encode_bpe(load(spark, sf_dir).documents, merges).cache()
+        t0 = time.time()
+        enc.write.format("noop").mode("overwrite").save()
+        times["encode_bpe_64"] = round(time.time() - t0, 3)
+        n_tok = enc.selectExpr("sum(size(ids))").first()[0]
+        enc.unpersist()
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     n_docs, n_bytes = docs.selectExpr("count(*)", "sum(octet_length(text))").first()
     thr = {}
@@ -69,6 +82,8 @@ def main():
         thr["pretoken_mb_per_s"] = round(n_bytes / 1e6 / times["pretoken_histogram"], 2)
     if "clean_transcript" in times:
         thr["clean_docs_per_s"] = round(n_docs / times["clean_transcript"], 1)
+    if "encode_bpe_64" in times:
+        thr["bpe_encode_tokens_per_s"] = round(n_tok / times["encode_bpe_64"], 1)
     if "byte_tokens" in times:
         thr["byte_tokens_per_s"] = round((n_bytes + n_docs) / times["byte_tokens"], 1)
     if packing:
