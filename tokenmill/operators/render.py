@@ -90,11 +90,10 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
     segs = d.withColumn("_segs", F.when(ok, F.flatten(F.transform("messages", message_segs))))
     flat_ids = F.concat(F.array(F.lit(sid["<|bos|>"])), F.flatten(F.transform("_segs", lambda x: x["ids"])))
     flat_mask = F.concat(F.array(F.lit(0)), F.flatten(F.transform("_segs", lambda x: x["mask"])))
+    out_ids, out_mask = F.slice(flat_ids, 1, max_tokens), F.slice(flat_mask, 1, max_tokens)
     if for_completion:
-        out_ids = F.concat(flat_ids, F.array(F.lit(sid["<|assistant_start|>"])))
-        out_mask = F.concat(flat_mask, F.array(F.lit(0)))
-    else:
-        out_ids, out_mask = F.slice(flat_ids, 1, max_tokens), F.slice(flat_mask, 1, max_tokens)
+        out_ids = F.concat(out_ids, F.array(F.lit(sid["<|assistant_start|>"])))
+        out_mask = F.concat(out_mask, F.array(F.lit(0)))
     return segs.select(id_col, F.when(ok, out_ids).alias("ids"), F.when(ok, out_mask).alias("mask"), "reason")
 
 

@@ -312,15 +312,19 @@ def metric_pivot(kv: DataFrame, stages=STAGES, section: str = "stage", key: str
     return p.withColumn("sort_key", sort_key).withColumnRenamed(key, "metric")
 
 
-def run_duration(ts: DataFrame, sections, section: str = "stage") -> DataFrame:
-    """Start = first section's timestamp; end = timestamp of the last non-RL
-    section in list order (even when NULL); ``XhYm`` or 'unknown'."""
+def run_duration(ts: DataFrame, sections, section: str = "stage", present: DataFrame | None = None) -> DataFrame:
+    """Start = first section's timestamp; end = timestamp of the last present
+    non-RL section in list order - NULL when that section has none (it still
+    "sets" the end); ``XhYm`` or 'unknown'. ``present`` lists the sections
+    that exist (default: those with a timestamp)."""
     order = F.create_map(*[x for i, s in enumerate(sections) for x in (F.lit(s), F.lit(i))])
     non_rl = [s for s in sections if "rl" not in s]
+    if present is not None:
+        ts = present.select(section).distinct().join(ts, section, "left")
     present = ts.select(F.lit(0).alias("_k"), section, "ts")
     g = present.groupBy("_k").agg(
         F.max_by("ts", F.when(F.col(section) == sections[0], F.lit(1))).alias("start"),
-        F.max_by("ts", F.when(F.col(section).isin(*non_rl), order[F.col(section)])).alias("end"))
+        F.max_by(F.struct("ts"), F.when(F.col(section).isin(*non_rl), order[F.col(section)]))["ts"].alias("end"))
     secs = (F.unix_timestamp("end") - F.unix_timestamp("start")).cast("long")
     txt = F.when(F.col("start").isNotNull() & F.col("end").isNotNull(),
                  F.concat(F.floor(secs / 3600).cast("string"), F.lit("h"),

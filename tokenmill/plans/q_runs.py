@@ -308,7 +308,7 @@ select strftime(st, '%Y-%m-%d %H:%M:%S') as start, strftime(en, '%Y-%m-%d %H:%M:
 from se""", "report_lines"))
 def q_run_duration(spark, sf_dir):
     ts = R.report_timestamps(load(spark, sf_dir).report_lines)
-    return R.run_duration(ts, ["base", "sft", "rl"])
+    return R.run_duration(ts, ["base", "sft", "rl"], present=load(spark, sf_dir).report_lines)
 
 
 @query("scrape_run_logs", oracle("""
