@@ -209,8 +209,8 @@ sys as (select conv_id, len as slen from c0 where turn = 0 and role = 'system'),
 m as (select c0.conv_id, c0.turn, c0.role,
              c0.len + case when c0.turn = 1 and sys.slen is not null then sys.slen + 2 else 0 end as len
       from c0 left join sys on sys.conv_id = c0.conv_id where not (c0.turn = 0 and c0.role = 'system'))
-select c.conv_id, case when c.last_role = 'assistant'
-                         then least(1 + coalesce(sum(m.len + 2), 0), {RD.MAX_TOKENS}) + 1 end as n_tokens
+select c.conv_id, cast(case when c.last_role = 'assistant'
+                         then least(1 + coalesce(sum(m.len + 2), 0), {RD.MAX_TOKENS}) + 1 end as bigint) as n_tokens
 from c left join m on m.conv_id = c.conv_id group by c.conv_id, c.last_role"""))
 def q_render_for_completion(spark, sf_dir):
     r = _rendered(spark, sf_dir, for_completion=True)

@@ -216,7 +216,8 @@ select run_id, step, min(val_bpb) over (partition by run_id order by step rows b
        as best_so_far
 from train_steps""", "train_steps"))
 def q_running_min_metric(spark, sf_dir):
-    return R.running_min(load(spark, sf_dir).train_steps).select("run_id", "step", "best_so_far")
+    r = R.running_min(load(spark, sf_dir).train_steps)
+    return r.select("run_id", F.col("step").cast("long").alias("step"), "best_so_far")
 
 
 _EMA_SQL = """
@@ -229,13 +230,14 @@ select run_id, step, s / (1 - power(0.9e0, step + 1 + {off})) as smooth_loss fro
 
 @query("ema_debiased", oracle(_EMA_SQL.format(off=0), "train_steps"))
 def q_ema_debiased(spark, sf_dir):
-    return R.ema_debiased(load(spark, sf_dir).train_steps, block=16).select("run_id", "step", "smooth_loss")
+    e = R.ema_debiased(load(spark, sf_dir).train_steps, block=16)
+    return e.select("run_id", F.col("step").cast("long").alias("step"), "smooth_loss")
 
 
 @query("ema_debiased_sft", oracle(_EMA_SQL.format(off=1), "train_steps"))
 def q_ema_debiased_sft(spark, sf_dir):
     e = R.ema_debiased(load(spark, sf_dir).train_steps, offset=1, block=16)
-    return e.select("run_id", "step", "smooth_loss")
+    return e.select("run_id", F.col("step").cast("long").alias("step"), "smooth_loss")
 
 
 _CLOCK = dict(num_iterations=200, batch_tokens=524288, flops_per_token=3.0e9, peak_flops=989e12)
@@ -251,7 +253,7 @@ select run_id, step,
 from train_steps""", "train_steps"))
 def q_training_clock(spark, sf_dir):
     c = R.training_clock(load(spark, sf_dir).train_steps, **_CLOCK)
-    return c.select("run_id", "step", "total_time", "eta_s", "tok_per_sec", "mfu")
+    return c.select("run_id", F.col("step").cast("long").alias("step"), "total_time", "eta_s", "tok_per_sec", "mfu")
 
 
 @query("time_to_target", oracle("""
@@ -260,7 +262,8 @@ with e as (select *, sum(dt) over (partition by run_id order by step rows betwee
 select run_id, min(step) as step, arg_min(elapsed, step) as elapsed from e where val_bpb < 0.05e0 group by run_id""",
                                 "train_steps"))
 def q_time_to_target(spark, sf_dir):
-    return R.time_to_target(load(spark, sf_dir).train_steps, 0.05)
+    t = R.time_to_target(load(spark, sf_dir).train_steps, 0.05)
+    return t.select("run_id", F.col("step").cast("long").alias("step"), "elapsed")
 
 
 _KV = """kv as (select stage, key, arg_max(trim(split_part(line, ':', 2)), line_no) as value

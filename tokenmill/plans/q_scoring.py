@@ -206,7 +206,7 @@ select task, idx, k, case when is_correct then 1.0e0 else 0.0e0 end as reward,
 from eval_outcomes""", "eval_outcomes"))
 def q_group_advantage(spark, sf_dir):
     g = S.group_advantage(load(spark, sf_dir).eval_outcomes)
-    return g.select("task", "idx", "k", "reward", "advantage")
+    return g.select("task", "idx", F.col("k").cast("long").alias("k"), "reward", "advantage")
 
 
 @query("option_loss_choice", oracle("""
