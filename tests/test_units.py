@@ -133,3 +133,30 @@ def test_bpe_batched_round_trips(spark):
     assert len(merges) == 10 and len({m[2] for m in merges}) == 10
     dec = TK.decode_ids(TK.encode_bpe(docs, merges), TK.merges_vocab(spark, merges)).toPandas()
     assert sorted(dec["text"]) == sorted(text)
+
+
+def naive_common(seqs, direction):
+    n = min(len(s) for s in seqs)
+    for i in range(n):
+        idx = i if direction == "left" else -1 - i
+        if any(s[idx] != seqs[0][idx] for s in seqs):
+            return i
+    return n
+
+
+def test_common_length_matches_naive(spark):
+    import random
+    from pyspark.sql import functions as F
+    from tokenmill.operators.core_prompts import common_length
+    rnd = random.Random(5)
+    rows = []
+    for k in range(60):
+        base = [rnd.randint(0, 3) for _ in range(rnd.randint(0, 8))]
+        seqs = [base[: rnd.randint(0, len(base))] + [rnd.randint(0, 3) for _ in range(rnd.randint(0, 4))]
+                for _ in range(rnd.randint(1, 3))]
+        rows.append((k, seqs))
+    df = spark.createDataFrame(rows, "k int, s array<array<int>>")
+    got = {r.k: (r.l, r.r) for r in df.select("k", common_length(F.col("s"), "left").alias("l"),
+                                               common_length(F.col("s"), "right").alias("r")).collect()}
+    for k, seqs in rows:
+        assert got[k] == (naive_common(seqs, "left"), naive_common(seqs, "right")), seqs

@@ -85,31 +85,27 @@ def render_core_prompts(d: DataFrame, type_col: str = "task_type") -> DataFrame:
     return d.withColumn("prompts", prompts)
 
 
-def common_lengths(d: DataFrame, key: str, tokens_col: str = "tokens") -> DataFrame:
-    """Per ``key``: shared prefix and suffix length of its token arrays.
-
-    Relational: explode (option, position, token), and per position check
-    that every option has it with one distinct value; the first failing
-    position (from the left, or from the right for the suffix) is the
-    length, else the shortest array length. Linear in the tokens, no
-    nested per-position array scans.
-    """
-    opts = d.select(key, F.posexplode(tokens_col).alias("option", "_t"))
-    n = opts.groupBy(key).agg(F.count("*").alias("_n"), F.min(F.size("_t")).alias("min_len"))
-    tk = opts.select(key, F.size("_t").alias("_len"), F.posexplode("_t").alias("pos", "tok"))
-
-    def first_mismatch(pos_col: Column, name: str) -> DataFrame:
-        g = tk.groupBy(key, pos_col.alias("_p")).agg(F.count("*").alias("_c"), F.min("tok").alias("_lo"),
-                                                     F.max("tok").alias("_hi"))
-        g = g.join(n.select(key, "_n"), key)
-        bad = g.filter((F.col("_c") < F.col("_n")) | (F.col("_lo") != F.col("_hi")))
-        return bad.groupBy(key).agg(F.min("_p").alias(name))
-
-    pre = first_mismatch(F.col("pos"), "_pre")
-    suf = first_mismatch(F.col("_len") - 1 - F.col("pos"), "_suf")
-    out = n.join(pre, key, "left").join(suf, key, "left")
-    return out.select(key, F.coalesce("_pre", "min_len").alias("prefix"),
-                      F.coalesce("_suf", "min_len").alias("suffix"))
+def common_length(seqs: Column, direction: str = "left") -> Column:
+    """Shared prefix (``left``) or suffix (``right``) length of a row's token
+    arrays, computed in the row. The arrays ride in the fold's state, so the
+    (possibly expensive) expression that produced them is evaluated once,
+    not once per position."""
+    init = F.struct(seqs.alias("s"), F.lit(0).alias("n"), F.lit(True).alias("go"))
+
+    def step(acc, i):
+        ss = acc["s"]
+        if direction == "right":
+            at = lambda x: F.element_at(x, -(i + 1))
+        else:
+            at = lambda x: F.element_at(x, i + 1)
+        first = F.get(ss, 0)
+        same = F.forall(ss, lambda x: (F.size(x) > i) & (at(x) == at(first)))
+        go = acc["go"] & same
+        return F.struct(ss.alias("s"), (acc["n"] + F.when(go, 1).otherwise(0)).alias("n"), go.alias("go"))
+
+    longest = F.aggregate(seqs, F.lit(0), lambda m, x: F.greatest(m, F.size(x)))
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(longest - 1, F.lit(0))), init, step,
+                       lambda acc: acc["n"])
 
 
 def answer_spans(d: DataFrame, key: str = "item_id", tokens_col: str = "tokens",
@@ -117,11 +113,12 @@ def answer_spans(d: DataFrame, key: str = "item_id", tokens_col: str = "tokens",
     """Per option ``start`` / ``end`` of the answer span (MC: common prefix;
     schema: common suffix; LM: length without continuation, which must be a
     prefix - ``reason`` otherwise). One row per option (LM keeps only the
-    prompt with the continuation)."""
-    cl = common_lengths(d.filter(F.col(type_col) != "language_modeling"), key, tokens_col)
-    j = d.join(cl, key, "left")
+    prompt with the continuation). Everything is per item row: no explode
+    of tokens, no shuffle."""
     toks = F.col(tokens_col)
     t = F.col(type_col)
+    j = d.withColumn("prefix", F.when(t == "multiple_choice", common_length(toks, "left"))) \
+         .withColumn("suffix", F.when(t == "schema", common_length(toks, "right")))
     w0, w1 = F.get(toks, 0), F.get(toks, 1)
     lm_ok = (F.size(w0) < F.size(w1)) & (F.slice(w1, 1, F.size(w0)) == w0)
     j = j.withColumn("reason", F.when((t == "language_modeling") & ~lm_ok, F.lit("lm_not_prefix")))
