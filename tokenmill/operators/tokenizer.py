@@ -109,7 +109,7 @@ def char_vocab(words: DataFrame, col: str = "word") -> DataFrame:
     """Sorted distinct characters -> ids 0..n-1 (BOS = n)."""
     from tokenmill.plans.positions import global_position
     chars = words.select(F.explode(F.split(col, "", -1)).alias("ch")).filter(F.length("ch") > 0).distinct()
-    return global_position(chars, ["ch"], (), out="char_id", block=F.lit(0))
+    return global_position(chars, ["ch"], (), out="char_id")
 
 
 def char_encode(words: DataFrame, vocab: DataFrame, col: str = "word", key: str = "word") -> DataFrame:

@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenmill.plans.fixtures_sql import VIEWS
+from tokenmill.plans.fixtures_sql import SPARK_VIEWS, VIEWS
 
 TABLES = ("region nation customer supplier part orders lineitem events "
           "documents embeddings pages benchmark labels conversations").split()
@@ -44,7 +44,7 @@ def load(spark: SparkSession, sf_dir: str) -> "Catalog":
     for t in TABLES:
         table(spark, sf_dir, t).createOrReplaceTempView(t)
     for name, sql in VIEWS.items():
-        spark.sql(sql).createOrReplaceTempView(name)
+        spark.sql(SPARK_VIEWS.get(name, sql)).createOrReplaceTempView(name)
     return Catalog(spark)
 
 

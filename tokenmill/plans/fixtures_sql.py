@@ -196,3 +196,56 @@ select o_orderkey as idx, case o_orderkey % 4
          when 2 then '{"error":"rate limit"}' else 'not json' end as body
 from orders
 """
+
+
+# Spark spellings of the views above that multiply rows by a small fixed
+# list: a generator (``lateral view explode``) instead of a cross join with
+# a union of literals. DuckDB keeps the portable text above; both give the
+# same rows.
+SPARK_VIEWS: dict[str, str] = {}
+
+SPARK_VIEWS["words"] = """
+select distinct word from (
+  select translate(lower(split_part(text, ' ', n)), ',.;:!?' || chr(10), '') as word
+  from documents lateral view explode(array(1, 2, 3, 4)) k as n) w
+where length(word) between 3 and 12
+"""
+
+SPARK_VIEWS["completions"] = """
+select problem_id, k, answer,
+       case (problem_id + k) % 6
+         when 0 then answer
+         when 1 then 'Result: #### ' || cast(a*b as string)
+         when 2 then 'Result: #### 1,' || cast(100 + a as string) || '.'
+         when 3 then 'nothing'
+         when 4 then 'Sure:' || chr(10) || repeat(chr(96), 3) || 'python' || chr(10) || 'def f(x):' || chr(10) || '    return x' || chr(10) || repeat(chr(96), 3) || chr(10) || 'ok'
+         else '  plain text  ' end as completion
+from tool_text lateral view explode(array(0, 1, 2, 3)) s as k
+"""
+
+SPARK_VIEWS["mc_answers"] = """
+select item_id, subject, answer, letter_no, (item_id * 7 + letter_no * letter_no * 13) % 10 as score
+from mc_items lateral view explode(array(0, 1, 2, 3)) l as letter_no
+"""
+
+SPARK_VIEWS["option_losses"] = """
+select o_orderkey as item_id, opt, pos, ((o_orderkey * 31 + opt * 17 + pos * 7) % 97) / 10.0e0 as loss,
+       (o_orderkey + pos) % 3 as pred, case when o_orderkey % 2 = 0 then (o_orderkey + pos) % 3 else pos % 3 end as actual,
+       cast(o_orderkey % 4 as int) as gold
+from orders
+lateral view explode(array(0, 1, 2, 3)) o as opt
+lateral view explode(array(0, 1, 2)) p as pos
+"""
+
+SPARK_VIEWS["runs"] = """
+select c_custkey as exp_id, flops_budget, depth,
+       cast(depth as bigint) * depth * depth * 49152 as params_transformer,
+       cast(depth as bigint) * 64 * 32768 as params_lm_head,
+       floor(flops_budget / (6.0e0 * (cast(depth as bigint) * depth * depth * 49152 + cast(depth as bigint) * 64 * 32768))) as tokens_trained,
+       case when (c_custkey + depth) % 29 = 0 then null when (c_custkey + depth) % 31 = 0 then 0.0e0
+            else 0.7e0 + (depth - bestd) * (depth - bestd) / 500.0e0 + ((c_custkey * depth) % 7) / 2000.0e0 end as val_bpb
+from customer
+lateral view inline(array(struct(1e18 as flops_budget, 11 as bestd), struct(2.15e18 as flops_budget, 13 as bestd),
+                          struct(4.64e18 as flops_budget, 15 as bestd), struct(1e19 as flops_budget, 17 as bestd))) f
+lateral view explode(array(8, 10, 12, 14, 16, 18, 20)) d as depth
+"""
