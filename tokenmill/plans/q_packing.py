@@ -152,6 +152,68 @@ select tin.split, tin.docs, cast(st.rows as bigint) as rows, cast(tin.input_toke
 from tin join st on st.split = tin.split"""
 
 
+_BESTFIT_REFILL = "case when len(st.buf) < 1000 and st.nxt < docs.cnt then least(docs.cnt, st.nxt + 128 * cast(ceil((1000 - len(st.buf)) / 128.0) as bigint)) else st.nxt end"
+_BESTFIT_CROP_SQL = f"""
+with recursive {_GREEDY_HEAD},
+docs as (select split, list(struct_pack(len := n, idx := i) order by i) as dl, count(*) as cnt from d group by split),
+st(split, buf, nxt, pos, rows) as (
+  select split, list_filter([struct_pack(len := 0::bigint, idx := 0::bigint)], lambda x: false), 0::bigint, 0::bigint,
+         0::bigint from docs
+  union all
+  select split, list_filter(buf1, lambda x: x.idx <> pick_idx), rn,
+         case when pos + take = {{cap}} then 0 else pos + take end,
+         case when pos + take = {{cap}} then rows + 1 else rows end
+  from (
+    select *, coalesce(fit_len, {{cap}} - pos) as take,
+              list_min(list_transform(list_filter(buf1, lambda x: x.len = coalesce(fit_len, short_len)),
+                                      lambda x: x.idx)) as pick_idx
+    from (
+      select *, list_max(list_transform(list_filter(buf1, lambda x: x.len <= {{cap}} - pos), lambda x: x.len)) as fit_len,
+                list_min(list_transform(buf1, lambda x: x.len)) as short_len
+      from (
+        select st.split, st.pos, st.rows, {_BESTFIT_REFILL} as rn,
+               st.buf || docs.dl[st.nxt + 1:{_BESTFIT_REFILL}] as buf1
+        from st join docs using (split)) a
+      where len(buf1) > 0) b) c),
+fin as (select split, max(rows) as rows from st group by split),
+tin as (select split, count(*) as docs, sum(n) as input_tokens from d group by split)
+select tin.split, tin.docs, cast(fin.rows as bigint) as rows, cast(tin.input_tokens as bigint) as input_tokens,
+       cast(fin.rows * {{cap}} as bigint) as used_tokens, 100.0e0 as util_pct,
+       round((tin.input_tokens - fin.rows * {{cap}}) * 100.0e0 / tin.input_tokens, 6) as crop_pct, 0.0e0 as pad_pct
+from tin join fin using (split)"""
+
+
+@query("pack_bestfit_crop", oracle(_BESTFIT_CROP_SQL.format(cap=T_DOCS + 1)))
+def q_pack_bestfit_crop(spark, sf_dir):
+    """Best-fit crop plan statistics (buffer 1000, refills of 128)."""
+    lengths, plan = _plan(spark, sf_dir, "bestfit_crop", buffer_size=1000)
+    return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
+
+
+_FFD_SQL = f"""
+with recursive {_GREEDY_HEAD},
+o as (select split, least(n, {{cap}}) as l, row_number() over (partition by split order by least(n, {{cap}}) desc, i) as k
+      from d),
+f(split, k, fills) as (
+  select split, 0::bigint, list_filter([0::bigint], lambda x: false) from (select distinct split from d) s
+  union all
+  select f.split, f.k + 1,
+         case when list_position(list_transform(f.fills, lambda x: x + o.l <= {{cap}}), true) is null
+              then list_append(f.fills, o.l)
+              else list_transform(list_zip(f.fills, range(1, len(f.fills) + 1)), lambda z:
+                     case when z[2] = list_position(list_transform(f.fills, lambda x: x + o.l <= {{cap}}), true)
+                          then z[1] + o.l else z[1] end) end
+  from f join o on o.split = f.split and o.k = f.k + 1),
+fin as (select split, arg_max(len(fills), k) as rows from f group by split),
+tin as (select split, count(*) as docs, sum(n) as input_tokens, sum(least(n, {{cap}})) as used from d group by split)
+select tin.split, tin.docs, cast(fin.rows as bigint) as rows, cast(tin.input_tokens as bigint) as input_tokens,
+       cast(tin.used as bigint) as used_tokens,
+       round(tin.used * 100.0e0 / (fin.rows * {{cap}}), 6) as util_pct,
+       round((tin.input_tokens - tin.used) * 100.0e0 / tin.input_tokens, 6) as crop_pct,
+       round((fin.rows * {{cap}} - tin.used) * 100.0e0 / (fin.rows * {{cap}}), 6) as pad_pct
+from tin join fin using (split)"""
+
+
 @query("pack_greedy_crop", oracle(_GREEDY_CROP_SQL.format(cap=T_DOCS + 1)))
 def q_pack_greedy_crop(spark, sf_dir):
     lengths, plan = _plan(spark, sf_dir, "greedy_crop")
@@ -164,7 +226,7 @@ def q_pack_greedy_pad(spark, sf_dir):
     return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
 
 
-@query("pack_ffd")
+@query("pack_ffd", oracle(_FFD_SQL.format(cap=T_DOCS + 1)))
 def q_pack_ffd(spark, sf_dir):
     lengths, plan = _plan(spark, sf_dir, "ffd")
     return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
