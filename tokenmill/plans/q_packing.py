@@ -338,6 +338,53 @@ def q_pad_right(spark, sf_dir):
                     F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
 
 
+_PAD_REFILL = ("case when len(st.buf) < 100 and st.nxt < docs.cnt "
+               "then least(docs.cnt, st.nxt + 100 - len(st.buf)) else st.nxt end")
+_BESTFIT_PAD_SQL = f"""
+with recursive {_RENDER_SQL},
+lens as (select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n from pos group by conv_id),
+d as (select 'train' as split, n, row_number() over (order by conv_id) - 1 as i from lens),
+docs as (select split, list(struct_pack(len := least(n, {T_CONVS + 1}), idx := i) order by i) as dl,
+                count(*) as cnt from d group by split),
+st(split, k, buf, nxt, pos, rows) as (
+  select split, 0::bigint, list_filter([struct_pack(len := 0::bigint, idx := 0::bigint)], lambda x: false),
+         0::bigint, 0::bigint, 0::bigint from docs
+  union all
+  select split, k + 1, case when fit_len is null then buf1 else list_filter(buf1, lambda x: x.idx <> pick_idx) end, rn,
+         case when fit_len is null or pos + fit_len = {T_CONVS + 1} then 0 else pos + fit_len end,
+         case when fit_len is null or pos + fit_len = {T_CONVS + 1} then rows + 1 else rows end
+  from (
+    select *, list_min(list_transform(list_filter(buf1, lambda x: x.len = fit_len), lambda x: x.idx)) as pick_idx
+    from (
+      select *, list_max(list_transform(list_filter(buf1, lambda x: x.len <= {T_CONVS + 1} - pos),
+                                        lambda x: x.len)) as fit_len
+      from (
+        select st.split, st.k, st.pos, st.rows, {_PAD_REFILL} as rn,
+               st.buf || docs.dl[st.nxt + 1:{_PAD_REFILL}] as buf1
+        from st join docs using (split)) a
+      where len(buf1) > 0) b) c),
+fin as (select split, arg_max(rows + case when pos > 0 then 1 else 0 end, k) as rows from st group by split),
+tin as (select split, count(*) as docs, sum(n) as input_tokens, sum(least(n, {T_CONVS + 1})) as used from d group by split)
+select tin.split, tin.docs, cast(fin.rows as bigint) as rows, cast(tin.input_tokens as bigint) as input_tokens,
+       cast(tin.used as bigint) as used_tokens,
+       round(tin.used * 100.0e0 / (fin.rows * {T_CONVS + 1}), 6) as util_pct,
+       round((tin.input_tokens - tin.used) * 100.0e0 / tin.input_tokens, 6) as crop_pct,
+       round((fin.rows * {T_CONVS + 1} - tin.used) * 100.0e0 / (fin.rows * {T_CONVS + 1}), 6) as pad_pct
+from tin join fin using (split)"""
+
+
+@query("pack_bestfit_pad", oracle(_BESTFIT_PAD_SQL))
+def q_pack_bestfit_pad(spark, sf_dir):
+    """Best-fit pad plan statistics over rendered conversations (T=512,
+    buffer 100, oversize conversations truncated to a row)."""
+    r = _rendered(spark, sf_dir).filter(F.col("reason").isNull())
+    r = r.select(F.col("conv_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                 F.lit("train").alias("split"))
+    g = PK.assign_pack_groups(r, ["doc_id"], ["split"], GROUP_DOCS)
+    plan = PK.pack_plan(g, "bestfit_pad", T_CONVS + 1, ["split"], buffer_size=100, oversize="truncate")
+    return PK.packing_stats(plan, r, T_CONVS + 1, ["split"])
+
+
 @query("pack_bestfit_pad_rows")
 def q_pack_bestfit_pad_rows(spark, sf_dir):
     r = _rendered(spark, sf_dir).filter(F.col("reason").isNull())
