@@ -165,16 +165,18 @@ def packing_stats(plan: DataFrame, inputs: DataFrame, cap: int, group_cols=(),
     Crop counts every input token that did not reach a row.
     """
     gc = list(group_cols)
-    if not gc:
-        plan, inputs, gc = plan.withColumn("_all", F.lit(0)), inputs.withColumn("_all", F.lit(0)), ["_all"]
     per_group = (plan.groupBy(*gc, "pack_group")
                      .agg((F.max("row_no") + 1).alias("rows"), F.sum("take").alias("used")))
-    out = per_group.groupBy(*gc).agg(F.sum("rows").alias("rows"), F.sum("used").alias("used"))
-    tin = inputs.groupBy(*gc).agg(F.sum(len_col).alias("input_tokens"), F.count("*").alias("docs"))
-    res = out.join(tin, on=gc, how="inner")
+    # plan side and input side meet in one aggregation (a union, not a join)
+    zero = F.lit(0).cast("long")
+    a = per_group.select(*gc, F.col("rows").cast("long").alias("rows"), F.col("used").cast("long").alias("used"),
+                         zero.alias("input_tokens"), zero.alias("docs"))
+    b = inputs.select(*gc, zero.alias("rows"), zero.alias("used"),
+                      F.col(len_col).cast("long").alias("input_tokens"), F.lit(1).cast("long").alias("docs"))
+    res = a.unionByName(b).groupBy(*gc).agg(*[F.sum(c).alias(c) for c in ("rows", "used", "input_tokens", "docs")])
     capacity = F.col("rows") * F.lit(cap)
     return res.select(
-        *[c for c in gc if c != "_all"], F.col("docs").cast("long").alias("docs"),
+        *gc, F.col("docs").cast("long").alias("docs"),
         F.col("rows").cast("long").alias("rows"),
         F.col("input_tokens").cast("long").alias("input_tokens"),
         F.col("used").cast("long").alias("used_tokens"),
