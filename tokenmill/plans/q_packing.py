@@ -183,6 +183,45 @@ select tin.split, tin.docs, cast(fin.rows as bigint) as rows, cast(tin.input_tok
 from tin join fin using (split)"""
 
 
+_BESTFIT_CROP_PLAN_SQL = f"""
+with recursive {_GREEDY_HEAD},
+docs as (select split, list(struct_pack(len := n, idx := i) order by i) as dl, count(*) as cnt from d group by split),
+st(split, buf, nxt, pos, rows, p_row, p_dst, p_idx, p_take) as (
+  select split, list_filter([struct_pack(len := 0::bigint, idx := 0::bigint)], lambda x: false), 0::bigint, 0::bigint,
+         0::bigint, null::bigint, null::bigint, null::bigint, null::bigint from docs
+  union all
+  select split, list_filter(buf1, lambda x: x.idx <> pick_idx), rn,
+         case when pos + take = {{cap}} then 0 else pos + take end,
+         case when pos + take = {{cap}} then rows + 1 else rows end,
+         rows, pos, pick_idx, take
+  from (
+    select *, coalesce(fit_len, {{cap}} - pos) as take,
+              list_min(list_transform(list_filter(buf1, lambda x: x.len = coalesce(fit_len, short_len)),
+                                      lambda x: x.idx)) as pick_idx
+    from (
+      select *, list_max(list_transform(list_filter(buf1, lambda x: x.len <= {{cap}} - pos), lambda x: x.len)) as fit_len,
+                list_min(list_transform(buf1, lambda x: x.len)) as short_len
+      from (
+        select st.split, st.pos, st.rows, {_BESTFIT_REFILL} as rn,
+               st.buf || docs.dl[st.nxt + 1:{_BESTFIT_REFILL}] as buf1
+        from st join docs using (split)) a
+      where len(buf1) > 0) b) c),
+fin as (select split, max(rows) as rows from st group by split)
+select st.split, st.p_row as row_no, st.p_dst as dst, st.p_idx as doc_pos, st.p_take as take
+from st join fin using (split) where st.p_idx is not null and st.p_row < fin.rows"""
+
+
+@query("pack_bestfit_crop_plan", oracle(_BESTFIT_CROP_PLAN_SQL.format(cap=T_DOCS + 1)))
+def q_pack_bestfit_crop_plan(spark, sf_dir):
+    """Exact best-fit crop placements: (row, offset, document stream
+    position, tokens taken) for every complete row."""
+    lengths = _lengths(spark, sf_dir)
+    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"], GROUP_DOCS)
+    plan = PK.pack_plan(grouped, "bestfit_crop", T_DOCS + 1, ["split"], buffer_size=1000)
+    j = plan.join(grouped.select("split", "doc_id", "pos"), ["split", "doc_id"])
+    return j.select("split", "row_no", "dst", F.col("pos").alias("doc_pos"), "take")
+
+
 @query("pack_bestfit_crop", oracle(_BESTFIT_CROP_SQL.format(cap=T_DOCS + 1)))
 def q_pack_bestfit_crop(spark, sf_dir):
     """Best-fit crop plan statistics (buffer 1000, refills of 128)."""
