@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenmill.llm.exact_dedup import exact_groups
+from tokenmill.llm.ngram_jaccard import jaccard_components
 from tokenmill.llm.substring_dedup import dedup_substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,11 +47,29 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 """
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+OP7_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS s FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b USING (s) JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+          WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op7_ngram_jaccard": OP7_SQL,
 }
