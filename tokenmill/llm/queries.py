@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tokenmill.llm.exact_dedup import exact_groups
+from tokenmill.llm.host_rules import judge
 from tokenmill.llm.ngram_jaccard import jaccard_components
+from tokenmill.llm.source_mix import mix
 from tokenmill.llm.substring_dedup import dedup_substrings
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,6 +49,40 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
 FROM d WINDOW best AS (PARTITION BY norm ORDER BY n DESC, doc_id)
 """
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_documents(spark, sf_dir)).drop("ord", "th")
+
+
+def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_documents(spark, sf_dir))
+
+
+OP5_SQL = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM d),
+grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i + 7], ' ')) AS n FROM starts),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM grams WHERE n > 1) GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d),
+worded AS (SELECT doc_id, count(*) AS n, count(DISTINCT l) AS k FROM lines WHERE regexp_matches(l, '{WORD}') GROUP BY doc_id),
+m AS (SELECT doc_id, source, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0)::BIGINT AS word_chars,
+      length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(w.n - w.k, 0)::BIGINT AS n_dup_lines,
+      coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(w.n, 0) AS n_lines
+      FROM d LEFT JOIN rep r USING (doc_id) LEFT JOIN worded w USING (doc_id)),
+f AS (SELECT *, n_words < 20 AS short, 100 * n_repeat_words > 30 * n_words AS repeated, n_symbols > n_words AS symbols, 2 * n_dup_lines > n_lines AS lines FROM m),
+long AS (UNPIVOT (SELECT source, count(*)::DOUBLE AS n, sum(short::INT)::DOUBLE AS short, sum(repeated::INT)::DOUBLE AS repeated,
+         sum(symbols::INT)::DOUBLE AS symbols, sum(lines::INT)::DOUBLE AS lines FROM f WHERE source IS NOT NULL GROUP BY source)
+         ON short, repeated, symbols, lines INTO NAME rule VALUE k),
+means AS (SELECT rule, sum(k) / sum(n) AS mean FROM long GROUP BY rule),
+spreads AS (SELECT rule, mean, sum(n * (k / n - mean) * (k / n - mean)) / sum(n) - mean * (1 - mean) * count(*) / sum(n) AS spread
+            FROM long JOIN means USING (rule) GROUP BY rule, mean),
+priors AS (SELECT rule, mean, CASE WHEN spread > 0 THEN greatest(2.0, least(1000.0, mean * (1 - mean) / spread - 1)) ELSE 1000.0 END AS weight FROM spreads),
+hosts AS (SELECT source, bool_or((k + mean * weight) / (n + weight) > 0.5) AS rejected FROM long JOIN priors USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeated AS base_failed,
+       NOT (short OR repeated) AND NOT coalesce(rejected, false) AS kept
+FROM f LEFT JOIN hosts USING (source)
+"""
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -66,10 +102,13 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP B
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_source_mix": op3_source_mix,
+    "op5_host_rules": op5_host_rules,
     "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op5_host_rules": OP5_SQL,
     "op7_ngram_jaccard": OP7_SQL,
 }
