@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.host_rules import judge
+from tokenmill.llm.language_crf import identify
 from tokenmill.llm.ngram_jaccard import jaccard_components
 from tokenmill.llm.source_mix import mix
 from tokenmill.llm.substring_dedup import dedup_substrings
@@ -83,6 +84,10 @@ FROM f LEFT JOIN hosts USING (source)
 """
 
 
+def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(_documents(spark, sf_dir)).drop("key")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_source_mix": op3_source_mix,
     "op5_host_rules": op5_host_rules,
+    "op6_language_crf": op6_language_crf,
     "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 ORACLES: dict[str, str] = {
