@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.host_rules import judge
 from tokenmill.llm.language_crf import identify
 from tokenmill.llm.ngram_jaccard import jaccard_components
+from tokenmill.llm.piece_codec import code
+from tokenmill.llm.secret_scan import scan
 from tokenmill.llm.source_mix import mix
 from tokenmill.llm.substring_dedup import dedup_substrings
+from tokenmill.llm.token_counts import count_redacted
 
+#: Folder with the vocabulary files of public tokenizers.
+TOKENIZERS = "/opt/tokenizers"
+#: Fixed value: the pre-token pattern that belongs to the rank files.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -104,6 +112,19 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
 """
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_redacted(_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN)
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_documents(spark, sf_dir), f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN)
+
+
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = code(_documents(spark, sf_dir), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return coded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,6 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_host_rules": op5_host_rules,
     "op6_language_crf": op6_language_crf,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_token_counts": op8_token_counts,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_piece_codec": op10_piece_codec,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
