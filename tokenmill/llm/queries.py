@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.host_rules import judge
+from tokenmill.llm.html_text import extract
 from tokenmill.llm.language_crf import identify
 from tokenmill.llm.ngram_jaccard import jaccard_components
 from tokenmill.llm.piece_codec import code
@@ -62,6 +63,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_documents(spark, sf_dir)).drop("ord", "th")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
 def op5_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_documents(spark, sf_dir))
 
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_source_mix": op3_source_mix,
+    "op4_html_text": op4_html_text,
     "op5_host_rules": op5_host_rules,
     "op6_language_crf": op6_language_crf,
     "op7_ngram_jaccard": op7_ngram_jaccard,
