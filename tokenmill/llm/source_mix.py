@@ -101,8 +101,8 @@ def apportion(units: DataFrame, seats: DataFrame, group: list[str], key: list[st
     bound = materialise(bound, "bounds")
     open_ = units.join(bound, group).withColumn("sure", given(F.col("hi"))).withColumn("most", given(F.col("lo")))
     left = open_.groupBy(*group, "seats").agg(F.sum("sure").alias("given")).select(*group, (F.col("seats") - F.col("given")).alias("left"))
-    quotients = open_.where("most > sure").select(*group, *key, w.alias("w_"), F.explode(F.sequence("sure", F.col("most") - 1)).alias("k"))
-    ranked = quotients.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(F.col("w_") / (2 * F.col("k") + 1)), *key)))
+    quotients = open_.where("most > sure").select(*group, *key, w.alias("w_"), F.explode(F.sequence("sure", F.col("most") - 1)).alias("seat_"))
+    ranked = quotients.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(F.col("w_") / (2 * F.col("seat_") + 1)), *key)))
     extra = ranked.join(left, group).where("place <= left").groupBy(*group, *key).agg(F.count("*").alias("extra"))
     ids = list(dict.fromkeys([*group, *key]))
     sure = open_.select(*ids, "sure")
