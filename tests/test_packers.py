@@ -1,4 +1,4 @@
-"""Packers against naive models written from the stated semantics."""
+"""Packers against their stated rules."""
 
 import random
 
@@ -8,66 +8,36 @@ from hypothesis import strategies as st
 from tokenmill.operators import packers as P
 
 
-def naive_bestfit_crop(lengths, cap, buffer_size, refill):
-    buf, nxt, rows, row, out = [], 0, [], 0, []
+def follow_rule(lengths, cap, batch, buffer_size, crop):
+    """Placements (doc, row, offset, source, taken) by the stated rule, for
+    any row length: of the documents that have arrived, the longest that fits
+    (the earliest of equals) is placed; if none fits, a crop packer cuts the
+    shortest to the room left and a padding packer closes the row. Documents
+    arrive ``batch`` at a time whenever fewer than ``buffer_size`` wait. Rows
+    are returned whole or not."""
+    arrivals = iter(range(0, len(lengths), batch))
+    waiting, rows = set(), [[]]
+    free = cap
     while True:
-        pos, cur = 0, []
-        while pos < cap:
-            while len(buf) < buffer_size and nxt < len(lengths):
-                for d in range(nxt, min(len(lengths), nxt + refill)):
-                    buf.append(d)
-                nxt = min(len(lengths), nxt + refill)
-            if not buf:
-                break
-            room = cap - pos
-            best, best_len = -1, 0
-            for i, d in enumerate(buf):
-                if lengths[d] <= room and lengths[d] > best_len:
-                    best, best_len = i, lengths[d]
-            if best >= 0:
-                d = buf.pop(best)
-                cur.append((d, row, pos, 0, lengths[d]))
-                pos += lengths[d]
-            else:
-                i = min(range(len(buf)), key=lambda j: lengths[buf[j]])
-                d = buf.pop(i)
-                cur.append((d, row, pos, 0, room))
-                pos = cap
-        if pos < cap:
+        while len(waiting) < buffer_size and (first := next(arrivals, None)) is not None:
+            waiting.update(range(first, min(first + batch, len(lengths))))
+        if not waiting:
             break
-        out.extend(cur)
-        row += 1
-        if not buf and nxt >= len(lengths):
-            break
-    return out
-
-
-def naive_bestfit_pad(lengths, cap, buffer_size):
-    lens = [min(x, cap) for x in lengths]
-    buf, nxt, out, row = [], 0, [], 0
-    while True:
-        pos = 0
-        while pos < cap:
-            while len(buf) < buffer_size and nxt < len(lens):
-                buf.append(nxt)
-                nxt += 1
-            if not buf:
-                break
-            best, best_len = -1, 0
-            for i, d in enumerate(buf):
-                if lens[d] <= cap - pos and lens[d] > best_len:
-                    best, best_len = i, lens[d]
-            if best < 0:
-                break
-            d = buf.pop(best)
-            out.append((d, row, pos, 0, lens[d]))
-            pos += lens[d]
-        if pos == 0:
-            break
-        row += 1
-        if not buf and nxt >= len(lens):
-            break
-    return out
+        order = sorted(waiting, key=lambda d: (lengths[d] > free, -lengths[d] if lengths[d] <= free else lengths[d], d))
+        doc = order[0]
+        if lengths[doc] > free and not crop:
+            rows.append([])
+            free = cap
+            continue
+        take = min(lengths[doc], free)
+        rows[-1].append((doc, len(rows) - 1, cap - free, 0, take))
+        waiting.remove(doc)
+        free -= take
+        if free == 0:
+            rows.append([])
+            free = cap
+    kept = rows[:-1] if crop else rows
+    return [x for row in kept for x in row]
 
 
 def as_tuples(res):
@@ -80,15 +50,16 @@ lengths_st = st.lists(st.integers(min_value=1, max_value=40), min_size=0, max_si
 @settings(max_examples=200, deadline=None)
 @given(lengths_st, st.integers(min_value=5, max_value=50), st.integers(min_value=1, max_value=20),
        st.integers(min_value=1, max_value=8))
-def test_bestfit_crop_matches_naive(lengths, cap, buffer_size, refill):
+def test_bestfit_crop_follows_the_rule(lengths, cap, buffer_size, refill):
     assert as_tuples(P.bestfit_crop(lengths, cap, buffer_size, refill)) == \
-        naive_bestfit_crop(lengths, cap, buffer_size, refill)
+        follow_rule(lengths, cap, refill, buffer_size, crop=True)
 
 
 @settings(max_examples=200, deadline=None)
 @given(lengths_st, st.integers(min_value=5, max_value=50), st.integers(min_value=1, max_value=20))
-def test_bestfit_pad_matches_naive(lengths, cap, buffer_size):
-    assert as_tuples(P.bestfit_pad(lengths, cap, buffer_size)) == naive_bestfit_pad(lengths, cap, buffer_size)
+def test_bestfit_pad_follows_the_rule(lengths, cap, buffer_size):
+    cut = [min(x, cap) for x in lengths]
+    assert as_tuples(P.bestfit_pad(lengths, cap, buffer_size)) == follow_rule(cut, cap, 1, buffer_size, crop=False)
 
 
 @settings(max_examples=200, deadline=None)

@@ -8,12 +8,32 @@ from tokenmill.operators import tokenizer as TK
 from tokenmill.operators import scoring as S
 
 
-@pytest.mark.parametrize("expr,expected", [
-    ("12*3", 36), ("1,000+5", 1005), ("7/2", 3.5), ("2**10", None), ("'banana'.count('a')", 3),
-    ("__import__('os')", None), ("open('x')", None), ("abc", None), ("(1+2)*3", 9), ("-4+1", -3),
-])
-def test_calculator(expr, expected):
-    assert G.calculator(expr) == expected
+CALCULATIONS = [
+    ("12*3", "36"), ("1,000+5", "1005"), ("7/2", "3.5"), ("2**10", None), ("'banana'.count('a')", "3"),
+    ("__import__('os')", None), ("open('x')", None), ("abc", None), ("(1+2)*3", "9"), ("-4+1", "-3"), ("3-10", "-7"),
+    ("1-2-3", "-4"), ("2+3*4-6/3", "12.0"), ("7//2", "3"), ("-(2+3)*-2", "10"), ("1/0", None), ("007", None), ("1 2", None),
+    ("(1", None), ("", None), (None, None), ("*3", None), ("0*5", "0"), ("05*2", None), ("'a'.count('dir')", None), (".5+1.", "1.5"),
+    ("9" * 3000 + "*" + "9" * 3000, None), ("(" * 5000 + "1" + ")" * 5000, None), ("999999999*999999999", "999999998000000001"),
+    ('"strawberry".count("r")', "3"), ("'aa'.count('')", "3"),
+]
+
+
+def test_calculator(spark):
+    df = spark.createDataFrame([(i, e) for i, (e, _) in enumerate(CALCULATIONS)], "i int, e string")
+    got = {r.i: r.v for r in df.select("i", G.calc_eval("e").alias("v")).collect()}
+    assert [got[i] for i in range(len(CALCULATIONS))] == [v for _, v in CALCULATIONS]
+
+
+def test_bad_lines_do_not_fail_the_job(spark):
+    from tokenmill.operators import runs as R
+    logs = spark.createDataFrame([(1, 0, "CORE metric: n/a"), (1, 1, "Calculated number of iterations from target FLOPs: many"),
+                                  (1, 2, "lm_head : ,"), (1, 3, "Step 1 | Validation bpb: 0.8.1"), (2, 0, "CORE metric: 0.25")],
+                                 "file_no long, line_no long, line string")
+    got = {r.file_no: r for r in R.scrape_run_logs(logs).collect()}
+    assert got[1].core is None and got[1].num_iters is None and got[1].params_lm_head is None and got[1].val_bpb is None
+    assert got[2].core == 0.25
+    lines = spark.createDataFrame([("base", 0, "CORE without colon"), ("sft", 1, "- CORE: 0.5")], "stage string, line_no long, line string")
+    assert {r.stage: r.value for r in R.scrape_report_kv(lines, ["CORE"]).collect()} == {"base": None, "sft": "0.5"}
 
 
 def test_extract_answer_and_grade(spark):

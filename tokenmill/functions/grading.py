@@ -1,14 +1,14 @@
 """Task builders and graders as Column expressions.
 
-All of these stay inside Catalyst except ``calc_eval`` (the safe
-arithmetic check), which is an Arrow-batched pandas UDF walking a
-parsed ``ast`` - expressions are never passed to ``eval``.
+All of these stay inside Catalyst except longer arithmetic in
+``calc_eval`` (the safe calculator), which an Arrow-batched pandas UDF
+evaluates - expressions are never passed to ``eval``.
 """
 
 from __future__ import annotations
 
-import ast
 import operator
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -75,55 +75,89 @@ def parse_tool_calls(answer) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(tags)), at))
 
 
-def _calc(node):
-    ops = {ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul,
-           ast.Div: operator.truediv}
-    if isinstance(node, ast.Expression):
-        return _calc(node.body)
-    if isinstance(node, ast.Constant) and isinstance(node.value, (int, float, str)) \
-            and not isinstance(node.value, bool):
-        return node.value
-    if isinstance(node, ast.BinOp) and type(node.op) in ops:
-        return ops[type(node.op)](_calc(node.left), _calc(node.right))
-    if isinstance(node, ast.UnaryOp) and isinstance(node.op, (ast.USub, ast.UAdd)):
-        v = _calc(node.operand)
-        return -v if isinstance(node.op, ast.USub) else v
-    if (isinstance(node, ast.Call) and isinstance(node.func, ast.Attribute)
-            and node.func.attr == "count" and len(node.args) == 1 and not node.keywords):
-        target, arg = _calc(node.func.value), _calc(node.args[0])
-        if isinstance(target, str) and isinstance(arg, str):
-            return target.count(arg)
-    raise ValueError("unsupported")
-
-
-def calculator(expr: str | None):
-    """The reference's calculator rules, evaluated by an AST walk."""
-    if expr is None:
-        return None
-    expr = expr.replace(",", "")
-    if all(ch in CALC_MATH_CHARS for ch in expr):
-        if "**" in expr:
-            return None
-    else:
-        if not all(ch in CALC_STRING_CHARS for ch in expr):
-            return None
-        low = expr.lower()
-        if any(p in low for p in CALC_BLOCKED) or ".count(" not in expr:
-            return None
+_TOKEN = re.compile(r"\s*(?:(\d+\.?\d*|\.\d+)|(//|[-+*/()]))")
+
+
+class _Arithmetic:
+    """Precedence climbing over numbers, + - * / //, signs and brackets."""
+
+    LEVEL = {"+": 1, "-": 1, "*": 2, "/": 2, "//": 2}
+    APPLY = {"+": operator.add, "-": operator.sub, "*": operator.mul, "/": operator.truediv, "//": operator.floordiv}
+
+    def __init__(self, text: str):
+        self.tokens, at, text = [], 0, text.rstrip()
+        while at < len(text):
+            m = _TOKEN.match(text, at)
+            if not m:
+                raise ValueError("not a number or an operator")
+            self.tokens.append(m.group(1) or m.group(2))
+            at = m.end()
+        self.tokens.reverse()
+
+    def result(self):
+        value = self.climb(1)
+        if self.tokens:
+            raise ValueError("something follows the expression")
+        return value
+
+    def climb(self, level: int):
+        value = self.operand()
+        while self.tokens and self.LEVEL.get(self.tokens[-1], 0) >= level:
+            op = self.tokens.pop()
+            value = self.APPLY[op](value, self.climb(self.LEVEL[op] + 1))
+        return value
+
+    def operand(self):
+        token = self.tokens.pop()
+        if token in "+-":
+            value = self.operand()
+            return -value if token == "-" else value
+        if token == "(":
+            value = self.climb(1)
+            if self.tokens.pop() != ")":
+                raise ValueError("bracket not closed")
+            return value
+        if "." in token:
+            return float(token)
+        if token != "0" and token.startswith("0") and token.strip("0"):
+            raise ValueError("leading zero")
+        return int(token)
+
+
+def evaluate(text: str | None) -> str | None:
+    """An arithmetic expression's value as Python prints it; None for what is
+    none, for a division by zero and for numbers too long to print."""
     try:
-        return _calc(ast.parse(expr, mode="eval"))
-    except Exception:
+        return None if text is None else str(_Arithmetic(text).result())
+    except (ValueError, ArithmeticError, IndexError, KeyError, TypeError, RecursionError):
         return None
 
 
 @F.pandas_udf(T.StringType())
-def calc_eval(exprs: pd.Series) -> pd.Series:
-    """Calculator result as text (Python ``str``), NULL when refused."""
-    out = []
-    for e in exprs:
-        v = calculator(e)
-        out.append(None if v is None else str(v))
-    return pd.Series(out, dtype=object)
+def _evaluated(texts: pd.Series) -> pd.Series:
+    return pd.Series([evaluate(x) for x in texts], dtype=object)
+
+
+def calc_eval(expr) -> Column:
+    """Calculator result as text, NULL when refused. One operation on short
+    integers and ``'text'.count('part')`` are column rules; only other
+    arithmetic goes to the evaluator, an Arrow-batched UDF."""
+    e = F.replace(col(expr), F.lit(","), F.lit(""))
+    simple = r"^ *([0-9]{1,9}) *([-+*]) *([0-9]{1,9}) *$"
+    canonical = r"^ *(0|[1-9][0-9]*) *[-+*] *(0|[1-9][0-9]*) *$"
+    a, op, b = (F.regexp_extract(e, simple, i) for i in (1, 2, 3))
+    a, b = a.try_cast("long"), b.try_cast("long")
+    short = F.when(op == "+", a + b).when(op == "-", a - b).otherwise(a * b).cast("string")
+    count = r"""^ *(['"])([^'"]*)\1\.count\((['"])([^'"]*)\3\) *$"""
+    text, part = F.regexp_extract(e, count, 2), F.regexp_extract(e, count, 4)
+    times = F.when(part == "", F.length(text) + 1).otherwise(
+        ((F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)).cast("int"))
+    is_math = e.rlike("^[" + re.escape(CALC_MATH_CHARS) + "]*$") & ~e.contains("**")
+    is_short = e.rlike(simple) & e.rlike(canonical)
+    is_count = (~e.rlike("^[" + re.escape(CALC_MATH_CHARS) + "]*$") & e.rlike("^[" + re.escape(CALC_STRING_CHARS) + "]*$")
+                & ~F.lower(e).rlike("|".join(map(re.escape, CALC_BLOCKED))) & e.rlike(count))
+    rest = _evaluated(F.when(is_math & ~is_short, e))
+    return F.when(is_short, short).when(is_count, times.cast("string")).when(is_math, rest)
 
 
 # ---------------------------------------------------- multiple choice --

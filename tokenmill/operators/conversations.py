@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.plans.broadcast import sized_broadcast
 from tokenmill.plans.positions import global_position, seeded_key
 
 ROLES = ("user", "assistant", "system")
@@ -192,7 +191,7 @@ def task_sequence(tasks: list[tuple[str, DataFrame]], row_col: str = "row_id",
     from pyspark.sql import Window
     w = Window.orderBy("task_no").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select("task_no", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return u.join(sized_broadcast(offs), "task_no").withColumn(out, F.col("_off") + F.col(row_col)).drop("_off")
+    return u.join(offs, "task_no").withColumn(out, F.col("_off") + F.col(row_col)).drop("_off")
 
 
 def mixture_composition(tasks: list[tuple[str, DataFrame]], recipe: DataFrame | None = None) -> DataFrame:

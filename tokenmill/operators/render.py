@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tokenmill.functions.text import utf8_byte_ids
 from tokenmill.operators.conversations import drop_last_assistant, merge_system_message
 from tokenmill.operators.tokenizer import special_id
-from tokenmill.plans.broadcast import sized_broadcast
 
 MAX_TOKENS = 2048
 
@@ -118,4 +117,4 @@ def mask_breakdown(rendered: DataFrame, vocab: DataFrame, id_col: str = "conv_id
     """Long table ``(conv_id, pos, token_id, token_hex, mask)`` for inspection."""
     ex = rendered.select(id_col, F.posexplode(F.arrays_zip("ids", "mask")).alias("pos", "z"))
     ex = ex.select(id_col, "pos", F.col("z.ids").alias("token_id"), F.col("z.mask").alias("mask"))
-    return ex.join(sized_broadcast(vocab.select("token_id", F.col("hex").alias("token_hex"))), "token_id", "left")
+    return ex.join(vocab.select("token_id", F.col("hex").alias("token_hex")), "token_id", "left")

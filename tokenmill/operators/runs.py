@@ -280,10 +280,11 @@ def record_improvement(runs: DataFrame, order: str, metric: str, lower_is_better
 def scrape_report_kv(lines: DataFrame, keys, section: str = "stage", order: str = "line_no",
                      line: str = "line") -> DataFrame:
     """Lines containing a key -> text between the first and second ``:``,
-    stripped; the last match per (section, key) wins."""
+    stripped; the last match per (section, key) wins. A line with the key but
+    no colon gives NULL."""
     ks = F.array(*[F.lit(k) for k in keys])
     d = lines.select(section, order, line, F.explode(F.filter(ks, lambda k: F.col(line).contains(k))).alias("key"))
-    val = F.regexp_replace(F.split(F.col(line), ":").getItem(1), r"(?U)^\s+|\s+$", "")
+    val = F.regexp_replace(F.get(F.split(F.col(line), ":"), F.lit(1)), r"(?U)^\s+|\s+$", "")
     return d.groupBy(section, "key").agg(F.max_by(val, F.col(order)).alias("value"))
 
 
@@ -296,9 +297,6 @@ def report_timestamps(lines: DataFrame, prefix: str = "timestamp:", section: str
     return d.groupBy(section).agg(F.min_by("ts", order).alias("ts"))
 
 
-def slugify(c) -> Column:
-    return F.replace(F.lower(c), F.lit(" "), F.lit("-"))
-
 
 def metric_pivot(kv: DataFrame, stages=STAGES, section: str = "stage", key: str = "key",
                  value: str = "value") -> DataFrame:
@@ -339,7 +337,7 @@ def scrape_run_logs(logs: DataFrame, file_col: str = "file_no", order: str = "li
                     line: str = "line") -> DataFrame:
     """Per log file: the last line holding each marker, numbers extracted as
     the shell pipeline did (commas removed); tokens = iters x 524288;
-    missing CORE -> 0.0."""
+    missing CORE -> 0.0; a number that can't be read is NULL."""
     markers = {"lm": "lm_head", "bpb": "Validation bpb:", "iters": "Calculated number of iterations",
                "core": "CORE metric:"}
     ms = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("m")) for k, v in markers.items()])
@@ -354,12 +352,12 @@ def scrape_run_logs(logs: DataFrame, file_col: str = "file_no", order: str = "li
     core = F.element_at(F.split(F.trim("core"), " +"), -1)
     out = last.select(
         file_col,
-        F.when(F.col("lm").isNotNull(), lm).cast("long").alias("params_lm_head"),
-        F.when(F.col("iters").isNotNull(), iters).cast("long").alias("num_iters"),
-        F.when(F.col("bpb").isNotNull(), bpb).cast("double").alias("val_bpb"),
-        F.coalesce(F.when(F.col("core").isNotNull(), core), F.lit("0.0")).cast("double").alias("core"))
+        F.when(F.col("lm").isNotNull(), lm).try_cast("long").alias("params_lm_head"),
+        F.when(F.col("iters").isNotNull(), iters).try_cast("long").alias("num_iters"),
+        F.when(F.col("bpb").isNotNull(), bpb).try_cast("double").alias("val_bpb"),
+        F.coalesce(F.when(F.col("core").isNotNull(), core), F.lit("0.0")).try_cast("double").alias("core"))
     out = out.withColumn("tokens_trained", F.col("num_iters") * F.lit(TOKENS_PER_ITER))
-    return out.withColumn("param_data_ratio", F.round(F.col("tokens_trained") / F.col("params_lm_head"), 2))
+    return out.withColumn("param_data_ratio", F.round(F.try_divide("tokens_trained", "params_lm_head"), 2))
 
 
 # -------------------------------------------------------- rule lookup --

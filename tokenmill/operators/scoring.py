@@ -12,7 +12,6 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.plans.broadcast import sized_broadcast
 from tokenmill.plans.positions import seeded_key
 
 LN2 = math.log(2.0)
@@ -25,13 +24,13 @@ def join_baseline_strict(acc: DataFrame, baselines: DataFrame, key: str = "task"
     missing = acc.select(key).join(baselines.select(key), key, "left_anti").limit(20).collect()
     if missing:
         raise ValueError(f"no baseline for: {[r[0] for r in missing]}")
-    return acc.join(sized_broadcast(baselines), key, "inner")
+    return acc.join(baselines, key, "inner")
 
 
 def join_baseline_default(acc: DataFrame, baselines: DataFrame, key: str = "task",
                           col: str = "baseline", default: float = 0.0) -> DataFrame:
     """Left join; a missing baseline counts as ``default``."""
-    j = acc.join(sized_broadcast(baselines.select(key, col)), key, "left")
+    j = acc.join(baselines.select(key, col), key, "left")
     return j.withColumn(col, F.coalesce(F.col(col), F.lit(default)))
 
 
@@ -39,7 +38,7 @@ def lookup_token_bytes(losses: DataFrame, token_bytes: DataFrame, y_col: str = "
     """``n_bytes`` per target: ignored targets (< 0) get 0 and are never looked
     up; unknown ids count 0."""
     tb = token_bytes.select(F.col("token_id").alias("_tid"), F.col("n_bytes").alias("_nb"))
-    j = losses.join(sized_broadcast(tb), (F.col(y_col) >= 0) & (F.col(y_col) == F.col("_tid")), "left")
+    j = losses.join(tb, (F.col(y_col) >= 0) & (F.col(y_col) == F.col("_tid")), "left")
     return j.withColumn("n_bytes", F.coalesce(F.col("_nb"), F.lit(0)).cast("long")).drop("_tid", "_nb")
 
 
@@ -140,10 +139,11 @@ def option_loss_choice(option_losses: DataFrame, item_col: str = "item_id", opt_
     return pick.withColumn("is_correct", F.col("predicted") == F.col(gold_col))
 
 
-def lm_exact_match(spans: DataFrame, item_col: str = "item_id", pred_col: str = "pred",
+def lm_exact_match(spans: DataFrame, span_cols=("item_id",), pred_col: str = "pred",
                    actual_col: str = "actual") -> DataFrame:
-    """Every predicted token in the span equals the actual one."""
-    return spans.groupBy(item_col).agg(F.bool_and(F.col(pred_col) == F.col(actual_col)).alias("is_correct"))
+    """Every predicted token in the span (rows equal in ``span_cols``) equals
+    the actual one."""
+    return spans.groupBy(*span_cols).agg(F.bool_and(F.col(pred_col) == F.col(actual_col)).alias("is_correct"))
 
 
 def rollout_stats(outcomes: DataFrame, task_col: str = "task", idx_col: str = "idx",

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions.grading import spell_out
 from tokenmill.functions.text import strip
-from tokenmill.plans.broadcast import sized_broadcast
 from tokenmill.plans.positions import global_position
 
 TEST_SEED_OFFSET = 10_000_000
@@ -238,7 +237,7 @@ def sample_diversity(index: DataFrame, topics: DataFrame, personas: DataFrame, d
     seed = F.col(idx_col)
     d = index.select(idx_col)
     d = d.withColumn("category", F.element_at(cat_list, (F.pmod(draw(seed, "category"), n_cats) + 1).cast("int")))
-    d = d.join(sized_broadcast(t_n), "category").withColumn("_pos", F.pmod(draw(seed, "topic"), F.col("_tn")))
+    d = d.join(t_n, "category").withColumn("_pos", F.pmod(draw(seed, "topic"), F.col("_tn")))
     d = d.join(t, ["category", "_pos"]).drop("_pos", "_tn")
     d = d.withColumn("_pos", F.pmod(draw(seed, "persona"), p.select(F.count("*")).scalar())).join(p, "_pos").drop("_pos")
     d = d.withColumn("_pos", F.pmod(draw(seed, "dynamic"), d_.select(F.count("*")).scalar())).join(d_, "_pos") \
@@ -247,7 +246,7 @@ def sample_diversity(index: DataFrame, topics: DataFrame, personas: DataFrame, d
         F.md5(F.concat(seed.cast("string"), F.lit(":opener_category:"), c)).alias("k"), c.alias("c"))))
     chosen = F.transform(F.slice(ranked, 1, n_openers), lambda x: x["c"])
     ex = d.select(idx_col, F.posexplode(chosen).alias("slot", "category"))
-    ex = ex.join(sized_broadcast(o_n), "category").withColumn(
+    ex = ex.join(o_n, "category").withColumn(
         "_pos", F.pmod(draw(F.concat(seed.cast("string"), F.lit(":"), F.col("category")), "opener"), F.col("_on")))
     ex = ex.join(o, ["category", "_pos"]).groupBy(idx_col).agg(
         F.array_sort(F.collect_list(F.struct("slot", "text"))).alias("_o"))

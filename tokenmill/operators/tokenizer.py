@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenmill.functions.text import utf8_byte_ids
-from tokenmill.plans.broadcast import sized_broadcast
 
 # fixed values: special tokens in id order, and the pre-tokenisation pattern
 SPECIAL_TOKENS = [
@@ -116,7 +115,7 @@ def char_encode(words: DataFrame, vocab: DataFrame, col: str = "word", key: str
     """Long form ``(word, pos, token_id)`` with BOS at both ends."""
     n = vocab.select(F.count("*")).scalar()
     ex = words.select(key, F.posexplode(F.split(col, "", -1)).alias("pos", "ch")).filter(F.length("ch") > 0)
-    body = ex.join(sized_broadcast(vocab), "ch").select(key, (F.col("pos") + 1).alias("pos"),
+    body = ex.join(vocab, "ch").select(key, (F.col("pos") + 1).alias("pos"),
                                                    F.col("char_id").alias("token_id"))
     ends = words.select(key, F.explode(F.array(F.lit(0), F.length(col) + 1)).alias("pos"),
                         n.cast("long").alias("token_id"))
@@ -296,7 +295,7 @@ def decode_ids(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id", ids_
     """``(doc_id, text)``: token bytes concatenated in order, decoded as UTF-8."""
     ex = tokens.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
     v = vocab if not skip_special else vocab.filter(~F.col("is_special"))
-    j = ex.join(sized_broadcast(v.select("token_id", "hex")), "token_id")
+    j = ex.join(v.select("token_id", "hex"), "token_id")
     per = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "hex"))).alias("_h"))
     hx = F.array_join(F.transform("_h", lambda s: s["hex"]), "")
     return per.select(id_col, F.decode(F.unhex(hx), "UTF-8").alias("text"))

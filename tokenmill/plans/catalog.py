@@ -1,9 +1,10 @@
 """Table catalog: given parquet tables plus the derived views.
 
-``load(spark, sf_dir)`` registers every given table as a temp view and
-each derived view on top, in dependency order. DataFrames bind to their
-views at analysis time, so a query built right after ``load`` keeps
-reading that ``sf_dir`` even if another call re-registers the names.
+``load(spark, sf_dir)`` gives a catalog whose attributes are the given
+tables and the derived views. A table is read, and a view built from the
+tables it names, when it is first asked for, so a query opens only what it
+uses. DataFrames bind to their tables at analysis time, so a query keeps
+reading its ``sf_dir`` even if another catalog registers the same names.
 
 ``oracle(sql, *views)`` wraps an oracle query with the view definitions it
 needs as CTEs, so the same text runs in DuckDB over the driver's views.
@@ -29,35 +30,33 @@ _DEPS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a table; spread it over the cores when the files give fewer
-    scan tasks than the cluster has slots (a single-row-group file is one
-    task). At scale the scan already has far more splits than slots and
-    this is a no-op, so no shuffle is added there."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        df = df.repartition(slots)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def load(spark: SparkSession, sf_dir: str) -> "Catalog":
-    for t in TABLES:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)
-    for name, sql in VIEWS.items():
-        spark.sql(SPARK_VIEWS.get(name, sql)).createOrReplaceTempView(name)
-    return Catalog(spark)
+    return Catalog(spark, sf_dir)
 
 
 class Catalog:
-    """Attribute access to the registered tables and views."""
+    """Attribute access to the given tables and derived views."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir, self._frames = spark, sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES or name in VIEWS:
-            return self.spark.table(name)
-        raise AttributeError(name)
+        if name not in TABLES and name not in VIEWS:
+            raise AttributeError(name)
+        if name not in self._frames:
+            self._frames[name] = self._build(name)
+        return self._frames[name]
+
+    def _build(self, name: str) -> DataFrame:
+        if name in TABLES:
+            return table(self._spark, self._sf_dir, name)
+        text = SPARK_VIEWS.get(name, VIEWS[name])
+        for used in {*_DEPS.get(name, []), *(set(re.findall(r"\w+", text)) & set(TABLES))}:
+            getattr(self, used).createOrReplaceTempView(used)
+        return self._spark.sql(text)
 
 
 def _closure(names) -> list[str]:

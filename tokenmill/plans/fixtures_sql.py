@@ -19,8 +19,8 @@ from documents
 
 VIEWS["words"] = """
 select distinct word from (
-  select translate(lower(split_part(text, ' ', n)), ',.;:!?' || chr(10), '') as word
-  from documents cross join (select 1 as n union all select 2 union all select 3 union all select 4) k) w
+  select translate(lower(t.word), ',.;:!?' || chr(10), '') as word
+  from (select unnest(string_split(text, ' ')) as word from documents) t) w
 where length(word) between 3 and 12
 """
 
@@ -206,8 +206,8 @@ SPARK_VIEWS: dict[str, str] = {}
 
 SPARK_VIEWS["words"] = """
 select distinct word from (
-  select translate(lower(split_part(text, ' ', n)), ',.;:!?' || chr(10), '') as word
-  from documents lateral view explode(array(1, 2, 3, 4)) k as n) w
+  select translate(lower(t), ',.;:!?' || chr(10), '') as word
+  from documents lateral view explode(split(text, ' ')) k as t) w
 where length(word) between 3 and 12
 """
 

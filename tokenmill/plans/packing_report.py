@@ -1,12 +1,12 @@
 """Flagship job: how well do the packers fill rows on this corpus?
 
-documents -> last-shard split (``source`` is the shard) -> crop to
-``doc_cap`` characters -> byte tokens with BOS (length only:
-``octet_length + 1``) -> stream positions and bounded pack groups ->
-one plan per packer -> utilisation / crop % / pad % per split and packer.
+documents -> last-shard split (``source`` is the shard) -> byte tokens of
+whole texts with BOS (length only: ``octet_length + 1``) -> stream
+positions and bounded pack groups -> one plan per packer -> utilisation /
+crop % / pad % per split and packer.
 
 Only ``(doc_id, n_tokens)`` reach the Python packers; the text is read
-once, cropped and measured on the JVM side.
+once and measured on the JVM side.
 """
 
 from __future__ import annotations
@@ -16,22 +16,20 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.operators.corpus import DOC_CAP, crop_document, split_last_shard
+from tokenmill.operators.corpus import split_last_shard
 from tokenmill.operators.packing import assign_pack_groups, chunk_plan, pack_plans, packing_stats
 
 DEFAULT_PACKERS = ("chunk", "bestfit_crop", "greedy_crop", "greedy_pad", "ffd")
 
 
-def byte_token_lengths(docs: DataFrame, doc_cap: int = DOC_CAP, shard_col: str = "source") -> DataFrame:
+def byte_token_lengths(docs: DataFrame, shard_col: str = "source") -> DataFrame:
     """``(doc_id, shard, split, n_tokens)`` with ``n_tokens`` = UTF-8 bytes + BOS."""
     d = split_last_shard(docs.select("doc_id", shard_col, "text"), shard_col)
-    d = crop_document(d, doc_cap)
     return d.select("doc_id", shard_col, "split",
                     (F.octet_length("text") + 1).cast("long").alias("n_tokens"))
 
 
-def packing_report(docs: DataFrame, T: int = 2048, doc_cap: int = DOC_CAP,
-                   packers=DEFAULT_PACKERS, group_docs: int = 100_000,
+def packing_report(docs: DataFrame, T: int = 2048, packers=DEFAULT_PACKERS, group_docs: int = 100_000,
                    buffer_size: int = 1000) -> DataFrame:
     """Utilisation / crop % / pad % per packer and split.
 
@@ -40,7 +38,7 @@ def packing_report(docs: DataFrame, T: int = 2048, doc_cap: int = DOC_CAP,
     """
     cap = T + 1
     order = ["source", "doc_id"]
-    lengths = byte_token_lengths(docs, doc_cap)
+    lengths = byte_token_lengths(docs)
     seq = {p: ({"buffer_size": buffer_size} if p == "bestfit_crop" else {}) for p in packers if p != "chunk"}
     parts = []
     if seq:

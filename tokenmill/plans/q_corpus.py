@@ -101,11 +101,11 @@ def q_min_length_filter(spark, sf_dir):
 
 
 @query("repeat_rows", oracle("""
-select d.doc_id, c.copy from (select * from documents where source = (select max(source) from documents)) d
-join (select unnest(generate_series(1, cast(greatest(1, floor(500000 / (select sum(length(text)) from documents
-       where source = (select max(source) from documents)))) as bigint))) as copy) c on true"""))
+select d.doc_id, c.copy from documents d
+join (select unnest(generate_series(1, cast(greatest(1, floor(500000 / (select sum(length(text)) from documents))) as bigint)))
+      as copy) c on true"""))
 def q_repeat_rows(spark, sf_dir):
-    d = C.split_last_shard(load(spark, sf_dir).documents, "source").filter("split = 'val'")
+    d = load(spark, sf_dir).documents
     d = C.repeat_rows(d, C.corpus_multiplier(d))
     return d.select("doc_id", F.col("copy").cast("long").alias("copy"))
 
@@ -155,8 +155,7 @@ def q_multi_epoch(spark, sf_dir):
 
 @query("train_val_docs", oracle(rf"""
 with d as (
-  select doc_id, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') as t from documents
-  where source = (select max(source) from documents)),
+  select doc_id, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') as t from documents),
 n as (select count(*) as n, sum(length(t)) as chars from d where length(t) > 0),
 p as (select doc_id, t, row_number() over (order by doc_id) - 1 as doc_pos from d where length(t) > 0)
 select doc_id, 'val' as split, cast(1 as bigint) as copy from p, n where doc_pos = n.n - 1
@@ -165,7 +164,7 @@ select doc_id, 'train' as split, cast(c.copy as bigint) as copy from p, n,
   (select unnest(generate_series(1, cast(greatest(1, floor(500000 / (select chars from n))) as bigint))) as copy) c
 where doc_pos < n.n - 1 or (n.n = 1 and doc_pos = 0)"""))
 def q_train_val_docs(spark, sf_dir):
-    d = C.split_last_shard(load(spark, sf_dir).documents, "source").filter("split = 'val'").drop("split")
+    d = load(spark, sf_dir).documents
     d = C.train_val_docs(d, ["doc_id"])
     path = scratch_path(spark, "train_val")
     write_train_val(d.select("split", F.concat_ws("|", F.col("doc_id").cast("string"),

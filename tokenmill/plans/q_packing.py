@@ -8,7 +8,7 @@ from tokenmill.functions.grading import parse_tool_calls
 from tokenmill.operators import packing as PK
 from tokenmill.operators import render as RD
 from tokenmill.operators.conversations import nest_conversations
-from tokenmill.operators.corpus import crop_document, split_last_shard
+from tokenmill.operators.corpus import split_last_shard
 from tokenmill.operators.tokenizer import BOS, byte_tokens, byte_vocab
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.packing_report import byte_token_lengths, packing_report
@@ -26,16 +26,15 @@ def _lengths(spark, sf_dir):
 
 def _doc_tokens(spark, sf_dir):
     d = split_last_shard(load(spark, sf_dir).documents.select("doc_id", "source", "text"), "source")
-    d = crop_document(d)
     return d.select("doc_id", "source", "split", byte_tokens("text").alias("ids"))
 
 
 _GREEDY_HEAD = """lens as (select doc_id, source, case when source = (select max(source) from documents) then 'val'
-                 else 'train' end as split, octet_length(encode(substr(text, 1, 10000))) + 1 as n from documents),
+                 else 'train' end as split, octet_length(encode(text)) + 1 as n from documents),
 d as (select split, n, row_number() over (partition by split order by source, doc_id) - 1 as i from lens)"""
 
 _LEN_SQL = """lens as (select doc_id, source, case when source = (select max(source) from documents) then 'val' else 'train' end
-                 as split, octet_length(encode(substr(text, 1, 10000))) + 1 as n from documents),
+                 as split, octet_length(encode(text)) + 1 as n from documents),
 spans as (select *, cast(coalesce(sum(n) over (partition by split order by source, doc_id
                     rows between unbounded preceding and 1 preceding), 0) as bigint) as st from lens),
 cut as (select split, doc_id, n, st, unnest(generate_series(st // {cap}, cast((st + n - 1) // {cap} as bigint))) as row_no

@@ -220,10 +220,10 @@ def q_option_loss_choice(spark, sf_dir):
 
 
 @query("lm_exact_match", oracle("""
-select item_id, bool_and(pred = actual) as is_correct from option_losses where opt = 0 group by item_id""",
+select item_id, opt, bool_and(pred = actual) as is_correct from option_losses group by item_id, opt""",
                                 "option_losses"))
 def q_lm_exact_match(spark, sf_dir):
-    return S.lm_exact_match(load(spark, sf_dir).option_losses.filter("opt = 0"))
+    return S.lm_exact_match(load(spark, sf_dir).option_losses, ["item_id", "opt"])
 
 
 @query("subsample_task", oracle("""

@@ -77,15 +77,13 @@ select problem_id, cast((part_no - 1) / 3 as bigint) as call_no, expr, expected,
        coalesce(computed = expected, false) as ok
 from ev""", "tool_text"))
 def q_verify_tool_calls(spark, sf_dir):
-    d = load(spark, sf_dir).tool_text
-    p = d.select("problem_id", F.posexplode(G.parse_tool_calls("answer")).alias("part_no", "part"))
-    p = p.select("problem_id", "part_no", F.col("part.type").alias("type"), F.col("part.text").alias("text"))
-    calls = p.filter("type = 'python'").alias("c").join(
-        p.filter("type = 'python_output'").alias("o"),
-        (F.col("c.problem_id") == F.col("o.problem_id")) & (F.col("o.part_no") == F.col("c.part_no") + 1))
-    calls = calls.select(F.col("c.problem_id").alias("problem_id"), F.col("c.part_no").alias("part_no"),
-                         F.replace(F.col("c.text"), F.lit(","), F.lit("")).alias("expr"),
-                         F.col("o.text").alias("expected"))
+    d = load(spark, sf_dir).tool_text.select("problem_id", G.parse_tool_calls("answer").alias("parts"))
+    # a call and its result stand next to each other in the same array
+    steps = F.transform("parts", lambda p, i: F.struct(i.alias("part_no"), p["type"].alias("type"), p["text"].alias("text"),
+                                                       F.get("parts", i + 1)["text"].alias("expected")))
+    calls = d.select("problem_id", F.explode(F.filter(steps, lambda s: s["type"] == "python")).alias("call")).select(
+        "problem_id", F.col("call.part_no").alias("part_no"),
+        F.replace(F.col("call.text"), F.lit(","), F.lit("")).alias("expr"), F.col("call.expected").alias("expected"))
     computed = G.calc_eval(F.col("expr"))
     return calls.select("problem_id", ((F.col("part_no") - 1) / 3).cast("long").alias("call_no"), "expr",
                         "expected", computed.alias("computed"),

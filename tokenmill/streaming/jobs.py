@@ -10,8 +10,11 @@ State:
 * ST2 (packer) and ST4 (run metrics) use ``applyInPandasWithState`` keyed
   by pack group / run; the state is the carried buffer or the running
   EMA, best value and clock - bounded per key.
-* ST3 and ST5 use ``foreachBatch``; writes go to ``.../batch_id=<n>`` with
-  overwrite, so a replayed micro-batch replaces its own output.
+  Both take rows in the order of their sequence number, whatever the order
+  of files and Arrow chunks; rows after a gap are held in the state.
+* ST3 keeps per-problem results in a streaming aggregation; ST3 and ST5
+  write with ``foreachBatch`` to ``.../batch_id=<n>`` with overwrite, so a
+  replayed micro-batch replaces its own output.
 """
 
 from __future__ import annotations
@@ -37,24 +40,33 @@ def stage_by_key(df: DataFrame, path: str, key: str) -> None:
     df.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
-def stage_in_order(df: DataFrame, path: str, key: str, keys_in_order: list) -> None:
-    """Append one file per key value in the given order (the file source
-    processes older files first), for order-sensitive streams."""
-    for k in keys_in_order:
-        df.filter(F.col(key) == k).coalesce(1).write.mode("append").parquet(path)
-
-
-def run_to_completion(writer, timeout_s: int = 600):
+def run_to_completion(writer):
+    """Drive a query over all input that is there, however long it takes."""
     q = writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish")
-    if q.exception():
-        raise q.exception()
+    q.awaitTermination()
     return q
 
 
+def in_sequence(held: dict[int, list], expected: int, pdfs, position: str, columns: list[str]):
+    """Merge a key's new chunks into the rows held so far and hand out those
+    that continue the sequence: ``(rows, held, expected)``. Input files and
+    Arrow chunks may come in any order; rows before ``expected`` are replays,
+    rows after a gap wait until it closes."""
+    for pdf in pdfs:
+        for row in pdf[[position, *columns]].itertuples(index=False, name=None):
+            if row[0] >= expected:
+                held[int(row[0])] = [None if pd.isna(v) else v for v in row[1:]]
+    rows = []
+    while expected in held:
+        rows.append((expected, *held.pop(expected)))
+        expected += 1
+    return rows, held, expected
+
+
+def _plain(v):
+    return v.item() if hasattr(v, "item") else v
+
+
 def _paths(spark: SparkSession, name: str):
     base = scratch_path(spark, f"stream_{name}")
     return os.path.join(base, "in"), os.path.join(base, "out"), os.path.join(base, "ckpt")
@@ -82,20 +94,26 @@ def stream_shards(spark: SparkSession, docs: DataFrame, shard_col: str = "source
 # ----------------------------------------------------------------- ST3 --
 
 def stream_eval_progress(spark: SparkSession, outcomes: DataFrame) -> DataFrame:
-    """Outcome files per task arrive one per trigger; each micro-batch turns
-    its samples into per-problem pass/fail and appends them (idempotent by
-    batch id). Running passed / total per task is read off the sink."""
+    """Outcome files arrive one per trigger. A streaming aggregation keeps
+    per-problem pass/fail in its state, so the samples of a problem may be
+    spread over files and batches; every change is written by batch id, and
+    running passed / total per task is read off the sink."""
     src, out, ck = _paths(spark, "eval")
     stage_by_key(outcomes.select("task", "idx", "k", "is_correct"), src, "task")
+    return eval_progress(spark, src, out, ck)
+
+
+def eval_progress(spark: SparkSession, src: str, out: str, ck: str) -> DataFrame:
     schema = "idx long, k long, is_correct boolean, task string"
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    problems = s.groupBy("task", "idx").agg(F.bool_or("is_correct").alias("passed"))
 
     def per_batch(batch: DataFrame, batch_id: int):
-        probs = batch.groupBy("task", "idx").agg(F.bool_or("is_correct").alias("passed"))
-        probs.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
+        batch.write.mode("overwrite").parquet(os.path.join(out, f"batch_id={batch_id}"))
 
-    run_to_completion(s.writeStream.foreachBatch(per_batch).option("checkpointLocation", ck))
-    p = spark.read.parquet(out)
+    run_to_completion(problems.writeStream.outputMode("update").foreachBatch(per_batch).option("checkpointLocation", ck))
+    # a problem only ever turns from failed to passed
+    p = spark.read.parquet(out).groupBy("task", "idx").agg(F.bool_or("passed").alias("passed"))
     return p.groupBy("task").agg(F.sum(F.col("passed").cast("long")).alias("passed"),
                                  F.count("*").alias("total"),
                                  F.avg(F.col("passed").cast("double")).alias("accuracy"))
@@ -136,41 +154,42 @@ RUN_OUT = T.StructType([
 ])
 RUN_STATE = T.StructType([
     T.StructField("s", T.DoubleType()), T.StructField("best", T.DoubleType()),
-    T.StructField("total", T.DoubleType()), T.StructField("last_step", T.LongType()),
+    T.StructField("total", T.DoubleType()), T.StructField("next_step", T.LongType()),
+    T.StructField("held", T.StringType()),
 ])
 
 
 def _run_metrics(beta: float, warmup: int):
+    """Running metrics of a run whose steps count up from 0."""
     def fn(key, pdfs, state):
-        if state.exists:
-            s, best, total, last = state.get
-        else:
-            s, best, total, last = 0.0, None, 0.0, -1
-        rows = []
-        for pdf in pdfs:
-            for r in pdf.sort_values("step").itertuples(index=False):
-                if r.step <= last:
-                    continue                      # replayed step: already counted
-                s = beta * s + (1 - beta) * r.loss
-                if r.val_bpb is not None and not pd.isna(r.val_bpb):
-                    best = r.val_bpb if best is None else min(best, r.val_bpb)
-                if r.step > warmup:
-                    total += r.dt
-                rows.append((key[0], r.step, s / (1 - beta ** (r.step + 1)), best, total))
-                last = r.step
-        state.update((s, best, total, last))
-        if rows:
-            yield pd.DataFrame(rows, columns=[f.name for f in RUN_OUT.fields])
+        s, best, total, expected, held = state.get if state.exists else (0.0, None, 0.0, 0, "{}")
+        held = {int(k): v for k, v in json.loads(held).items()}
+        rows, held, expected = in_sequence(held, expected, pdfs, "step", ["loss", "dt", "val_bpb"])
+        out = []
+        for step, loss, dt, val in rows:
+            s = beta * s + (1 - beta) * loss
+            if val is not None:
+                best = val if best is None else min(best, val)
+            if step > warmup:
+                total += dt
+            out.append((key[0], step, s / (1 - beta ** (step + 1)), best, total))
+        state.update((s, best, total, expected, json.dumps({k: [_plain(x) for x in v] for k, v in held.items()})))
+        if out:
+            yield pd.DataFrame(out, columns=[f.name for f in RUN_OUT.fields])
     return fn
 
 
 def stream_run_metrics(spark: SparkSession, steps: DataFrame, beta: float = 0.9,
                        warmup: int = 10) -> DataFrame:
     """EMA-debiased loss, best val so far and training clock per run as
-    step logs arrive (state per run)."""
+    step logs arrive (state per run; steps may arrive in any order)."""
     src, out, ck = _paths(spark, "runs")
     staged = steps.select("run_id", "step", "loss", "dt", "val_bpb").withColumn("bucket", F.col("run_id") % 16)
     stage_by_key(staged, src, "bucket")
+    return run_metrics(spark, src, out, ck, beta, warmup)
+
+
+def run_metrics(spark: SparkSession, src: str, out: str, ck: str, beta: float = 0.9, warmup: int = 10) -> DataFrame:
     schema = "run_id long, step long, loss double, dt double, val_bpb double, bucket int"
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     res = s.groupBy("run_id").applyInPandasWithState(
@@ -191,19 +210,22 @@ PLAN_OUT = T.StructType([
 PACK_STATE = T.StructType([T.StructField("blob", T.StringType())])
 
 
-def _stream_bestfit(cap: int, buffer_size: int, refill: int):
+def _stream_bestfit(cap: int, buffer_size: int, refill: int, group_docs: int):
     """Best-fit crop with a carried buffer: picks happen only while enough
     input is known to do the same refills as the batch packer; an ``eos``
-    row flushes the rest (input exhausted)."""
+    row, the position after the last, flushes the rest (input exhausted)."""
     def fn(key, pdfs, state):
         st = json.loads(state.get[0]) if state.exists else {
-            "pending": [], "buf": [], "row": 0, "cur": [], "pos": 0, "eos": False}
-        for pdf in pdfs:
-            for r in pdf.sort_values("pos").itertuples(index=False):
-                if r.eos:
-                    st["eos"] = True
-                else:
-                    st["pending"].append([int(r.doc_id), int(r.n_tokens)])
+            "pending": [], "buf": [], "row": 0, "cur": [], "pos": 0, "eos": False, "held": {},
+            "next": int(key[1]) * group_docs}
+        held = {int(k): v for k, v in st["held"].items()}
+        rows, held, st["next"] = in_sequence(held, st["next"], pdfs, "pos", ["doc_id", "n_tokens", "eos"])
+        st["held"] = {k: [_plain(x) for x in v] for k, v in held.items()}
+        for _, doc, n, eos in rows:
+            if eos:
+                st["eos"] = True
+            else:
+                st["pending"].append([int(doc), int(n)])
         buf = _LengthBuffer()
         for d, n in st["buf"]:
             buf.add(n, d)
@@ -248,20 +270,21 @@ def stream_pack(spark: SparkSession, docs: DataFrame, cap: int, buffer_size: int
                 refill: int = 128, shard_col: str = "source", group_docs: int = 100_000) -> DataFrame:
     """ST2: best-fit crop packing over a shard stream with the buffer kept
     in state per (split, pack group) - the same bounded groups as the batch
-    packer; shards arrive in order, an end marker per group flushes."""
+    packer. Rows carry their stream position, so shards may arrive in any
+    order; an end marker per group flushes. All shards are staged by one
+    write."""
     src, out, ck = _paths(spark, "pack")
-    shards = sorted(r[0] for r in docs.select(shard_col).distinct().collect())
     d = docs.withColumn("pack_group", F.floor(F.col("pos") / group_docs).cast("long"))
     marker = d.groupBy("split", "pack_group").agg(F.max("pos").alias("pos")).select(
         "split", "pack_group", (F.col("pos") + 1).alias("pos"), F.lit(-1).cast("long").alias("doc_id"),
         F.lit(0).cast("long").alias("n_tokens"), F.lit(True).alias("eos"), F.lit("~eos").alias(shard_col))
     body = d.select("split", "pack_group", "pos", "doc_id", "n_tokens", F.lit(False).alias("eos"), shard_col)
-    stage_in_order(body.unionByName(marker), src, shard_col, shards + ["~eos"])
+    stage_by_key(body.unionByName(marker), src, shard_col)
     schema = ("split string, pack_group long, pos long, doc_id long, n_tokens long, eos boolean, "
               + f"{shard_col} string")
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     res = s.groupBy("split", "pack_group").applyInPandasWithState(
-        _stream_bestfit(cap, buffer_size, refill), PLAN_OUT, PACK_STATE, "append", GroupStateTimeout.NoTimeout)
+        _stream_bestfit(cap, buffer_size, refill, group_docs), PLAN_OUT, PACK_STATE, "append", GroupStateTimeout.NoTimeout)
     w = res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append")
     run_to_completion(w)
     return spark.read.parquet(out)
