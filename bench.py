@@ -64,8 +64,7 @@ def main():
     from tokenmill.operators import tokenizer as TK
     from tokenmill.plans.catalog import load
     if os.path.isdir(warm):
-        merges = TK.train_bpe(TK.pretoken_histogram(load(spark, warm).documents), 256 + 9 + 64,
-                              merges_per_round=8)
+        merges = TK.train_bpe(TK.pretoken_histogram(load(spark, warm).documents), 256 + 9 + 64)
         enc = TK.encode_bpe(load(spark, sf_dir).documents, merges).cache()
         t0 = time.time()
         enc.write.format("noop").mode("overwrite").save()

@@ -1,5 +1,9 @@
 """Unit checks of per-row helpers and small semantics."""
 
+import os
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,33 +57,50 @@ def test_parse_tool_calls(spark):
 
 
 def naive_bpe(words, n_merges):
-    seqs = {tuple(w.encode()): c for w, c in words.items()}
+    """Merges on strings, a recount for each."""
+    spelled = {"".join(chr(0x10000 + b) for b in w.encode()): c for w, c in words.items()}
     merges = []
-    for r in range(n_merges):
-        counts = {}
-        for s, c in seqs.items():
-            for a, b in zip(s, s[1:]):
-                counts[(a, b)] = counts.get((a, b), 0) + c
+    for new in range(256, 256 + n_merges):
+        counts = Counter()
+        for w, c in spelled.items():
+            counts.update({p: c * k for p, k in Counter(map("".join, zip(w, w[1:]))).items()})
         if not counts:
             break
-        (a, b), _ = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[0]
-        new = 256 + r
-        merges.append((a, b, new))
-        nxt = {}
-        for s, c in seqs.items():
-            out, i = [], 0
-            while i < len(s):
-                if i + 1 < len(s) and s[i] == a and s[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(s[i])
-                    i += 1
-            nxt[tuple(out)] = nxt.get(tuple(out), 0) + c
-        seqs = nxt
+        best = min(counts, key=lambda p: (-counts[p], p))
+        merges.append((ord(best[0]) - 0x10000, ord(best[1]) - 0x10000, new))
+        merged = Counter()
+        for w, c in spelled.items():
+            merged[w.replace(best, chr(0x10000 + new))] += c
+        spelled = merged
     return merges
 
 
+def naive_encode(text, merges):
+    w = "".join(chr(0x10000 + b) for b in text.encode())
+    for a, b, new in merges:
+        w = w.replace(chr(0x10000 + a) + chr(0x10000 + b), chr(0x10000 + new))
+    return [ord(c) - 0x10000 for c in w]
+
+
+def test_bpe_on_a_generated_corpus(spark):
+    rng = random.Random(5)
+    parts = ["low", "er", "est", "new", "wid", "ing", "é", "un", "re", "aa", "tion"]
+    text = [" ".join("".join(rng.choice(parts) for _ in range(rng.randrange(1, 5))) for _ in range(300)) for _ in range(20)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*text, "", None, "a" * 3000])], "doc_id long, text string")
+    hist = TK.pretoken_histogram(docs)
+    assert hist.count() > 1000
+    merges = TK.train_bpe(hist, 256 + 9 + 60)
+    assert merges == naive_bpe({r.piece: r.freq for r in hist.collect()}, 60)
+    enc = TK.encode_bpe(docs, merges, prepend="<|user_start|>", append=7)
+    assert "Exchange" not in enc._jdf.queryExecution().executedPlan().toString()
+    ids = {r.doc_id: r.ids for r in enc.collect()}
+    pieces = {r.doc_id: r.p or [] for r in docs.select("doc_id", TK.pretokenize("text").alias("p")).collect()}
+    head = TK.special_id("<|user_start|>", len(merges))
+    assert ids == {i: [head, *(x for p in ps for x in naive_encode(p, merges)), 7] for i, ps in pieces.items()}
+    dec = {r.doc_id: r.text for r in TK.decode_ids(enc, TK.merges_vocab(spark, merges)).collect()}
+    assert dec == {r.doc_id: (r.text or "") + chr(7) for r in docs.collect()}
+
+
 def test_bpe_matches_naive_and_round_trips(spark):
     text = ["low lower lowest", "newer newest new", "wider wide widest low", "aaa aaaa aa"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
@@ -149,22 +170,18 @@ def test_token_bytes_specials_variant(spark):
 def test_bpe_batched_round_trips(spark):
     text = ["the cat sat on the mat", "then the rat ate the oat", "that other hat"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
-    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 10, merges_per_round=4)
+    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 10, checkpoint_every=3)
     assert len(merges) == 10 and len({m[2] for m in merges}) == 10
     dec = TK.decode_ids(TK.encode_bpe(docs, merges), TK.merges_vocab(spark, merges)).toPandas()
     assert sorted(dec["text"]) == sorted(text)
 
 
-def naive_common(seqs, direction):
-    n = min(len(s) for s in seqs)
-    for i in range(n):
-        idx = i if direction == "left" else -1 - i
-        if any(s[idx] != seqs[0][idx] for s in seqs):
-            return i
-    return n
+def shared_length(seqs, direction):
+    step = 1 if direction == "left" else -1
+    return len(os.path.commonprefix([tuple(s[::step]) for s in seqs]))
 
 
-def test_common_length_matches_naive(spark):
+def test_common_length(spark):
     import random
     from pyspark.sql import functions as F
     from tokenmill.operators.core_prompts import common_length
@@ -179,4 +196,4 @@ def test_common_length_matches_naive(spark):
     got = {r.k: (r.l, r.r) for r in df.select("k", common_length(F.col("s"), "left").alias("l"),
                                                common_length(F.col("s"), "right").alias("r")).collect()}
     for k, seqs in rows:
-        assert got[k] == (naive_common(seqs, "left"), naive_common(seqs, "right")), seqs
+        assert got[k] == (shared_length(seqs, "left"), shared_length(seqs, "right")), seqs

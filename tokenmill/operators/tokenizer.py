@@ -2,16 +2,19 @@
 
 * pre-tokenisation is one native ``regexp_extract_all`` (no UDF);
 * the pre-token histogram is a map-side-combined ``groupBy(piece)``;
-* BPE training runs one small Spark job per merge over the *word table*
-  (distinct pieces with counts), never over the corpus again; lineage is
-  cut with reliable ``checkpoint()`` into ``spark.checkpoint.dir``;
-* encoding runs once per **distinct** piece (``mapInPandas``, merge ranks
-  shipped with the function), then joins back and re-assembles each
-  document in order on the JVM side.
+* BPE training runs small Spark jobs over the *word table* (distinct
+  pieces with counts), never over the corpus again; one job settles as many
+  merges as its counts prove; lineage is cut with reliable ``checkpoint()``
+  into ``spark.checkpoint.dir``;
+* encoding and decoding are one pass per document batch without a shuffle;
+  merge ranks or token bytes are broadcast (their size is the vocabulary's)
+  and workers remember the pieces they have seen, up to a bound.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -124,103 +127,91 @@ def char_encode(words: DataFrame, vocab: DataFrame, col: str = "word", key: str
 
 # ---------------------------------------------------------------- BPE --
 
+ID_BASE = 0x10000   # a token id is written as the character ID_BASE + id
+TOP_PAIRS = 512     # pairs fetched per training job
+
+
 def word_table(hist: DataFrame) -> DataFrame:
-    """``(ids ARRAY<INT>, freq)`` from a piece histogram (byte ids)."""
-    return hist.select(utf8_byte_ids("piece").alias("ids"), F.col("freq").cast("long").alias("freq")) \
-               .groupBy("ids").agg(F.sum("freq").alias("freq"))
-
-
-def _merge_pairs(ids: Column, pairs: dict) -> Column:
-    """Replace non-overlapping adjacent pairs left to right by their new ids.
-
-    ``pairs`` maps ``(a, b) -> new``; the pairs of one call are token
-    disjoint, so a left-to-right scan is unambiguous. One pass, one map
-    lookup per position (key ``a * 2^21 + b``)."""
-    lookup = F.create_map(*[x for (a, b), new in pairs.items()
-                            for x in (F.lit(a * (1 << 21) + b), F.lit(new))])
-    init = F.struct(F.array().cast("array<int>").alias("out"), F.lit(False).alias("skip"))
-
-    def step(acc, i):
-        cur = F.element_at(ids, i + 1)
-        nxt = F.element_at(ids, i + 2)
-        key = cur.cast("long") * (1 << 21) + nxt.cast("long")
-        new = F.when(i + 1 < F.size(ids), F.element_at(lookup, key))
-        hit = (~acc["skip"]) & new.isNotNull()
-        out = F.when(acc["skip"], acc["out"]).when(hit, F.array_append(acc["out"], new)) \
-               .otherwise(F.array_append(acc["out"], cur))
-        return F.struct(out.alias("out"), hit.alias("skip"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.size(ids) - 1), init, step, lambda acc: acc["out"])
-
-
-def train_bpe(hist: DataFrame, vocab_size: int, merges_per_round: int = 1,
-              checkpoint_every: int = 10) -> list[tuple[int, int, int]]:
-    """Greedy byte-level BPE: ``vocab_size - 256 - 9`` merges.
-
-    Per round: explode adjacent pairs of the word table, ``sum(freq)`` per
-    pair, take the top pair (count desc, then pair asc - our tie rule), and
-    rewrite the words that contain it. Returns ``[(a, b, new_id)]`` in
-    merge order; the scalars of each round are the only driver traffic.
-    The rewritten word table is persisted every round (it is materialised
-    by the next round's pair count, so no extra job) - the cached relation
-    also keeps the plan flat, since the merge expression reads ``ids``
-    several times and stacked rounds would otherwise inline into each other;
-    every ``checkpoint_every`` rounds a reliable checkpoint cuts the lineage.
-
-    ``merges_per_round > 1`` is the batched mode: each round takes up to that
-    many of the best pairs that share no token with a better pair of the
-    same round and applies them in one pass. It needs far fewer rounds for
-    large vocabularies but is not exact (a pair created by one of the
-    round's merges could have outranked a later pick).
+    """``(word STRING, freq)`` from a piece histogram; a word is a string with
+    one character per token id, so a merge is a plain string replacement."""
+    code = F.array_join(F.transform(utf8_byte_ids("piece"), lambda b: F.lpad(F.hex(b + ID_BASE), 8, "0")), "")
+    return hist.select(F.decode(F.unhex(code), "UTF-32").alias("word"), F.col("freq").cast("long").alias("freq")) \
+               .groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
+def pair_counts(words: DataFrame) -> DataFrame:
+    """``(pair, n)``: how often two ids stand next to each other."""
+    ids = F.split("word", "")
+    n = F.size(ids)
+    pairs = F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1), lambda a, b: F.concat(a, b))
+    return (words.filter(F.length("word") >= 2).select(F.explode(pairs).alias("pair"), "freq")
+                 .groupBy("pair").agg(F.sum("freq").alias("n")))
+
+
+def settled_merges(top: list[tuple[int, int, int]], complete: bool) -> list[tuple[int, int]]:
+    """The merges that the most frequent pairs ``(a, b, n)``, best first,
+    prove to come next, in order. ``complete`` says that no pair is missing.
+
+    The first is certain. A later pair is certain while it shares no id with
+    the merges before it (so its count stands) and is more frequent than any
+    pair these can have created: one with a new id on its right was a pair
+    (x, a) before, one with it on its left a pair (b, y), and a new id next
+    to itself takes two of the old pairs each time."""
+    floor = 0 if complete or not top else top[-1][2]
+    before, after = {}, {}
+    for a, b, n in top:
+        before[b] = max(before.get(b, floor), n)
+        after[a] = max(after.get(a, floor), n)
+    out, used, bound = [], set(), -1
+    for a, b, n in top:
+        if out and (a in used or b in used or n <= bound):
+            break
+        out.append((a, b))
+        used |= {a, b}
+        bound = max(bound, before.get(a, floor), after.get(b, floor), n // 2)
+    return out
+
+
+def train_bpe(hist: DataFrame, vocab_size: int, checkpoint_every: int = 10) -> list[tuple[int, int, int]]:
+    """Greedy byte-level BPE: ``vocab_size - 256 - 9`` merges, or as many as
+    the corpus allows, as ``[(a, b, new_id)]`` in order.
+
+    Each merge is the most frequent pair (count desc, then pair asc - our tie
+    rule). A job counts the pairs of the word table and fetches the top ones;
+    ``settled_merges`` takes every merge that these counts prove, and the
+    words are rewritten for all of them at once. The rewritten table is
+    persisted (the next job's count fills it), and every
+    ``checkpoint_every`` jobs a reliable checkpoint cuts the lineage.
     """
     n_merges = vocab_size - N_BYTES - len(SPECIAL_TOKENS)
     if n_merges < 0:
         raise ValueError("vocab_size must leave room for 256 bytes and 9 specials")
     words = word_table(hist).checkpoint()
     merges: list[tuple[int, int, int]] = []
-    previous = None
-    rounds = 0
+    kept, rounds = [], 0
     while len(merges) < n_merges:
-        want = min(merges_per_round, n_merges - len(merges))
-        pairs = words.filter(F.size("ids") >= 2).select(
-            F.explode(F.transform(F.sequence(F.lit(1), F.size("ids") - 1),
-                                  lambda i: F.struct(F.element_at("ids", i).alias("a"),
-                                                     F.element_at("ids", i + 1).alias("b")))).alias("p"),
-            "freq")
-        top = (pairs.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n"))
-                    .orderBy(F.col("n").desc(), "a", "b").limit(4 * want).collect())
-        # this round's pair count materialised ``words``; the table it was
-        # built from is no longer needed
-        if previous is not None and previous is not words:
-            previous.unpersist()
-        previous = words if words.storageLevel.useMemory or words.storageLevel.useDisk else None
-        if not top:
+        rows = pair_counts(words).orderBy(F.col("n").desc(), "pair").limit(TOP_PAIRS).collect()
+        for df in kept[:-1]:
+            df.unpersist()
+        kept = kept[-1:]
+        top = [(ord(r["pair"][0]) - ID_BASE, ord(r["pair"][1]) - ID_BASE, int(r["n"])) for r in rows]
+        chosen = settled_merges(top, len(rows) < TOP_PAIRS)[:n_merges - len(merges)]
+        if not chosen:
             break
-        chosen: dict = {}
-        used: set = set()
-        for r in top:
-            a, b = int(r["a"]), int(r["b"])
-            if a in used or b in used:
-                if want == 1:
-                    break
-                continue
+        word = F.col("word")
+        for a, b in chosen:
             new = N_BYTES + len(merges)
             merges.append((a, b, new))
-            chosen[(a, b)] = new
-            used.update((a, b))
-            if len(chosen) == want:
-                break
+            word = F.replace(word, F.lit(chr(ID_BASE + a) + chr(ID_BASE + b)), F.lit(chr(ID_BASE + new)))
         rounds += 1
-        nxt = words.select(F.when(F.size("ids") >= 2, _merge_pairs(F.col("ids"), chosen))
-                           .otherwise(F.col("ids")).alias("ids"), "freq")
+        words = words.select(word.alias("word"), "freq")
         if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint()
+            words = words.checkpoint()
         else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        words = nxt
-    for df in (previous, words):
-        if df is not None:
-            df.unpersist()
+            words = words.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(words)
+    for df in kept:
+        df.unpersist()
     return merges
 
 
@@ -235,70 +226,110 @@ def merges_vocab(spark: SparkSession, merges) -> DataFrame:
     return spark.createDataFrame(rows, "token_id int, hex string, is_special boolean")
 
 
-def _encode_piece(data: bytes, ranks: dict) -> list[int]:
+REMEMBERED_PIECES = 1 << 20
+
+
+def encode_piece(data: bytes, ranks: dict) -> list[int]:
+    """Ids of one piece: the lowest-ranked pair is merged first, from the
+    left. A heap of pairs over a linked list, so a long piece takes n log n."""
     ids = list(data)
-    while len(ids) >= 2:
-        best, pos = None, -1
-        for i in range(len(ids) - 1):
-            r = ranks.get((ids[i], ids[i + 1]))
-            if r is not None and (best is None or r < best):
-                best, pos = r, i
-        if best is None:
-            break
-        new = N_BYTES + best
-        out, i = [], 0
-        a, b = ids[pos], ids[pos + 1]
-        while i < len(ids):
-            if i < len(ids) - 1 and ids[i] == a and ids[i + 1] == b:
-                out.append(new)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+    n = len(ids)
+    right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    heapq.heapify(heap)
+    while heap:
+        new, i, a, b = heapq.heappop(heap)
+        j = right[i]
+        if j >= n or ids[i] != a or ids[j] != b:
+            continue                                   # one of the two has been merged
+        ids[i], ids[j] = new, None
+        right[i] = right[j]
+        if right[i] < n:
+            left[right[i]] = i
+        for x, y in ((left[i], i), (i, right[i])):
+            if x >= 0 and y < n and (ids[x], ids[y]) in ranks:
+                heapq.heappush(heap, (ranks[ids[x], ids[y]], x, ids[x], ids[y]))
+    return [x for x in ids if x is not None]
+
+
+def _piece_encoder(merges):
+    """A function from piece to ids that remembers pieces, made per worker."""
+    ranks = {(a, b): new for a, b, new in merges}
+    seen: dict[str, list[int]] = {}
+
+    def ids_of(piece: str) -> list[int]:
+        got = seen.get(piece)
+        if got is None:
+            got = encode_piece(piece.encode("utf-8"), ranks)
+            if len(seen) >= REMEMBERED_PIECES:
+                seen.clear()
+            if len(piece) <= 64:
+                seen[piece] = got
+        return got
+
+    return ids_of
 
 
 def encode_pieces(pieces: DataFrame, merges, piece_col: str = "piece") -> DataFrame:
     """``(piece, ids)`` for distinct pieces; lowest-rank merge first."""
-    ranks = {(a, b): new - N_BYTES for a, b, new in merges}
+    shared = pieces.sparkSession.sparkContext.broadcast(merges)
 
-    def enc(it):
-        for pdf in it:
-            yield pd.DataFrame({piece_col: pdf[piece_col],
-                                "ids": [_encode_piece(p.encode("utf-8"), ranks) for p in pdf[piece_col]]})
+    def run(batches):
+        ids_of = _piece_encoder(shared.value)
+        for pdf in batches:
+            yield pd.DataFrame({piece_col: pdf[piece_col], "ids": [ids_of(p) for p in pdf[piece_col]]})
 
     schema = T.StructType([T.StructField(piece_col, T.StringType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return pieces.select(piece_col).distinct().mapInPandas(enc, schema)
+    return pieces.select(piece_col).distinct().mapInPandas(run, schema)
+
+
+def _end_id(token: int | str | None, n_merges: int) -> list[int]:
+    if token is None:
+        return []
+    return [special_id(token, n_merges) if isinstance(token, str) else int(token)]
 
 
 def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str = "text",
-               prepend_bos: bool = True) -> DataFrame:
-    """``(doc_id, ids)``: pieces encoded once per distinct piece, joined back
-    and concatenated in piece order per document."""
-    ex = docs.select(id_col, F.posexplode(pretokenize(text_col)).alias("pos", "piece"))
-    enc = encode_pieces(ex, merges)
-    j = ex.join(enc, "piece")
-    per = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
-    ids = F.flatten(F.transform("_p", lambda s: s["ids"]))
-    if prepend_bos:
-        ids = F.concat(F.array(F.lit(special_id("<|bos|>", len(merges)))), ids)
-    out = per.select(id_col, ids.alias("ids"))
-    empty = docs.select(id_col).join(out.select(id_col), id_col, "left_anti")
-    empty_ids = F.array(F.lit(special_id("<|bos|>", len(merges)))) if prepend_bos else F.array().cast("array<int>")
-    return out.unionByName(empty.select(id_col, empty_ids.alias("ids")))
+               prepend: int | str | None = "<|bos|>", append: int | str | None = None) -> DataFrame:
+    """``(doc_id, ids)``: pre-tokens from the JVM, ids of each document in one
+    Arrow pass, no shuffle. ``prepend`` and ``append`` are ids or names of
+    special tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast(merges)
+    head, tail = _end_id(prepend, len(merges)), _end_id(append, len(merges))
+
+    def run(batches):
+        ids_of = _piece_encoder(shared.value)
+        for pdf in batches:
+            ids = [head + [x for piece in pieces for x in ids_of(piece)] + tail for pieces in pdf["pieces"]]
+            yield pd.DataFrame({id_col: pdf[id_col], "ids": ids})
+
+    pieces = F.coalesce(pretokenize(text_col), F.array().cast("array<string>"))
+    schema = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.select(id_col, pieces.alias("pieces")).mapInPandas(run, schema)
 
 
 def decode_ids(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
                skip_special: bool = True) -> DataFrame:
-    """``(doc_id, text)``: token bytes concatenated in order, decoded as UTF-8."""
-    ex = tokens.select(id_col, F.posexplode(ids_col).alias("pos", "token_id"))
-    v = vocab if not skip_special else vocab.filter(~F.col("is_special"))
-    j = ex.join(v.select("token_id", "hex"), "token_id")
-    per = j.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "hex"))).alias("_h"))
-    hx = F.array_join(F.transform("_h", lambda s: s["hex"]), "")
-    return per.select(id_col, F.decode(F.unhex(hx), "UTF-8").alias("text"))
+    """``(doc_id, text)``: token bytes joined in order and decoded as UTF-8
+    (bad bytes become U+FFFD), in one pass. The vocabulary's bytes are
+    fetched and broadcast. Unknown ids decode to nothing, special tokens to
+    nothing or to their names."""
+    table = {}
+    specials = sorted(r["token_id"] for r in vocab.filter("is_special").collect())
+    for r in vocab.filter("not is_special").select("token_id", "hex").collect():
+        table[r["token_id"]] = bytes.fromhex(r["hex"])
+    if not skip_special:
+        table.update((i, SPECIAL_TOKENS[k].encode()) for k, i in enumerate(specials))
+    shared = tokens.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for pdf in batches:
+            texts = [b"".join(shared.value.get(int(i), b"") for i in ids).decode("utf-8", errors="replace") for ids in pdf[ids_col]]
+            yield pd.DataFrame({id_col: pdf[id_col], "text": texts})
+
+    schema = T.StructType([tokens.schema[id_col], T.StructField("text", T.StringType())])
+    return tokens.select(id_col, ids_col).mapInPandas(run, schema)
 
 
 def compression_ratio(tokens: DataFrame, texts: DataFrame, group_col: str, id_col: str = "doc_id",

@@ -5,29 +5,34 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenmill.operators import tokenizer as TK
-from tokenmill.operators.corpus import char_budget_prefix, split_last_shard
+from tokenmill.operators.corpus import split_last_shard
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.registry import query
+from tokenmill.session import scratch_path
 
-BPE_MERGES = 24                       # merges learnt by the registered training job
-TRAIN_CHARS = 2_000_000_000           # reference default character budget
+BPE_MERGES = 128                      # merges learnt by the registered training job
 
 
 def _train_docs(spark, sf_dir):
-    """Training text: train split, cropped docs in order until the budget."""
-    d = split_last_shard(load(spark, sf_dir).documents, "source").filter("split = 'train'")
-    return char_budget_prefix(d, TRAIN_CHARS, ["source", "doc_id"])
+    """Training text: whole documents of the train split. A character budget
+    and a cap per document are P1 and P2, with queries of their own."""
+    return split_last_shard(load(spark, sf_dir).documents, "source").filter("split = 'train'")
 
 
-_MERGE_CACHE: dict = {}
+_MERGE_TABLES: dict = {}
 
 
 def trained_merges(spark, sf_dir, n_merges: int = BPE_MERGES):
+    """The merges of the training job. Its table is written once per session
+    and input; later queries read it."""
     key = (sf_dir, n_merges, spark.sparkContext.applicationId)
-    if key not in _MERGE_CACHE:
-        hist = TK.pretoken_histogram(_train_docs(spark, sf_dir))
-        _MERGE_CACHE[key] = TK.train_bpe(hist, TK.N_BYTES + len(TK.SPECIAL_TOKENS) + n_merges)
-    return _MERGE_CACHE[key]
+    if key not in _MERGE_TABLES:
+        merges = TK.train_bpe(TK.pretoken_histogram(_train_docs(spark, sf_dir)), TK.N_BYTES + len(TK.SPECIAL_TOKENS) + n_merges)
+        path = scratch_path(spark, "merges")
+        spark.createDataFrame(merges, "a int, b int, token_id int").write.parquet(path)
+        _MERGE_TABLES[key] = path
+    rows = spark.read.parquet(_MERGE_TABLES[key]).orderBy("token_id").collect()  # as many as merges
+    return [(r["a"], r["b"], r["token_id"]) for r in rows]
 
 
 @query("pretokenize", oracle("""
@@ -110,7 +115,7 @@ def q_token_bytes(spark, sf_dir):
 @query("compression_ratio")
 def q_compression_ratio(spark, sf_dir):
     d = load(spark, sf_dir).documents
-    enc = TK.encode_bpe(d, trained_merges(spark, sf_dir), prepend_bos=False)
+    enc = TK.encode_bpe(d, trained_merges(spark, sf_dir), prepend=None)
     return TK.compression_ratio(enc, d, "lang")
 
 
@@ -118,5 +123,5 @@ def q_compression_ratio(spark, sf_dir):
 def q_compare_tokenizers(spark, sf_dir):
     d = load(spark, sf_dir).documents
     base = TK.compression_ratio(d.select("doc_id", TK.byte_tokens("text", bos=False).alias("ids")), d, "lang")
-    ours = TK.compression_ratio(TK.encode_bpe(d, trained_merges(spark, sf_dir), prepend_bos=False), d, "lang")
+    ours = TK.compression_ratio(TK.encode_bpe(d, trained_merges(spark, sf_dir), prepend=None), d, "lang")
     return TK.compare_tokenizers(base, ours, "lang")

@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job relies on. Cluster deployments override partition
-# counts; the semantic ones (UTC, ANSI off for try_* parity) stay.
+# counts; the semantic one (UTC) stays. ANSI mode is Spark's default (on):
+# text that may not be a number is read with try_cast.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -73,14 +74,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is
-    used as is. Only when it is unset (local tests) a fresh scratch folder
-    is created under the system temp dir.
+    used as is; without it the job fails, as a folder of one machine is of no
+    use there. In local mode a fresh scratch folder is created under the
+    system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="tokenmill-ckpt-")
     sc.setCheckpointDir(conf_dir)
