@@ -197,3 +197,11 @@ def test_common_length(spark):
                                                common_length(F.col("s"), "right").alias("r")).collect()}
     for k, seqs in rows:
         assert got[k] == (shared_length(seqs, "left"), shared_length(seqs, "right")), seqs
+
+
+def test_items_without_enough_shots_are_quarantined(spark):
+    from tokenmill.operators.core_prompts import fewshot_quarantine, fewshot_sample
+    items = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("a", 3, 0), ("b", 4, 1)], "task string, item_id long, num_fewshot int")
+    kept = {r.item_id: len(r.shots) for r in fewshot_sample(items).collect()}
+    assert kept == {1: 1, 2: 2, 3: 0}
+    assert [(r.item_id, r.reason) for r in fewshot_quarantine(items).collect()] == [(4, "too_few_items")]

@@ -43,16 +43,18 @@ def fewshot_sample(items: DataFrame, task_col: str = "task", id_col: str = "item
                    k_col: str = "num_fewshot") -> DataFrame:
     """Adds ``idx`` (position in task) and ``shots ARRAY<STRUCT<...item...>>``.
 
-    ``k`` is capped at ``n - 1`` (the reference would fail there).
+    An item that asks for more shots than its task has other items is left
+    out here and returned by ``fewshot_quarantine``.
     """
     d = global_position(items, [id_col], [task_col], out="idx")
     n = d.groupBy(task_col).agg(F.count("*").alias("_n"))
     d = d.join(n, task_col)
-    k = F.least(F.col(k_col).cast("long"), F.col("_n") - 1)
-    d = d.withColumn("_pos", fewshot_positions(F.col("idx"), F.col("_n"), k))
+    k = F.col(k_col).cast("long")
+    lookup_rows = d
+    d = d.filter(k < F.col("_n")).withColumn("_pos", fewshot_positions(F.col("idx"), F.col("_n"), k))
     ex = d.select(task_col, "idx", id_col, F.posexplode("_pos").alias("shot_no", "shot_idx"))
     cols = [c for c in items.columns if c != task_col]
-    lookup = d.select(task_col, F.col("idx").alias("shot_idx"), F.struct(*cols).alias("shot"))
+    lookup = lookup_rows.select(task_col, F.col("idx").alias("shot_idx"), F.struct(*cols).alias("shot"))
     shots = ex.join(lookup, [task_col, "shot_idx"]).groupBy(task_col, "idx").agg(
         F.array_sort(F.collect_list(F.struct("shot_no", "shot"))).alias("_s"))
     out = d.join(shots, [task_col, "idx"], "left").withColumn(
@@ -60,6 +62,13 @@ def fewshot_sample(items: DataFrame, task_col: str = "task", id_col: str = "item
     return out.drop("_s", "_pos", "_n")
 
 
+def fewshot_quarantine(items: DataFrame, task_col: str = "task", k_col: str = "num_fewshot") -> DataFrame:
+    """Items that can't be given their shots, with ``reason``."""
+    n = items.groupBy(task_col).agg(F.count("*").alias("_n"))
+    bad = items.join(n, task_col).filter(F.col(k_col).isNull() | (F.col(k_col) >= F.col("_n")))
+    return bad.withColumn("reason", F.lit("too_few_items")).drop("_n")
+
+
 def _fewshot_text(parts) -> Column:
     return F.array_join(F.transform("shots", lambda s: F.concat(*parts(s), F.lit("\n\n"))), "")
 

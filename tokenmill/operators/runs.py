@@ -8,6 +8,8 @@ parallel; nothing is collected per group.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -363,22 +365,18 @@ def scrape_run_logs(logs: DataFrame, file_col: str = "file_no", order: str = "li
 # -------------------------------------------------------- rule lookup --
 
 def match_first_rule(df: DataFrame, rules: DataFrame, name_col: str, patterns, value: str = "value",
-                     order: str = "rule_no", out: str = "matched", default: float = float("inf"),
-                     max_rules: int = 10_000) -> DataFrame:
+                     order: str = "rule_no", out: str = "matched", default: float = float("inf")) -> DataFrame:
     """First rule (in ``order``) whose non-empty patterns all occur in the
-    lower-cased name; none -> ``default``. The rule list is a small, checked
-    config table, turned into one CASE chain evaluated inside codegen (no
-    join, no shuffle)."""
-    rows = rules.orderBy(order).limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError("rule table too large for an inline CASE chain")
+    lower-cased name; none -> ``default``. The rules, a config table, become
+    one sorted array inside the plan (no job, no join, no shuffle of the
+    names)."""
+    row = F.struct(order, F.struct(F.col(value).cast("double").alias("value"), *patterns).alias("rule"))
+    table = rules.select(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["rule"]).alias("rules")).scalar()
     name = F.lower(F.col(name_col))
-    expr = None
-    for r in rows:
-        cond = F.lit(True)
-        for p in patterns:
-            if r[p]:
-                cond = cond & name.contains(r[p])
-        expr = F.when(cond, F.lit(float(r[value]))) if expr is None else expr.when(cond, F.lit(float(r[value])))
-    expr = F.lit(default) if expr is None else expr.otherwise(F.lit(default))
-    return df.withColumn(out, expr)
+
+    def applies(rule):
+        fits = [F.coalesce(rule[p], F.lit("")) for p in patterns]
+        return reduce(lambda a, b: a & b, [(p == "") | name.contains(p) for p in fits], F.lit(True))
+
+    hit = F.get(F.filter("_rules", applies), F.lit(0))["value"]
+    return df.withColumn("_rules", table).withColumn(out, F.coalesce(hit, F.lit(default))).drop("_rules")

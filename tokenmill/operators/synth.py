@@ -201,7 +201,6 @@ def transcript_conversations(df: DataFrame, title_col: str = "title", text_col:
 
 # ---------------------------------------------------------- O6 / F14 --
 
-MAX_CHOICE_CATEGORIES = 10_000
 PROMPT_TEMPLATE = ("Write a realistic conversation.\nTopic: {topic}\nUser persona: {persona}\n"
                    "Conversation dynamic: {dynamic}\nExample first messages:\n{first_message_examples}\n")
 
@@ -228,12 +227,8 @@ def sample_diversity(index: DataFrame, topics: DataFrame, personas: DataFrame, d
     d_ = _indexed(dynamics, ["dynamic"])
     o = _indexed(openers, ["text"], "category")
     o_n = openers.select("category", "text").distinct().groupBy("category").agg(F.count("*").alias("_on"))
-    # opener categories: a small vocabulary, fetched once (size-checked) so the
-    # per-row ranking below can use them as literals inside transform()
-    oc_rows = openers.select("category").distinct().limit(MAX_CHOICE_CATEGORIES + 1).collect()
-    if len(oc_rows) > MAX_CHOICE_CATEGORIES:
-        raise ValueError("too many opener categories")
-    ocats = F.array(*[F.lit(c) for c in sorted(r[0] for r in oc_rows)])
+    # opener categories: a vocabulary of choices, one array for the ranking below
+    ocats = openers.select("category").distinct().select(F.array_sort(F.collect_list("category"))).scalar()
     seed = F.col(idx_col)
     d = index.select(idx_col)
     d = d.withColumn("category", F.element_at(cat_list, (F.pmod(draw(seed, "category"), n_cats) + 1).cast("int")))
@@ -242,10 +237,10 @@ def sample_diversity(index: DataFrame, topics: DataFrame, personas: DataFrame, d
     d = d.withColumn("_pos", F.pmod(draw(seed, "persona"), p.select(F.count("*")).scalar())).join(p, "_pos").drop("_pos")
     d = d.withColumn("_pos", F.pmod(draw(seed, "dynamic"), d_.select(F.count("*")).scalar())).join(d_, "_pos") \
          .drop("_pos")
-    ranked = F.array_sort(F.transform(ocats, lambda c: F.struct(
+    ranked = F.array_sort(F.transform("_ocats", lambda c: F.struct(
         F.md5(F.concat(seed.cast("string"), F.lit(":opener_category:"), c)).alias("k"), c.alias("c"))))
     chosen = F.transform(F.slice(ranked, 1, n_openers), lambda x: x["c"])
-    ex = d.select(idx_col, F.posexplode(chosen).alias("slot", "category"))
+    ex = d.withColumn("_ocats", ocats).select(idx_col, F.posexplode(chosen).alias("slot", "category"))
     ex = ex.join(o_n, "category").withColumn(
         "_pos", F.pmod(draw(F.concat(seed.cast("string"), F.lit(":"), F.col("category")), "opener"), F.col("_on")))
     ex = ex.join(o, ["category", "_pos"]).groupBy(idx_col).agg(

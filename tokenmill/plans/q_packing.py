@@ -16,7 +16,7 @@ from tokenmill.plans.positions import global_position
 from tokenmill.plans.registry import query
 
 T_DOCS = 256          # row length T (rows hold T + 1 tokens) for corpus packing checks
-T_CONVS = 512         # row length for conversation packing
+T_CONVS = 2048        # row length for conversation packing
 GROUP_DOCS = 100_000
 
 
@@ -349,11 +349,21 @@ def q_render_tool_conversation(spark, sf_dir):
                     F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
 
 
-@query("drop_unusable_examples")
+@query("drop_unusable_examples", oracle(f"""
+with {_RENDER_SQL},
+lens as (select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n_tokens,
+                cast(sum(case when mask = 1 then greatest(0, least(st + n, {RD.MAX_TOKENS}) - st) else 0 end) as bigint)
+                  as mask_sum
+         from pos group by conv_id)
+select conv_id, n_tokens from lens where n_tokens >= 4 and mask_sum > 0"""))
 def q_drop_unusable_examples(spark, sf_dir):
-    r = RD.render_conversations(_tool_convs(spark, sf_dir), has_parts=True, max_tokens=24)
+    """All conversations, and the first message of each on its own, which has
+    no answer to learn from and must go."""
+    d = load(spark, sf_dir).conversations
+    alone = d.filter("turn = 0").withColumn("conv_id", -F.col("conv_id") - 1)
+    r = RD.render_conversations(nest_conversations(d.unionByName(alone)))
     return RD.drop_unusable_examples(r.filter(F.col("reason").isNull())).select(
-        "conv_id", F.size("ids").alias("n_tokens"))
+        "conv_id", F.size("ids").cast("long").alias("n_tokens"))
 
 
 @query("mask_breakdown")

@@ -112,7 +112,7 @@ def _elements(spark, sf_dir):
         F.concat("c_mktsegment", F.lit(" customer from "), "n_name").alias("persona"))
     dynamics = cat.orders.select(F.col("o_orderpriority").alias("dynamic"))
     openers = cat.documents.select(F.col("lang").alias("category"),
-                                   F.substring(F.split("text", r"\.").getItem(0), 1, 60).alias("text"))
+                                   F.split("text", r"\.").getItem(0).alias("text"))
     index = cat.responses.select("idx")
     return SY.sample_diversity(index, topics, personas, dynamics, openers)
 
@@ -126,7 +126,7 @@ pe as (select persona, row_number() over (order by persona) - 1 as pos, count(*)
          select distinct c_mktsegment || ' customer from ' || n_name as persona from customer join nation on c_nationkey = n_nationkey) x),
 dy as (select dynamic, row_number() over (order by dynamic) - 1 as pos, count(*) over () as n from (
          select distinct o_orderpriority as dynamic from orders) x),
-op as (select distinct lang as category, substr(split_part(text, '.', 1), 1, 60) as text from documents),
+op as (select distinct lang as category, split_part(text, '.', 1) as text from documents),
 opos as (select *, row_number() over (partition by category order by text) - 1 as pos,
                 count(*) over (partition by category) as n from op),
 ocats as (select list_sort(list(distinct category)) as cl from op),
