@@ -34,7 +34,7 @@ def fewshot_positions(idx: Column, n: Column, k: Column) -> Column:
         t = F.pmod(_draw(idx, j), j + 1)
         return F.when(F.array_contains(acc, t), F.array_append(acc, j)).otherwise(F.array_append(acc, t))
 
-    picks = F.when(k > 0, F.aggregate(steps, F.array().cast("array<bigint>"), step)) \
+    picks = F.when((k > 0) & (k < n), F.aggregate(steps, F.array().cast("array<bigint>"), step)) \
              .otherwise(F.array().cast("array<bigint>"))
     return F.transform(picks, lambda t: F.when(t < idx, t).otherwise(t + 1))
 
