@@ -21,8 +21,9 @@ every document its component_id. No link is lost:
 Large groups of near copies would give pairs by the square. A file of over
 ``SMALL`` classes therefore first compares each class with one pivot of its
 band only; after the components of these links are known, all tiles of the
-file are compared, but only pairs of different components, so no pair that
-could join two components is left out.
+file are compared, by wider bitmaps and by sorted 32-bit codes that bound the
+overlap too, but only pairs of different components, so no pair that could
+join two components is left out.
 
 Defined results: null or empty text has no shingles and component_id is its
 own doc_id. Under five words the whole sequence is one shingle. A null doc_id
@@ -45,10 +46,14 @@ from tokenmill.llm.scratch import LAST_ID, materialise
 from tokenmill.llm.text import Words, as_signed, mix, slices
 
 SHINGLE = 5
-FREQUENT = 1 << 16
-LOCAL_FREQUENT = 8
+FREQUENT = 1 << 17
+LOCAL_FREQUENT = 2
 SMALL = 32
 TILE = 256
+CHUNK = 1 << 12
+#: Bits of a bitmap in a tile, in times of the usual bitmaps.
+WIDE = 8
+SIEVE_BITS = 1 << 22
 #: Classes a task remembers, so that it files copies once (memory only).
 REMEMBERED = 1 << 20
 _U = np.uint64
@@ -185,7 +190,9 @@ def _file_bounds(key: np.ndarray) -> np.ndarray:
 
 def _pairs_of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """kind 0: a pair (a, b) to be compared. kind 1: a row of a large file
-    (key a, class b, size n_b) whose other pairs wait for the components."""
+    whose other pairs wait for the components: a is the file's pivot, b the
+    class, n_b its size. Large files of one pivot become one file, as the many
+    shingles of a group of near copies give nearly the same file each."""
     for key, n, cid in _whole_files(batches, ["key", "n", "cid"]):
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
@@ -202,13 +209,14 @@ def _pairs_of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             i = i[3 * n[i + k] <= 4 * n[i]]
             left.append(i)
             right.append(i + k)
-        big = []
+        big = [np.zeros((0, 3), np.int64)]
         for f in np.flatnonzero(size > SMALL):
             lo, hi = bounds[f], bounds[f + 1]
-            big.append(np.arange(lo, hi))
             band = np.floor(np.log(n[lo:hi]) / np.log(4 / 3)).astype(np.int64)
             start = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
             tone = mix(cid[lo:hi].view(np.uint64))
+            head = cid[lo + int(np.argmin(tone))]
+            big.append(np.stack([np.full(hi - lo, head), cid[lo:hi], n[lo:hi]], 1))
             for s, e in zip(start, [*start[1:], hi - lo]):
                 pivot = s + int(np.argmin(tone[s:e]))
                 others = np.arange(s, e)
@@ -221,10 +229,10 @@ def _pairs_of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         swap = cid[i] > cid[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
         pair = np.unique(np.stack([cid[i], cid[j]], 1), axis=0) if len(i) else np.zeros((0, 2), np.int64)
-        rows = np.concatenate(big) if big else np.zeros(0, np.int64)
+        rows = np.unique(np.concatenate(big), axis=0)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat([0, 1], [len(pair), len(rows)]).astype(np.int32)), pa.array(np.concatenate([pair[:, 0], key[rows]])),
-             pa.array(np.concatenate([pair[:, 1], cid[rows]])), pa.array(np.concatenate([np.zeros(len(pair), np.int64), n[rows]]))],
+            [pa.array(np.repeat([0, 1], [len(pair), len(rows)]).astype(np.int32)), pa.array(np.concatenate([pair[:, 0], rows[:, 0]])),
+             pa.array(np.concatenate([pair[:, 1], rows[:, 1]])), pa.array(np.concatenate([np.zeros(len(pair), np.int64), rows[:, 2]]))],
             names=["kind", "a", "b", "n_b"])
 
 
@@ -239,32 +247,37 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different components in large files, tile by tile."""
-    for key, n, cid, root, bits in _whole_files(batches, ["key", "n", "cid", "root", "bits"]):
+    """Likely pairs of different components in large files, tile by tile: by
+    bitmaps of about ``WIDE`` bits per shingle, then by sorted codes."""
+    for key, n, cid, root, codes in _whole_files(batches, ["key", "n", "cid", "root", "codes"]):
         out = [np.zeros((0, 2), np.int64)]
+        codes = [np.frombuffer(c, np.uint32) for c in codes]
         bounds = _file_bounds(key)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            width = bitmap_bits(n[lo:hi]) // 64
             for s in range(lo, hi, TILE):
                 e = min(s + TILE, hi)
                 for t in range(s, hi, TILE):
                     u = min(t + TILE, hi)
                     if 3 * n[t] > 4 * n[e - 1]:
                         break
-                    if (root[s:e] == root[s]).all() and (root[t:u] == root[s]).all():
-                        continue
-                    words = int(min(width[s - lo:e - lo].min(), width[t - lo:u - lo].min()))
-                    x, y = (np.stack([fold(np.frombuffer(b, np.uint64), words) for b in bits[p:q]]) for p, q in ((s, e), (t, u)))
                     differs = root[s:e, None] != root[None, t:u]
                     fits = 3 * np.maximum(n[s:e, None], n[None, t:u]) <= 4 * np.minimum(n[s:e, None], n[None, t:u])
                     i, j = np.nonzero(differs & fits)
-                    for cut in range(0, len(i), 1 << 15):
-                        p, q = i[cut:cut + (1 << 15)], j[cut:cut + (1 << 15)]
-                        most = np.minimum(n[s + p] - np.bitwise_count(x[p] & ~y[q]).sum(1), n[t + q] - np.bitwise_count(y[q] & ~x[p]).sum(1))
-                        ok = most >= needed(n[s + p], n[t + q])
-                        pair = np.stack([cid[s + p[ok]], cid[t + q[ok]]], 1)
-                        pair.sort(axis=1)
-                        out.append(np.unique(pair, axis=0))
+                    if not len(i):
+                        continue
+                    width = int(bitmap_bits(n[s:e].mean())) * WIDE
+                    x, y = code_bitmaps(codes[s:e], width), code_bitmaps(codes[t:u], width)
+                    set_x, set_y = (np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x, y))
+                    for cut in range(0, len(i), CHUNK):
+                        p, q = i[cut:cut + CHUNK], j[cut:cut + CHUNK]
+                        both = np.bitwise_count(x[p] & y[q]).sum(1, dtype=np.int64)
+                        # at most the shingles that are not seen to be missing
+                        most = np.minimum(n[s + p] - set_x[p], n[t + q] - set_y[q]) + both
+                        least = needed(n[s + p], n[t + q])
+                        for k in np.flatnonzero(most >= least):
+                            a, b = s + p[k], t + q[k]
+                            if shared_codes(codes[a], codes[b]) + n[a] - len(codes[a]) >= least[k]:
+                                out.append(np.array([[min(cid[a], cid[b]), max(cid[a], cid[b])]]))
         pair = np.concatenate(out)
         yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
@@ -292,12 +305,59 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("ord"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
+def _sieve(base: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``base`` whose text hash may be among ``ids``: a bitmap of
+    ``SIEVE_BITS`` bits, of a fixed size whatever the input, keeps most texts
+    that no pair needs out of the shuffle. The join that follows is exact."""
+    bit = F.col("th").bitwiseAND(SIEVE_BITS - 1)
+    words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(th & 63L as int))")).alias("v")).collect()
+    bits = np.zeros(SIEVE_BITS // 64, np.int64)
+    for w, v in words:
+        bits[w] = v
+    shared = base.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value[np.asarray(batch.column("th")) & (SIEVE_BITS - 1)]))
+
+    return base.mapInArrow(run, base.schema)
+
+
+def _texts(base: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row (ord, th, text) for each of ``ids`` (ord, th, distinct)."""
+    return _sieve(base, ids).join(ids, ["ord", "th"], "left_semi").groupBy("ord", "th").agg(F.first("text").alias("text"))
+
+
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted 32-bit codes of the shingles of each class."""
+    for batch in batches:
+        for part in slices(batch):
+            doc, h = shingle_sets(Words.of(part.column("text"), lower=True))
+            bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
+            small = (h >> _U(32)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("cid"), pa.array([np.unique(small[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())], names=["cid", "codes"])
+
+
+def code_bitmaps(codes: list[np.ndarray], bits: int) -> np.ndarray:
+    """Bitmaps of ``bits`` bits (a power of two) of some classes."""
+    have = np.zeros((len(codes), bits), bool)
+    for row, c in zip(have, codes):
+        row[c & np.uint32(bits - 1)] = True
+    return np.packbits(have, axis=1, bitorder="little").view(np.uint64)
+
+
+def shared_codes(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
 def _verify(base: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of class ids that link, decided on their texts."""
     wanted = materialise(pairs.select("a", "b").join(classes.select(F.col("cid").alias("a"), F.col("ord").alias("ord_a"), F.col("th").alias("th_a")), "a")
                          .join(classes.select(F.col("cid").alias("b"), F.col("ord").alias("ord_b"), F.col("th").alias("th_b")), "b"), "pairs")
     ids = materialise(wanted.select(F.col("ord_a").alias("ord"), F.col("th_a").alias("th")).union(wanted.select("ord_b", "th_b")).distinct(), "pair-ids")
-    texts = base.join(ids, ["ord", "th"], "left_semi").groupBy("ord", "th").agg(F.first("text").alias("text"))
+    texts = _texts(base, ids)
     side = lambda s: texts.select(F.col("ord").alias(f"ord_{s}"), F.col("th").alias(f"th_{s}"), F.col("text").alias(f"text_{s}"))
     joined = wanted.join(side("a"), ["ord_a", "th_a"]).join(side("b"), ["ord_b", "th_b"])
     return materialise(joined.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long"), "linked")
@@ -309,8 +369,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     base = _identified(docs)
     prof = materialise(base.mapInArrow(_profile, "ord long, th long, n long, cid long, bits binary, often array<long>, often_n array<long>"), "sets")
     often = prof.select(F.explode(F.arrays_zip("often", "often_n")).alias("x")).groupBy("x.often").agg(F.sum("x.often_n").alias("n"))
-    top = often.orderBy(F.desc("n"), "often").limit(FREQUENT).collect()  # FREQUENT numbers at most
-    frequent = np.array([r["often"] for r in reversed(top)], np.int64).view(np.uint64)
+    top = often.orderBy(F.desc("n"), "often").limit(FREQUENT).select("often").toArrow()  # FREQUENT numbers at most
+    frequent = np.asarray(top.column(0).combine_chunks())[::-1].view(np.uint64)
 
     # one row per class: its first document stands for it
     classes = materialise(prof.where("n > 0").groupBy("cid").agg(F.min(F.struct("ord", "th", "n", "bits")).alias("x")).select("cid", "x.*"), "classes")
@@ -323,11 +383,15 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = _verify(base, classes, likely)
     roots = connected(links)
 
-    large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), F.col("n_b").alias("n"))
+    large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), F.col("n_b").alias("n")).distinct()
     rooted = large.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     split = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    tiles = rooted.join(split, "key").join(classes.select("cid", "bits"), "cid").repartition("key").sortWithinPartitions("key", "n", "cid")
-    rest = materialise(tiles.select("key", "n", "cid", "root", "bits").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
+    waiting = materialise(rooted.join(split, "key"), "waiting")
+    members = classes.join(waiting.select("cid").distinct(), "cid").select("ord", "th", "cid")
+    ids = materialise(members, "members")
+    codes = _texts(base, ids.select("ord", "th").distinct()).join(ids, ["ord", "th"]).select("cid", "text").mapInArrow(_codes, "cid long, codes binary")
+    tiles = waiting.join(codes, "cid").repartition("key").sortWithinPartitions("key", "n", "cid")
+    rest = materialise(tiles.select("key", "n", "cid", "root", "codes").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
     if not rest.isEmpty():
         roots = connected(links.union(_verify(base, classes, rest)))
 
