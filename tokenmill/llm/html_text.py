@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -186,6 +187,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     parts: list[str] = []
     # open elements: tag, boilerplate by tag, by name, silent, article
     stack: list[tuple[str, bool, bool, bool, bool]] = []
+    opened: Counter[str] = Counter()
     linked, inside_link, has_article = 0, 0, False
     tag_count = name_count = silent_count = article_count = heading_count = 0
 
@@ -203,6 +205,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     def pop():
         nonlocal tag_count, name_count, silent_count, article_count, heading_count, inside_link
         tag, by_tag, by_name, silent, article = stack.pop()
+        opened[tag] -= 1
         tag_count -= by_tag
         name_count -= by_name
         silent_count -= silent
@@ -229,7 +232,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         if m.group(1):
             if tag not in INLINE:
                 close_block()
-            if any(s[0] == tag for s in stack):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     pop()
                 pop()
@@ -248,13 +251,14 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             while stack and stack[-1][0] in ("head", "title", "style", "script"):
                 pop()
         if tag in ARTICLE:
-            while any(s[1] or s[3] for s in stack):
+            while tag_count + silent_count:
                 pop()
             has_article = True
         named, hidden = _marks(tag, m.group(3)) if m.group(3) else (False, False)
         by_tag = tag in BOILER_TAGS and not (tag == "header" and article_count)
         silent = tag in SILENT or hidden
         stack.append((tag, by_tag, named, silent, tag in ARTICLE))
+        opened[tag] += 1
         tag_count += by_tag
         name_count += named
         silent_count += silent
