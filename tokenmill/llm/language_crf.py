@@ -8,9 +8,9 @@ each word's label probabilities, so text that switches languages is labelled
 part by part. A document's language has the highest mean probability over its
 words with letters, and that mean is the score.
 
-Training: at most ``TRAIN_DOCS`` documents per language (those of smallest
-seeded hash among labelled rows that are not held out and have at most
-``TRAIN_CHARS`` characters), cut into spans that are strung together across
+Training: at most ``TRAIN_DOCS`` documents per language and ``TRAIN_TOTAL``
+together (those of smallest hash among labelled rows that are not held out and
+have at most ``TRAIN_CHARS`` characters), cut into spans that are strung together across
 languages so that switches occur. That sample is bounded, so it is fitted on
 the driver; everything else reads whole texts in Spark tasks.
 
@@ -40,6 +40,7 @@ from tokenmill.llm.scratch import materialise
 from tokenmill.llm.text import _LOWER, Words, mix, slices
 
 TRAIN_DOCS = 300
+TRAIN_TOTAL = 8_000
 TRAIN_CHARS = 20_000
 HASH_BITS = 18
 ORDERS = (2, 3, 4)
@@ -269,9 +270,10 @@ def fit(docs: DataFrame) -> Crf:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").alias("text"))
     fit_for = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") <= TRAIN_CHARS) & F.col("text").rlike(r"\p{L}"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "key"))
-    picked = materialise(fit_for.select("lang", "doc_id", F.xxhash64("text").alias("key")).withColumn("place", place).where(F.col("place") <= TRAIN_DOCS).select("lang", "doc_id", "key"), "sample")
-    sample = fit_for.join(picked.distinct(), (fit_for.doc_id == picked.doc_id) & (F.xxhash64(fit_for.text) == picked.key), "left_semi")
-    got = sample.orderBy("lang", F.xxhash64("doc_id", "text")).select("lang", "text").limit(TRAIN_DOCS * 1000).collect()
+    keys = fit_for.select("lang", "doc_id", F.xxhash64("text").alias("key")).withColumn("place", place).where(F.col("place") <= TRAIN_DOCS)
+    picked = materialise(keys.orderBy("place", "lang").limit(TRAIN_TOTAL).select("doc_id", "key").distinct(), "sample")
+    sample = fit_for.join(picked, (fit_for.doc_id == picked.doc_id) & (F.xxhash64(fit_for.text) == picked.key), "left_semi")
+    got = sample.orderBy("lang", F.xxhash64("doc_id", "text")).select("lang", "text").limit(TRAIN_TOTAL).collect()
     return train([r["text"] for r in got], [r["lang"] for r in got])
 
 
