@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,7 +146,10 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pick = np.flatnonzero(kind >= 0)
         if len(pick):
             rows = batch.take(pa.array(pick))
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(kind[pick].astype(np.int32))], names=names)
+            decided = pa.array(kind[pick] == 0)  # these need no symbols any more
+            symbols = [pc.if_else(decided, None, rows.column(s)) for s in SYMBOLS]
+            rest = [rows.column(c) for c in ("ord", "th", "pos")]
+            yield pa.RecordBatch.from_arrays([*symbols, *rest, pa.array(kind[pick].astype(np.int32))], names=names)
         last = (sym[-1].copy(), least[-1])
     if last is not None:
         yield pa.RecordBatch.from_arrays(
