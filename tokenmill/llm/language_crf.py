@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.llm.scratch import materialise
-from tokenmill.llm.text import _LOWER, Words, mix, slices
+from tokenmill.llm.text import _LOWER, Words, forget_powers, mix, slices
 
 TRAIN_DOCS = 300
 TRAIN_TOTAL = 8_000
@@ -274,7 +274,9 @@ def fit(docs: DataFrame) -> Crf:
     picked = materialise(keys.orderBy("place", "lang").limit(TRAIN_TOTAL).select("doc_id", "key").distinct(), "sample")
     sample = fit_for.join(picked, (fit_for.doc_id == picked.doc_id) & (F.xxhash64(fit_for.text) == picked.key), "left_semi")
     got = sample.orderBy("lang", F.xxhash64("doc_id", "text")).select("lang", "text").limit(TRAIN_TOTAL).collect()
-    return train([r["text"] for r in got], [r["lang"] for r in got])
+    crf = train([r["text"] for r in got], [r["lang"] for r in got])
+    forget_powers()  # the sample was one large slice
+    return crf
 
 
 def predict(docs: DataFrame, crf: Crf) -> DataFrame:

@@ -310,10 +310,9 @@ def _sieve(base: DataFrame, ids: DataFrame) -> DataFrame:
     ``SIEVE_BITS`` bits, of a fixed size whatever the input, keeps most texts
     that no pair needs out of the shuffle. The join that follows is exact."""
     bit = F.col("th").bitwiseAND(SIEVE_BITS - 1)
-    words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(th & 63L as int))")).alias("v")).collect()
+    words = ids.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(th & 63L as int))")).alias("v")).toArrow()
     bits = np.zeros(SIEVE_BITS // 64, np.int64)
-    for w, v in words:
-        bits[w] = v
+    bits[words.column("w").to_numpy()] = words.column("v").to_numpy()
     shared = base.sparkSession.sparkContext.broadcast(np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -98,7 +98,7 @@ def apportion(units: DataFrame, seats: DataFrame, group: list[str], key: list[st
         enough = sum((F.when(F.col(f"c{i}") >= F.col("seats"), 1).otherwise(0) for i in range(1, width)), F.lit(0))
         edge = lambda i: F.col("lo") + (F.col("hi") - F.col("lo")) * (i / float(width))
         bound = counts.withColumn("i", enough).select(*group, "seats", edge(F.col("i")).alias("lo"), F.when(F.col("i") + 1 == width, F.col("hi")).otherwise(edge(F.col("i") + 1)).alias("hi"))
-    bound = materialise(bound, "bounds")
+        bound = materialise(bound, "bounds")  # a row per group; keeps the plans small
     open_ = units.join(bound, group).withColumn("sure", given(F.col("hi"))).withColumn("most", given(F.col("lo")))
     left = open_.groupBy(*group, "seats").agg(F.sum("sure").alias("given")).select(*group, (F.col("seats") - F.col("given")).alias("left"))
     quotients = open_.where("most > sure").select(*group, *key, w.alias("w_"), F.explode(F.sequence("sure", F.col("most") - 1)).alias("seat_"))
@@ -117,9 +117,9 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = materialise(base.mapInArrow(_sizes, "ord long, th long, no_source boolean, source string, size long"), "sizes")
     name = ["no_source", "source"]
     sources = rows.groupBy(*name).agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    sources = materialise(targets(materialise(_ranked(sources), "ranked")), "targets")
-    whole = sources.groupBy(F.lit(0).alias("all")).agg(F.sum("source_size").alias("s")).select("all", F.round(F.col("s") / BLOCK).cast("long").alias("seats"))
-    sources = materialise(apportion(sources.withColumn("all", F.lit(0)), whole, ["all"], name, "target").drop("all"), "quotas")
+    sources = materialise(targets(materialise(_ranked(sources), "ranked")).withColumn("all", F.lit(0)), "targets")
+    whole = sources.groupBy("all").agg(F.sum("source_size").alias("s")).select("all", F.round(F.col("s") / BLOCK).cast("long").alias("seats"))
+    sources = materialise(apportion(sources, whole, ["all"], name, "target").drop("all"), "quotas")
 
     dealt = rows.join(sources.drop("weight"), name).withColumn("shard", F.pmod(F.xxhash64("ord", "th", F.lit(SEED)), F.ceil(F.col("n_docs") / SHARD_DOCS)))
     shards = materialise(dealt.groupBy(*name, "shard").agg(F.sum("size").alias("shard_size")), "shards")

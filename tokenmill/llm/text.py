@@ -37,7 +37,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept per worker."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(2 * n, SLICE_BYTES + 1))
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
@@ -45,6 +45,11 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget_powers() -> None:
+    """Free the powers that are kept; they are made again when needed."""
+    _powers.clear()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser that spreads the bits of a 64-bit hash."""
     h = h ^ (h >> _U(30))
