@@ -505,6 +505,19 @@ def test_random_strings_are_found_and_plain_ones_not(spark):
         assert got[i].base_sha256 == hashlib.sha256(got[i].spans.encode()).hexdigest()
 
 
+def test_random_strings_of_one_case_are_found(spark):
+    rng = random.Random(8)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    sorts = [[draw(a, 32) for _ in range(50)] for a in (lower, upper)]
+    sorts += [[sep.join(draw(a, 8) for _ in range(4)) for _ in range(50)] for a in (lower, upper) for sep in "-_/+="]
+    rows = [(i, f"word {s} word", None, None, 0) for i, s in enumerate(itertools.chain(*sorts))]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(make(spark, rows), RANKS, PATTERN).collect()}
+    for k, sort in enumerate(sorts):
+        # a few strings happen to pack at 2.0 characters per token or more
+        assert sum(got[50 * k + i] == f"random:5:{5 + len(s)}" for i, s in enumerate(sort)) >= 45, sort
+
+
 # 10 --------------------------------------------------------------------------
 
 def test_ids_match_the_library_and_decode(spark):

@@ -10,7 +10,7 @@ characters per token, and is no known digest, identifier, number or part of a
 base span. Known digests are hex of the lengths of common digests
 (the base reports hex as ``hex``); identifiers are UUIDs, words joined by
 ``_``, ``-``, ``.`` or ``/`` whose parts are plain, and names with a number at
-an end.
+an end, if their letters pack at ``RATIO`` characters per token or more.
 
 Spans are code points, end exclusive. Defined results: null text counts as
 empty and has no spans. Null doc_ids and repeated rows are rows like any
@@ -38,6 +38,7 @@ RATIO = 2.0
 RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.I)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z", re.I)
+SEPARATORS = re.compile(r"[-_/+=]+")
 PLAIN_PART = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]+(?:[A-Z][a-z]+)+|(?:[A-Z][a-z]+)+)?[0-9]*\Z")
 
 
@@ -50,16 +51,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def is_named(run: str) -> bool:
-    """Whether a run is a known digest or an identifier."""
-    return bool(DIGEST.match(run) or UUID.match(run)) or all(PLAIN_PART.match(p) for p in re.split(r"[-_/+=]+", run))
+def _letters(part: str) -> str:
+    """What of a part is judged: a plain part without the number at its end."""
+    return part.rstrip("0123456789") if PLAIN_PART.match(part) else part
+
+
+def is_named(run: str, n_tokens) -> bool:
+    """Whether a run is a known digest or an identifier, that is, of plain
+    parts that also pack like words."""
+    if DIGEST.match(run) or UUID.match(run):
+        return True
+    parts = [p for p in SEPARATORS.split(run) if p]
+    if not all(map(PLAIN_PART.match, parts)):
+        return False
+    words = [w for w in map(_letters, parts) if w]
+    return sum(map(len, words)) >= RATIO * sum(map(n_tokens, words))
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], n_tokens) -> list[tuple[int, int, int]]:
     out = []
     for m in RUN.finditer(text):
         run = m.group()
-        if run.isdigit() or is_named(run):
+        if run.isdigit() or is_named(run, n_tokens):
             continue
         if any(s < m.end() and m.start() < e for s, _, e in base):
             continue
