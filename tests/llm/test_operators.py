@@ -518,6 +518,22 @@ def test_random_strings_of_one_case_are_found(spark):
         assert sum(got[50 * k + i] == f"random:5:{5 + len(s)}" for i, s in enumerate(sort)) >= 45, sort
 
 
+def test_random_strings_are_found_beside_plain_words(spark):
+    rng = random.Random(9)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    around = [("/home/service/production/config/", ""), ("com/account/settings/download/", "/file-name"), ("connection_string=", ""), ("d41d8cd9-8f00-3204-a980-0998ecf8427e/", "/users")]
+    cases = [(a, "".join(rng.choice(alphabet) for _ in range(n)), b) for a, b in around for n in (20, 24, 32) for _ in range(20)]
+    plain = ["/home/service/production/config/default-settings/2024-01-15", "users/f81d4fae-7dec-11d0-a765-00a0c91e6bf6/avatar", "a/b/c/d/e/f/g/h/i/j/k/l"]
+    two = "download/" + cases[0][1] + "/administration/configuration/international/organization/government/" + cases[1][1]
+    rows = [(i, f"word {s} word", None, None, 0) for i, s in enumerate(["".join(c) for c in cases] + plain + [two])]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(make(spark, rows), RANKS, PATTERN).collect()}
+    exact = [got[i] == f"random:{5 + len(a)}:{5 + len(a) + len(s)}" for i, (a, s, _) in enumerate(cases)]
+    assert sum(exact) >= 0.95 * len(cases)
+    assert not any("random" in got[len(cases) + i] for i in range(len(plain)))
+    at = [5 + two.index(cases[k][1]) for k in (0, 1)]
+    assert got[len(rows) - 1] == ",".join(f"random:{s}:{s + 20}" for s in at)
+
+
 # 10 --------------------------------------------------------------------------
 
 def test_ids_match_the_library_and_decode(spark):

@@ -4,13 +4,16 @@ Three base patterns find assigned secrets, access keys and long hex runs. On
 top, runs of key characters that look like nothing a language or a program
 would write are found by how badly a tokenizer packs them: a vocabulary
 learned from text needs few tokens for words and identifiers but about one
-token for every character or two of a random string. A run is reported as
-``random`` if it has ``LEAST_CHARS`` characters or more and under ``RATIO``
-characters per token, and is no known digest, identifier, number or part of a
-base span. Known digests are hex of the lengths of common digests
-(the base reports hex as ``hex``); identifiers are UUIDs, words joined by
-``_``, ``-``, ``.`` or ``/`` whose parts are plain, and names with a number at
-an end, if their letters pack at ``RATIO`` characters per token or more.
+token for every character or two of a random string. A run is cut at base
+spans and known digests, and its parts between ``-``, ``_``, ``/``, ``+`` and
+``=`` are judged, so plain words beside a secret do not hide it: each window
+of neighbouring parts that takes more tokens than one for ``RATIO`` characters
+is reported as ``random`` if it has ``LEAST_CHARS`` characters or more. A run
+without such a window is judged whole. Known digests are UUIDs and hex of the
+lengths of common digests (the base reports hex as ``hex``). Identifiers are
+not reported: words joined by separators whose parts are plain, and names with
+a number at an end, if their letters pack at ``RATIO`` characters per token or
+more. Numbers, and parts of one token, are no sign of a secret.
 
 Spans are code points, end exclusive. Defined results: null text counts as
 empty and has no spans. Null doc_ids and repeated rows are rows like any
@@ -38,7 +41,9 @@ RATIO = 2.0
 RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.I)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z", re.I)
-SEPARATORS = re.compile(r"[-_/+=]+")
+KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{DIGEST.pattern[:-2]}|{UUID.pattern[:-2]})(?![A-Za-z0-9])", re.I)
+SIGNS = "-_/+="
+PART = re.compile(r"[A-Za-z0-9]+")
 PLAIN_PART = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]+(?:[A-Z][a-z]+)+|(?:[A-Z][a-z]+)+)?[0-9]*\Z")
 
 
@@ -56,28 +61,105 @@ def _letters(part: str) -> str:
     return part.rstrip("0123456789") if PLAIN_PART.match(part) else part
 
 
+def _score(part: str, n_tokens) -> tuple[float, bool]:
+    """By how much a part takes more tokens than one for ``RATIO`` characters,
+    and whether it may belong to a random part next to it. A part of one
+    token is a word, however short."""
+    word = _letters(part)
+    n = n_tokens(word) if word else 0
+    if n < 2:
+        return min(RATIO - len(word), 0.0), len(word) <= RATIO
+    return RATIO * n - len(word), len(word) < (RATIO + 1) * n
+
+
 def is_named(run: str, n_tokens) -> bool:
     """Whether a run is a known digest or an identifier, that is, of plain
     parts that also pack like words."""
     if DIGEST.match(run) or UUID.match(run):
         return True
-    parts = [p for p in SEPARATORS.split(run) if p]
-    if not all(map(PLAIN_PART.match, parts)):
-        return False
-    words = [w for w in map(_letters, parts) if w]
-    return sum(map(len, words)) >= RATIO * sum(map(n_tokens, words))
+    parts = PART.findall(run)
+    return all(map(PLAIN_PART.match, parts)) and sum(_score(p, n_tokens)[0] for p in parts) <= 0
+
+
+def _pieces(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs, cut at base spans and at known digests and UUIDs."""
+    spans: list[tuple[int, int]] = []  # of the base, put together
+    for s, _, e in base:
+        if spans and s <= spans[-1][1]:
+            spans[-1] = spans[-1][0], max(e, spans[-1][1])
+        else:
+            spans.append((s, e))
+    at = 0
+    for m in RUN.finditer(text):
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        cuts = [(k.start(), k.end()) for k in KNOWN.finditer(text, m.start(), m.end())]
+        i = at
+        while i < len(spans) and spans[i][0] < m.end():
+            cuts.append(spans[i])
+            i += 1
+        lo, hi = m.span()
+        for s, e in [*sorted(cuts), (hi, hi)]:
+            # the signs beside a cut belong to neither side
+            piece = text[lo:s].lstrip(SIGNS) if lo > m.start() else text[lo:s]
+            first = max(s, lo) - len(piece)
+            if s < hi:
+                piece = piece.rstrip(SIGNS)
+            if len(piece) >= LEAST_CHARS:
+                yield first, first + len(piece)
+            lo = max(lo, e)
+
+
+def _windows(scores: list[tuple[float, bool]]) -> list[tuple[int, int]]:
+    """The windows (first, end) of neighbouring parts whose scores add up to
+    most, from left to right."""
+    out, i = [], 0
+    while i < len(scores):
+        total = most = 0.0
+        end = i + 1
+        for j in range(i, len(scores)):
+            total += scores[j][0]
+            if total <= 0:
+                break
+            if total > most:
+                most, end = total, j + 1
+        if most:
+            out.append((i, end))
+        i = end
+    return out
+
+
+def _widened(scores: list[tuple[float, bool]], first: int, end: int) -> tuple[int, int]:
+    """A window with the parts beside it that may belong to it, if the scores
+    still add up to more than 0."""
+    lo, hi = first, end
+    while lo and scores[lo - 1][1]:
+        lo -= 1
+    while hi < len(scores) and scores[hi][1]:
+        hi += 1
+    return (lo, hi) if sum(s for s, _ in scores[lo:hi]) > 0 else (first, end)
 
 
 def random_spans(text: str, base: list[tuple[int, int, int]], n_tokens) -> list[tuple[int, int, int]]:
     out = []
-    for m in RUN.finditer(text):
-        run = m.group()
-        if run.isdigit() or is_named(run, n_tokens):
-            continue
-        if any(s < m.end() and m.start() < e for s, _, e in base):
+    for lo, hi in _pieces(text, base):
+        run = text[lo:hi]
+        if run.isdigit():
             continue
-        if len(run) < RATIO * n_tokens(run):
-            out.append((m.start(), 3, m.end()))
+        parts = [m.span() for m in PART.finditer(run)]
+        scores = [_score(run[s:e], n_tokens) for s, e in parts]
+        found, at = [], 0
+        for first, end in _windows(scores):
+            first, end = _widened(scores, first, end)
+            # signs at an end of the run belong to the part there
+            s = parts[first][0] if first else 0
+            e = parts[end - 1][1] if end < len(parts) or run[parts[-1][1]:].strip("=") and first else len(run)
+            if s >= at and e - s >= LEAST_CHARS:
+                found.append((lo + s, 3, lo + e))
+                at = e
+        if not found and not is_named(run, n_tokens) and len(run) < RATIO * n_tokens(run):
+            found = [(lo, 3, hi)]
+        out += found
     return out
 
 
