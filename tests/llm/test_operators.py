@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tokenmill.llm import html_text, language_crf, piece_codec, secret_scan, token_counts
+from tokenmill.llm import html_text, language_crf, ngram_jaccard, piece_codec, secret_scan, token_counts
 from tokenmill.llm.components import connected
 from tokenmill.llm.exact_dedup import drop_exact_copies, exact_groups
 from tokenmill.llm.host_rules import host_verdicts, judge, LIMITS
@@ -397,6 +397,38 @@ def test_components(spark):
     assert kept.count() == n_linked + len(none)
 
 
+def test_large_files_are_compared_in_tiles(spark, monkeypatch):
+    # texts of one template, about as alike as the bound, in many components
+    rows = near_copies(8 * SMALL, 5, 6) + near_copies(3 * SMALL, 6, 9, length=80)
+    want = brute_components(rows)
+    assert len({c for *_, c in want}) > 20
+    for spread, rounds in ((16, 0), (16, 2), (ngram_jaccard.SPREAD, 0)):
+        monkeypatch.setattr(ngram_jaccard, "SPREAD", spread)
+        monkeypatch.setattr(ngram_jaccard, "ROUNDS", rounds)
+        same(jaccard_components(make(spark, rows)).select("doc_id", "n_shingles", "component_id").collect(), want)
+
+
+def test_no_task_holds_a_large_file(spark, monkeypatch):
+    monkeypatch.setattr(ngram_jaccard, "SPREAD", 64)
+    n = 4000  # one file: a component of half the classes, and single ones
+    rows = [(7, i, 500 + i % 200, ngram_jaccard_band(500 + i % 200), i if i % 2 else 0) for i in range(n)]
+    waiting = spark.createDataFrame(rows, "key long, cid long, n long, band long, root long")
+    tiled, met = ngram_jaccard._dealt(waiting)
+    held = {}
+    for r in tiled.join(met, "tile").collect():
+        held.setdefault(r.pair, []).append(r)
+    assert max(map(len, held.values())) <= 4 * 64
+    together = {(a.cid, b.cid) for g in held.values() for a in g for b in g}
+    for a in rows[::37]:
+        for b in rows:
+            if a[4] != b[4] and 3 * max(a[2], b[2]) <= 4 * min(a[2], b[2]):
+                assert (a[1], b[1]) in together, (a, b)
+
+
+def ngram_jaccard_band(n):
+    return int(np.floor(np.log(n) / np.log(4 / 3)))
+
+
 def test_long_chains_are_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100)], "a long, b long")
     got = {r.node: r.root for r in connected(links).collect()}

@@ -20,10 +20,14 @@ every document its component_id. No link is lost:
 
 Large groups of near copies would give pairs by the square. A file of over
 ``SMALL`` classes therefore first compares each class with one pivot of its
-band only; after the components of these links are known, all tiles of the
-file are compared, by wider bitmaps and by sorted 32-bit codes that bound the
+band only. After the components of these links are known, ``ROUNDS`` more
+rounds compare what lies in several components with other pivots. Then the
+classes left are dealt into tiles of about ``SPREAD`` classes of one size
+band, a large component into tiles of its own, and every two tiles whose sizes
+fit are compared, by wider bitmaps and by sorted 32-bit codes that bound the
 overlap too, but only pairs of different components, so no pair that could
-join two components is left out.
+join two components is left out. Two tiles are one unit of the shuffle, so a
+large file is spread over as many tasks as it has pairs of tiles.
 
 Defined results: null or empty text has no shingles and component_id is its
 own doc_id. Under five words the whole sequence is one shingle. A null doc_id
@@ -50,6 +54,10 @@ FREQUENT = 1 << 17
 LOCAL_FREQUENT = 2
 SMALL = 32
 TILE = 256
+#: Classes of a tile in the shuffle, about; a task holds two tiles at a time.
+SPREAD = 1 << 10
+#: Rounds with new pivots before tiles are compared.
+ROUNDS = 2
 CHUNK = 1 << 12
 #: Bits of a bitmap in a tile, in times of the usual bitmaps.
 WIDE = 8
@@ -247,16 +255,20 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different components in large files, tile by tile: by
-    bitmaps of about ``WIDE`` bits per shingle, then by sorted codes."""
-    for key, n, cid, root, codes in _whole_files(batches, ["key", "n", "cid", "root", "codes"]):
+    """Likely pairs of different components in two tiles (or one, with
+    itself): by bitmaps of about ``WIDE`` bits per shingle, then by sorted
+    codes."""
+    for key, tile, n, cid, root, codes in _whole_files(batches, ["key", "tile", "n", "cid", "root", "codes"]):
         out = [np.zeros((0, 2), np.int64)]
         codes = [np.frombuffer(c, np.uint32) for c in codes]
         bounds = _file_bounds(key)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            for s in range(lo, hi, TILE):
-                e = min(s + TILE, hi)
-                for t in range(s, hi, TILE):
+            cuts = [lo + c for c in _file_bounds(tile[lo:hi])]
+            # the first tile against the last, which are one if it meets itself
+            first, last = (lo, cuts[1]), (cuts[-2], hi)
+            for s in range(*first, TILE):
+                e = min(s + TILE, first[1])
+                for t in range(s if first == last else last[0], hi, TILE):
                     u = min(t + TILE, hi)
                     if 3 * n[t] > 4 * n[e - 1]:
                         break
@@ -362,6 +374,48 @@ def _verify(base: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialise(joined.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long"), "linked")
 
 
+def _waiting(large: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, cid, n, band, root) of the large files whose classes fall into
+    several components."""
+    rooted = large.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    split = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
+    band = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("long")
+    return materialise(rooted.join(split, "key").select("key", "cid", "n", band.alias("band"), "root"), "waiting")
+
+
+def _pivot_pairs(waiting: DataFrame, turn: int) -> DataFrame:
+    """Pairs of different components of each class with two pivots of its
+    band: one class dealt by lot, and one of a component dealt by lot, so that
+    small components have their turn beside a large one."""
+    lot = F.xxhash64("cid", F.lit(turn))
+    pivots = waiting.groupBy("key", "band").agg(F.min_by(F.struct("cid", "root", "n"), lot).alias("x"),
+                                                F.min_by(F.struct("cid", "root", "n"), F.struct(F.xxhash64("root", F.lit(turn)), lot)).alias("y"))
+    pivots = pivots.select("key", "band", F.explode(F.array("x", "y")).alias("p"))
+    met = waiting.join(pivots, ["key", "band"]).where("root <> p.root and 3 * greatest(n, p.n) <= 4 * least(n, p.n)")
+    return met.select(F.expr("least(cid, p.cid)").alias("a"), F.expr("greatest(cid, p.cid)").alias("b")).distinct()
+
+
+def _dealt(waiting: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The tile of each row of ``waiting`` (key, cid, n, root, tile), and the
+    pairs of tiles to be compared (tile, pair), a row for each of the two. A
+    component of ``SPREAD`` classes or more in a band of a file has tiles of
+    its own, which are not compared with each other; the rest share."""
+    group = ["key", "band", "own"]
+    count = waiting.groupBy("key", "band", "root").agg(F.count("*").alias("m")).withColumn("own", F.when(F.col("m") >= SPREAD, F.col("root")))
+    slots = F.ceil(F.sum("m") / SPREAD).cast("long")
+    sizes = count.groupBy(group).agg(slots.alias("slots"))
+    tile = F.xxhash64("key", "band", "own", F.col("own").isNull(), "slot").alias("tile")
+    rows = waiting.join(count.select("key", "band", "root", "own"), ["key", "band", "root"]).alias("w")
+    rows = rows.join(sizes.alias("s"), F.expr("w.key = s.key and w.band = s.band and w.own <=> s.own")).select("w.*", "s.slots")
+    rows = rows.withColumn("slot", F.pmod(F.xxhash64(F.when(F.col("own").isNull(), F.col("root")).otherwise(F.col("cid"))), "slots"))
+    tiles = sizes.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))).select("key", "band", "own", tile)
+    one = tiles.select("key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("band").alias("from"), F.col("own").alias("own_a"), F.col("tile").alias("a"))
+    two = tiles.select("key", "band", F.col("own").alias("own_b"), F.col("tile").alias("b"))
+    met = one.join(two, ["key", "band"]).where("(from < band or a <= b) and coalesce(own_a <> own_b, true)")
+    pairs = met.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("tile"), F.xxhash64("a", "b").alias("pair"))
+    return rows.select("key", "cid", "n", "root", tile), pairs
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(ord, th, doc_id, n_shingles, component_id) of every row of ``docs``;
     ord and th identify a row by its id and text."""
@@ -378,21 +432,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     pairs = found.where("kind = 0").select("a", "b").distinct()
     side = lambda s: classes.select(F.col("cid").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
-    likely = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_likely, "a long, b long")
-    links = _verify(base, classes, likely)
+    sized = lambda x: x.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_likely, "a long, b long")
+    links = _verify(base, classes, sized(pairs))
     roots = connected(links)
 
     large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), F.col("n_b").alias("n")).distinct()
-    rooted = large.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    waiting = materialise(rooted.join(split, "key"), "waiting")
-    members = classes.join(waiting.select("cid").distinct(), "cid").select("ord", "th", "cid")
-    ids = materialise(members, "members")
-    codes = _texts(base, ids.select("ord", "th").distinct()).join(ids, ["ord", "th"]).select("cid", "text").mapInArrow(_codes, "cid long, codes binary")
-    tiles = waiting.join(codes, "cid").repartition("key").sortWithinPartitions("key", "n", "cid")
-    rest = materialise(tiles.select("key", "n", "cid", "root", "codes").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
-    if not rest.isEmpty():
-        roots = connected(links.union(_verify(base, classes, rest)))
+    waiting = _waiting(large, roots)
+    for turn in range(ROUNDS):
+        if waiting.isEmpty():
+            break
+        more = _verify(base, classes, sized(_pivot_pairs(waiting, turn)))
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = connected(links)
+            waiting = _waiting(large, roots)
+    if not waiting.isEmpty():
+        members = classes.join(waiting.select("cid").distinct(), "cid").select("ord", "th", "cid")
+        ids = materialise(members, "members")
+        codes = _texts(base, ids.select("ord", "th").distinct()).join(ids, ["ord", "th"]).select("cid", "text").mapInArrow(_codes, "cid long, codes binary")
+        rows, met = _dealt(waiting)
+        tiles = rows.drop("key").join(codes, "cid").join(met, "tile").withColumnRenamed("pair", "key").repartition("key").sortWithinPartitions("key", "tile", "n", "cid")
+        rest = materialise(tiles.select("key", "tile", "n", "cid", "root", "codes").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
+        if not rest.isEmpty():
+            roots = connected(links.union(_verify(base, classes, rest)))
 
     rows = prof.where("n > 0").select("ord", "th", "n", "cid")
     named = rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
