@@ -243,6 +243,36 @@ def test_html_pages(spark):
     assert html_text.extract(df.where("false")).collect() == []
 
 
+def test_html_wrappers_with_names_of_boilerplate():
+    tree = html_text.trained()
+    one, two, aside = prose(60, 71), prose(60, 72), prose(25, 73)
+    body = f"<p>{one}</p><p>{two}</p>"
+    side = f"<div class='sidebar'><p>{aside}</p></div><div class='comments'><p>{prose(40, 74)}</p></div>"
+    for name in ("layout has-sidebar", "elementor-widget", "page-with-comments", "form-page", "widget"):
+        assert html_text.extract_text(f"<body><div class='{name}'><article>{body}</article></div></body>", tree) == f"{one} {two}", name
+        assert html_text.extract_text(f"<body><div class='{name}'><article>{body}</article>{side}</div><footer>{aside}</footer></body>", tree) == f"{one} {two}", name
+    for name in ("layout has-sidebar", "page-with-comments"):
+        assert html_text.extract_text(f"<body><div class='{name}'><div>{body}</div>{side}</div></body>", tree) == f"{one} {two}", name
+    # a long discussion is none of the page's text, whether in articles or not
+    talk = "".join(f"<article class=comment><p>{prose(30, 80 + i)}</p></article>" for i in range(9))
+    for name in ("comments", "comment-list"):
+        for t in (talk, talk.replace("article", "div")):
+            assert html_text.extract_text(f"<body><article>{body}</article><div class='{name}'>{t}</div></body>", tree) == f"{one} {two}", name
+            assert html_text.extract_text(f"<body><div class='page-with-comments'><article>{body}</article><div class='comments'>{t}</div></div></body>", tree) == f"{one} {two}", name
+
+
+def test_html_articles_that_are_teasers():
+    tree = html_text.trained()
+    one, two, teaser = prose(60, 75), prose(60, 76), prose(20, 77)
+    body = f"<div><p>{one}</p><p>{two}</p></div>"
+    for tag in ("aside", "nav", "footer"):
+        for page in (f"{body}<{tag}><article><p>{teaser}</p></article></{tag}>", f"<{tag}><div><article><p>{teaser}</p></article></div></{tag}>{body}"):
+            assert html_text.extract_text(f"<body>{page}</body>", tree) == f"{one} {two}", page
+    assert html_text.extract_text(f"<body>{body}<div class='related'><article><p>{teaser}</p></article></div></body>", tree) == f"{one} {two}"
+    # an unclosed nav still ends at the article
+    assert html_text.extract_text(f"<body><nav><a href=x>Home</a><article>{body}</article><p>{teaser}</p></body>", tree) == f"{one} {two}"
+
+
 def test_html_articles_of_the_given_pages(spark):
     import html
     pages = spark.read.parquet(f"{SF}/pages.parquet")

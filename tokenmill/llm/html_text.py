@@ -10,6 +10,12 @@ inside a heading. A
 decision tree, trained on the small labelled table ``LABELLED``, keeps or
 drops the block. Kept blocks are joined in page order.
 
+An element whose names mark boilerplate may wrap the whole page (``has-sidebar``,
+``page-with-comments``). The mark is void if the article inside holds most of
+the page's words, or if the name is a compound and the element holds most of
+the words that no plain mark (``sidebar``, ``comments``) is on. An article
+inside an aside, nav or footer, or inside boilerplate by name, is none.
+
 Defined results: null or empty html has empty text. Character references are
 decoded, white space inside a block becomes one space, blocks are trimmed.
 Scripts, styles, templates, comments, hidden elements and the head are no
@@ -23,6 +29,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,6 +43,7 @@ SILENT = frozenset("script style noscript template head title svg math iframe ob
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
+ASIDES = ("aside", "nav", "footer")
 BOILER_TAGS = frozenset("nav footer aside form dialog menu header".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of a class, id or role that mark boilerplate.
@@ -169,50 +177,115 @@ def trained(table: str = LABELLED) -> Tree:
     return Tree().fit(rows[:, :-1], rows[:, -1])
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is boilerplate by its names, and whether hidden."""
-    named = hidden = False
+def _marks(tag: str, attributes: str) -> tuple[int, bool]:
+    """Whether an element is boilerplate by its names (2: by a whole name, 1:
+    by a part of a compound, 0: not), and whether hidden."""
+    named, hidden = 0, False
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
             hidden = True
         elif key in ("class", "id", "role", "aria-label") and tag not in ("html", "body", "article", "main"):
-            named = named or any(p.lower() in BOILER_NAMES for p in NAME_PART.findall(value))
+            if any(p.lower() in BOILER_NAMES for p in NAME_PART.findall(value)):
+                whole = any(p.lower() in BOILER_NAMES for p in value.split())
+                named = max(named, 2 if whole else 1)
     return named, hidden
 
 
+def _place(words: list[int], inside: list[tuple[int, int]], names: list[tuple[int, int]], articles: list[tuple[int, int]], first_heading: int | None) -> tuple[list[bool], list[bool], bool]:
+    """For each block whether it is boilerplate by name and whether inside an
+    article, and whether there is an article. ``inside`` is the nearest named
+    element and article of each block (-1: none), ``names`` the mark of each
+    named element and the one around it, ``articles`` the named element and
+    the article around each article, ``first_heading`` the block of the first
+    h1. What is around has the smaller number, so one pass each way is enough."""
+    whole = []
+    for mark, up in names:
+        whole.append(mark == 2 or up >= 0 and whole[up])
+    held, by_article, plain = [0] * len(names), [0] * len(articles), 0
+    for n, (name, article) in zip(words, inside):
+        if article >= 0:
+            by_article[article] += n
+        if name < 0 or not whole[name]:
+            plain += n
+            if name >= 0:
+                held[name] += n
+    for i in range(len(names) - 1, -1, -1):
+        if names[i][1] >= 0:
+            held[names[i][1]] += held[i]
+    for i in range(len(articles) - 1, -1, -1):
+        if articles[i][1] >= 0:
+            by_article[articles[i][1]] += by_article[i]
+    main = by_article.index(max(by_article)) if any(by_article) else None
+    around = []
+    at = articles[main][0] if main is not None else inside[first_heading][0] if first_heading is not None else -1
+    while at >= 0:
+        around.append(at)
+        at = names[at][1]
+    if main is None and first_heading is None:
+        around = range(len(names))
+    most = main is not None and 2 * by_article[main] > sum(words)
+    void = {i for i in around if most or names[i][0] == 1 and 2 * held[i] > plain}
+    marked: list[bool] = []
+    for i, (_, up) in enumerate(names):
+        marked.append(i not in void or up >= 0 and marked[up])
+    valid = [name < 0 or not marked[name] for name, _ in articles]
+    some = any(valid)
+    for i, (_, up) in enumerate(articles):
+        valid[i] = valid[i] or up >= 0 and valid[up]
+    return [name >= 0 and marked[name] for name, _ in inside], [article >= 0 and valid[article] for _, article in inside], some
+
+
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """Texts of the blocks of a page and their features."""
     texts, rows = [], []
     parts: list[str] = []
     # open elements: tag, boilerplate by tag, by name, silent, article
-    stack: list[tuple[str, bool, bool, bool, bool]] = []
+    stack: list[tuple[str, bool, int, bool, bool]] = []
+    names: list[tuple[int, int]] = []
+    articles: list[tuple[int, int]] = []
+    above, within = [-1], [-1]  # open elements with names of boilerplate, open articles
+    inside: list[tuple[int, int]] = []
+    first_heading = None
+    ends: dict[str, list[tuple[int, bool]]] = {}
     opened: Counter[str] = Counter()
-    linked, inside_link, has_article = 0, 0, False
-    tag_count = name_count = silent_count = article_count = heading_count = 0
+    linked, inside_link = 0, 0
+    tag_count = silent_count = heading_count = 0
 
     def close_block():
-        nonlocal linked
+        nonlocal linked, first_heading
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
                 n = text.count(" ") + 1
                 texts.append(text)
-                rows.append((n, min(linked / n, 1.0), tag_count > 0, name_count > 0, article_count > 0, heading_count > 0))
+                if first_heading is None and opened["h1"] and not tag_count:
+                    first_heading = len(rows)
+                rows.append((n, min(linked / n, 1.0), tag_count > 0, 0, 0, heading_count > 0))
+                inside.append((above[-1], within[-1]))
         linked = 0
 
     def pop():
-        nonlocal tag_count, name_count, silent_count, article_count, heading_count, inside_link
+        nonlocal tag_count, silent_count, heading_count, inside_link
         tag, by_tag, by_name, silent, article = stack.pop()
         opened[tag] -= 1
         tag_count -= by_tag
-        name_count -= by_name
         silent_count -= silent
-        article_count -= article
+        if by_name:
+            above.pop()
+        if article:
+            within.pop()
         heading_count -= tag in HEADINGS
         inside_link -= tag == "a"
 
+    def closes(tag: str, pos: int) -> bool:
+        """Whether an open element is closed after ``pos``, before the next of its kind."""
+        if tag not in ends:
+            ends[tag] = [(m.start(), bool(m.group(1))) for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", page, re.I)]
+        at = bisect_left(ends[tag], (pos, False))
+        return at < len(ends[tag]) and ends[tag][at][1]
+
     pos, n = 0, len(page)
     while pos < n:
         m = TOKEN.match(page, pos)
@@ -250,19 +323,23 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         if tag == "body":
             while stack and stack[-1][0] in ("head", "title", "style", "script"):
                 pop()
-        if tag in ARTICLE:
+        article = tag in ARTICLE and not any(opened[t] and closes(t, pos) for t in ASIDES)
+        if article:
             while tag_count + silent_count:
                 pop()
-            has_article = True
-        named, hidden = _marks(tag, m.group(3)) if m.group(3) else (False, False)
-        by_tag = tag in BOILER_TAGS and not (tag == "header" and article_count)
+        named, hidden = _marks(tag, m.group(3)) if m.group(3) else (0, False)
+        by_tag = tag in BOILER_TAGS and not (tag == "header" and len(within) > 1)
         silent = tag in SILENT or hidden
-        stack.append((tag, by_tag, named, silent, tag in ARTICLE))
+        stack.append((tag, by_tag, named, silent, article))
         opened[tag] += 1
         tag_count += by_tag
-        name_count += named
         silent_count += silent
-        article_count += tag in ARTICLE
+        if named:
+            above.append(len(names))
+            names.append((named, above[-2]))
+        if article:
+            within.append(len(articles))
+            articles.append((above[-1], within[-2]))
         heading_count += tag in HEADINGS
         inside_link += tag == "a"
         if tag in RAW:
@@ -276,6 +353,8 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     near = np.zeros((len(r), 4))
     near[1:, :2] = r[:-1, :2]
     near[:-1, 2:] = r[1:, :2]
+    words = [0 if row[2] else row[0] for row in rows]
+    r[:, 3], r[:, 4], has_article = _place(words, inside, names, articles, first_heading)
     outside = np.where(r[:, 4] > 0, 0, 1) if has_article else np.full(len(r), 0.5)
     return texts, np.column_stack([r[:, :2], near, r[:, 2:4], outside, r[:, 5]])
 
