@@ -9,6 +9,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tokenmill.llm import html_text, language_crf, ngram_jaccard, piece_codec, secret_scan, token_counts
 from tokenmill.llm.components import connected
@@ -370,6 +371,20 @@ def test_switched_text_and_no_letters(spark):
     assert (labels[:n] == "en").mean() > 0.9 and (labels[n:] == "de").mean() > 0.9
 
 
+def test_texts_in_several_languages_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    part = {x: [r.text for r in docs.where(F.col("lang") == x).orderBy("doc_id").limit(4).collect()] for x in ("en", "de", "fr", "es")}
+    cut = lambda x, i: " ".join(part[x][i].split()[:60])
+    rows = [(800_000 + i, " ".join(cut(x, i) for x in ("en", "de", "fr")), None, "mixed", 1) for i in range(4)]
+    rows += [(800_010 + i, " ".join(cut(x, i) for x in ("en", "de", "fr", "es")), None, "mixed", 1) for i in range(4)]
+    rows += [(800_020, "12 34 -- !!", None, "mixed", 1), (800_021, None, None, "mixed", 1)]
+    mixed = docs.select("doc_id", "text", "lang", "source", "n_chars").union(make(spark, rows))
+    scores = {r.doc_id: r.score for r in language_crf.identify(mixed).where("doc_id >= 800000").collect()}
+    assert all(scores[r[0]] < 0.5 for r in rows)
+    kept = {r.doc_id for r in language_crf.drop_unidentified(mixed).where("doc_id >= 800000").collect()}
+    assert kept == {r[0] for r in rows[:8]}
+
+
 # 7 ---------------------------------------------------------------------------
 
 def shingles(text):

@@ -6,7 +6,9 @@ affixes) and of the word itself if it is in the lexicon of training words;
 labels of neighbours are tied by learned transitions. Forward-backward gives
 each word's label probabilities, so text that switches languages is labelled
 part by part. A document's language has the highest mean probability over its
-words with letters, and that mean is the score.
+words with letters, and that mean is the score. The filter goes by the words'
+own certainty (the mean of each word's highest probability), so a text in
+several languages stays if its words are told.
 
 Training: at most ``TRAIN_DOCS`` documents per language and ``TRAIN_TOTAL``
 together (those of smallest hash among labelled rows that are not held out and
@@ -51,7 +53,8 @@ BATCH = 256
 CHAIN = 48
 RATE = 0.25
 SHRINK = 1e-6
-#: The least score of a document that the filter keeps.
+#: The least mean of the words' highest probabilities of a document that the
+#: filter keeps.
 LEAST_SCORE = 0.5
 _U = np.uint64
 
@@ -241,7 +244,7 @@ def _label(model: dict):
             for part in slices(batch):
                 w = Words.of(part.column("text"), lower=True)
                 n = part.num_rows
-                pred, best = np.full(n, "und", object), np.zeros(n)
+                pred, best, certain = np.full(n, "und", object), np.zeros(n), np.zeros(n)
                 if labels and len(w.start):
                     _, one, back = np.unique(w.hash, return_index=True, return_inverse=True)
                     score = emissions(model["grams"], model["lexicon"], model["words"], w, one, w.hash[one])[back]
@@ -255,9 +258,10 @@ def _label(model: dict):
                     top = total.argmax(1)
                     pred[some] = np.array(labels, object)[top[some]]
                     best[some] = np.clip(total[some, top[some]] / mass[some], 0, 1)
+                    certain[some] = np.clip(np.bincount(w.doc, votes.max(1), n)[some] / mass[some], 0, 1)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in part.schema.names if c not in ("text", "letters")), pa.array(pred.tolist(), pa.string()), pa.array(best)],
-                    names=[*(c for c in part.schema.names if c not in ("text", "letters")), "lang_pred", "score"])
+                    [*(part.column(c) for c in part.schema.names if c not in ("text", "letters")), pa.array(pred.tolist(), pa.string()), pa.array(best), pa.array(certain)],
+                    names=[*(c for c in part.schema.names if c not in ("text", "letters")), "lang_pred", "score", "certain"])
     return run
 
 
@@ -279,8 +283,9 @@ def fit(docs: DataFrame) -> Crf:
     return crf
 
 
-def predict(docs: DataFrame, crf: Crf) -> DataFrame:
-    """doc_id, key (of the text), held_out, lang_pred, score of every row."""
+def _told(docs: DataFrame, crf: Crf) -> DataFrame:
+    """doc_id, key (of the text), held_out, lang_pred, score, certain (the
+    mean of the words' highest probabilities) of every row."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(crf.save())  # fixed size per label
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"),
@@ -290,7 +295,12 @@ def predict(docs: DataFrame, crf: Crf) -> DataFrame:
     def run(batches):
         yield from _label(model.value)(batches)
 
-    return rows.mapInArrow(run, "doc_id long, key long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, "doc_id long, key long, held_out boolean, lang_pred string, score double, certain double")
+
+
+def predict(docs: DataFrame, crf: Crf) -> DataFrame:
+    """doc_id, key (of the text), held_out, lang_pred, score of every row."""
+    return _told(docs, crf).drop("certain")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -303,8 +313,9 @@ def crc_held_out(doc_id: int) -> bool:
 
 
 def drop_unidentified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose language is told with enough certainty."""
-    found = identify(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    """The rows of ``docs`` whose words' languages are told with enough
+    certainty, whether they have one language or several."""
+    found = _told(docs, fit(docs)).where((F.col("lang_pred") != "und") & (F.col("certain") >= LEAST_SCORE))
     kept = materialise(found.select(F.col("doc_id").alias("id_"), F.col("key").alias("key_")).distinct(), "identified")
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(kept.id_) & (key == kept.key_), "left_semi")
