@@ -11,12 +11,15 @@ from tokenmill.llm.exact_dedup import exact_groups
 from tokenmill.llm.host_rules import judge
 from tokenmill.llm.html_text import extract
 from tokenmill.llm.language_crf import identify
+from tokenmill.llm.lexical_search import search
+from tokenmill.llm.merkle_manifest import prove
 from tokenmill.llm.ngram_jaccard import jaccard_components
 from tokenmill.llm.piece_codec import code
 from tokenmill.llm.secret_scan import scan
 from tokenmill.llm.source_mix import mix
 from tokenmill.llm.substring_dedup import dedup_substrings
 from tokenmill.llm.token_counts import count_redacted
+from tokenmill.llm.topk_search import top_k
 
 #: Folder with the vocabulary files of public tokenizers.
 TOKENIZERS = "/opt/tokenizers"
@@ -130,6 +133,80 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prove(_documents(spark, sf_dir))
+
+
+def _merkle_sql(levels: int = 7, top_levels: int = 7) -> str:
+    """Level by level; enough for 8 ** levels leaves in a language and as
+    many languages. CRC-32 is a fold over the bits of the decimal id."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    digest = "sha256(" + " || ".join(["{0}" if c == "text" else field(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = """xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+    ctes = [f"""leaves AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, leaf) - 1 AS pos FROM (
+            SELECT doc_id, coalesce('=' || lang, '') AS t, {digest.format(field('text'))} AS leaf,
+            CASE WHEN {crc} % 3 = 0 THEN {digest.format(field(lower))} END AS changed FROM documents))""",
+            "n0 AS (SELECT t, pos, leaf AS node FROM leaves)", "f0 AS (SELECT doc_id, leaf, t, pos, coalesce(changed, leaf) AS node, '' AS proof FROM leaves)"]
+
+    def climb(n: str, f: str, count: int) -> tuple[str, str]:
+        for i in range(count):
+            ctes.append(f"""{n}{i + 1} AS (SELECT t, pos // 8 AS pos, any_value(c) AS c, list(node ORDER BY pos) AS run,
+                CASE WHEN any_value(c) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node
+                FROM (SELECT t, pos, node, count(*) OVER (PARTITION BY t) AS c FROM {n}{i}) GROUP BY t, pos // 8)""")
+            ctes.append(f"""{f}{i + 1} AS (SELECT * EXCLUDE (others, near, far, old, c), CASE WHEN c = 1 THEN old ELSE sha256(near || old || far) END AS node,
+                CASE WHEN c = 1 THEN others ELSE others || near || far END AS proof FROM (
+                SELECT f.* EXCLUDE (pos, node, proof), f.pos // 8 AS pos, f.node AS old, f.proof AS others, n.c,
+                array_to_string(n.run[1:f.pos % 8], '') AS near, array_to_string(n.run[f.pos % 8 + 2:], '') AS far
+                FROM {f}{i} f JOIN {n}{i + 1} n ON n.t = f.t AND n.pos = f.pos // 8))""")
+        return f"{n}{count}", f"{f}{count}"
+    n, f = climb("n", "f", levels)
+    ctes += [f"m0 AS (SELECT 0 AS t, t AS lang, node, row_number() OVER (ORDER BY t) - 1 AS pos FROM {n})",
+             f"g0 AS (SELECT f.doc_id, f.leaf, f.node, f.proof, m0.node AS subroot, m0.pos, 0 AS t FROM {f} f JOIN m0 ON m0.lang = f.t)"]
+    m, g = climb("m", "g", top_levels)
+    return f"""WITH {', '.join(ctes)} SELECT g.doc_id, g.leaf, g.subroot, m.node AS root, sha256(g.proof) AS proof_sha256,
+        g.node AS folded_root, g.node = m.node AS verified FROM {g} g, {m} m"""
+
+
+OP11_SQL = _merkle_sql()
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
+    return top_k(vectors, 5, F.col("vec_id") % 50 == 0)
+
+
+OP12_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM s
+WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
+
+
+TERM_SQL = r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERM_SQL.format('text')} AS ts FROM documents),
+total AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_all FROM d WHERE len(ts) > 0),
+hits AS (SELECT r, doc_id, any_value(len(ts)) AS n, term, count(*) AS tf FROM (SELECT *, unnest(ts) AS term FROM d) GROUP BY r, doc_id, term),
+items AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERM_SQL.format('text')}) AS term FROM benchmark) GROUP BY item_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM hits GROUP BY term), total),
+parts AS (SELECT i.item_id, h.r, h.doc_id, i.times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + 25 * n * n_docs // n_all))) AS s
+          FROM items i JOIN hits h USING (term) JOIN weights USING (term), total),
+scores AS (SELECT item_id, r, doc_id, sum(s)::BIGINT AS score FROM parts GROUP BY item_id, r, doc_id HAVING sum(s) > 0)
+SELECT item_id, (row_number() OVER best)::INT AS rank, doc_id, score FROM scores
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 20
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -141,10 +218,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_secret_scan": op9_secret_scan,
     "op10_piece_codec": op10_piece_codec,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_topk_search": op12_topk_search,
+    "op13_lexical_search": op13_lexical_search,
 }
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op5_host_rules": OP5_SQL,
     "op7_ngram_jaccard": OP7_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_topk_search": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
