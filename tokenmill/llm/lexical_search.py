@@ -94,7 +94,7 @@ def folded(column) -> tuple[np.ndarray, np.ndarray]:
     return out, begins
 
 
-def scan(column, automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def scan(column, automaton, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Terms of each text with repeats, and (document, term, tf) of the hits."""
     text, begins = folded(column)
     is_term = text != BLANK
@@ -103,10 +103,10 @@ def scan(column, automaton) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     at, term = [], []
     lo = 0
     while lo < len(text) - 1:
-        hi = min(lo + CHUNK, len(text) - 1)
+        hi = min(lo + chunk, len(text) - 1)
         while text[hi] != BLANK:  # the last byte is a blank
-            step = np.flatnonzero(text[hi:hi + CHUNK] == BLANK)
-            hi = hi + int(step[0]) if len(step) else hi + CHUNK
+            step = np.flatnonzero(text[hi:hi + chunk] == BLANK)
+            hi = hi + int(step[0]) if len(step) else hi + chunk
         hits = np.fromiter(itertools.chain.from_iterable(automaton.iter(text[lo:hi + 1].tobytes().decode("latin-1"))), np.int64).reshape(-1, 2)
         # a hit ends at the blank after the term
         at.append(hits[:, 0] + (lo - 1))
@@ -160,7 +160,7 @@ class Best:
         self.least[self.item[full]], self.least_ord[self.item[full]] = self.score[full], self.ord[full]
 
 
-def _score(group, weight, n_docs: int, n_all: int, k: int):
+def _score(group, weight, n_docs: int, n_all: int, k: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, w = group.value, weight.value
         automaton = _automaton(items)
@@ -180,8 +180,8 @@ def _score(group, weight, n_docs: int, n_all: int, k: int):
                 cuts = np.searchsorted(doc, np.arange(len(ords) + 1))
                 lo = 0
                 while lo < len(ords):
-                    hi = int(np.searchsorted(upto[cuts], upto[cuts[lo]] + PIECE, side="right")) - 1
-                    hi = min(max(hi, lo + 1), lo + max(PIECE // n_items, 1), len(ords))
+                    hi = int(np.searchsorted(upto[cuts], upto[cuts[lo]] + piece, side="right")) - 1
+                    hi = min(max(hi, lo + 1), lo + max(piece // n_items, 1), len(ords))
                     a, b = cuts[lo], cuts[hi]
                     own = sizes[a:b]
                     entry = np.repeat(items.first[term[a:b]] - (upto[a:b] - upto[a]), own) + np.arange(upto[b] - upto[a])
@@ -251,7 +251,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 20) -> DataFrame:
         if not n_all:
             continue
         weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * int(x) + 1))) for x in df[:-2]], np.int64)
-        scored = rows.mapInArrow(_score(sent, spark.sparkContext.broadcast(weight), n_docs, n_all, k), "item long, ord long, score long")
+        scored = rows.mapInArrow(_score(sent, spark.sparkContext.broadcast(weight), n_docs, n_all, k, PIECE), "item long, ord long, score long")
         some = Window.partitionBy("item", "part").orderBy(F.desc("score"), "ord")
         scored = (scored.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE))).withColumn("r", F.row_number().over(some))
                   .where(F.col("r") <= k).drop("r", "part"))

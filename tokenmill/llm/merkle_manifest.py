@@ -37,7 +37,6 @@ from tokenmill.llm.scratch import LAST_ID, materialise
 
 FAN = 8
 LEVELS = 3  # levels that a builder adds; it takes FAN ** LEVELS leaves
-BLOCK = FAN ** LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PATH = "array<struct<before:string,after:string>>"
@@ -128,7 +127,7 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
 
 # builders ---------------------------------------------------------------------
 
-def _builders(rows: DataFrame, extra: list[str]) -> DataFrame:
+def _builders(rows: DataFrame, extra: list[str], levels: int) -> DataFrame:
     """One row per aligned block of (tree, at, n, node, *extra): its log, its
     topmost node, and the extra columns as lists in the order of the leaves."""
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -137,32 +136,33 @@ def _builders(rows: DataFrame, extra: list[str]) -> DataFrame:
     def run(key, block):
         block = block.take(pc.sort_indices(block, sort_keys=[("at", "ascending")]))
         n = block["n"][0].as_py()
-        log = append_log(block["node"].to_pylist(), min(LEVELS, height(n)))
+        log = append_log(block["node"].to_pylist(), min(levels, height(n)))
         lists = [pa.array([block[c].to_pylist()], pa.list_(block.schema.field(c).type)) for c in extra]
         return pa.Table.from_arrays(
             [pa.array([key[0].as_py()], pa.string()), pa.array([key[1].as_py()], pa.int64()), pa.array([n], pa.int64()), pa.array([log], pa.list_(pa.string())),
              pa.array([log[-1]], pa.string()), *lists], names=["tree", "builder", "n", "log", "top", *extra])
 
-    blocks = rows.select("tree", F.floor(F.col("at") / BLOCK).alias("builder"), "at", "n", "node", *extra)
+    blocks = rows.select("tree", F.floor(F.col("at") / FAN ** levels).alias("builder"), "at", "n", "node", *extra)
     return blocks.groupBy("tree", "builder").applyInArrow(run, fields)
 
 
-def build(rows: DataFrame, extra: list[str]) -> list[DataFrame]:
+def build(rows: DataFrame, extra: list[str], levels: int = LEVELS) -> list[DataFrame]:
     """The written logs, round by round. A tree's last round is the one where
-    its ``n`` is at most BLOCK; there ``top`` is its root."""
+    it has one builder (its ``n`` is at most a block); there ``top`` is its root."""
+    block = FAN ** levels
     rounds: list[DataFrame] = []
     while True:
-        logs = materialise(_builders(rows, [] if rounds else extra), "merkle-log")
+        logs = materialise(_builders(rows, [] if rounds else extra, levels), "merkle-log")
         rounds.append(logs)
-        if (logs.agg(F.max("n")).first()[0] or 0) <= BLOCK:
+        if (logs.agg(F.max("n")).first()[0] or 0) <= block:
             return rounds
-        rows = logs.where(F.col("n") > BLOCK).select(
-            "tree", F.col("builder").alias("at"), F.ceil(F.col("n") / BLOCK).alias("n"), F.col("top").alias("node"))
+        rows = logs.where(F.col("n") > block).select(
+            "tree", F.col("builder").alias("at"), F.ceil(F.col("n") / block).alias("n"), F.col("top").alias("node"))
 
 
-def roots(rounds: list[DataFrame]) -> DataFrame:
+def roots(rounds: list[DataFrame], levels: int = LEVELS) -> DataFrame:
     """(tree, node): the root of every tree."""
-    found = [logs.where(F.col("n") <= BLOCK).select("tree", F.col("top").alias("node")) for logs in rounds]
+    found = [logs.where(F.col("n") <= FAN ** levels).select("tree", F.col("top").alias("node")) for logs in rounds]
     out = found[0]
     for more in found[1:]:
         out = out.union(more)
@@ -171,11 +171,11 @@ def roots(rounds: list[DataFrame]) -> DataFrame:
 
 # proofs -----------------------------------------------------------------------
 
-def _block_paths(logs: pa.Table, above: pa.Table):
+def _block_paths(logs: pa.Table, above: pa.Table, most: int):
     """The log's leaves, and for each its path up to the root."""
     n, builder = logs["n"][0].as_py(), logs["builder"][0].as_py()
-    levels = min(LEVELS, height(n))
-    m = min(BLOCK, n - builder * BLOCK)
+    levels = min(most, height(n))
+    m = min(FAN ** most, n - builder * FAN ** most)
     log = logs["log"][0].as_py()
     pairs = sibling_pairs(log, m, levels)
     upper = [(p["before"], p["after"]) for p in above["path"][0].as_py()]
@@ -184,15 +184,15 @@ def _block_paths(logs: pa.Table, above: pa.Table):
     return leaves, paths, builder
 
 
-def _down(logs: DataFrame, above: DataFrame) -> DataFrame:
+def _down(logs: DataFrame, above: DataFrame, levels: int) -> DataFrame:
     """(tree, builder, path, subroot, root) for the builders one round below:
     the leaves of ``logs``, whose builders' own paths are ``above``."""
     def run(key, left, right):
         if not left.num_rows:
             paths, first = [], 0
         else:
-            _, paths, builder = _block_paths(left, right)
-            first = builder * BLOCK
+            _, paths, builder = _block_paths(left, right, levels)
+            first = builder * FAN ** levels
         m = len(paths)
         path_type = pa.list_(pa.struct([("before", pa.string()), ("after", pa.string())]))
         ends = [right[c][0].as_py() if m else None for c in ("subroot", "root")]
@@ -205,26 +205,26 @@ def _down(logs: DataFrame, above: DataFrame) -> DataFrame:
             .applyInArrow(run, f"tree string, builder long, path {_PATH}, subroot string, root string"))
 
 
-def _paths_of_builders(rounds: list[DataFrame], ends: DataFrame) -> DataFrame:
+def _paths_of_builders(rounds: list[DataFrame], ends: DataFrame, levels: int) -> DataFrame:
     """(tree, builder, path, subroot, root) for the builders of the first
     round; ``ends`` has path, subroot and root of each whole tree."""
     below = None
     for logs in reversed(rounds):
-        last = logs.where(F.col("n") <= BLOCK).select("tree", "builder").join(ends, "tree").select("tree", "builder", "path", "subroot", "root")
+        last = logs.where(F.col("n") <= FAN ** levels).select("tree", "builder").join(ends, "tree").select("tree", "builder", "path", "subroot", "root")
         above = materialise(last if below is None else last.unionByName(below), "merkle-above")
         if logs is rounds[0]:
             return above
-        below = materialise(_down(logs, above), "merkle-paths")
+        below = materialise(_down(logs, above, levels), "merkle-paths")
     raise AssertionError("a manifest has a first round")
 
 
-def _proofs(logs: DataFrame, above: DataFrame) -> DataFrame:
+def _proofs(logs: DataFrame, above: DataFrame, levels: int) -> DataFrame:
     names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
 
     def run(key, left, right):
         rows = []
         if left.num_rows:
-            leaves, paths, _ = _block_paths(left, right)
+            leaves, paths, _ = _block_paths(left, right, levels)
             subroot, root = right["subroot"][0].as_py(), right["root"][0].as_py()
             for doc_id, leaf, changed, path in zip(left["ord"][0].as_py(), leaves, left["changed"][0].as_py(), paths, strict=True):
                 proof = hashlib.sha256("".join([s for pair in path for s in pair]).encode()).hexdigest()
@@ -259,21 +259,22 @@ def _leaves(docs: DataFrame) -> DataFrame:
                        leaf_digest(own).alias("node"), F.when(hit, lowered).alias("changed"))
 
 
-def manifest(docs: DataFrame) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
+def manifest(docs: DataFrame, levels: int = LEVELS) -> tuple[list[DataFrame], list[DataFrame], DataFrame]:
     """The logs of the languages' trees, those of the tree of subroots, and
-    (tree, node, at, n) of the subroots."""
+    (tree, name, node, at, n) of the subroots. A builder takes
+    ``FAN ** levels`` leaves; that changes no digest."""
     leaves = materialise(_leaves(docs).withColumn("row_id", F.monotonically_increasing_id()), "merkle-leaves")
-    rounds = build(numbered(leaves, ["ord", "node", "row_id"]), ["ord", "changed"])
-    top = roots(rounds).select(F.lit("").alias("tree"), F.col("tree").alias("name"), "node")
+    rounds = build(numbered(leaves, ["ord", "node", "row_id"]), ["ord", "changed"], levels)
+    top = roots(rounds, levels).select(F.lit("").alias("tree"), F.col("tree").alias("name"), "node")
     subroots = numbered(top, ["name"])
-    return rounds, build(subroots, []), subroots
+    return rounds, build(subroots, [], levels), subroots
 
 
-def prove(docs: DataFrame) -> DataFrame:
+def prove(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    rounds, top_rounds, subroots = manifest(docs)
-    whole = roots(top_rounds).select("tree", F.array().cast(_PATH).alias("path"), F.lit("").alias("subroot"), F.col("node").alias("root"))
-    top_paths = _down(top_rounds[0], _paths_of_builders(top_rounds, whole))
+    rounds, top_rounds, subroots = manifest(docs, levels)
+    whole = roots(top_rounds, levels).select("tree", F.array().cast(_PATH).alias("path"), F.lit("").alias("subroot"), F.col("node").alias("root"))
+    top_paths = _down(top_rounds[0], _paths_of_builders(top_rounds, whole, levels), levels)
     ends = (subroots.select("at", F.col("name").alias("tree"), F.col("node").alias("sub"))
             .join(top_paths.select(F.col("builder").alias("at"), "path", "root"), "at").select("tree", "path", F.col("sub").alias("subroot"), "root"))
-    return _proofs(rounds[0], _paths_of_builders(rounds, materialise(ends, "merkle-ends")))
+    return _proofs(rounds[0], _paths_of_builders(rounds, materialise(ends, "merkle-ends"), levels), levels)

@@ -37,7 +37,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept per worker."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
-        size = max(n, min(2 * n, SLICE_BYTES + 1))
+        size = max(n, 1, min(2 * n, SLICE_BYTES + 1))
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
