@@ -211,7 +211,7 @@ def test_search_against_brute_force(spark):
 
 
 def test_search_in_groups_and_pieces(spark, monkeypatch):
-    for name, value in (("MAX_POSTINGS", 10), ("PIECE", 50), ("MERGE", 2)):
+    for name, value in (("MAX_POSTINGS", 100), ("PIECE", 50), ("MERGE", 2)):
         monkeypatch.setattr(lexical_search, name, value)
     rows = awkward_rows() + [(40 + i, prose(50, i), "en", "a", 1) for i in range(40)]
     items = ITEMS + [(20 + i, prose(12, 100 + i)) for i in range(12)]
