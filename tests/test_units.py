@@ -101,6 +101,25 @@ def test_bpe_on_a_generated_corpus(spark):
     assert dec == {r.doc_id: (r.text or "") + chr(7) for r in docs.collect()}
 
 
+@pytest.mark.parametrize("first_hot, most_runs", [(64, 1 << 18), (3, 1 << 18), (1, 1 << 18), (500, 60)])
+def test_bpe_learns_all_merges(spark, first_hot, most_runs):
+    """Until no pair is left: ties, runs of one letter, rounds of any size."""
+    rng = random.Random(7)
+    parts = ["low", "er", "est", "new", "aa", "a", "é", "un", "日"]
+    n_words = 60 if first_hot == 1 else 1200
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randrange(1, 4 if first_hot == 1 else 9))), rng.choice([1, 1, 2, 3])) for _ in range(n_words)]
+    words = Counter()
+    for w, c in [*rows, ("a" * 40, 2), ("ab" * 30, 3)]:
+        words[w] += c
+    hist = spark.createDataFrame(list(words.items()), "piece string, freq long")
+    want = naive_bpe(words, 400 if first_hot > 1 else 40)
+    assert TK.train_bpe(hist, 256 + 9 + (400 if first_hot > 1 else 40), most_runs, first_hot) == want
+    if first_hot == 64:
+        few = dict(list(words.items())[:30])
+        assert TK.train_bpe(spark.createDataFrame(list(few.items()), "piece string, freq long"), 100_000) == naive_bpe(few, 100_000)
+    assert TK.train_bpe(hist.limit(0), 100_000) == []
+
+
 def test_bpe_matches_naive_and_round_trips(spark):
     text = ["low lower lowest", "newer newest new", "wider wide widest low", "aaa aaaa aa"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
@@ -170,7 +189,7 @@ def test_token_bytes_specials_variant(spark):
 def test_bpe_batched_round_trips(spark):
     text = ["the cat sat on the mat", "then the rat ate the oat", "that other hat"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "doc_id long, text string")
-    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 10, checkpoint_every=3)
+    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 10, first_hot=2)
     assert len(merges) == 10 and len({m[2] for m in merges}) == 10
     dec = TK.decode_ids(TK.encode_bpe(docs, merges), TK.merges_vocab(spark, merges)).toPandas()
     assert sorted(dec["text"]) == sorted(text)

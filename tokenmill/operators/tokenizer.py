@@ -2,10 +2,10 @@
 
 * pre-tokenisation is one native ``regexp_extract_all`` (no UDF);
 * the pre-token histogram is a map-side-combined ``groupBy(piece)``;
-* BPE training runs small Spark jobs over the *word table* (distinct
-  pieces with counts), never over the corpus again; one job settles as many
-  merges as its counts prove; lineage is cut with reliable ``checkpoint()``
-  into ``spark.checkpoint.dir``;
+* BPE training runs over the *word table* (distinct pieces with counts), never
+  over the corpus again; a round settles hundreds or thousands of merges from
+  the distinct runs of frequent pairs, then changes words and pair counts;
+  both are written to the folder of ``spark.checkpoint.dir``;
 * encoding and decoding are one pass per document batch without a shuffle;
   merge ranks or token bytes are broadcast (their size is the vocabulary's)
   and workers remember the pieces they have seen, up to a bound.
@@ -16,12 +16,12 @@ from __future__ import annotations
 import heapq
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenmill.functions.text import utf8_byte_ids
+from tokenmill.session import scratch_path
 
 # fixed values: special tokens in id order, and the pre-tokenisation pattern
 SPECIAL_TOKENS = [
@@ -127,91 +127,175 @@ def char_encode(words: DataFrame, vocab: DataFrame, col: str = "word", key: str
 
 # ---------------------------------------------------------------- BPE --
 
-ID_BASE = 0x10000   # a token id is written as the character ID_BASE + id
-TOP_PAIRS = 512     # pairs fetched per training job
+ID_BASE = 0x10000      # a token id is written as the character ID_BASE + id
+FIRST_HOT = 64         # pairs that the first round of training may merge
+MOST_HOT = 1 << 15     # and any round
+MOST_RUNS = 1 << 18    # distinct runs that a round fetches at most
 
 
 def word_table(hist: DataFrame) -> DataFrame:
     """``(word STRING, freq)`` from a piece histogram; a word is a string with
-    one character per token id, so a merge is a plain string replacement."""
+    one character per token id."""
     code = F.array_join(F.transform(utf8_byte_ids("piece"), lambda b: F.lpad(F.hex(b + ID_BASE), 8, "0")), "")
     return hist.select(F.decode(F.unhex(code), "UTF-32").alias("word"), F.col("freq").cast("long").alias("freq")) \
                .groupBy("word").agg(F.sum("freq").alias("freq"))
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """``(pair, n)``: how often two ids stand next to each other."""
-    ids = F.split("word", "")
+def _pairs(word: str, weight: Column) -> Column:
+    ids = F.split(word, "")
     n = F.size(ids)
     pairs = F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1), lambda a, b: F.concat(a, b))
-    return (words.filter(F.length("word") >= 2).select(F.explode(pairs).alias("pair"), "freq")
-                 .groupBy("pair").agg(F.sum("freq").alias("n")))
-
-
-def settled_merges(top: list[tuple[int, int, int]], complete: bool) -> list[tuple[int, int]]:
-    """The merges that the most frequent pairs ``(a, b, n)``, best first,
-    prove to come next, in order. ``complete`` says that no pair is missing.
-
-    The first is certain. A later pair is certain while it shares no id with
-    the merges before it (so its count stands) and is more frequent than any
-    pair these can have created: one with a new id on its right was a pair
-    (x, a) before, one with it on its left a pair (b, y), and a new id next
-    to itself takes two of the old pairs each time."""
-    floor = 0 if complete or not top else top[-1][2]
-    before, after = {}, {}
-    for a, b, n in top:
-        before[b] = max(before.get(b, floor), n)
-        after[a] = max(after.get(a, floor), n)
-    out, used, bound = [], set(), -1
-    for a, b, n in top:
-        if out and (a in used or b in used or n <= bound):
+    return F.when(F.length(word) >= 2, F.transform(pairs, lambda p: F.struct(p.alias("pair"), weight.alias("n"))))
+
+
+def pair_counts(words: DataFrame) -> DataFrame:
+    """``(pair, n)``: how often two ids stand next to each other."""
+    return words.select(F.inline(_pairs("word", F.col("freq")))).groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def changed_counts(counts: DataFrame, rewritten: DataFrame) -> DataFrame:
+    """``counts`` after a round: only words that it changed take part, with
+    their old pairs taken off and their new ones added."""
+    changed = rewritten.where("word <> old")
+    delta = changed.select(F.inline(F.concat(F.coalesce(_pairs("old", -F.col("freq")), F.array()), F.coalesce(_pairs("word", F.col("freq")), F.array()))))
+    return counts.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def hot_runs(words: DataFrame, hot: list[str]) -> DataFrame:
+    """``(run, freq)``: the longest stretches of words whose neighbours are
+    all hot pairs, with how often each occurs."""
+    shared = words.sparkSession.sparkContext.broadcast(frozenset(hot))
+
+    def cut(batches):
+        for pdf in batches:
+            runs, freqs = [], []
+            for word, freq in zip(pdf["word"], pdf["freq"]):
+                start = 0
+                for i in range(1, len(word) + 1):
+                    if i == len(word) or word[i - 1:i + 1] not in shared.value:
+                        if i - start > 1:
+                            runs.append(word[start:i])
+                            freqs.append(freq)
+                        start = i
+            yield pd.DataFrame({"run": pd.Series(runs, dtype=object), "freq": pd.Series(freqs, dtype="int64")})
+
+    return words.mapInPandas(cut, "run string, freq long").groupBy("run").agg(F.sum("freq").alias("freq"))
+
+
+def replay(runs: list[tuple[str, int]], last: tuple[int, int, int] | None, first_id: int, most: int) -> list[tuple[int, int, int]]:
+    """Greedy merges over ``runs`` while the best pair is not worse than
+    ``last`` (-count, a, b), at most ``most``. Counts are kept by deltas, and
+    an index from pair to runs names those that a merge touches."""
+    ids = [[ord(c) - ID_BASE for c in run] for run, _ in runs]
+    count: dict[tuple[int, int], int] = {}
+    where: dict[tuple[int, int], set[int]] = {}
+    for k, (_, freq) in enumerate(runs):
+        for pair in zip(ids[k], ids[k][1:]):
+            count[pair] = count.get(pair, 0) + freq
+            where.setdefault(pair, set()).add(k)
+    heap = [(-n, *pair) for pair, n in count.items()]
+    heapq.heapify(heap)
+    merges: list[tuple[int, int, int]] = []
+    while heap and len(merges) < most:
+        best = heapq.heappop(heap)
+        a, b = best[1:]
+        now = count.get((a, b), 0)
+        if -best[0] != now:
+            if now:  # stale: its present count is entered again
+                heapq.heappush(heap, (-now, a, b))
+            continue
+        if last is not None and best > last:
             break
-        out.append((a, b))
-        used |= {a, b}
-        bound = max(bound, before.get(a, floor), after.get(b, floor), n // 2)
-    return out
+        new = first_id + len(merges)
+        merges.append((a, b, new))
+        touched = set()
+        for k in where.pop((a, b)):
+            old, freq = ids[k], runs[k][1]
+            out, i = [], 0
+            while i < len(old):
+                if old[i] == a and i + 1 < len(old) and old[i + 1] == b:
+                    out.append(new)
+                    i += 2
+                else:
+                    out.append(old[i])
+                    i += 1
+            for pair in zip(old, old[1:]):
+                count[pair] -= freq
+            for pair in zip(out, out[1:]):
+                count[pair] = count.get(pair, 0) + freq
+                where.setdefault(pair, set()).add(k)
+                if new in pair:
+                    touched.add(pair)
+            ids[k] = out
+        count.pop((a, b))
+        for pair in touched:
+            heapq.heappush(heap, (-count[pair], *pair))
+    return merges
+
+
+def rewrite(words: DataFrame, merges) -> DataFrame:
+    """``(old, word, freq)``: every word after ``merges``, in order."""
+    shared = words.sparkSession.sparkContext.broadcast({(a, b): new for a, b, new in merges})
+
+    def run(batches):
+        for pdf in batches:
+            new = ["".join([chr(ID_BASE + x) for x in encode_piece([ord(c) - ID_BASE for c in word], shared.value)]) for word in pdf["word"]]
+            yield pd.DataFrame({"old": pdf["word"], "word": pd.Series(new, dtype=object), "freq": pdf["freq"]})
+
+    return words.select("word", "freq").mapInPandas(run, "old string, word string, freq long")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def train_bpe(hist: DataFrame, vocab_size: int, checkpoint_every: int = 10) -> list[tuple[int, int, int]]:
+def train_bpe(hist: DataFrame, vocab_size: int, most_runs: int = MOST_RUNS, first_hot: int = FIRST_HOT) -> list[tuple[int, int, int]]:
     """Greedy byte-level BPE: ``vocab_size - 256 - 9`` merges, or as many as
     the corpus allows, as ``[(a, b, new_id)]`` in order.
 
     Each merge is the most frequent pair (count desc, then pair asc - our tie
-    rule). A job counts the pairs of the word table and fetches the top ones;
-    ``settled_merges`` takes every merge that these counts prove, and the
-    words are rewritten for all of them at once. The rewritten table is
-    persisted (the next job's count fills it), and every
-    ``checkpoint_every`` jobs a reliable checkpoint cuts the lineage.
+    rule). A round takes the best pairs of the count table, *hot* ones, and
+    cuts the words into runs of hot pairs. Equal runs are added up in Spark,
+    so few distinct ones are left of any number of words; the driver fetches
+    them (their number is checked; above ``most_runs`` the round is repeated
+    with fewer hot pairs) and replays the merges there with counts by deltas
+    and an index. That is exact while the best pair is not worse than the last
+    hot one: other pairs only get rarer, and a pair that a merge makes across
+    the end of a run occurs at most as often as the cold pair that was there,
+    and has a larger id in it, so it comes after the last hot one too. Then
+    the words are rewritten for all merges of the round at once, and the
+    count table gets the difference of the changed words. Words and counts
+    are written in every round, so a lost executor repeats one round at most.
     """
     n_merges = vocab_size - N_BYTES - len(SPECIAL_TOKENS)
     if n_merges < 0:
         raise ValueError("vocab_size must leave room for 256 bytes and 9 specials")
-    words = word_table(hist).checkpoint()
+    words = _written(word_table(hist), "bpe-words")
+    counts = _written(pair_counts(words), "bpe-pairs")
     merges: list[tuple[int, int, int]] = []
-    kept, rounds = [], 0
+    n_hot = first_hot
     while len(merges) < n_merges:
-        rows = pair_counts(words).orderBy(F.col("n").desc(), "pair").limit(TOP_PAIRS).collect()
-        for df in kept[:-1]:
-            df.unpersist()
-        kept = kept[-1:]
-        top = [(ord(r["pair"][0]) - ID_BASE, ord(r["pair"][1]) - ID_BASE, int(r["n"])) for r in rows]
-        chosen = settled_merges(top, len(rows) < TOP_PAIRS)[:n_merges - len(merges)]
-        if not chosen:
+        top = counts.orderBy(F.col("n").desc(), "pair").limit(n_hot + 1).collect()
+        if not top:
             break
-        word = F.col("word")
-        for a, b in chosen:
-            new = N_BYTES + len(merges)
-            merges.append((a, b, new))
-            word = F.replace(word, F.lit(chr(ID_BASE + a) + chr(ID_BASE + b)), F.lit(chr(ID_BASE + new)))
-        rounds += 1
-        words = words.select(word.alias("word"), "freq")
-        if rounds % checkpoint_every == 0:
-            words = words.checkpoint()
-        else:
-            words = words.persist(StorageLevel.MEMORY_AND_DISK)
-            kept.append(words)
-    for df in kept:
-        df.unpersist()
+        hot = top[:n_hot]
+        runs = hot_runs(words, [r["pair"] for r in hot]).limit(most_runs + 1).collect()
+        if len(runs) > most_runs and n_hot > 1:
+            n_hot = max(1, n_hot // 4)
+            continue
+        last = None
+        if len(top) > len(hot):
+            last = (-int(hot[-1]["n"]), *(ord(c) - ID_BASE for c in hot[-1]["pair"]))
+        settled = replay([(r["run"], r["freq"]) for r in runs], last, N_BYTES + len(merges), n_merges - len(merges))
+        merges += settled
+        if len(runs) < most_runs // 4:
+            n_hot = min(2 * n_hot, MOST_HOT)
+        if len(merges) < n_merges:
+            rewritten = _written(rewrite(words, settled), "bpe-words")
+            counts = _written(changed_counts(counts, rewritten), "bpe-pairs")
+            words = rewritten.select("word", "freq")
     return merges
 
 
@@ -229,8 +313,8 @@ def merges_vocab(spark: SparkSession, merges) -> DataFrame:
 REMEMBERED_PIECES = 1 << 20
 
 
-def encode_piece(data: bytes, ranks: dict) -> list[int]:
-    """Ids of one piece: the lowest-ranked pair is merged first, from the
+def encode_piece(data: bytes | list[int], ranks: dict) -> list[int]:
+    """Ids of one piece (its bytes, or ids so far): the lowest-ranked pair is merged first, from the
     left. A heap of pairs over a linked list, so a long piece takes n log n."""
     ids = list(data)
     n = len(ids)

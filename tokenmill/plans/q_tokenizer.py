@@ -10,7 +10,8 @@ from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.registry import query
 from tokenmill.session import scratch_path
 
-BPE_MERGES = 128                      # merges learnt by the registered training job
+VOCAB_SIZE = 32768                    # the reference's vocabulary: 256 bytes, 9 specials, the rest merges
+BPE_MERGES = VOCAB_SIZE - TK.N_BYTES - len(TK.SPECIAL_TOKENS)
 
 
 def _train_docs(spark, sf_dir):
