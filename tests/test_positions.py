@@ -41,3 +41,15 @@ def test_hot_shard_is_split_into_bounded_pack_groups(spark):
     g = assign_pack_groups(df, ["source", "doc_id"], ["split"], group_docs=500)
     sizes = [r["count"] for r in g.groupBy("split", "pack_group").count().collect()]
     assert max(sizes) <= 500 and sum(sizes) == 4000
+
+
+def test_null_groups_and_null_keys_keep_their_rows(spark):
+    rows = [(g, s, i, i % 5) for g in (None, "a") for s in (None, "x") for i in range(20)]
+    df = spark.createDataFrame(rows, "g string, s string, i long, v long")
+    got = {(r.g, r.s, r.i): r.p for r in prefix_sum(df, ["s", "i"], "v", ["g"], out="p").collect()}
+    want = {}
+    for g in (None, "a"):
+        total = 0
+        for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or "", r[2])):
+            want[r[:3]], total = total, total + r[3]
+    assert got == want

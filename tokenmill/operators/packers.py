@@ -9,6 +9,11 @@ the rows (see ``packing.assemble_rows``).
 A placement is ``(doc, row, dst, src, take)``: ``take`` tokens of
 document ``doc`` starting at ``src`` go to row ``row`` at offset ``dst``.
 Every function is deterministic for a given input order.
+
+A stream may come in parts. ``pack(..., last=False)`` packs a part that others
+follow: it stops where the rule would ask for more input, and returns the
+documents of the unfinished row and of the buffer, in order, to be packed
+with those of the other parts.
 """
 
 from __future__ import annotations
@@ -59,6 +64,9 @@ class _LengthBuffer:
         length = self.lens[0]
         return self._pop(length), length
 
+    def docs(self) -> list[int]:
+        return [d for q in self.by_len.values() for d in q]
+
 
 def _out(pl):
     if not pl:
@@ -68,12 +76,14 @@ def _out(pl):
     return a[:, 0], a[:, 1], a[:, 2], a[:, 3], a[:, 4]
 
 
-def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128):
+def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128, left: list | None = None):
     """Largest buffered doc that fits; when none fits, crop the shortest.
 
     The buffer is topped up in batches of ``refill`` while it holds fewer
     than ``buffer_size`` docs. Finite input: the buffer is drained and a
-    last row that cannot be filled is dropped (100% utilisation).
+    last row that cannot be filled is dropped (100% utilisation). With a list
+    ``left`` it stops at the first refill that finds no input instead, and
+    puts the documents of that row and of the buffer there.
     """
     n = len(lengths)
     buf = _LengthBuffer()
@@ -89,6 +99,9 @@ def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128):
                 for d in range(nxt, stop):
                     buf.add(int(lengths[d]), d)
                 nxt = stop
+            if left is not None and buf.count < buffer_size:
+                left.extend(sorted([c[0] for c in cur] + buf.docs()))
+                return _out(placed)
             if buf.count == 0:
                 break
             room = cap - pos
@@ -110,13 +123,13 @@ def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128):
     return _out(placed)
 
 
-def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "truncate"):
+def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "truncate", left: list | None = None):
     """Largest buffered doc that fits; when none fits, pad the row.
 
     Nothing is cropped except documents longer than ``cap``: with
     ``oversize='truncate'`` they are cut to ``cap``; with ``'reject'`` they
-    are left out of the plan (callers report them). The last row is
-    padded, not dropped.
+    are left out of the plan (see ``packing.rejected``). The last row is
+    padded, not dropped. ``left`` as in ``bestfit_crop``.
     """
     n = len(lengths)
     buf = _LengthBuffer()
@@ -124,7 +137,7 @@ def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "trun
     placed = []
     row = 0
     while True:
-        pos = 0
+        pos, first = 0, len(placed)
         while pos < cap:
             while buf.count < buffer_size and nxt < n:
                 length = int(lengths[nxt])
@@ -134,6 +147,9 @@ def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "trun
                 else:
                     buf.add(length, nxt)
                 nxt += 1
+            if left is not None and buf.count < buffer_size:
+                left.extend(sorted([c[0] for c in placed[first:]] + buf.docs()))
+                return _out(placed[:first])
             if buf.count == 0:
                 break
             hit = buf.pop_largest_fitting(cap - pos)
@@ -251,3 +267,25 @@ PACKERS = {
 
 # packers that fill every row completely (no padding)
 CROPPING = {"bestfit_crop", "greedy_crop"}
+BUFFERED = {"bestfit_crop", "bestfit_pad"}
+
+
+def pack(packer: str, lengths, cap: int, last: bool = True, **args):
+    """Placements of one part of a stream, and its documents that are left
+    for later (none of the last part). Packers without a buffer leave the
+    documents of the unfinished row: what a cropping one has put into none,
+    the last row of a padding one."""
+    rule = PACKERS[packer]
+    if last:
+        return rule(lengths, cap, **args), np.zeros(0, np.int64)
+    if packer in BUFFERED:
+        left: list[int] = []
+        return rule(lengths, cap, left=left, **args), np.array(left, np.int64)
+    placed = rule(lengths, cap, **args)
+    if packer in CROPPING:
+        # a greedy packer puts every document somewhere; the dropped row's are last
+        return placed, np.setdiff1d(np.arange(len(lengths)), placed[0])
+    if not len(placed[0]):
+        return placed, placed[0]
+    open_row = placed[1] == placed[1].max()
+    return tuple(x[~open_row] for x in placed), np.sort(placed[0][open_row])

@@ -8,9 +8,10 @@ Layout of every packer job:
    split into many groups; a group never holds more than ``group_docs``
    documents.
 2. ``pack_plan`` runs the sequential rule per group with
-   ``groupBy(...).applyInPandas`` on ``(pos, doc_id, n_tokens)`` only.
-3. ``assemble_rows`` joins the plan back to the token arrays and builds
-   rows with ``slice`` / ``collect_list`` / ``flatten`` on the JVM side.
+   ``groupBy(...).applyInPandas`` on ``(pos, doc_id, n_tokens)`` only, and
+   packs what groups leave level by level.
+3. ``pack_rows`` makes the rows themselves: documents go to their group with
+   their tokens, once, and are packed and cut there.
 
 ``chunk_stream`` (cut the concatenated stream every ``cap`` tokens) is
 fully relational. ``packing_stats`` reports utilisation, crop and pad.
@@ -18,19 +19,30 @@ fully relational. ``packing_stats`` reports utilisation, crop and pad.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from functools import reduce
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenmill.operators.packers import PACKERS
+from tokenmill.operators.packers import pack
 from tokenmill.plans.positions import global_position, prefix_sum
+from tokenmill.session import scratch_path
 
+GROUP_DOCS = 100_000        # documents that one task plans at a time
+GROUP_TOKENS = 1 << 25      # tokens that one task cuts into rows at a time
+MOST_GROUPS = 1 << 20       # groups of a job, whose first keys the driver holds
+LEVEL = 1 << 40             # groups of level k are numbered from k * LEVEL
 PLAN_COLS = ["row_no", "doc_id", "dst", "src", "take", "n_tokens"]
 
 
 def assign_pack_groups(docs: DataFrame, order_cols, group_cols=(),
-                       group_docs: int = 100_000, pos_col: str = "pos") -> DataFrame:
+                       group_docs: int = GROUP_DOCS, pos_col: str = "pos") -> DataFrame:
     """Add ``pos`` (stream position within ``group_cols``) and ``pack_group``."""
     out = global_position(docs, order_cols, group_cols, out=pos_col)
     return out.withColumn("pack_group", F.floor(F.col(pos_col) / F.lit(group_docs)).cast("long"))
@@ -38,64 +50,211 @@ def assign_pack_groups(docs: DataFrame, order_cols, group_cols=(),
 
 def pack_plan(docs: DataFrame, packer: str, cap: int, group_cols=(),
               len_col: str = "n_tokens", pos_col: str = "pos", id_col: str = "doc_id",
-              **packer_args) -> DataFrame:
-    """Placement plan per ``(*group_cols, pack_group)``.
+              group_docs: int = GROUP_DOCS, **packer_args) -> DataFrame:
+    """Placement plan per ``group_cols``.
 
-    Output: group keys, ``row_no, doc_id, dst, src, take, n_tokens``.
+    Output: group keys, ``pack_group, row_no, doc_id, dst, src, take, n_tokens``.
     """
-    rule = PACKERS[packer]
-    keys = [*group_cols, "pack_group"]
-    key_fields = [docs.schema[k] for k in keys]
-    schema = T.StructType(key_fields + [T.StructField(c, T.LongType()) for c in PLAN_COLS])
-    names = [f.name for f in schema.fields]
-
-    def plan_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos_col, kind="stable")
-        lengths = pdf[len_col].to_numpy()
-        d, r, dst, src, take = rule(lengths, cap, **packer_args)
-        out = pd.DataFrame({
-            "row_no": r, "doc_id": pdf[id_col].to_numpy()[d].astype("int64"),
-            "dst": dst, "src": src, "take": take,
-            "n_tokens": lengths[d].astype("int64"),
-        })
-        for k, v in zip(keys, key):
-            out[k] = v
-        return out[names]
-
-    return (docs.select(*keys, pos_col, id_col, F.col(len_col).cast("long").alias(len_col))
-                .groupBy(*keys).applyInPandas(plan_group, schema))
+    return pack_plans(docs, {packer: packer_args}, cap, group_cols, len_col, pos_col, id_col, group_docs).drop("packer")
 
 
 def pack_plans(docs: DataFrame, packers: dict, cap: int, group_cols=(),
-               len_col: str = "n_tokens", pos_col: str = "pos", id_col: str = "doc_id") -> DataFrame:
+               len_col: str = "n_tokens", pos_col: str = "pos", id_col: str = "doc_id",
+               group_docs: int = GROUP_DOCS) -> DataFrame:
     """Several packers over the same groups in one pass: one shuffle of the
     ``(pos, doc_id, n_tokens)`` rows, every rule run on the group while it
     is in the Python worker. Output = ``pack_plan`` columns + ``packer``.
-    ``packers`` maps packer name -> keyword arguments."""
-    keys = [*group_cols, "pack_group"]
-    key_fields = [docs.schema[k] for k in keys]
-    schema = T.StructType([T.StructField("packer", T.StringType())] + key_fields +
-                          [T.StructField(c, T.LongType()) for c in PLAN_COLS])
-    names = [f.name for f in schema.fields]
-    rules = [(name, PACKERS[name], dict(kw)) for name, kw in packers.items()]
+    ``packers`` maps packer name -> keyword arguments.
+
+    The groups of a stream are packed side by side. What a group leaves (its
+    unfinished row and its buffer) is packed by the next level, in the order
+    of the stream, in groups of the same size, until a stream has one group
+    left; so one short row a stream is dropped or padded, however many groups
+    there are. Groups of level ``k`` are numbered from ``k * LEVEL``. The
+    groups' results and what they leave are written once per level."""
+    stream = ["packer", *group_cols]
+    flat = docs.select(*group_cols, "pack_group", F.col(pos_col).cast("long").alias("pos"), F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(len_col).cast("long").alias("n_tokens"))
+    todo = flat
+    n = flat.count()  # of a narrow scan; no stream holds more
+    if n <= group_docs:
+        return _plan_level(todo.withColumn("_last", F.lit(True)), packers, cap, group_cols).drop("pos")
+    placed = None
+    level = 0
+    while True:
+        by = stream if level else list(group_cols)
+        whole = todo.groupBy(*by).agg((F.max("pack_group") == F.min("pack_group")).alias("_last"))
+        if by:
+            same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+            marked = todo.join(whole.select(*[F.col(c).alias(f"_{c}") for c in by], "_last"), same).drop(*[f"_{c}" for c in by])
+        else:
+            marked = todo.withColumn("_last", whole.select("_last").scalar())
+        out = written(_plan_level(marked, packers, cap, group_cols, level), "pack-level")
+        done = out.where("row_no is not null").withColumn("pack_group", F.col("pack_group") + level * LEVEL).drop("pos")
+        placed = done if placed is None else placed.unionByName(done)
+        left = out.where("row_no is null")
+        n_left = left.count()
+        if not n_left:
+            return placed
+        if level and n_left >= n:
+            raise ValueError("group_docs is too small: a group leaves as many documents as it gets")
+        n, level = n_left, level + 1
+        todo = assign_pack_groups(left.select(*stream, "pos", "doc_id", "n_tokens"), ["pos"], stream, group_docs, "_p")
+        todo = todo.withColumn("pos", F.col("_p")).drop("_p")
+
+
+def _plan_level(docs: DataFrame, packers: dict, cap: int, group_cols, level: int = 0) -> DataFrame:
+    """Plan rows of every group, and rows without ``row_no`` for documents
+    that are left. In the first level a group is packed by every packer."""
+    keys = [*(["packer"] if level else []), *group_cols, "pack_group"]
+    fields = [docs.schema[k] for k in [*group_cols, "pack_group"]]
+    schema = T.StructType([T.StructField("packer", T.StringType()), *fields, T.StructField("pos", T.LongType()),
+                           *[T.StructField(c, T.LongType()) for c in PLAN_COLS]])
+    names = schema.fieldNames()
 
     def plan_group(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(pos_col, kind="stable")
-        lengths = pdf[len_col].to_numpy()
-        ids = pdf[id_col].to_numpy()
+        pdf = pdf.sort_values("pos", kind="stable")
+        lengths, ids, pos, last = pdf["n_tokens"].to_numpy(), pdf["doc_id"].to_numpy(), pdf["pos"].to_numpy(), bool(pdf["_last"].iloc[0])
         outs = []
-        for name, rule, kw in rules:
-            d, r, dst, src, take = rule(lengths, cap, **kw)
-            o = pd.DataFrame({"packer": name, "row_no": r, "doc_id": ids[d].astype("int64"),
-                              "dst": dst, "src": src, "take": take, "n_tokens": lengths[d].astype("int64")})
-            outs.append(o)
+        for name in packers if not level else [key[0]]:
+            (d, r, dst, src, take), left = pack(name, lengths, cap, last, **packers[name])
+            outs.append(pd.DataFrame({"packer": name, "pos": pos[d], "row_no": pd.array(r, "Int64"), "doc_id": ids[d], "dst": pd.array(dst, "Int64"),
+                                      "src": pd.array(src, "Int64"), "take": pd.array(take, "Int64"), "n_tokens": lengths[d]}))
+            if len(left):
+                outs.append(pd.DataFrame({"packer": name, "pos": pos[left], "row_no": pd.array([None] * len(left), "Int64"), "doc_id": ids[left],
+                                          **{c: pd.array([None] * len(left), "Int64") for c in ("dst", "src", "take")}, "n_tokens": lengths[left]}))
         out = pd.concat(outs, ignore_index=True)
         for k, v in zip(keys, key):
             out[k] = v
         return out[names]
 
-    return (docs.select(*keys, pos_col, id_col, F.col(len_col).cast("long").alias(len_col))
-                .groupBy(*keys).applyInPandas(plan_group, schema))
+    return docs.groupBy(*keys).applyInPandas(plan_group, schema)
+
+
+def rejected(docs: DataFrame, cap: int, len_col: str = "n_tokens") -> DataFrame:
+    """Documents that a padding packer with ``oversize='reject'`` leaves out."""
+    return docs.where(F.col(len_col) > cap)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _group_starts(tokens: DataFrame, order_cols, group_cols, group_tokens: int) -> dict[tuple, list]:
+    """For each stream the order keys that its groups begin with: the first
+    of every ``group_tokens`` tokens. As many as groups, so few."""
+    lengths = tokens.select(*group_cols, *order_cols, F.size("ids").cast("long").alias("_n"))
+    at = prefix_sum(lengths, order_cols, "_n", group_cols, out="_start")
+    first = at.groupBy(*group_cols, F.floor(F.col("_start") / group_tokens).alias("_g")).agg(F.min(F.struct(*order_cols)).alias("_key"))
+    rows = first.limit(MOST_GROUPS + 1).collect()
+    if len(rows) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups: take a larger group_tokens")
+    starts: dict[tuple, list] = {}
+    for r in rows:
+        starts.setdefault(tuple(r[c] for c in group_cols), []).append(tuple(r["_key"]))
+    return {k: sorted(v) for k, v in starts.items()}
+
+
+def pack_rows(tokens: DataFrame, packer: str, cap: int, pad_id: int, order_cols, group_cols=(), id_col: str = "doc_id",
+              ids_col: str = "ids", mask_col: str | None = None, group_tokens: int = GROUP_TOKENS, **packer_args) -> DataFrame:
+    """Rows of ``cap`` tokens from token documents, in one shuffle of tokens.
+
+    A stream (one per ``group_cols``, in the order of the unique
+    ``order_cols``) is cut into groups of ``group_tokens`` tokens. The cuts
+    come from prefix sums over narrow rows; they are few, so each document
+    finds its group by a search among them, goes there with its tokens, and
+    the group is packed and cut into rows in one place. What groups leave goes
+    to the next level as in ``pack_plans``, so one short row a stream is
+    dropped or padded. Groups of level ``k`` are numbered from ``k * LEVEL``.
+
+    Output: group columns, ``pack_group, row_no, tokens, n_content``, with
+    ``mask`` if asked for (0 on padding), and ``docs`` / ``takes``: the
+    documents of the row in order and how many tokens each gave."""
+    todo = tokens.select(*group_cols, *[c for c in order_cols if c != id_col], id_col, F.col(ids_col).alias("ids"),
+                         *([F.col(mask_col).cast("array<int>").alias("mask")] if mask_col else [])).where("size(ids) > 0")
+    todo = todo.withColumn("ids", F.col("ids").cast("array<int>"))
+    own = [c for c in todo.columns if c not in group_cols and c not in ("ids", "mask")]
+    rows, level = None, 0
+    while True:
+        starts = _group_starts(todo, order_cols, group_cols, group_tokens)
+        packed = _row_level(todo, starts, packer, cap, pad_id, list(order_cols), list(group_cols), id_col, own, bool(mask_col), level, packer_args)
+        several = any(len(v) > 1 for v in starts.values())
+        if several:
+            packed = written(packed, "pack-rows")
+        done = packed.where("row_no is not null").drop(*[f"_{c}" for c in own])
+        rows = done if rows is None else rows.unionByName(done)
+        if not several:
+            return rows
+        groups = sum(map(len, starts.values()))
+        left = packed.where("row_no is null")
+        todo = left.select(*group_cols, *[F.col(f"_{c}").alias(c) for c in own], F.col("tokens").alias("ids"), *(["mask"] if mask_col else []))
+        level += 1
+        if level > 1 and groups >= before:
+            raise ValueError("group_tokens is too small: groups leave as much as they get")
+        before = groups
+
+
+def _row_level(todo: DataFrame, starts: dict, packer: str, cap: int, pad_id: int, order_cols, group_cols, id_col, own, masked: bool,
+               level: int, packer_args: dict) -> DataFrame:
+    shared = todo.sparkSession.sparkContext.broadcast(starts)
+    n_by = len(group_cols)
+
+    @F.pandas_udf(T.LongType())
+    def group_of(key: pd.DataFrame) -> pd.Series:
+        cols = [key[c].tolist() for c in key.columns]
+        return pd.Series([bisect_right(shared.value[k[:n_by]], k[n_by:]) - 1 for k in zip(*cols)], dtype="int64")
+
+    ints = T.ArrayType(T.IntegerType())
+    schema = T.StructType([*[todo.schema[c] for c in group_cols], T.StructField("pack_group", T.LongType()), T.StructField("row_no", T.LongType()),
+                           T.StructField("tokens", ints), *([T.StructField("mask", ints)] if masked else []), T.StructField("n_content", T.IntegerType()),
+                           T.StructField("docs", T.ArrayType(T.LongType())), T.StructField("takes", T.ArrayType(T.LongType())),
+                           *[T.StructField(f"_{c}", todo.schema[c].dataType) for c in own]])
+
+    def flat(lists):
+        return lists.flatten().to_numpy(zero_copy_only=False)
+
+    def cut(key, table):
+        keys = [k.as_py() for k in key]
+        last = len(shared.value[tuple(keys[:-1])]) == 1
+        table = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in order_cols])).combine_chunks()
+        lists = table["ids"].combine_chunks()
+        offsets = lists.offsets.to_numpy()
+        lengths = np.diff(offsets).astype(np.int64)
+        (d, r, dst, src, take), left = pack(packer, lengths, cap, last, **packer_args)
+        n_rows = int(r.max()) + 1 if len(r) else 0
+        order = np.lexsort((dst, r))
+        d, r, dst, src, take = (x[order] for x in (d, r, dst, src, take))
+        step = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take)
+        source, target = np.repeat(offsets[d] - offsets[0] + src, take) + step, np.repeat(r * cap + dst, take) + step
+        columns = {}
+        for name, fill in (("ids", pad_id), ("mask", 0)):
+            if name == "ids" or masked:
+                values = flat(table[name].combine_chunks())
+                out = np.full(n_rows * cap, fill, np.int32)
+                out[target] = values[source]
+                made = pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1) * cap, pa.int32()), pa.array(out))
+                columns[name] = pa.concat_arrays([made.cast(pa.list_(pa.int32())), table[name].combine_chunks().take(pa.array(left)).cast(pa.list_(pa.int32()))])
+        ends = np.searchsorted(r, np.arange(n_rows + 1))
+        m = len(left)
+        nothing = pa.nulls(m, pa.list_(pa.int64()))
+        ids = table[id_col].to_numpy()
+        group = keys[-1] + level * LEVEL
+        fields = {c: pa.array([v] * (n_rows + m), table.schema.field(c).type) for c, v in zip(group_cols, keys)}
+        fields |= {"pack_group": pa.array([group] * (n_rows + m), pa.int64()), "row_no": pa.array([*range(n_rows), *[None] * m], pa.int64()),
+                   "tokens": columns["ids"], **({"mask": columns["mask"]} if masked else {}),
+                   "n_content": pa.concat_arrays([pa.array(np.bincount(r, weights=take, minlength=n_rows).astype(np.int32)), pa.nulls(m, pa.int32())])}
+        for name, values in (("docs", ids[d].astype(np.int64)), ("takes", take)):
+            fields[name] = pa.concat_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())).cast(pa.list_(pa.int64())), nothing])
+        for c in own:
+            column = table[c].combine_chunks()
+            fields[f"_{c}"] = pa.concat_arrays([pa.nulls(n_rows, column.type), column.take(pa.array(left))])
+        return pa.table(fields)
+
+    grouped = todo.withColumn("_g", group_of(F.struct(*group_cols, *order_cols)))
+    return grouped.groupBy(*group_cols, "_g").applyInArrow(cut, schema)
 
 
 def assemble_rows(plan: DataFrame, tokens: DataFrame, cap: int, pad_id: int,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions.text import utf8_byte_ids
 from tokenmill.operators.conversations import drop_last_assistant, merge_system_message
-from tokenmill.operators.tokenizer import special_id
+from tokenmill.operators.tokenizer import encode_nested, pretokenize, special_id
 
 MAX_TOKENS = 2048
 
@@ -28,9 +28,25 @@ def as_parts(messages: Column) -> Column:
         F.array(F.struct(F.lit("text").alias("type"), m["content"].alias("text"))).alias("parts")))
 
 
+def merge_system_parts(d: DataFrame) -> DataFrame:
+    """A leading system message in part form goes in front of the first part
+    of the user message after it; without one the row is refused."""
+    first, second = F.get("messages", F.lit(0)), F.get("messages", F.lit(1))
+    system = F.coalesce(first["role"] == "system", F.lit(False))
+    text = F.array_join(F.transform(first["parts"], lambda p: p["text"]), "")
+    opening = F.transform(second["parts"], lambda p, j: F.struct(
+        p["type"].alias("type"), F.when(j == 0, F.concat(text, F.lit("\n\n"), p["text"])).otherwise(p["text"]).alias("text")))
+    merged = F.concat(F.array(F.struct(second["role"].alias("role"), opening.alias("parts"))), F.slice("messages", 3, F.greatest(F.size("messages") - 2, F.lit(0))))
+    ok = second["role"] == "user"
+    return (d.withColumn("reason", F.when(system & ~F.coalesce(ok, F.lit(False)), F.lit("system_not_followed_by_user")))
+             .withColumn("messages", F.when(system & F.coalesce(ok, F.lit(False)), merged).otherwise(
+                 F.transform("messages", lambda m: F.struct(m["role"].alias("role"), F.transform(m["parts"], lambda p: F.struct(
+                     p["type"].alias("type"), p["text"].alias("text"))).alias("parts"))))))
+
+
 def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col: str = "messages",
                          max_tokens: int = MAX_TOKENS, tokenize=utf8_byte_ids, n_merges: int = 0,
-                         has_parts: bool = False, for_completion: bool = False) -> DataFrame:
+                         has_parts: bool = False, for_completion: bool = False, merges=None) -> DataFrame:
     """``(conv_id, ids ARRAY<INT>, mask ARRAY<INT>, reason)``.
 
     Mask 1: assistant text, python calls with their start/end tokens, and
@@ -38,8 +54,12 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
     their markers. A leading system message is merged into the first user
     message; roles must alternate user/assistant (else ``reason`` is set and
     ids are NULL). ``for_completion`` drops the final assistant message and
-    appends assistant_start (no truncation, as the reference).
+    appends assistant_start (no truncation, as the reference). ``tokenize``
+    is a column function; with ``merges`` all texts of a conversation are
+    encoded by these instead, in one Arrow call a batch.
     """
+    if merges is not None:
+        n_merges = len(merges)
     sid = {n: special_id(n, n_merges) for n in
            ("<|bos|>", "<|user_start|>", "<|user_end|>", "<|assistant_start|>", "<|assistant_end|>",
             "<|python_start|>", "<|python_end|>", "<|output_start|>", "<|output_end|>")}
@@ -53,7 +73,16 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
             m["role"].alias("role"), m["content"].alias("content"))))
         d = merge_system_message(d).withColumn("messages", as_parts(F.col("messages")))
     else:
-        d = d.withColumn("reason", F.lit(None).cast("string"))
+        d = merge_system_parts(d)
+    # every part gets its ids here, so that the segments below only join them
+    if merges is not None:
+        pieces = F.transform("messages", lambda m: F.transform(m["parts"], lambda p: F.coalesce(pretokenize(p["text"]), F.array().cast("array<string>"))))
+        d = d.withColumn("_ids", encode_nested(d.sparkSession, merges)(pieces))
+        part_ids = lambda p, i, j: F.get(F.get(F.col("_ids"), i), j)
+    else:
+        part_ids = lambda p, i, j: tokenize(p["text"])
+    d = d.withColumn("messages", F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.transform(
+        m["parts"], lambda p, j: F.struct(p["type"].alias("type"), part_ids(p, i, j).alias("ids"))).alias("parts"))))
     bad_role = F.exists(F.sequence(F.lit(0), F.greatest(F.size("messages") - 1, F.lit(0))),
                         lambda i: F.get(F.col("messages"), i)["role"] !=
                         F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")))
@@ -72,13 +101,13 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
         return F.struct(F.array(F.lit(sid[token])).alias("ids"), F.array(F.lit(mask)).alias("mask"))
 
     def part_seg(p: Column) -> Column:
-        ids = tokenize(p["text"])
+        ids = p["ids"]
         return (F.when(p["type"] == "python", seg(ids, 1, "<|python_start|>", "<|python_end|>"))
                  .when(p["type"] == "python_output", seg(ids, 0, "<|output_start|>", "<|output_end|>"))
                  .otherwise(seg(ids, 1)))
 
     def message_segs(m: Column) -> Column:
-        user = F.transform(m["parts"], lambda p: seg(tokenize(p["text"]), 0, "<|user_start|>", "<|user_end|>"))
+        user = F.transform(m["parts"], lambda p: seg(p["ids"], 0, "<|user_start|>", "<|user_end|>"))
         asst = F.concat(F.array(single("<|assistant_start|>", 0)), F.transform(m["parts"], part_seg),
                         F.array(single("<|assistant_end|>", 1)))
         return F.when(m["role"] == "user", user).otherwise(asst)

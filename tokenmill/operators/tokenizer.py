@@ -393,6 +393,22 @@ def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str =
     return docs.select(id_col, pieces.alias("pieces")).mapInPandas(run, schema)
 
 
+def encode_nested(spark: SparkSession, merges):
+    """A column function from texts as pieces, nested in messages and parts,
+    to ids nested alike."""
+    shared = spark.sparkContext.broadcast(merges)
+    made: dict = {}
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.IntegerType()))))
+    def encode(rows: pd.Series) -> pd.Series:
+        if "of" not in made:
+            made["of"] = _piece_encoder(shared.value)
+        ids_of = made["of"]
+        return pd.Series([None if row is None else [[[x for piece in pieces for x in ids_of(piece)] for pieces in parts] for parts in row] for row in rows],
+                         dtype=object)
+    return encode
+
+
 def decode_ids(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id", ids_col: str = "ids",
                skip_special: bool = True) -> DataFrame:
     """``(doc_id, text)``: token bytes joined in order and decoded as UTF-8

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenmill.operators.corpus import split_last_shard
-from tokenmill.operators.packing import assign_pack_groups, chunk_plan, pack_plans, packing_stats
+from tokenmill.operators.packing import GROUP_DOCS, assign_pack_groups, chunk_plan, pack_plans, packing_stats
 
 DEFAULT_PACKERS = ("chunk", "bestfit_crop", "greedy_crop", "greedy_pad", "ffd")
 
@@ -29,7 +29,7 @@ def byte_token_lengths(docs: DataFrame, shard_col: str = "source") -> DataFrame:
                     (F.octet_length("text") + 1).cast("long").alias("n_tokens"))
 
 
-def packing_report(docs: DataFrame, T: int = 2048, packers=DEFAULT_PACKERS, group_docs: int = 100_000,
+def packing_report(docs: DataFrame, T: int = 2048, packers=DEFAULT_PACKERS, group_docs: int = GROUP_DOCS,
                    buffer_size: int = 1000) -> DataFrame:
     """Utilisation / crop % / pad % per packer and split.
 
@@ -43,7 +43,7 @@ def packing_report(docs: DataFrame, T: int = 2048, packers=DEFAULT_PACKERS, grou
     parts = []
     if seq:
         grouped = assign_pack_groups(lengths, order, ["split"], group_docs)
-        plans = pack_plans(grouped, seq, cap, ["split"])
+        plans = pack_plans(grouped, seq, cap, ["split"], group_docs=group_docs)
         parts.append(packing_stats(plans, _inputs_per_packer(lengths, list(seq)), cap, ["packer", "split"]))
     if "chunk" in packers:
         parts.append(packing_stats(chunk_plan(lengths, cap, order, ["split"]), lengths, cap, ["split"])

@@ -65,18 +65,30 @@ def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
         block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
     else:
         prefix = []
-    bkeys = [*group_cols, *prefix, "_tm_b"]
-    d = df.withColumn("_tm_v", v).withColumn("_tm_b", block)
-    sums = d.groupBy(*bkeys).agg(F.sum("_tm_v").alias("_tm_s"))
-    w_off = (Window.partitionBy(*group_cols).orderBy(*prefix, "_tm_b")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.select(*bkeys, F.coalesce(F.sum("_tm_s").over(w_off), F.lit(0)).alias("_tm_off"))
-    w_loc = (Window.partitionBy(*bkeys).orderBy(*_cols(order_cols))
+    d = _with_key(df, group_cols, prefix, block).withColumn("_tm_v", v)
+    sums = d.groupBy("_tm_k").agg(F.sum("_tm_v").alias("_tm_s"))
+    w_off = _blocks_before(group_cols, prefix)
+    offsets = sums.select("_tm_k", F.coalesce(F.sum("_tm_s").over(w_off), F.lit(0)).alias("_tm_off"))
+    w_loc = (Window.partitionBy("_tm_k").orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, -1))
     local = d.withColumn("_tm_loc", F.coalesce(F.sum("_tm_v").over(w_loc), F.lit(0)))
-    joined = local.join(offsets, on=bkeys, how="inner")
+    joined = local.join(offsets, on="_tm_k", how="inner")
     return (joined.withColumn(out, (F.col("_tm_off") + F.col("_tm_loc")).cast("long"))
-                  .drop("_tm_v", "_tm_b", "_tm_off", "_tm_loc"))
+                  .select(*df.columns, out))
+
+
+def _with_key(df: DataFrame, group_cols, prefix, block: Column) -> DataFrame:
+    """The block key as one struct: nulls in it are equal to each other, in
+    windows as in joins, so a null group is a group like any other."""
+    parts = [F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)]
+    parts += [_cols([c])[0].alias(f"p{i}") for i, c in enumerate(prefix)]
+    return df.withColumn("_tm_k", F.struct(*parts, block.alias("b")))
+
+
+def _blocks_before(group_cols, prefix):
+    groups = [F.col(f"_tm_k.g{i}") for i in range(len(group_cols))]
+    order = [F.col(f"_tm_k.p{i}") for i in range(len(prefix))]
+    return Window.partitionBy(*groups).orderBy(*order, F.col("_tm_k.b")).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def prefix_extreme(df: DataFrame, order_cols, value: str, group_cols=(), out: str = "min_before",
@@ -95,17 +107,14 @@ def prefix_extreme(df: DataFrame, order_cols, value: str, group_cols=(), out: st
         block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
     else:
         prefix = []
-    bkeys = [*group_cols, *prefix, "_tm_b"]
-    d = df.withColumn("_tm_b", block)
-    ext = d.groupBy(*bkeys).agg(fn(value).alias("_tm_e"))
-    w_off = (Window.partitionBy(*group_cols).orderBy(*prefix, "_tm_b")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = ext.select(*bkeys, fn("_tm_e").over(w_off).alias("_tm_off"))
-    w_loc = (Window.partitionBy(*bkeys).orderBy(*_cols(order_cols))
+    d = _with_key(df, group_cols, prefix, block)
+    ext = d.groupBy("_tm_k").agg(fn(value).alias("_tm_e"))
+    offsets = ext.select("_tm_k", fn("_tm_e").over(_blocks_before(group_cols, prefix)).alias("_tm_off"))
+    w_loc = (Window.partitionBy("_tm_k").orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, -1))
     local = d.withColumn("_tm_loc", fn(value).over(w_loc))
-    joined = local.join(offsets, on=bkeys, how="inner")
-    return joined.withColumn(out, comb("_tm_off", "_tm_loc")).drop("_tm_b", "_tm_off", "_tm_loc")
+    joined = local.join(offsets, on="_tm_k", how="inner")
+    return joined.withColumn(out, comb("_tm_off", "_tm_loc")).select(*df.columns, out)
 
 
 def global_position(df: DataFrame, order_cols, group_cols=(), out: str = "pos",
