@@ -94,3 +94,39 @@ def test_rows_of_nothing(spark):
     one = df.withColumn("ids", F.array(*[F.lit(7)] * 3))
     assert [r.tokens for r in PK.pack_rows(one, "greedy_pad", 4, 0, ["doc_id"]).orderBy("row_no").collect()] == [[7, 7, 7, 0]] * 2
     assert PK.pack_rows(one, "greedy_crop", 5, 0, ["doc_id"]).first().docs == [1, 2]
+
+
+def test_bpe_rows_end_to_end(spark):
+    import regex
+
+    from tokenmill.operators import render as RD
+    from tokenmill.operators import tokenizer as TK
+
+    texts = {i: " ".join(random.Random(i).choice(["low", "lower", "newest", "wider", "été", "日本"]) for _ in range(5 + i)) for i in range(40)}
+    docs = spark.createDataFrame([(i, t, "s") for i, t in texts.items()], "doc_id long, text string, split string")
+    merges = TK.train_bpe(TK.pretoken_histogram(docs), 256 + 9 + 30)
+    ranks = {(a, b): n for a, b, n in merges}
+
+    def encode(text):
+        return [x for piece in regex.findall(TK.SPLIT_PATTERN, text) for x in TK.encode_piece(piece.encode(), ranks)]
+    bos = TK.special_id("<|bos|>", len(merges))
+    ids = TK.encode_bpe(docs, merges, keep=("split",))
+    want = {i: [bos, *encode(t)] for i, t in texts.items()}
+    assert {r.doc_id: r.ids for r in ids.collect()} == want
+    for r in PK.pack_rows(ids, "bestfit_crop", 33, bos, ["doc_id"], ["split"], buffer_size=8, refill=4).collect():
+        assert r.tokens == [x for d, t in zip(r.docs, r.takes) for x in want[d][:t]] and len(r.tokens) == 33
+
+    convs = spark.createDataFrame(
+        [(1, [("system", [("text", "be low")]), ("user", [("text", "newest wider")]), ("assistant", [("text", "low"), ("python", "1+1"), ("python_output", "2")])]),
+         (2, [("user", [("text", "日本")]), ("assistant", [("text", "été")])]), (3, [("system", [("text", "x")]), ("assistant", [("text", "y")])]), (4, [])],
+        "conv_id long, messages array<struct<role: string, parts: array<struct<type: string, text: string>>>>")
+    sid = lambda n: TK.special_id(f"<|{n}|>", len(merges))
+    got = {r.conv_id: r for r in RD.render_conversations(convs, has_parts=True, merges=merges).collect()}
+    one = [[bos], [sid("user_start"), *encode("be low\n\nnewest wider"), sid("user_end")], [sid("assistant_start")], encode("low"),
+           [sid("python_start"), *encode("1+1"), sid("python_end")], [sid("output_start"), *encode("2"), sid("output_end")], [sid("assistant_end")]]
+    assert got[1].ids == [x for part in one for x in part]
+    assert got[1]["mask"] == [m for part, m in zip(one, [0, 0, 0, 1, 1, 0, 1]) for _ in part]
+    assert got[2].ids == [bos, sid("user_start"), *encode("日本"), sid("user_end"), sid("assistant_start"), *encode("été"), sid("assistant_end")]
+    assert (got[3].reason, got[3].ids) == ("system_not_followed_by_user", None) and got[4].reason == "empty"
+    bytes_of = {r.conv_id: r for r in RD.render_conversations(convs, has_parts=True).collect()}
+    assert bytes(x for x in bytes_of[1].ids if x < 256) == "be low\n\nnewest widerlow1+12".encode()

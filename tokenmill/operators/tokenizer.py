@@ -375,8 +375,8 @@ def _end_id(token: int | str | None, n_merges: int) -> list[int]:
 
 
 def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str = "text",
-               prepend: int | str | None = "<|bos|>", append: int | str | None = None) -> DataFrame:
-    """``(doc_id, ids)``: pre-tokens from the JVM, ids of each document in one
+               prepend: int | str | None = "<|bos|>", append: int | str | None = None, keep=()) -> DataFrame:
+    """``(doc_id, *keep, ids)``: pre-tokens from the JVM, ids of each document in one
     Arrow pass, no shuffle. ``prepend`` and ``append`` are ids or names of
     special tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(merges)
@@ -386,11 +386,11 @@ def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str =
         ids_of = _piece_encoder(shared.value)
         for pdf in batches:
             ids = [head + [x for piece in pieces for x in ids_of(piece)] + tail for pieces in pdf["pieces"]]
-            yield pd.DataFrame({id_col: pdf[id_col], "ids": ids})
+            yield pdf[[id_col, *keep]].assign(ids=pd.Series(ids, index=pdf.index, dtype=object))
 
     pieces = F.coalesce(pretokenize(text_col), F.array().cast("array<string>"))
-    schema = T.StructType([docs.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.select(id_col, pieces.alias("pieces")).mapInPandas(run, schema)
+    schema = T.StructType([*[docs.schema[c] for c in (id_col, *keep)], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return docs.select(id_col, *keep, pieces.alias("pieces")).mapInPandas(run, schema)
 
 
 def encode_nested(spark: SparkSession, merges):

@@ -9,15 +9,24 @@ from tokenmill.operators import packing as PK
 from tokenmill.operators import render as RD
 from tokenmill.operators.conversations import nest_conversations
 from tokenmill.operators.corpus import split_last_shard
-from tokenmill.operators.tokenizer import BOS, byte_tokens, byte_vocab
+from tokenmill.operators.tokenizer import BOS, byte_tokens, byte_vocab, encode_bpe, special_id
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.packing_report import byte_token_lengths, packing_report
 from tokenmill.plans.positions import global_position
+from tokenmill.plans.q_tokenizer import trained_merges
 from tokenmill.plans.registry import query
 
 T_DOCS = 256          # row length T (rows hold T + 1 tokens) for corpus packing checks
 T_CONVS = 2048        # row length for conversation packing
-GROUP_DOCS = 100_000
+
+
+def _digest(ids):
+    """md5 over ids as four hex digits each, -1 as FFFF."""
+    return F.md5(F.array_join(F.transform(ids, lambda t: F.when(t < 0, F.lit("FFFF")).otherwise(F.lpad(F.hex(t), 4, "0"))), ""))
+
+
+# ids of byte tokens as four hex digits each: BOS is 0100
+_HEX = "'0100' || regexp_replace(hex(encode(text)), '(..)', '00\\1', 'g')"
 
 
 def _lengths(spark, sf_dir):
@@ -55,18 +64,29 @@ def q_chunk_stream(spark, sf_dir):
         F.min_by("doc_id", "dst").alias("first_doc"), F.min_by("src", "dst").alias("first_src"))
 
 
-@query("chunk_stream_rows")
+_CHUNK_ROWS_SQL = f"""
+{_LEN_SQL.format(cap=T_DOCS + 1)},
+hx as (select doc_id, {_HEX} as h from documents),
+rows as (select split, row_no, sum(e - s) as n, string_agg(substr(h, cast(4 * (s - st) + 1 as bigint), cast(4 * (e - s) as bigint)), '' order by s) as h
+         from segs join hx using (doc_id) group by split, row_no)"""
+
+
+@query("chunk_stream_rows", oracle(f"""
+with {_CHUNK_ROWS_SQL}
+select split, row_no, cast(n as bigint) as n_content, md5(h || repeat('0100', cast({T_DOCS + 1} - n as bigint))) as tokens_md5 from rows"""))
 def q_chunk_stream_rows(spark, sf_dir):
     plan = PK.chunk_plan(_lengths(spark, sf_dir), T_DOCS + 1, ["source", "doc_id"], ["split"])
-    return PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
+    rows = PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
+    return rows.select("split", "row_no", F.col("n_content").cast("long").alias("n_content"), _digest("tokens").alias("tokens_md5"))
 
 
 @query("shift_targets", oracle(f"""
-with {_LEN_SQL.format(cap=T_DOCS + 1)},
-r as (select split, row_no, cast(sum(e - s) as bigint) as n_content from segs group by split, row_no)
+with {_CHUNK_ROWS_SQL}
 select split, row_no, cast({T_DOCS} as bigint) as n_inputs,
-       cast(case when n_content < {T_DOCS + 1} then n_content - 1 else {T_DOCS} end as bigint) as n_targets
-from r"""))
+       cast(case when n < {T_DOCS + 1} then n - 1 else {T_DOCS} end as bigint) as n_targets,
+       md5(substr(h || repeat('0100', cast({T_DOCS + 1} - n as bigint)), 1, {4 * T_DOCS})) as inputs_md5,
+       md5(substr(h, 5) || repeat('FFFF', cast({T_DOCS + 1} - n as bigint))) as targets_md5
+from rows"""))
 def q_shift_targets(spark, sf_dir):
     """Chunked rows shifted to inputs / targets; targets past the content of
     a short (padded) row are -1."""
@@ -74,7 +94,8 @@ def q_shift_targets(spark, sf_dir):
     rows = PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
     sh = PK.shift_targets(rows, mask_col=None)
     return sh.select("split", "row_no", F.size("inputs").cast("long").alias("n_inputs"),
-                     F.size(F.filter("targets", lambda t: t >= 0)).cast("long").alias("n_targets"))
+                     F.size(F.filter("targets", lambda t: t >= 0)).cast("long").alias("n_targets"),
+                     _digest("inputs").alias("inputs_md5"), _digest("targets").alias("targets_md5"))
 
 
 @query("eval_token_budget", oracle(f"""
@@ -90,25 +111,12 @@ def q_eval_token_budget(spark, sf_dir):
     return plan.filter(F.col("row_no") < n_rows).groupBy("split", "row_no").agg(F.sum("take").alias("n_tokens"))
 
 
-@query("packing_report")
-def q_packing_report(spark, sf_dir):
-    return packing_report(load(spark, sf_dir).documents)
-
-
 def _plan(spark, sf_dir, packer, T=T_DOCS, **kw):
     lengths = _lengths(spark, sf_dir)
-    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"], GROUP_DOCS)
+    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"])
     return lengths, PK.pack_plan(grouped, packer, T + 1, ["split"], **kw)
 
 
-@query("pack_bestfit_crop_rows")
-def q_pack_bestfit_crop_rows(spark, sf_dir):
-    _, plan = _plan(spark, sf_dir, "bestfit_crop", buffer_size=1000)
-    rows = PK.assemble_rows(plan, _doc_tokens(spark, sf_dir), T_DOCS + 1, BOS, ["split"])
-    return PK.shift_targets(rows, mask_col=None).select("split", "pack_group", "row_no", "n_content",
-                                                       "inputs", "targets")
-
-
 _GREEDY_CROP_SQL = f"""
 with recursive {_GREEDY_HEAD},
 r(split, i, row_no, fill, take) as (
@@ -215,12 +223,39 @@ def q_pack_bestfit_crop_plan(spark, sf_dir):
     """Exact best-fit crop placements: (row, offset, document stream
     position, tokens taken) for every complete row."""
     lengths = _lengths(spark, sf_dir)
-    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"], GROUP_DOCS)
+    grouped = PK.assign_pack_groups(lengths, ["source", "doc_id"], ["split"])
     plan = PK.pack_plan(grouped, "bestfit_crop", T_DOCS + 1, ["split"], buffer_size=1000)
     j = plan.join(grouped.select("split", "doc_id", "pos"), ["split", "doc_id"])
     return j.select("split", "row_no", "dst", F.col("pos").alias("doc_pos"), "take")
 
 
+@query("pack_bestfit_crop_rows", oracle(_BESTFIT_CROP_PLAN_SQL.format(cap=T_DOCS + 1).replace("with recursive", f"""with recursive hx as (
+  select split, row_number() over (partition by split order by source, doc_id) - 1 as i, h from (
+    select source, doc_id, case when source = (select max(source) from documents) then 'val' else 'train' end as split, {_HEX} as h from documents) t),
+placed as (with recursive""", 1) + f"""),
+rows as (select split, row_no, count(*) as n_docs, string_agg(substr(h, 1, cast(4 * take as bigint)), '' order by dst) as h
+         from placed join hx using (split) where hx.i = placed.doc_pos group by split, row_no)
+select split, cast(0 as bigint) as pack_group, row_no, n_docs, md5(substr(h, 1, {4 * T_DOCS})) as inputs_md5, md5(substr(h, 5)) as targets_md5 from rows"""))
+def q_pack_bestfit_crop_rows(spark, sf_dir):
+    """Best-fit crop rows of byte tokens, shifted to inputs and targets."""
+    rows = PK.pack_rows(_doc_tokens(spark, sf_dir), "bestfit_crop", T_DOCS + 1, BOS, ["source", "doc_id"], ["split"], buffer_size=1000)
+    return PK.shift_targets(rows, mask_col=None).select(
+        "split", "pack_group", "row_no", F.size("docs").cast("long").alias("n_docs"),
+        _digest("inputs").alias("inputs_md5"), _digest("targets").alias("targets_md5"))
+
+
+@query("bpe_pack_rows")
+def q_bpe_pack_rows(spark, sf_dir):
+    """Pretraining rows end to end: all documents with BOS in the trained
+    vocabulary, best-fit crop, inputs and targets."""
+    merges = trained_merges(spark, sf_dir)
+    docs = split_last_shard(load(spark, sf_dir).documents.select("doc_id", "source", "text"), "source")
+    # written once: cuts and rows read the same ids
+    ids = PK.written(encode_bpe(docs, merges, keep=("source", "split")), "bpe-ids")
+    rows = PK.pack_rows(ids, "bestfit_crop", T_CONVS + 1, special_id("<|bos|>", len(merges)), ["source", "doc_id"], ["split"], buffer_size=1000)
+    return PK.shift_targets(rows, mask_col=None).select("split", "pack_group", "row_no", "n_content", "docs", "takes", "inputs", "targets")
+
+
 @query("pack_bestfit_crop", oracle(_BESTFIT_CROP_SQL.format(cap=T_DOCS + 1)))
 def q_pack_bestfit_crop(spark, sf_dir):
     """Best-fit crop plan statistics (buffer 1000, refills of 128)."""
@@ -270,6 +305,22 @@ def q_pack_ffd(spark, sf_dir):
     return PK.packing_stats(plan, lengths, T_DOCS + 1, ["split"])
 
 
+def _report_sql(cap: int) -> str:
+    """The report's rows by the rules of the single packers."""
+    chunk = f"""with {_LEN_SQL.format(cap=cap)},
+tin as (select split, count(*) as docs, sum(n) as input_tokens, cast(ceil(sum(n) / {cap}.0e0) as bigint) as rows from lens group by split)
+select split, docs, rows, cast(input_tokens as bigint) as input_tokens, cast(input_tokens as bigint) as used_tokens,
+       round(input_tokens * 100.0e0 / (rows * {cap}), 6) as util_pct, 0.0e0 as crop_pct,
+       round((rows * {cap} - input_tokens) * 100.0e0 / (rows * {cap}), 6) as pad_pct from tin"""
+    parts = {"chunk": chunk, "bestfit_crop": _BESTFIT_CROP_SQL, "greedy_crop": _GREEDY_CROP_SQL, "greedy_pad": _GREEDY_PAD_SQL, "ffd": _FFD_SQL}
+    return "\nunion all by name\n".join(f"select '{name}' as packer, * from ({sql if name == 'chunk' else sql.format(cap=cap)}) {name}" for name, sql in parts.items())
+
+
+@query("packing_report", oracle(_report_sql(2049)))
+def q_packing_report(spark, sf_dir):
+    return packing_report(load(spark, sf_dir).documents)
+
+
 # ------------------------------------------------------------ rendering --
 
 def _rendered(spark, sf_dir, **kw):
@@ -290,15 +341,28 @@ pos as (select *, 1 + coalesce(sum(n) over (partition by conv_id order by turn,
                   rows between unbounded preceding and 1 preceding), 0) as st from seg)"""
 
 
+# ids as four hex digits each, and the mask as one digit each
+_RENDER_IDS_SQL = f"""
+t0 as (select conv_id, turn, role, text from conversations),
+ts as (select conv_id, text as head from t0 where turn = 0 and role = 'system'),
+tm as (select t0.conv_id, t0.turn, t0.role, case when t0.turn = 1 and ts.head is not null then ts.head || chr(10) || chr(10) || t0.text else t0.text end as text
+       from t0 left join ts on ts.conv_id = t0.conv_id where not (t0.turn = 0 and t0.role = 'system')),
+tx as (select conv_id, turn, role, regexp_replace(hex(encode(text)), '(..)', '00\\1', 'g') as h, octet_length(encode(text)) as n from tm),
+rendered as (select conv_id,
+    substr('0100' || string_agg(case when role = 'user' then '0101' || h || '0102' else '0103' || h || '0104' end, '' order by turn), 1, {4 * RD.MAX_TOKENS}) as h,
+    substr('0' || string_agg(case when role = 'user' then repeat('0', n + 2) else '0' || repeat('1', n + 1) end, '' order by turn), 1, {RD.MAX_TOKENS}) as m
+  from tx group by conv_id)"""
+
+
 @query("render_conversation", oracle(f"""
-with {_RENDER_SQL}
-select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n_tokens,
-       cast(sum(case when mask = 1 then greatest(0, least(st + n, {RD.MAX_TOKENS}) - st) else 0 end) as bigint) as mask_sum
-from pos group by conv_id"""))
+with {_RENDER_IDS_SQL}
+select conv_id, cast(length(m) as bigint) as n_tokens, cast(length(replace(m, '0', '')) as bigint) as mask_sum, md5(h) as ids_md5, md5(m) as mask_md5
+from rendered"""))
 def q_render_conversation(spark, sf_dir):
     r = _rendered(spark, sf_dir)
     return r.select("conv_id", F.size("ids").cast("long").alias("n_tokens"),
-                    F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
+                    F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"),
+                    _digest("ids").alias("ids_md5"), F.md5(F.array_join("mask", "")).alias("mask_md5"))
 
 
 @query("render_for_completion", oracle(f"""
@@ -366,7 +430,12 @@ def q_drop_unusable_examples(spark, sf_dir):
         "conv_id", F.size("ids").cast("long").alias("n_tokens"))
 
 
-@query("mask_breakdown")
+@query("mask_breakdown", oracle(f"""
+with {_RENDER_IDS_SQL},
+p as (select conv_id, h, m, unnest(range(0, cast(length(m) as bigint))) as pos from rendered),
+k as (select conv_id, pos, cast('0x' || substr(h, cast(4 * pos + 1 as bigint), 4) as int) as token_id, cast(substr(m, cast(pos + 1 as bigint), 1) as int) as mask,
+             substr(h, cast(4 * pos + 3 as bigint), 2) as low from p)
+select token_id, conv_id, cast(pos as int) as pos, mask, case when token_id < 256 then low end as token_hex from k"""))
 def q_mask_breakdown(spark, sf_dir):
     return RD.mask_breakdown(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), byte_vocab(spark))
 
@@ -423,22 +492,64 @@ from tin join fin using (split)"""
 
 @query("pack_bestfit_pad", oracle(_BESTFIT_PAD_SQL))
 def q_pack_bestfit_pad(spark, sf_dir):
-    """Best-fit pad plan statistics over rendered conversations (T=512,
+    """Best-fit pad plan statistics over rendered conversations (T=2048,
     buffer 100, oversize conversations truncated to a row)."""
     r = _rendered(spark, sf_dir).filter(F.col("reason").isNull())
     r = r.select(F.col("conv_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
                  F.lit("train").alias("split"))
-    g = PK.assign_pack_groups(r, ["doc_id"], ["split"], GROUP_DOCS)
+    g = PK.assign_pack_groups(r, ["doc_id"], ["split"])
     plan = PK.pack_plan(g, "bestfit_pad", T_CONVS + 1, ["split"], buffer_size=100, oversize="truncate")
     return PK.packing_stats(plan, r, T_CONVS + 1, ["split"])
 
 
-@query("pack_bestfit_pad_rows")
+_BESTFIT_PAD_ROWS_SQL = f"""
+with recursive {_RENDER_IDS_SQL},
+d as (select h, m, cast(length(m) as bigint) as n, row_number() over (order by conv_id) - 1 as i from rendered),
+docs as (select list(struct_pack(len := n, idx := i) order by i) as dl, count(*) as cnt from d),
+st(k, buf, nxt, pos, rows, p_row, p_dst, p_idx) as (
+  select 0::bigint, list_filter([struct_pack(len := 0::bigint, idx := 0::bigint)], lambda x: false),
+         0::bigint, 0::bigint, 0::bigint, null::bigint, null::bigint, null::bigint from docs
+  union all
+  select k + 1, case when fit_len is null then buf1 else list_filter(buf1, lambda x: x.idx <> pick_idx) end, rn,
+         case when fit_len is null or pos + fit_len = {T_CONVS + 1} then 0 else pos + fit_len end,
+         case when fit_len is null or pos + fit_len = {T_CONVS + 1} then rows + 1 else rows end,
+         case when fit_len is not null then rows end, pos, case when fit_len is not null then pick_idx end
+  from (
+    select *, list_min(list_transform(list_filter(buf1, lambda x: x.len = fit_len), lambda x: x.idx)) as pick_idx
+    from (
+      select *, list_max(list_transform(list_filter(buf1, lambda x: x.len <= {T_CONVS + 1} - pos), lambda x: x.len)) as fit_len
+      from (
+        select st.k, st.pos, st.rows, {_PAD_REFILL} as rn, st.buf || docs.dl[st.nxt + 1:{_PAD_REFILL}] as buf1
+        from st, docs) a
+      where len(buf1) > 0) b) c),
+packed as (select p_row as row_no, count(*) as n_docs, sum(n) as n_content, string_agg(h, '' order by p_dst) as h, string_agg(m, '' order by p_dst) as m
+           from st join d on d.i = st.p_idx group by p_row),
+padded as (select row_no, n_docs, n_content, h || repeat('0100', cast({T_CONVS + 1} - n_content as bigint)) as h,
+                  m || repeat('0', cast({T_CONVS + 1} - n_content as bigint)) as m from packed)
+select 'train' as split, cast(0 as bigint) as pack_group, row_no, n_docs, cast(n_content as bigint) as n_content, md5(substr(h, 1, {4 * T_CONVS})) as inputs_md5,
+       md5(array_to_string(list_transform(range(2, {T_CONVS + 2}), lambda p: case when substr(m, p, 1) = '1' then substr(h, 4 * p - 3, 4) else 'FFFF' end), '')) as targets_md5
+from padded"""
+
+
+def _sft_rows(rendered, pad_id):
+    """Rendered conversations as best-fit padded rows of inputs and targets."""
+    r = rendered.filter(F.col("reason").isNull()).withColumn("split", F.lit("train"))
+    return PK.shift_targets(PK.pack_rows(r, "bestfit_pad", T_CONVS + 1, pad_id, ["conv_id"], ["split"], id_col="conv_id",
+                                         mask_col="mask", buffer_size=100, oversize="truncate"))
+
+
+@query("pack_bestfit_pad_rows", oracle(_BESTFIT_PAD_ROWS_SQL))
 def q_pack_bestfit_pad_rows(spark, sf_dir):
-    r = _rendered(spark, sf_dir).filter(F.col("reason").isNull())
-    r = r.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("split", F.lit("train"))
-    g = PK.assign_pack_groups(r.withColumnRenamed("conv_id", "doc_id"), ["doc_id"], ["split"], GROUP_DOCS)
-    plan = PK.pack_plan(g, "bestfit_pad", T_CONVS + 1, ["split"], buffer_size=100, oversize="truncate")
-    rows = PK.assemble_rows(plan, r.withColumnRenamed("conv_id", "doc_id"), T_CONVS + 1, BOS, ["split"],
-                            ids_col="ids", mask_col="mask")
-    return PK.shift_targets(rows).select("split", "pack_group", "row_no", "n_content", "inputs", "targets")
+    return _sft_rows(_rendered(spark, sf_dir), BOS).select(
+        "split", "pack_group", "row_no", F.size("docs").cast("long").alias("n_docs"), F.col("n_content").cast("long").alias("n_content"),
+        _digest("inputs").alias("inputs_md5"), _digest("targets").alias("targets_md5"))
+
+
+@query("bpe_sft_rows")
+def q_bpe_sft_rows(spark, sf_dir):
+    """Chat training rows end to end: conversations rendered in the trained
+    vocabulary with their loss mask, packed, padded and shifted."""
+    merges = trained_merges(spark, sf_dir)
+    rendered = PK.written(_rendered(spark, sf_dir, merges=merges), "bpe-rendered")
+    rows = _sft_rows(rendered, special_id("<|bos|>", len(merges)))
+    return rows.select("split", "pack_group", "row_no", "n_content", "docs", "takes", "inputs", "targets")
