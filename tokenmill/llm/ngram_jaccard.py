@@ -62,6 +62,8 @@ CHUNK = 1 << 12
 #: Bits of a bitmap in a tile, in times of the usual bitmaps.
 WIDE = 8
 SIEVE_BITS = 1 << 22
+#: Bytes of text whose shingles a task holds at a time (one longer text alone).
+SLICE = 1 << 19
 #: Classes a task remembers, so that it files copies once (memory only).
 REMEMBERED = 1 << 20
 _U = np.uint64
@@ -120,7 +122,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document: set size, class id, bitmap; the first of a slice also
     carries the shingles that are frequent in the slice."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             w = Words.of(part.column("text"), lower=True)
             doc, h = shingle_sets(w)
             n = np.bincount(doc, minlength=part.num_rows)
@@ -148,7 +150,7 @@ def _files(frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE):
                 w = Words.of(part.column("text"), lower=True)
                 doc, h = shingle_sets(w)
                 n = np.bincount(doc, minlength=part.num_rows)
@@ -294,10 +296,16 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
 
 
+def _even_slices(batch: pa.RecordBatch):
+    """Slices that are small on both sides of the pairs."""
+    for part in slices(batch, "text_a", SLICE // 2):
+        yield from slices(part, "text_b", SLICE // 2)
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sorted shingle arrays overlap enough."""
     for batch in batches:
-        for part in slices(batch, "text_a", 1 << 20):
+        for part in _even_slices(batch):
             sets = []
             for c in ("text_a", "text_b"):
                 doc, h = shingle_sets(Words.of(part.column(c), lower=True))
@@ -342,7 +350,7 @@ def _texts(base: DataFrame, ids: DataFrame) -> DataFrame:
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted 32-bit codes of the shingles of each class."""
     for batch in batches:
-        for part in slices(batch):
+        for part in slices(batch, limit=SLICE):
             doc, h = shingle_sets(Words.of(part.column("text"), lower=True))
             bounds = np.searchsorted(doc, np.arange(part.num_rows + 1))
             small = (h >> _U(32)).astype(np.uint32)

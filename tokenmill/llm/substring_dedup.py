@@ -1,16 +1,16 @@
 """Substring dedup with prefix-partitioned suffix trees.
 
 A word-level suffix is cut off at the window length (50 words), and its first
-50 words are five symbols of ten words each (64-bit hashes). Suffixes sorted
+50 words are two symbols of 25 words each (64-bit hashes). Suffixes sorted
 by their symbols are the leaves of a suffix tree in order; neighbours'
-longest common prefixes are its internal nodes. A node of depth five (50
+longest common prefixes are its internal nodes. A node of depth two (50
 words) is a repeat, its smallest doc_id keeps the text, and all other leaves
 below it are removed windows. Windows that follow each other join into
 maximal repeats.
 
 The suffixes are dealt to groups by range: the bounds that Spark samples are
 prefixes as long as needed to tell two groups apart, from part of the first
-symbol up to all five and the document, so groups have about equal sizes even
+symbol up to both and the document, so groups have about equal sizes even
 if a third of all suffixes start with the same passage. A group is sorted by
 Spark (spilling if need be) and its tree is walked leaf by leaf in constant
 memory. A node cut in two by a bound is put together from the groups' first
@@ -44,7 +44,7 @@ from tokenmill.llm.text import Words, as_signed, covered, slices
 
 WINDOW = 50
 ANCHOR = 8
-SYMBOL = 10
+SYMBOL = 25
 SYMBOLS = [f"s{i}" for i in range(WINDOW // SYMBOL)]
 
 
