@@ -101,9 +101,29 @@ def _word_bounds(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return lo, hi
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstd frames: they go through two shuffles."""
+    import zstandard
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        frames = [squeeze(text.as_buffer()) for text in batch.column("text")]
+        yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("th"), pa.array(frames, pa.binary())], names=["ord", "th", "z"])
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with the texts back in place of their frames, in slices whose
+    frames are small."""
+    import zstandard
+    whole = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for part in slices(batch, "z"):
+            texts = pa.array([whole(z.as_buffer()).decode() for z in part.column("z")], pa.string())
+            yield part.set_column(part.schema.get_field_index("z"), "text", texts)
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes at the windows whose anchor gram other documents have too."""
-    for batch in batches:
+    for batch in _texts(batches):
         for part in slices(batch):
             w = Words.of(part.column("text"))
             starts, anchor, gram = window_anchors(w)
@@ -159,7 +179,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Apply the removed windows to the texts."""
-    for batch in batches:
+    for batch in _texts(batches):
         ids, words, gone, digests, kept_texts = [], [], [], [], []
         for doc_id, text, full, pos in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "full", "pos"))):
             w = (text or "").encode().split()
@@ -194,7 +214,7 @@ def removed_windows(docs: DataFrame) -> DataFrame:
     shared = anchors.groupBy("gram").agg(F.min("ord").alias("a"), F.max("ord").alias("b")).where("a < b").select("gram")
     hot = anchors.join(shared, "gram").groupBy("ord", "th").agg(F.collect_set("gram").alias("hot"))
     schema = ", ".join(f"{s} long" for s in SYMBOLS) + ", ord long, th long, pos int"
-    leaves = base.join(hot, ["ord", "th"]).dropDuplicates(["ord", "th"]).mapInArrow(_suffixes, schema)
+    leaves = _frames(base).join(hot, ["ord", "th"]).dropDuplicates(["ord", "th"]).mapInArrow(_suffixes, schema)
     order = [*SYMBOLS, "ord", "th", "pos"]
     walked = leaves.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_walk, schema + ", kind int")
     found = materialise(walked, "repeats")
@@ -212,9 +232,13 @@ def _identified(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("th"), text.alias("text"))
 
 
+def _frames(base: DataFrame) -> DataFrame:
+    return base.mapInArrow(_squeezed, "ord long, th long, z binary")
+
+
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text of every row of ``docs``."""
     base = _identified(docs)
-    joined = base.join(removed_windows(docs), ["ord", "th"], "left")
-    return joined.select(F.expr(f"nullif(ord, {LAST_ID}L)").alias("doc_id"), "text", "full", "pos").mapInArrow(
+    joined = _frames(base).join(removed_windows(docs), ["ord", "th"], "left")
+    return joined.select(F.expr(f"nullif(ord, {LAST_ID}L)").alias("doc_id"), "z", "full", "pos").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
