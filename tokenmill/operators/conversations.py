@@ -8,9 +8,10 @@ split good rows from a quarantine output.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.plans.positions import global_position, seeded_key
@@ -188,7 +189,6 @@ def task_sequence(tasks: list[tuple[str, DataFrame]], row_col: str = "row_id",
     """Curriculum order: task after task; index = offset of the task + row."""
     u = union_tasks(tasks, row_col)
     sizes = u.groupBy("task_no").agg(F.count("*").alias("_n"))
-    from pyspark.sql import Window
     w = Window.orderBy("task_no").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select("task_no", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     return u.join(offs, "task_no").withColumn(out, F.col("_off") + F.col(row_col)).drop("_off")
@@ -200,3 +200,68 @@ def mixture_composition(tasks: list[tuple[str, DataFrame]], recipe: DataFrame |
     per = u.groupBy("task").agg(F.count("*").alias("rows"), F.countDistinct("task_no").alias("epochs"))
     total = u.select(F.count("*")).scalar()
     return per.withColumn("share", F.round(F.col("rows") / total, 6))
+
+
+# --------------------------------------------------------------- recipes --
+
+@dataclass(frozen=True)
+class Part:
+    """A task of a recipe: how often it is listed, and where each listing
+    stops (None: at the end of the task)."""
+
+    task: str
+    times: int = 1
+    stop: int | None = None
+
+
+def sft_recipe(kind: str, choice_epochs: int = 3, math_epochs: int = 4) -> list[Part]:
+    """The chat training mixtures: ``full``, ``lite`` for small machines, and
+    ``val`` for validation."""
+    # fixed values: epochs, sizes and stops of the three mixtures
+    if kind == "full":
+        return [Part("chat"), Part("identity", 2), Part("custom", 3), Part("domain", 5), Part("choice", choice_epochs),
+                Part("math", math_epochs), Part("spelling", 1, 200_000), Part("spelling_bee", 1, 80_000)]
+    if kind == "lite":
+        return [Part("custom", 20), Part("identity", 3), Part("domain", 10), Part("math", min(math_epochs, 2))]
+    if kind == "val":
+        return [Part("chat"), Part("choice", 1, 5200), Part("math", 1, 420)]
+    raise ValueError(f"no such recipe: {kind}")
+
+
+def _listings(recipe: list[Part]) -> dict[str, list[tuple[int, int | None]]]:
+    """Per task its places in the recipe, in order, with their stops."""
+    out: dict[str, list[tuple[int, int | None]]] = {}
+    place = 0
+    for part in recipe:
+        for _ in range(part.times):
+            out.setdefault(part.task, []).append((place, part.stop))
+            place += 1
+    return out
+
+
+def recipe_rows(rows: DataFrame, recipe: list[Part], task_col: str = "task", row_col: str = "row_id") -> DataFrame:
+    """Every row of ``rows`` (all tasks, one scan, ``row_id`` dense per task)
+    once for each listing of its task that it does not lie beyond; tasks that
+    the recipe doesn't list give nothing. Adds ``task_no``, the listing."""
+    listing = lambda place, stop: F.struct(F.lit(place).alias("no"), F.lit(stop).cast("long").alias("stop"))
+    places = F.create_map(*[x for task, ls in _listings(recipe).items() for x in (F.lit(task), F.array(*[listing(*one) for one in ls]))])
+    mine = F.filter(F.get(F.array(F.element_at(places, F.col(task_col))), F.lit(0)), lambda e: e["stop"].isNull() | (F.col(row_col) < e["stop"]))
+    return rows.withColumn("task_no", F.explode(F.transform(mine, lambda e: e["no"])))
+
+
+def recipe_mixture(rows: DataFrame, recipe: list[Part], seed: int = 42, row_col: str = "row_id", out: str = "mix_idx") -> DataFrame:
+    """The rows of a recipe in seeded order with a dense index."""
+    u = recipe_rows(rows, recipe, row_col=row_col)
+    u = u.withColumn("_k", seeded_key(seed, "task_no", row_col))
+    return global_position(u, ["_k", "task_no", row_col], (), out=out, block=F.substring("_k", 1, 4)).drop("_k")
+
+
+def recipe_composition(rows: DataFrame, recipes: dict[str, list[Part]], task_col: str = "task") -> DataFrame:
+    """(recipe, task, rows, epochs, share) from one count per task: a listing
+    gives as many rows as the task has, up to its stop."""
+    counts = rows.groupBy(task_col).agg(F.count("*").alias("_n"))
+    parts = [(name, task, len(ls), [stop for _, stop in ls]) for name, recipe in recipes.items() for task, ls in _listings(recipe).items()]
+    table = rows.sparkSession.createDataFrame(parts, f"recipe string, {task_col} string, epochs long, stops array<long>")
+    per = table.join(counts, task_col).withColumn("rows", F.aggregate("stops", F.lit(0).cast("long"), lambda acc, stop: acc + F.least(F.col("_n"), F.coalesce(stop, F.col("_n")))))
+    total = F.sum("rows").over(Window.partitionBy("recipe"))
+    return per.select("recipe", task_col, "rows", "epochs", F.round(F.col("rows") / total, 6).alias("share"))

@@ -279,6 +279,11 @@ def record_improvement(runs: DataFrame, order: str, metric: str, lower_is_better
 
 # ------------------------------------------------------------- reports --
 
+def section_key(section) -> Column:
+    """A section's name as its file is called: lower case, blanks to ``-``."""
+    return F.translate(F.lower(F.col(section) if isinstance(section, str) else section), " ", "-")
+
+
 def scrape_report_kv(lines: DataFrame, keys, section: str = "stage", order: str = "line_no",
                      line: str = "line") -> DataFrame:
     """Lines containing a key -> text between the first and second ``:``,
@@ -335,26 +340,31 @@ def run_duration(ts: DataFrame, sections, section: str = "stage", present: DataF
 
 # ---------------------------------------------------------- log scrape --
 
+# fixed values: the lines of a run log and its parameter counts
+_MARKERS = {"bpb": "Validation bpb:", "iters": "Calculated number of iterations", "core": "CORE metric:"}
+PARAMETER_COUNTS = ("wte", "bigram_embed", "value_embeds", "lm_head", "transformer_matrices", "scalars", "total")
+
+
 def scrape_run_logs(logs: DataFrame, file_col: str = "file_no", order: str = "line_no",
                     line: str = "line") -> DataFrame:
     """Per log file: the last line holding each marker, numbers extracted as
     the shell pipeline did (commas removed); tokens = iters x 524288;
     missing CORE -> 0.0; a number that can't be read is NULL."""
-    markers = {"lm": "lm_head", "bpb": "Validation bpb:", "iters": "Calculated number of iterations",
-               "core": "CORE metric:"}
-    ms = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("m")) for k, v in markers.items()])
-    d = logs.select(file_col, order, line,
-                    F.explode(F.filter(ms, lambda s: F.col(line).contains(s["m"]))).alias("_m"))
-    last = d.groupBy(file_col).pivot("_m.k", list(markers)).agg(F.max_by(line, order))
+    ms = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("m")) for k, v in _MARKERS.items()])
+    counts = F.array(*[F.struct(F.lit(f"params_{n}").alias("k"), F.lit(rf"\b{n}\s*:").alias("m")) for n in PARAMETER_COUNTS])
+    found = F.concat(F.filter(ms, lambda s: F.col(line).contains(s["m"])), F.filter(counts, lambda s: F.regexp_like(F.col(line), s["m"])))
+    d = logs.select(file_col, order, line, F.explode(found).alias("_m"))
+    names = [f"params_{n}" for n in PARAMETER_COUNTS]
+    last = d.groupBy(file_col).pivot("_m.k", [*_MARKERS, *names]).agg(F.max_by(line, order))
     files = logs.select(file_col).distinct()
     last = files.join(last, file_col, "left")
-    lm = F.replace(F.regexp_extract("lm", r"([0-9,]+)", 1), F.lit(","), F.lit(""))
+    number = lambda c: F.replace(F.regexp_extract(c, r":\s*([0-9,]+)", 1), F.lit(","), F.lit(""))
     iters = F.replace(F.regexp_extract("iters", r"^.*: (.*)$", 1), F.lit(","), F.lit(""))
     bpb = F.regexp_extract("bpb", r"([0-9.]+)$", 1)
     core = F.element_at(F.split(F.trim("core"), " +"), -1)
     out = last.select(
         file_col,
-        F.when(F.col("lm").isNotNull(), lm).try_cast("long").alias("params_lm_head"),
+        *[F.when(F.col(n).isNotNull(), number(n)).try_cast("long").alias(n) for n in names],
         F.when(F.col("iters").isNotNull(), iters).try_cast("long").alias("num_iters"),
         F.when(F.col("bpb").isNotNull(), bpb).try_cast("double").alias("val_bpb"),
         F.coalesce(F.when(F.col("core").isNotNull(), core), F.lit("0.0")).try_cast("double").alias("core"))

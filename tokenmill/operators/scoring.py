@@ -8,6 +8,9 @@ partial + final aggregation, keyed joins and per-key windows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,6 +131,62 @@ def letter_argmax(scores: DataFrame, keys=("item_id",), letter_col: str = "lette
     return scores.groupBy(*keys).agg(F.max_by(letter_col, tie).alias("predicted"))
 
 
+# ------------------------------------------------------- task registry --
+
+@dataclass(frozen=True)
+class EvalTask:
+    """A task of the evaluation: ``load`` reads its rows from a catalog,
+    ``baseline`` is what guessing gets. Categorical rows are (idx, letter_no,
+    score, answer); generative ones are (idx, k, response, reference) and
+    ``grade`` says from the latter two whether a sample is right."""
+
+    load: Callable
+    eval_type: str
+    baseline: float = 0.0
+    grade: Callable | None = None
+
+
+def evaluate(registry: dict[str, EvalTask], catalog, names=None) -> DataFrame:
+    """(task, eval_type, problems, accuracy, baseline, centered) of the named
+    tasks (all by default), both kinds in one plan: the rows of all
+    categorical tasks are one table, those of all generative tasks another,
+    and one aggregation over the problems of both gives the accuracies."""
+    names = list(registry if names is None else names)
+    unknown = [n for n in names if n not in registry]
+    if unknown:
+        raise ValueError(f"not in the registry: {unknown}")
+    kinds: dict[str, list[DataFrame]] = {"categorical": [], "generative": []}
+    for name in names:
+        task = registry[name]
+        rows = task.load(catalog).withColumn("task", F.lit(name))
+        if task.eval_type == "categorical":
+            rows = rows.select("task", F.col("idx").cast("long").alias("idx"), F.col("letter_no").cast("long").alias("letter_no"),
+                               F.col("score").cast("double").alias("score"), F.col("answer").cast("long").alias("answer"))
+        elif task.eval_type == "generative":
+            ok = F.coalesce(task.grade(F.col("response"), F.col("reference")), F.lit(False))
+            rows = rows.select("task", F.col("idx").cast("long").alias("idx"), ok.alias("is_correct"))
+        else:
+            raise ValueError(f"{name}: no such eval_type: {task.eval_type}")
+        kinds[task.eval_type].append(rows)
+    problems = []
+    if kinds["categorical"]:
+        scores = reduce(DataFrame.unionByName, kinds["categorical"])
+        best = scores.groupBy("task", "idx").agg(F.max_by("letter_no", F.struct("score", -F.col("letter_no"))).alias("_p"), F.max("answer").alias("_a"))
+        problems.append(best.select("task", "idx", (F.col("_p") == F.col("_a")).alias("passed")))
+    if kinds["generative"]:
+        problems.append(problem_outcomes(reduce(DataFrame.unionByName, kinds["generative"])))
+    per = reduce(DataFrame.unionByName, problems).groupBy("task").agg(F.count("*").alias("problems"), F.avg(F.col("passed").cast("double")).alias("accuracy"))
+    facts = F.create_map(*[x for n in names for x in (F.lit(n), F.struct(F.lit(registry[n].eval_type).alias("t"), F.lit(registry[n].baseline).alias("b")))])
+    per = per.withColumn("_f", F.element_at(facts, F.col("task")))
+    return per.select("task", F.col("_f.t").alias("eval_type"), "problems", "accuracy", F.col("_f.b").alias("baseline"),
+                      centered(F.col("accuracy"), F.col("_f.b")).alias("centered"))
+
+
+def accuracy_rollup(items: DataFrame, dims=("task", "subject"), correct_col: str = "is_correct") -> DataFrame:
+    """Accuracy per task and subject, per task, and of all."""
+    return items.rollup(*dims).agg(F.avg(F.col(correct_col).cast("double")).alias("accuracy"), F.count("*").alias("items"))
+
+
 def option_loss_choice(option_losses: DataFrame, item_col: str = "item_id", opt_col: str = "opt",
                        loss_col: str = "loss", gold_col: str = "gold") -> DataFrame:
     """Mean loss over the answer span per option; lowest wins (first on ties)."""

@@ -176,8 +176,14 @@ from events
 """
 
 VIEWS["run_logs"] = """
-select file_no, line_no, case line_no % 4
+select file_no, line_no, case line_no % 10
          when 0 then 'lm_head                 : ' || cast(1 + file_no % 9 as string) || ',048,576'
+         when 4 then 'wte                     : ' || cast(1 + line_no % 7 as string) || ',000,001'
+         when 5 then 'bigram_embed            : ' || cast(line_no as string)
+         when 6 then 'value_embeds            : 2,' || cast(100 + file_no as string)
+         when 7 then 'transformer_matrices    : ' || cast(1 + file_no % 9 as string) || ',' || cast(100 + line_no % 800 as string) || ',000'
+         when 8 then 'scalars                 : ' || cast(file_no as string)
+         when 9 then 'total                   : ' || cast(3 + file_no % 9 as string) || ',999,999'
          when 1 then 'Step 00100 | Validation bpb: 0.8' || cast(10 + (file_no + line_no) % 89 as string)
          when 2 then 'Calculated number of iterations from target FLOPs: 1,' || cast(100 + file_no as string)
          else case when file_no % 7 = 0 then 'noise' else 'CORE metric: 0.2' || cast(10 + line_no % 89 as string) end end as line

@@ -246,3 +246,50 @@ def q_index_gather(spark, sf_dir):
                                         F.size("messages").cast("long").alias("n_messages"))
     g = idx.select("mix_idx", "task_no", "row_id").join(rows, ["task_no", "row_id"])
     return g.select("mix_idx", F.col("task_no").cast("int").alias("task_no"), "conv_id", "n_messages")
+
+
+def _recipe_rows(spark, sf_dir):
+    """All tasks of the recipes that the tables give, in one table: chat and
+    identity conversations, choice items, math problems and words to spell."""
+    cat, nested = _nested(spark, sf_dir)
+    kind = F.when(F.get(F.col("messages"), 0)["role"] == "system", F.lit("identity")).otherwise(F.lit("chat"))
+    parts = [nested.select(kind.alias("task"), F.col("conv_id").cast("long").alias("item_id")),
+             cat.mc_items.select(F.lit("choice").alias("task"), F.col("item_id").cast("long").alias("item_id")),
+             cat.tool_text.select(F.lit("math").alias("task"), F.col("problem_id").cast("long").alias("item_id"))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return global_position(rows, ["item_id"], ["task"], out="row_id")
+
+
+_RECIPE_SQL = """
+t0 as (select conv_id, min(case when turn = 0 then role end) as first_role from conversations group by conv_id),
+items as (select case when first_role = 'system' then 'identity' else 'chat' end as task, cast(conv_id as bigint) as item_id from t0
+          union all select 'choice', cast(p_partkey as bigint) from part
+          union all select 'math', cast(o_orderkey as bigint) from orders),
+rows as (select *, row_number() over (partition by task order by item_id) - 1 as row_id from items),
+listed(recipe, task, first_no, times, stop) as (values
+  ('full', 'chat', 0, 1, null), ('full', 'identity', 1, 2, null), ('full', 'choice', 11, 3, null), ('full', 'math', 14, 4, null),
+  ('lite', 'identity', 20, 3, null), ('lite', 'math', 33, 2, null),
+  ('val', 'chat', 0, 1, null), ('val', 'choice', 1, 1, 5200), ('val', 'math', 2, 1, 420)),
+mixed as (select recipe, task, row_id, item_id, first_no + unnest(range(0, times)) as task_no
+          from rows join listed using (task) where stop is null or row_id < stop)"""
+
+
+@query("recipe_composition", oracle(f"""
+with {_RECIPE_SQL}
+select recipe, task, count(*) as rows, count(distinct task_no) as epochs,
+       round(count(*) / sum(count(*)) over (partition by recipe), 6) as share
+from mixed group by recipe, task"""))
+def q_recipe_composition(spark, sf_dir):
+    """Rows, epochs and shares of the full, lite and validation recipes."""
+    return CV.recipe_composition(_recipe_rows(spark, sf_dir), {k: CV.sft_recipe(k) for k in ("full", "lite", "val")})
+
+
+@query("recipe_mixture", oracle(f"""
+with {_RECIPE_SQL}
+select task, cast(task_no as int) as task_no, row_id, item_id,
+       row_number() over (order by md5('42:' || cast(task_no as varchar) || ':' || cast(row_id as varchar)), task_no, row_id) - 1 as mix_idx
+from mixed where recipe = 'full'"""))
+def q_recipe_mixture(spark, sf_dir):
+    """The full recipe, repeats and all, in seeded order."""
+    m = CV.recipe_mixture(_recipe_rows(spark, sf_dir), CV.sft_recipe("full"))
+    return m.select("task", "task_no", "row_id", "item_id", "mix_idx")

@@ -316,16 +316,26 @@ def q_run_duration(spark, sf_dir):
 
 @query("scrape_run_logs", oracle("""
 with m as (select file_no, line_no, line, unnest(list_filter(
-             [{'k': 'lm', 'm': 'lm_head'}, {'k': 'bpb', 'm': 'Validation bpb:'},
+             [{'k': 'wte', 'm': 'wte '}, {'k': 'bi', 'm': 'bigram_embed '}, {'k': 've', 'm': 'value_embeds '}, {'k': 'tm', 'm': 'transformer_matrices '},
+              {'k': 'sc', 'm': 'scalars '}, {'k': 'tot', 'm': 'total '}, {'k': 'lm', 'm': 'lm_head '}, {'k': 'bpb', 'm': 'Validation bpb:'},
               {'k': 'iters', 'm': 'Calculated number of iterations'}, {'k': 'core', 'm': 'CORE metric:'}],
              lambda s: contains(line, s.m))) as s from run_logs),
 l as (select file_no,
+        arg_max(line, line_no) filter (where s.k = 'wte') as wte, arg_max(line, line_no) filter (where s.k = 'bi') as bi,
+        arg_max(line, line_no) filter (where s.k = 've') as ve, arg_max(line, line_no) filter (where s.k = 'tm') as tm,
+        arg_max(line, line_no) filter (where s.k = 'sc') as sc, arg_max(line, line_no) filter (where s.k = 'tot') as tot,
         arg_max(line, line_no) filter (where s.k = 'lm') as lm, arg_max(line, line_no) filter (where s.k = 'bpb') as bpb,
         arg_max(line, line_no) filter (where s.k = 'iters') as iters, arg_max(line, line_no) filter (where s.k = 'core') as core
       from m group by file_no),
 f as (select distinct file_no from run_logs),
 v as (select f.file_no,
-        cast(replace(regexp_extract(lm, '([0-9,]+)', 1), ',', '') as bigint) as params_lm_head,
+        cast(replace(regexp_extract(wte, ': ([0-9,]+)', 1), ',', '') as bigint) as params_wte,
+        cast(replace(regexp_extract(bi, ': ([0-9,]+)', 1), ',', '') as bigint) as params_bigram_embed,
+        cast(replace(regexp_extract(ve, ': ([0-9,]+)', 1), ',', '') as bigint) as params_value_embeds,
+        cast(replace(regexp_extract(lm, ': ([0-9,]+)', 1), ',', '') as bigint) as params_lm_head,
+        cast(replace(regexp_extract(tm, ': ([0-9,]+)', 1), ',', '') as bigint) as params_transformer_matrices,
+        cast(replace(regexp_extract(sc, ': ([0-9,]+)', 1), ',', '') as bigint) as params_scalars,
+        cast(replace(regexp_extract(tot, ': ([0-9,]+)', 1), ',', '') as bigint) as params_total,
         cast(replace(regexp_extract(iters, '^.*: (.*)$', 1), ',', '') as bigint) as num_iters,
         cast(regexp_extract(bpb, '([0-9.]+)$', 1) as double) as val_bpb,
         cast(coalesce(string_split(trim(core), ' ')[-1], '0.0') as double) as core

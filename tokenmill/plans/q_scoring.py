@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from tokenmill.functions import grading as G
 from tokenmill.operators import scoring as S
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.registry import query
@@ -132,6 +133,62 @@ def q_accuracy_by_subject(spark, sf_dir):
         F.avg(F.col("is_correct").cast("double")).alias("accuracy"), F.count("*").alias("items"))
 
 
+@query("accuracy_rollup", oracle(f"""
+with {_MC_PRED},
+t as (select string_split(task, ' ')[1] as task, task as subject, predicted = answer as is_correct from pred)
+select task, subject, avg(case when is_correct then 1.0e0 else 0.0e0 end) as accuracy, count(*) as items
+from t group by rollup(task, subject)""", "mc_answers"))
+def q_accuracy_rollup(spark, sf_dir):
+    """Accuracy per task and subject, per task, and of all items."""
+    j = _mc_accuracy(spark, sf_dir).withColumnRenamed("task", "subject")
+    return S.accuracy_rollup(j.withColumn("task", F.get(F.split("subject", " "), F.lit(0))))
+
+
+def _same_number(response, reference):
+    return G.extract_answer(response).eqNullSafe(G.extract_answer(G.last_text_part(reference)))
+
+
+def _outcomes(task):
+    return lambda cat: cat.eval_outcomes.where(F.col("task") == task).select(
+        "idx", "k", F.col("is_correct").cast("string").alias("response"), F.lit("true").alias("reference"))
+
+
+#: Name -> how a task is read, graded and compared with guessing.
+TASKS = {
+    "choice": S.EvalTask(lambda cat: cat.mc_answers.select(F.col("item_id").alias("idx"), "letter_no", "score", "answer"), "categorical", 0.25),
+    "math": S.EvalTask(lambda cat: cat.completions.select(F.col("problem_id").alias("idx"), "k", F.col("completion").alias("response"), F.col("answer").alias("reference")),
+                       "generative", 0.0, _same_number),
+    "click": S.EvalTask(_outcomes("click"), "generative", 0.25, lambda a, b: a == b),
+    "signup": S.EvalTask(_outcomes("signup"), "generative", 0.0, lambda a, b: a == b),
+}
+_NUMBER = "case when regexp_matches({c}, '#### (-?[0-9.,]+)') then replace(regexp_extract({c}, '#### (-?[0-9.,]+)', 1), ',', '') end"
+_EVALUATED = f"""{_MC_PRED},
+passed as (
+  select 'choice' as task, predicted = answer as ok from pred
+  union all select 'math', bool_or({_NUMBER.format(c='completion')} is not distinct from {_NUMBER.format(c="regexp_split_to_array(answer, '<<[^>]+>>')[-1]")})
+            from completions group by problem_id
+  union all select task, bool_or(is_correct) from eval_outcomes where task in ('click', 'signup') group by task, idx),
+acc as (select task, case when task = 'choice' then 'categorical' else 'generative' end as eval_type, count(*) as problems,
+        avg(case when ok then 1.0e0 else 0.0e0 end) as accuracy, case when task in ('choice', 'click') then 0.25e0 else 0.0e0 end as baseline
+        from passed group by task),
+res as (select *, (accuracy - baseline) / (1.0e0 - baseline) as centered from acc)"""
+
+
+@query("evaluate_tasks", oracle(f"""
+with {_EVALUATED} select * from res""", "mc_answers", "completions", "eval_outcomes"))
+def q_evaluate_tasks(spark, sf_dir):
+    """Every registered task, categorical and generative, in one plan."""
+    return S.evaluate(TASKS, load(spark, sf_dir))
+
+
+@query("evaluate_chatcore", oracle(f"""
+with {_EVALUATED} select avg(centered) as chatcore, avg(centered) filter (where eval_type = 'categorical') as chatcore_cat from res""",
+                                    "mc_answers", "completions", "eval_outcomes"))
+def q_evaluate_chatcore(spark, sf_dir):
+    """ChatCORE of the registered tasks."""
+    return S.chatcore_metric(S.evaluate(TASKS, load(spark, sf_dir)), list(TASKS), [n for n, t in TASKS.items() if t.eval_type == "categorical"])
+
+
 def _core_results(spark, sf_dir):
     """Baselines CSV (written from the data) -> read back -> strict join ->
     centered (percent baselines) per task."""

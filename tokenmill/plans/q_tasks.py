@@ -104,6 +104,34 @@ def q_mc_conversation(spark, sf_dir):
                     F.get(G.mc_letters(), F.col("answer")).alias("assistant"))
 
 
+#: Choice items of three to five choices with letters or digits; some rows
+#: are faulty, as a scraped table may have them.
+_CHOICES = """select p_partkey as item_id, 'Which label fits ' || p_name || '?' as question,
+  case p_partkey % 3 when 0 then array(p_name, p_brand, p_type, cast(p_size as string), 'none') when 1 then array(p_brand, p_type, cast(p_size as string)) else array(p_name, p_brand, p_type, cast(p_size as string)) end as choices,
+  case when p_partkey % 23 = 0 then array('A', 'B') when p_partkey % 29 = 0 then array('A', 'A', 'C', 'D', 'E') when p_partkey % 3 = 0 then array('A', 'B', 'C', 'D', 'E')
+       when p_partkey % 3 = 1 then array('1', '2', '3') else array('A', 'B', 'C', 'D') end as letters,
+  case when p_partkey % 31 = 0 then null when p_partkey % 3 = 1 then cast(p_partkey % 4 as string) else 'B' end as answer from part"""
+
+
+@query("choice_conversation", oracle(f"""
+with i as ({_CHOICES.replace('array(', 'list_value(').replace('as string', 'as varchar')}),
+r as (select *, case when len(choices) <> len(letters) then 'letters_do_not_match_choices' when len(list_distinct(letters)) < len(letters) then 'repeated_letter'
+                     when answer is null or not list_contains(letters, answer) then 'answer_not_a_letter' end as reason from i)
+select item_id, reason, case when reason is null then answer end as assistant, case when reason is null then len(letters) end as n_letters,
+  case when reason is null then md5('Multiple Choice question: ' || question || chr(10)
+    || array_to_string(list_transform(list_zip(choices, letters), lambda z: '- ' || z[1] || '=' || z[2] || chr(10)), '')
+    || chr(10) || 'Respond only with the letter of the correct answer.') end as user_md5 from r"""))
+def q_choice_conversation(spark, sf_dir):
+    """Choices of any number with the row's own letters; refused rows come
+    out with their reason."""
+    load(spark, sf_dir).part.createOrReplaceTempView("part")
+    good, bad = G.choice_conversations(spark.sql(_CHOICES), "question", "choices", "letters", "answer")
+    text = lambda i: F.get("messages", F.lit(i))["content"]
+    return good.select("item_id", F.lit(None).cast("string").alias("reason"), text(1).alias("assistant"),
+                       F.size("letters").cast("long").alias("n_letters"), F.md5(text(0)).alias("user_md5")).unionByName(
+        bad.select("item_id", "reason"), allowMissingColumns=True)
+
+
 @query("code_conversation", oracle("""
 select item_id, md5(prompt) as user_md5, md5(prompt || chr(10) || canonical_solution) as assistant_md5,
        entry_point, md5(test) as test_md5
