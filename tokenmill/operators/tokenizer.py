@@ -282,7 +282,9 @@ def train_bpe(hist: DataFrame, vocab_size: int, most_runs: int = MOST_RUNS, firs
             break
         hot = top[:n_hot]
         runs = hot_runs(words, [r["pair"] for r in hot]).limit(most_runs + 1).collect()
-        if len(runs) > most_runs and n_hot > 1:
+        if len(runs) > most_runs:
+            if n_hot == 1:  # runs of one pair differ in length only
+                raise ValueError(f"one pair has more than {most_runs} distinct runs")
             n_hot = max(1, n_hot // 4)
             continue
         last = None
