@@ -227,14 +227,15 @@ def _row_level(todo: DataFrame, starts: dict, packer: str, cap: int, pad_id: int
         n_rows = int(r.max()) + 1 if len(r) else 0
         order = np.lexsort((dst, r))
         d, r, dst, src, take = (x[order] for x in (d, r, dst, src, take))
-        step = np.arange(int(take.sum())) - np.repeat(np.cumsum(take) - take, take)
-        source, target = np.repeat(offsets[d] - offsets[0] + src, take) + step, np.repeat(r * cap + dst, take) + step
+        # one copy per placement: no index of the tokens is made
+        moves = list(zip((offsets[d] - offsets[0] + src).tolist(), (r * cap + dst).tolist(), take.tolist()))
         columns = {}
         for name, fill in (("ids", pad_id), ("mask", 0)):
             if name == "ids" or masked:
                 values = flat(table[name].combine_chunks())
                 out = np.full(n_rows * cap, fill, np.int32)
-                out[target] = values[source]
+                for source, target, n in moves:
+                    out[target:target + n] = values[source:source + n]
                 made = pa.ListArray.from_arrays(pa.array(np.arange(n_rows + 1) * cap, pa.int32()), pa.array(out))
                 columns[name] = pa.concat_arrays([made.cast(pa.list_(pa.int32())), table[name].combine_chunks().take(pa.array(left)).cast(pa.list_(pa.int32()))])
         ends = np.searchsorted(r, np.arange(n_rows + 1))
