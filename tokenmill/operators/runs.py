@@ -44,36 +44,34 @@ def valid_runs(df: DataFrame, metric: str = "val_bpb") -> DataFrame:
     return df.filter(m.isNotNull() & ~F.isnan(m) & (m > 0))
 
 
-def interpolate_at(points: DataFrame, at: DataFrame, keys, x: str, y: str, at_x: str,
-                   out: str) -> DataFrame:
-    """``np.interp``: linear interpolation of ``y(x)`` at ``at_x`` per key,
-    clamped to the first / last point.
-
-    As-of style, without pairing queries with segments: points and query
-    rows are unioned and ordered by x per key; the previous point (last
-    non-null looking back) and the next point (first non-null looking
-    ahead) bracket each query. The window spans one key's points only.
+def interpolate_at(points: DataFrame, at: DataFrame, keys, x: str, ys: dict, at_x: str) -> DataFrame:
+    """``np.interp``: linear interpolation of several curves ``y(x)`` at
+    ``at_x``, clamped to the first / last point. ``at`` has one row per key;
+    ``ys`` maps output names to columns of ``points``.
+
+    Each point meets its key's one query, and the two points around it are
+    ``max_by`` / ``min_by`` of those on either side: map-side aggregates, no
+    arrays, windows or sorts, whatever the number of points. Points without
+    an ``x`` take no part; a key without points (or an ``at`` without ``at_x``)
+    gives nulls.
     """
     keys = list(keys)
-    pts = points.select(*keys, F.col(x).cast("double").alias("_x"), F.lit(0).alias("_q"),
-                        F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).alias("_p"))
-    qs = at.select(*keys, F.col(at_x).cast("double").alias("_x"), F.lit(1).alias("_q"),
-                   F.lit(None).cast("struct<x:double,y:double>").alias("_p"))
-    u = pts.unionByName(qs)
-    w = Window.partitionBy(*keys).orderBy("_x", "_q")
-    prev = F.last("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first("_p", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    lo = F.first("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    hi = F.last("_p", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    b = u.select(*keys, "_x", "_q", prev.alias("_a"), nxt.alias("_b"), lo.alias("_lo"), hi.alias("_hi")) \
-         .filter(F.col("_q") == 1)
-    t = (F.col("_x") - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
-    v = (F.when(F.col("_a").isNull(), F.col("_lo.y"))
-          .when(F.col("_b").isNull(), F.col("_hi.y"))
-          .when(F.col("_b.x") == F.col("_a.x"), F.col("_a.y"))
-          .otherwise(F.col("_a.y") + t * (F.col("_b.y") - F.col("_a.y"))))
-    vals = b.select(*keys, F.col("_x").alias(at_x), v.alias(out)).dropDuplicates([*keys, at_x])
-    return at.join(vals, [*keys, at_x], "left")
+    px, q = F.col("_p.x"), F.col("_q")
+    pts = points.filter(F.col(x).isNotNull()).select(*keys, F.struct(
+        F.col(x).cast("double").alias("x"), *[F.col(c).cast("double").alias(o) for o, c in ys.items()]).alias("_p"))
+    met = pts.join(at.select(*keys, F.col(at_x).cast("double").alias("_q")), keys)
+    near = met.groupBy(*keys).agg(
+        F.max(F.when(px <= q, F.col("_p"))).alias("_a"), F.min(F.when(px >= q, F.col("_p"))).alias("_b"),
+        F.first("_q").alias("_q"))
+    t = (q - F.col("_a.x")) / (F.col("_b.x") - F.col("_a.x"))
+
+    def value(o):
+        a, b = F.col(f"_a.{o}"), F.col(f"_b.{o}")
+        # outside the points only one side is there: the end itself
+        return (F.when(F.col("_a").isNull(), b).when(F.col("_b").isNull(), a)
+                 .when(F.col("_b.x") == F.col("_a.x"), a).otherwise(a + t * (b - a)))
+
+    return at.join(near.select(*keys, *[value(o).alias(o) for o in ys]), keys, "left")
 
 
 def isoflop_fit(runs: DataFrame, keys=("exp_id", "flops_budget"), x_raw: str = "effective_params",
@@ -118,12 +116,9 @@ def isoflop_optimum(runs: DataFrame, keys=("exp_id", "flops_budget")) -> DataFra
     when the fit fell back to the minimum)."""
     keys = list(keys)
     fit = isoflop_fit(runs, keys)
-    pts = runs.select(*keys, F.log10("effective_params").alias("lx"), "tokens_trained", "param_data_ratio")
-    t = interpolate_at(pts.select(*keys, "lx", F.col("tokens_trained").cast("double").alias("yv")),
-                       fit, keys, "lx", "yv", "log_opt", "opt_tokens")
-    r = interpolate_at(pts.select(*keys, "lx", F.col("param_data_ratio").alias("yv")),
-                       fit.select(*keys, "log_opt"), keys, "lx", "yv", "log_opt", "opt_ratio")
-    return t.join(r.select(*keys, "opt_ratio"), keys)
+    pts = runs.withColumn("_lx", F.log10("effective_params"))
+    return interpolate_at(pts, fit, keys, "_lx",
+                          {"opt_tokens": "tokens_trained", "opt_ratio": "param_data_ratio"}, "log_opt")
 
 
 def power_law_fit(opt: DataFrame, key: str = "exp_id", x: str = "flops_budget", y: str = "opt_params",
@@ -208,34 +203,55 @@ def ema_debiased(steps: DataFrame, key: str = "run_id", order: str = "step", x:
                  out: str = "smooth_loss") -> DataFrame:
     """``s = beta*s + (1-beta)*x``; output ``s / (1 - beta^(step+1+offset))``.
 
-    Exact and overflow-free without folding a whole run in one row: within
-    blocks of ``block`` steps the EMA is a windowed sum with bounded
-    exponents; the carry between blocks is an ordered fold over the small
-    per-block summary (one entry per block). ``offset=1`` is the SFT variant.
+    Exact and overflow-free: within blocks of ``block`` steps the EMA is a
+    windowed sum with bounded exponents, and a block as a whole is the affine
+    map ``s -> decay * s + end``. The maps of ``FAN`` neighbouring blocks are
+    composed into one, level by level, and the states go down again the same
+    way, so no array is longer than ``FAN`` (``EMA_LEVELS`` levels are enough
+    for ``block * FAN ** EMA_LEVELS`` steps a run; the last takes what is
+    left). ``offset=1`` is the SFT variant.
     """
     d = global_position(steps, [order], [key], out="_pos")
     d = d.withColumn("_blk", F.floor(F.col("_pos") / block)).withColumn("_j", F.col("_pos") % block)
     wb = Window.partitionBy(key, "_blk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_P", F.sum(F.col(x) * F.pow(F.lit(beta), -F.col("_j"))).over(wb))
     d = d.withColumn("_local", F.lit(1 - beta) * F.pow(F.lit(beta), F.col("_j")) * F.col("_P"))
-    ends = d.groupBy(key, "_blk").agg(F.max_by("_local", "_pos").alias("_E"), F.count("*").alias("_len"))
-    per_run = ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_blk", "_E", "_len"))).alias("_bs"))
-    # carry-in state per block: C_0 = 0, C_{b+1} = beta^len_b * C_b + E_b
-    carries = per_run.select(key, F.aggregate(
-        "_bs", F.array().cast("array<struct<_blk:bigint,_C:double>>"),
-        lambda acc, s: F.concat(acc, F.array(F.struct(
-            s["_blk"].cast("bigint").alias("_blk"),
-            F.when(F.size(acc) == 0, F.lit(0.0)).otherwise(
-                F.pow(F.lit(beta), F.element_at(F.col("_bs"), F.size(acc))["_len"]) * F.element_at(acc, -1)["_C"]
-                + F.element_at(F.col("_bs"), F.size(acc))["_E"]).alias("_C"))))).alias("_cs"))
-    carries = carries.select(key, F.explode("_cs").alias("_c")).select(key, F.col("_c._blk").alias("_blk"),
-                                                                       F.col("_c._C").alias("_C"))
-    d = d.join(carries, [key, "_blk"])
+    maps = d.groupBy(key, "_blk").agg(F.pow(F.lit(beta), F.count("*")).alias("_a"),
+                                      F.max_by("_local", "_pos").alias("_e"))
+    d = d.join(_states_before(maps, key), [key, "_blk"])
     s = F.pow(F.lit(beta), F.col("_j") + 1) * F.col("_C") + F.col("_local")
     debiased = s / (F.lit(1.0) - F.pow(F.lit(beta), F.col(order) + 1 + offset))
     return d.withColumn(out, debiased).drop("_pos", "_blk", "_j", "_P", "_local", "_C")
 
 
+FAN = 256
+EMA_LEVELS = 3
+
+
+def _states_before(maps: DataFrame, key: str, level: int = EMA_LEVELS) -> DataFrame:
+    """``_C``: the state each block starts with, from 0 through the maps
+    ``s -> _a * s + _e`` of the blocks ``_blk`` before it."""
+    up = maps.select(key, "_blk", F.floor(F.col("_blk") / FAN if level else F.lit(0)).alias("_up"), "_a", "_e")
+    groups = up.groupBy(key, "_up").agg(F.array_sort(F.collect_list(F.struct("_blk", "_a", "_e"))).alias("_kids"))
+
+    def compose(first, kid):
+        return F.struct((first["_a"] * kid["_a"]).alias("_a"), (kid["_a"] * first["_e"] + kid["_e"]).alias("_e"))
+
+    nothing = F.struct(F.lit(1.0).alias("_a"), F.lit(0.0).alias("_e"))
+    if level:
+        whole = groups.select(key, F.col("_up").alias("_blk"), F.aggregate("_kids", nothing, compose).alias("_m"))
+        above = _states_before(whole.select(key, "_blk", "_m._a", "_m._e"), key, level - 1)
+        groups = groups.join(above.withColumnRenamed("_blk", "_up"), [key, "_up"])
+    else:
+        groups = groups.withColumn("_C", F.lit(0.0))
+    # states within a group of at most FAN maps
+    states = F.transform("_kids", lambda kid, i: F.struct(
+        kid["_blk"].alias("_blk"),
+        F.aggregate(F.slice("_kids", F.lit(1), i), F.col("_C"),
+                    lambda c, k: k["_a"] * c + k["_e"]).alias("_C")))
+    return groups.select(key, F.inline(states))
+
+
 def training_clock(steps: DataFrame, num_iterations: int, batch_tokens: int, flops_per_token: float,
                    peak_flops: float, world: int = 1, key: str = "run_id", order: str = "step",
                    dt: str = "dt") -> DataFrame:

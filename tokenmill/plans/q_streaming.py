@@ -46,8 +46,7 @@ select case when reason is null then 'good' else 'bad' end as status, reason, co
 from r group by 1, 2""", "conversations_bad"))
 def q_stream_validate(spark, sf_dir):
     nested = nest_conversations(load(spark, sf_dir).conversations_bad)
-    lines = nested.select(F.to_json(F.struct("conv_id", "messages")).alias("value"),
-                          (F.col("conv_id") % 8).cast("int").alias("bucket"))
+    lines = nested.select(F.to_json(F.struct("conv_id", "messages")).alias("value"))
     return S.stream_validate(spark, lines, lambda d: validate_conversations(d, "strict"))
 
 
@@ -62,7 +61,8 @@ select t.run_id, t.step, e.s / (1 - power(0.9e0, t.step + 1)) as smooth_loss,
            rows between unbounded preceding and current row) as total_time
 from train_steps t join e on e.run_id = t.run_id and e.step = t.step""", "train_steps"))
 def q_stream_run_metrics(spark, sf_dir):
-    return S.stream_run_metrics(spark, load(spark, sf_dir).train_steps)
+    r = S.stream_run_metrics(spark, load(spark, sf_dir).train_steps)
+    return r.filter(~F.col("late")).drop("late")
 
 
 @query("stream_pack")

@@ -45,8 +45,9 @@ def read_delimited_corpus(spark: SparkSession, path: str, sep: str = "\n\n---\n\
 
 def write_train_val(df: DataFrame, path: str, text_col: str = "text", rows_per_group: int = 1024) -> None:
     """Write the ``split`` column's train and val rows as separate shard
-    folders (``split=train`` / ``split=val``), zstd, no dictionary."""
-    (df.select("split", text_col).repartition("split").write.mode("overwrite").partitionBy("split")
+    folders (``split=train`` / ``split=val``), zstd, no dictionary. Adaptive
+    execution splits a large split over many tasks and files."""
+    (df.select("split", text_col).hint("rebalance", "split").write.mode("overwrite").partitionBy("split")
        .option("compression", "zstd").option("parquet.enable.dictionary", "false")
        .option("parquet.block.row.count.limit", rows_per_group).parquet(path))
 

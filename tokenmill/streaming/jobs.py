@@ -7,11 +7,12 @@ parquet sink. ``run_to_completion`` drives a query with
 batch job (batch = stream).
 
 State:
-* ST2 (packer) and ST4 (run metrics) use ``applyInPandasWithState`` keyed
-  by pack group / run; the state is the carried buffer or the running
-  EMA, best value and clock - bounded per key.
-  Both take rows in the order of their sequence number, whatever the order
-  of files and Arrow chunks; rows after a gap are held in the state.
+* ST2 (packer) uses ``applyInPandasWithState`` keyed by pack group; the
+  state is the carried buffer. Rows are taken in the order of their sequence
+  number, whatever the order of files and Arrow chunks.
+* ST4 (run metrics) uses ``transformWithStateInPandas`` keyed by run: one
+  value state (EMA, best value, clock) and a map state of the steps that wait
+  for earlier ones, so a batch touches only the steps that come or go.
 * ST3 keeps per-problem results in a streaming aggregation; ST3 and ST5
   write with ``foreachBatch`` to ``.../batch_id=<n>`` with overwrite, so a
   replayed micro-batch replaces its own output.
@@ -21,11 +22,13 @@ from __future__ import annotations
 
 import json
 import os
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tokenmill.operators.packers import _LengthBuffer
@@ -35,9 +38,9 @@ from tokenmill.session import scratch_path
 # ------------------------------------------------------------- helpers --
 
 def stage_by_key(df: DataFrame, path: str, key: str) -> None:
-    """Write one file per key value (``key=<v>/part-*.parquet``) so that a
-    file stream with ``maxFilesPerTrigger=1`` feeds one key per trigger."""
-    df.repartition(key).write.mode("overwrite").partitionBy(key).parquet(path)
+    """Write files by key value (``key=<v>/part-*.parquet``). Small keys give
+    one file each; adaptive execution splits a large one over many tasks."""
+    df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
 def run_to_completion(writer):
@@ -75,14 +78,16 @@ def _paths(spark: SparkSession, name: str):
 # ----------------------------------------------------------------- ST1 --
 
 def stream_shards(spark: SparkSession, docs: DataFrame, shard_col: str = "source",
-                  max_files: int = 1) -> DataFrame:
-    """New shards are picked up as they land; per-shard docs, chars and
+                  max_files: int | None = None) -> DataFrame:
+    """New shards are picked up as they land, ``max_files`` files (one per
+    core, if not given) per micro-batch; per-shard docs, chars and
     UTF-8 bytes are appended per micro-batch."""
     src, out, ck = _paths(spark, "shards")
     stage_by_key(docs.select("doc_id", "text", shard_col), src, shard_col)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                            T.StructField(shard_col, T.StringType())])
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src)
+    s = spark.readStream.schema(schema).option(
+        "maxFilesPerTrigger", max_files or spark.sparkContext.defaultParallelism).parquet(src)
     per = s.select(shard_col, F.length("text").alias("chars"), F.octet_length("text").alias("bytes"))
     w = (per.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
             .outputMode("append"))
@@ -122,13 +127,14 @@ def eval_progress(spark: SparkSession, src: str, out: str, ck: str) -> DataFrame
 # ----------------------------------------------------------------- ST5 --
 
 def stream_validate(spark: SparkSession, lines: DataFrame, validate) -> DataFrame:
-    """JSONL conversation files land one per trigger; each micro-batch is
+    """JSONL conversation files land, a few per trigger; each micro-batch is
     parsed and validated, good rows appended to ``good/``, bad ones to the
     dead-letter ``bad/`` with their reason. Returns counts per status."""
     from tokenmill.sources.files import MESSAGES
     src, out, ck = _paths(spark, "validate")
-    lines.select("bucket", "value").repartition("bucket").write.mode("overwrite").partitionBy("bucket").text(src)
-    s = spark.readStream.schema("value string, bucket int").option("maxFilesPerTrigger", 1).text(src)
+    lines.select("value").hint("rebalance").write.mode("overwrite").text(src)
+    s = (spark.readStream.schema("value string")
+              .option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).text(src))
 
     def per_batch(batch: DataFrame, batch_id: int):
         d = batch.select(F.get_json_object("value", "$.conv_id").cast("long").alias("conv_id"),
@@ -150,53 +156,153 @@ def stream_validate(spark: SparkSession, lines: DataFrame, validate) -> DataFram
 RUN_OUT = T.StructType([
     T.StructField("run_id", T.LongType()), T.StructField("step", T.LongType()),
     T.StructField("smooth_loss", T.DoubleType()), T.StructField("best_so_far", T.DoubleType()),
-    T.StructField("total_time", T.DoubleType()),
-])
-RUN_STATE = T.StructType([
-    T.StructField("s", T.DoubleType()), T.StructField("best", T.DoubleType()),
-    T.StructField("total", T.DoubleType()), T.StructField("next_step", T.LongType()),
-    T.StructField("held", T.StringType()),
+    T.StructField("total_time", T.DoubleType()), T.StructField("late", T.BooleanType()),
 ])
-
-
-def _run_metrics(beta: float, warmup: int):
-    """Running metrics of a run whose steps count up from 0."""
-    def fn(key, pdfs, state):
-        s, best, total, expected, held = state.get if state.exists else (0.0, None, 0.0, 0, "{}")
-        held = {int(k): v for k, v in json.loads(held).items()}
-        rows, held, expected = in_sequence(held, expected, pdfs, "step", ["loss", "dt", "val_bpb"])
+REORDER_STEPS = 1024
+
+
+class RunMetrics(StatefulProcessor):
+    """Running metrics of one run's steps, taken in ascending order.
+
+    A step is taken when it is the next one. The others wait in a map state
+    until (a) the steps before them come, (b) a step more than ``reorder``
+    ahead of the next one comes, or (c) the run's end marker has come (null
+    ``step``, ``rows`` = how many steps the run logged) and so have that many
+    steps. After (b) and (c) the steps in between are a gap: rows go on after
+    it, so a run that resumes at step 500 or lacks a step gives every row it
+    has; of a run that never ends, at most ``reorder`` steps wait. A
+    step that comes after its gap was passed is put out with ``late`` true and
+    null metrics; a step that was taken before is a replay and ignored.
+    """
+
+    def __init__(self, beta: float, warmup: int, reorder: int = REORDER_STEPS):
+        self.beta, self.warmup, self.reorder = beta, warmup, reorder
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getValueState(
+            "run", "s double, best double, total double, next long, seen long, logged long, waiting long")
+        self.held = handle.getMapState("held", "step long", "loss double, dt double, val_bpb double")
+        self.gaps = handle.getMapState("gaps", "first long", "after long")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        for next_step, s, best, total in initialState[["next_step", "smooth", "best", "total_time"]].itertuples(
+                index=False, name=None):
+            self.run.update((float(s), _value(best), float(total), int(next_step), 0, None, 0))
+
+    def handleInputRows(self, key, rows, timerValues):
+        run = list(self.run.get()) if self.run.exists() else [0.0, None, 0.0, 0, 0, None, 0]
+        was_held = dict((k[0], v) for k, v in self.held.iterator()) if run[6] else {}
+        held, out = dict(was_held), []
+        for pdf in rows:
+            for step, loss, dt, val, logged in pdf[["step", "loss", "dt", "val_bpb", "rows"]].itertuples(
+                    index=False, name=None):
+                if pd.isna(step):
+                    run[5] = _value(logged, int)
+                elif step >= run[3]:
+                    held[int(step)] = (_value(loss), _value(dt), _value(val))
+                elif self._pass_late(int(step)):
+                    run[4] += 1
+                    out.append((key[0], int(step), None, None, None, True))
+        out += self._take(key[0], run, held)
+        yield from self._leave(run, was_held, held, out)
+
+    def _take(self, run_id, run, held) -> list:
         out = []
-        for step, loss, dt, val in rows:
-            s = beta * s + (1 - beta) * loss
+        complete = run[5] is not None and run[4] + len(held) >= run[5]
+        last = max(held, default=0)
+        for step in sorted(held):
+            if step != run[3]:
+                if not complete and last - run[3] <= self.reorder:
+                    break
+                self.gaps.updateValue((run[3],), (step,))
+            loss, dt, val = held.pop(step)
+            if loss is not None:
+                run[0] = self.beta * run[0] + (1 - self.beta) * loss
             if val is not None:
-                best = val if best is None else min(best, val)
-            if step > warmup:
-                total += dt
-            out.append((key[0], step, s / (1 - beta ** (step + 1)), best, total))
-        state.update((s, best, total, expected, json.dumps({k: [_plain(x) for x in v] for k, v in held.items()})))
+                run[1] = val if run[1] is None else min(run[1], val)
+            if step > self.warmup and dt is not None:
+                run[2] += dt
+            run[3], run[4] = step + 1, run[4] + 1
+            out.append((run_id, step, run[0] / (1 - self.beta ** (step + 1)), run[1], run[2], False))
+        return out
+
+    def _pass_late(self, step: int) -> bool:
+        """Whether the step is in a gap; the gap is split there, so that the
+        same step is no late one twice."""
+        for (first,), (after,) in list(self.gaps.iterator()):
+            if first <= step < after:
+                self.gaps.removeKey((first,))
+                if first < step:
+                    self.gaps.updateValue((first,), (step,))
+                if step + 1 < after:
+                    self.gaps.updateValue((step + 1,), (after,))
+                return True
+        return False
+
+    def _leave(self, run, was_held, held, out):
+        for step in was_held.keys() - held.keys():
+            self.held.removeKey((step,))
+        for step, row in held.items():
+            if was_held.get(step) != row:
+                self.held.updateValue((step,), row)
+        run[6] = len(held)
+        self.run.update(tuple(run))
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in RUN_OUT.fields])
-    return fn
+            frame = pd.DataFrame(out, columns=[f.name for f in RUN_OUT.fields])
+            yield frame.astype({"smooth_loss": "float64", "best_so_far": "float64", "total_time": "float64"})
+
+    def close(self) -> None:
+        pass
+
+
+def _value(v, kind=float):
+    return None if v is None or pd.isna(v) else kind(v)
 
 
 def stream_run_metrics(spark: SparkSession, steps: DataFrame, beta: float = 0.9,
                        warmup: int = 10) -> DataFrame:
     """EMA-debiased loss, best val so far and training clock per run as
-    step logs arrive (state per run; steps may arrive in any order)."""
+    step logs arrive (state per run; steps may arrive in any order, a run
+    may start at any step and lack some). A run's log ends with a marker that
+    counts its steps."""
     src, out, ck = _paths(spark, "runs")
-    staged = steps.select("run_id", "step", "loss", "dt", "val_bpb").withColumn("bucket", F.col("run_id") % 16)
-    stage_by_key(staged, src, "bucket")
-    return run_metrics(spark, src, out, ck, beta, warmup)
-
-
-def run_metrics(spark: SparkSession, src: str, out: str, ck: str, beta: float = 0.9, warmup: int = 10) -> DataFrame:
-    schema = "run_id long, step long, loss double, dt double, val_bpb double, bucket int"
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    res = s.groupBy("run_id").applyInPandasWithState(
-        _run_metrics(beta, warmup), RUN_OUT, RUN_STATE, "append", GroupStateTimeout.NoTimeout)
+    logs = steps.select("run_id", F.col("step").cast("long").alias("step"), "loss", "dt", "val_bpb",
+                        F.lit(None).cast("long").alias("rows"))
+    ends = logs.groupBy("run_id").agg(F.count_distinct("step").alias("rows")).select(
+        "run_id", *[F.lit(None).cast(logs.schema[c].dataType).alias(c) for c in ("step", "loss", "dt", "val_bpb")],
+        "rows")
+    logs.unionByName(ends).hint("rebalance").write.mode("overwrite").parquet(src)
+    return run_metrics(spark, src, out, ck, beta, warmup, max_files=spark.sparkContext.defaultParallelism)
+
+
+def run_metrics(spark: SparkSession, src: str, out: str, ck: str, beta: float = 0.9, warmup: int = 10,
+                reorder: int = REORDER_STEPS, initial: DataFrame | None = None,
+                max_files: int = 1) -> DataFrame:
+    """The metrics of the logs in ``src``. ``initial`` (``run_id, next_step,
+    smooth, best, total_time``) gives resumed runs what their checkpoint
+    kept: the next step, the undebiased average, the best value and the clock."""
+    schema = "run_id long, step long, loss double, dt double, val_bpb double, rows long"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src)
+    started = None if initial is None else initial.select(
+        "run_id", "next_step", "smooth", "best", "total_time").groupBy("run_id")
+    res = s.groupBy("run_id").transformWithStateInPandas(
+        RunMetrics(beta, warmup, reorder), RUN_OUT, "Append", "None", initialState=started)
     w = res.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck).outputMode("append")
-    run_to_completion(w)
-    return spark.read.parquet(out)
+    with _rocksdb(spark):
+        run_to_completion(w)
+    return spark.read.schema(RUN_OUT).parquet(out)
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Map states need the RocksDB store, which a query keeps from its start."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
 # ----------------------------------------------------------------- ST2 --
