@@ -1,9 +1,12 @@
 """Block prefix sums: exact, deterministic, and bounded with a hot group."""
 
+import datetime
+
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
-from tokenmill.plans.positions import global_position, prefix_sum
+from tokenmill.plans.positions import global_position, prefix_sum, quantile_block
 
 
 def test_prefix_sum_matches_pandas_with_hot_group(spark):
@@ -53,3 +56,43 @@ def test_null_groups_and_null_keys_keep_their_rows(spark):
         for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or "", r[2])):
             want[r[:3]], total = total, total + r[3]
     assert got == want
+
+
+def _hard_keys(kind, n):
+    if kind == "outlier":
+        return "k long", [(i if i else 1 << 60,) for i in range(n)], ["k"]
+    if kind == "common prefix":
+        return "k string", [(f"https://example.org/{i:07d}",) for i in range(n)], ["k"]
+    if kind == "time":
+        t0 = datetime.datetime(2024, 1, 1)
+        return "k timestamp_ntz", [(t0 + datetime.timedelta(milliseconds=i * i),) for i in range(n)], ["k"]
+    return "s string, k long", [("hot" if i % 8 else f"cold{i % 5}", i) for i in range(n)], ["s", "k"]
+
+
+@pytest.mark.parametrize("kind", ["outlier", "common prefix", "time", "hot leading key"])
+def test_blocks_are_even_whatever_the_keys(spark, kind):
+    n, width = 6000, 300
+    schema, rows, order = _hard_keys(kind, n)
+    df = spark.createDataFrame(rows, schema).repartition(7)
+    block = quantile_block(df, order, width)
+    sizes = {r.b: r["count"] for r in df.groupBy(block.alias("b")).count().collect()}
+    assert sum(sizes.values()) == n and len(sizes) == n // width and max(sizes.values()) <= 2 * width
+    assert quantile_block(df, order, n) is None
+    got = prefix_sum(df, order, None, (), "p", rows_per_block=width).collect()
+    assert [tuple(r)[:-1] for r in sorted(got, key=lambda r: r.p)] == sorted(rows)
+    assert sorted(r.p for r in got) == list(range(n))
+
+
+def test_blocks_of_null_keys_and_groups(spark):
+    rows = [(g, None if i == 0 else i % 40, i) for g in (None, "a", "b") for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, s long, i long")
+    got = {(r.g, r.s, r.i): r.p for r in prefix_sum(df, ["s", "i"], "i", ["g"], "p", rows_per_block=60).collect()}
+    for g in (None, "a", "b"):
+        total = 0
+        for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+            assert got[r] == total
+            total += r[2]
+
+
+def test_positions_of_no_rows(spark):
+    assert global_position(spark.createDataFrame([], "k long"), ["k"]).columns == ["k", "pos"]

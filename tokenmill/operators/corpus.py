@@ -63,12 +63,15 @@ def char_budget_prefix(docs: DataFrame, budget: int, order_cols, text_col: str =
     """Cropped documents in order until the running total exceeds ``budget``.
 
     The crossing document is kept: a row survives when the characters of
-    all earlier rows sum to at most ``budget``. Two-pass prefix sum.
+    all earlier rows sum to at most ``budget``. The sums run over order keys
+    and lengths; texts after the last survivor stay where they are read.
     """
     d = crop_document(docs, cap, text_col) if cap else docs
-    d = d.withColumn("_n", F.length(text_col))
-    d = prefix_sum(d, order_cols, "_n", (), out="chars_before")
-    return d.filter(F.col("chars_before") <= budget).drop("_n")
+    lengths = d.select(*order_cols, F.length(text_col).alias("_n"))
+    kept = prefix_sum(lengths, order_cols, "_n", (), out="chars_before").filter(F.col("chars_before") <= budget)
+    kept = kept.select(F.struct(*order_cols).alias("_k"), "chars_before")
+    d = d.withColumn("_k", F.struct(*order_cols))
+    return d.filter(F.col("_k") <= kept.select(F.max("_k")).scalar()).join(kept, "_k").drop("_k")
 
 
 def min_length_filter(docs: DataFrame, min_chars: int = MIN_CHARS, text_col: str = "text") -> DataFrame:

@@ -4,19 +4,23 @@ Running totals over a whole table (or over one group that may hold a
 large share of it) must not go through a ``Window`` that puts the group
 into one task. ``prefix_sum`` works on *blocks* instead:
 
-* every row gets a block key that is a deterministic, order-preserving
-  function of its own order key (all order columns but the last, plus a
-  coarse version of the last one: ``floor((x - min) / width)`` for
-  integers, a short prefix for strings). Because the block is computed
-  from the row itself, a recomputed task after an executor loss gets the
-  same block - nothing depends on shuffle order or partition ids;
+* every row gets a block number: how many *splitters* its order key (all
+  order columns together) has reached. Splitters are quantiles of a sample of
+  about ``SAMPLE_PER_BLOCK`` keys per block, taken by a hash of the key, so
+  outliers, ids with a common prefix, time stamps and a hot leading key all
+  give blocks of about ``rows_per_block`` rows. They are values in the plan:
+  a block is a function of the row alone, and a recomputed task after an
+  executor loss gets the same block - nothing depends on shuffle order or
+  partition ids;
 * one grouped aggregation gives the total per block (small table);
-  a window over that table gives each block its starting offset;
+  a window over that table, of at most ``max_blocks`` rows per group, gives
+  each block its starting offset;
 * a window partitioned by (group, block) adds the local running sum.
 
-With unique integer order keys a block never holds more than ``width``
-rows, so no task ever sees more than one bounded block, however hot a
-group is. Callers with other keys can pass their own ``block`` column.
+A table of no more than ``rows_per_block`` rows is one block. Counting the
+rows and drawing the sample are two jobs while the plan is built (one for a
+small table); they read the order columns only. Callers whose keys are spread
+evenly by themselves (md5 keys) pass their own ``block`` column instead.
 """
 
 from __future__ import annotations
@@ -26,25 +30,50 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_BLOCK = 1 << 20
-MAX_BLOCKS = 1 << 16
-STRING_BLOCK_PREFIX = 3
+MAX_BLOCKS = 1 << 12
+SAMPLE_PER_BLOCK = 32
 
 
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def _auto_block(df: DataFrame, last: str, rows_per_block: int, max_blocks: int) -> Column:
-    dtype = df.schema[last].dataType
-    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        lo, hi = df.agg(F.min(last), F.max(last)).first()
-        if lo is None:
-            return F.lit(0)
-        width = max(rows_per_block, -(-(hi - lo + 1) // max_blocks))
-        return F.floor((F.col(last) - F.lit(lo)) / F.lit(width)).cast("long")
-    if isinstance(dtype, T.StringType):
-        return F.substring(F.col(last), 1, STRING_BLOCK_PREFIX)
-    return F.col(last)
+def _order_key(order_cols) -> Column:
+    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_cols(order_cols))])
+
+
+def quantile_block(df: DataFrame, order_cols, rows_per_block: int = ROWS_PER_BLOCK,
+                   max_blocks: int = MAX_BLOCKS) -> Column | None:
+    """Block number of a row of ``df``, non-decreasing in ``order_cols`` order
+    (nulls first); None if the whole table is one block."""
+    n = df.count()
+    blocks = min(max_blocks, -(-n // rows_per_block))
+    if blocks <= 1:
+        return None
+    share = min(1.0, SAMPLE_PER_BLOCK * blocks / n)
+    drawn = F.pmod(F.xxhash64(*_cols(order_cols)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)) + 1)
+    sample = df.filter(drawn).select(_order_key(order_cols).alias("k"))
+    # as JSON, the one form in which keys of any type are a literal of the plan
+    keys = [r.j for r in sample.sort("k").select(F.to_json(F.struct("k")).alias("j")).collect()]
+    cuts = sorted({i * len(keys) // blocks for i in range(1, blocks)}) if keys else []
+    if not cuts:
+        return None
+    parsed = F.from_json(F.lit("[" + ",".join(keys[i] for i in cuts) + "]"), T.ArrayType(sample.schema))
+    return _reached(parsed["k"], len(cuts), _order_key(order_cols))
+
+
+def _reached(cuts: Column, n: int, key: Column) -> Column:
+    """How many of the ``n`` ascending ``cuts`` are at most ``key``."""
+    def halve(r, _):
+        mid = F.floor((r["lo"] + r["hi"]) / 2).cast("int")
+        return (F.when(r["lo"] >= r["hi"], r)
+                 .when(F.get(r["cuts"], mid) <= r["key"], F.struct((mid + 1).alias("lo"), r["hi"].alias("hi"),
+                                                                  r["cuts"].alias("cuts"), r["key"].alias("key")))
+                 .otherwise(F.struct(r["lo"].alias("lo"), mid.alias("hi"), r["cuts"].alias("cuts"),
+                                     r["key"].alias("key"))))
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"), cuts.alias("cuts"), key.alias("key"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length() + 1)), start, halve)["lo"]
 
 
 def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
@@ -61,13 +90,14 @@ def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
     v = F.lit(1).cast("long") if value is None else (
         F.col(value) if isinstance(value, str) else value).cast("long")
     if block is None:
-        prefix = order_cols[:-1]
-        block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
-    else:
-        prefix = []
-    d = _with_key(df, group_cols, prefix, block).withColumn("_tm_v", v)
+        block = quantile_block(df, order_cols, rows_per_block, max_blocks)
+    if block is None:
+        w = (Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
+             .rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn(out, F.coalesce(F.sum(v).over(w), F.lit(0)).cast("long"))
+    d = _with_key(df, group_cols, block).withColumn("_tm_v", v)
     sums = d.groupBy("_tm_k").agg(F.sum("_tm_v").alias("_tm_s"))
-    w_off = _blocks_before(group_cols, prefix)
+    w_off = _blocks_before(group_cols)
     offsets = sums.select("_tm_k", F.coalesce(F.sum("_tm_s").over(w_off), F.lit(0)).alias("_tm_off"))
     w_loc = (Window.partitionBy("_tm_k").orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -77,18 +107,16 @@ def prefix_sum(df: DataFrame, order_cols, value: str | Column | None = None,
                   .select(*df.columns, out))
 
 
-def _with_key(df: DataFrame, group_cols, prefix, block: Column) -> DataFrame:
+def _with_key(df: DataFrame, group_cols, block: Column) -> DataFrame:
     """The block key as one struct: nulls in it are equal to each other, in
     windows as in joins, so a null group is a group like any other."""
     parts = [F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)]
-    parts += [_cols([c])[0].alias(f"p{i}") for i, c in enumerate(prefix)]
     return df.withColumn("_tm_k", F.struct(*parts, block.alias("b")))
 
 
-def _blocks_before(group_cols, prefix):
+def _blocks_before(group_cols):
     groups = [F.col(f"_tm_k.g{i}") for i in range(len(group_cols))]
-    order = [F.col(f"_tm_k.p{i}") for i in range(len(prefix))]
-    return Window.partitionBy(*groups).orderBy(*order, F.col("_tm_k.b")).rowsBetween(Window.unboundedPreceding, -1)
+    return Window.partitionBy(*groups).orderBy(F.col("_tm_k.b")).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def prefix_extreme(df: DataFrame, order_cols, value: str, group_cols=(), out: str = "min_before",
@@ -103,13 +131,14 @@ def prefix_extreme(df: DataFrame, order_cols, value: str, group_cols=(), out: st
     fn = F.min if kind == "min" else F.max
     comb = F.least if kind == "min" else F.greatest
     if block is None:
-        prefix = order_cols[:-1]
-        block = _auto_block(df, order_cols[-1], rows_per_block, max_blocks)
-    else:
-        prefix = []
-    d = _with_key(df, group_cols, prefix, block)
+        block = quantile_block(df, order_cols, rows_per_block, max_blocks)
+    if block is None:
+        w = (Window.partitionBy(*_cols(group_cols)).orderBy(*_cols(order_cols))
+             .rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn(out, fn(value).over(w))
+    d = _with_key(df, group_cols, block)
     ext = d.groupBy("_tm_k").agg(fn(value).alias("_tm_e"))
-    offsets = ext.select("_tm_k", fn("_tm_e").over(_blocks_before(group_cols, prefix)).alias("_tm_off"))
+    offsets = ext.select("_tm_k", fn("_tm_e").over(_blocks_before(group_cols)).alias("_tm_off"))
     w_loc = (Window.partitionBy("_tm_k").orderBy(*_cols(order_cols))
              .rowsBetween(Window.unboundedPreceding, -1))
     local = d.withColumn("_tm_loc", fn(value).over(w_loc))

@@ -98,12 +98,17 @@ def chain_from_zero(nxt: DataFrame, max_rounds: int = 64) -> DataFrame:
 def assign_shards(docs: DataFrame, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
                   chars_per_shard: int = CHARS_PER_SHARD, rows_per_group: int = ROW_GROUP,
                   keep_tail: bool = False) -> DataFrame:
-    """``docs`` + ``shuffle_pos``, ``chunk`` and ``shard`` (tail rows dropped)."""
-    d = docs.withColumn("_sk", seeded_key(seed, id_col))
-    d = global_position(d, ["_sk", id_col], (), out="shuffle_pos", block=F.substring("_sk", 1, 4)).drop("_sk")
+    """``docs`` + ``shuffle_pos``, ``chunk`` and ``shard`` (tail rows dropped).
+    Ids are unique; only they and the lengths take part until the rows are
+    given their shards."""
+    d = docs.select(F.col(id_col).alias("_id"), F.length(text_col).alias("_chars"))
+    d = d.withColumn("_sk", seeded_key(seed, "_id"))
+    d = global_position(d, ["_sk", "_id"], (), out="shuffle_pos", block=F.substring("_sk", 1, 4))
     d = d.withColumn("chunk", F.floor(F.col("shuffle_pos") / rows_per_group).cast("long"))
-    sums = d.groupBy("chunk").agg(F.sum(F.length(text_col)).cast("long").alias("chars"))
-    return d.join(shard_of_chunks(sums, chars_per_shard, keep_tail), "chunk")
+    sums = d.groupBy("chunk").agg(F.sum("_chars").cast("long").alias("chars"))
+    d = d.join(shard_of_chunks(sums, chars_per_shard, keep_tail), "chunk")
+    d = d.select("_id", "shuffle_pos", "chunk", "shard")
+    return docs.join(d, F.col(id_col).eqNullSafe(F.col("_id"))).drop("_id")
 
 
 def shard_of_chunks(sums: DataFrame, chars_per_shard: int, keep_tail: bool = False) -> DataFrame:
