@@ -76,10 +76,10 @@ def ensemble_predict(df: DataFrame, xs, y: str, family_col: str, calib: str, tar
     and union measured + estimated rows sorted by ``order_col``."""
     cal = df.filter(F.col(family_col) == calib)
     xavg = sum((F.col(x) for x in xs), F.lit(0.0)) / len(xs)
-    simple = cal.agg(F.regr_slope(F.col(y), xavg).alias("s"), F.regr_intercept(F.col(y), xavg).alias("i")).first()
-    ridge = ridge_fit(cal, xs, y, [alpha]).first()
-    ridge_pred = F.lit(ridge["intercept"]) + sum((F.col(x) * F.lit(ridge[f"w_{x}"]) for x in xs), F.lit(0.0))
-    simple_pred = F.lit(simple["s"]) * xavg + F.lit(simple["i"])
+    line = cal.agg(F.struct(F.regr_slope(F.col(y), xavg).alias("s"), F.regr_intercept(F.col(y), xavg).alias("i"))).scalar()
+    ridge = ridge_fit(cal, xs, y, [alpha]).select(F.struct("intercept", *[f"w_{x}" for x in xs])).scalar()
+    ridge_pred = ridge["intercept"] + sum((F.col(x) * ridge[f"w_{x}"] for x in xs), F.lit(0.0))
+    simple_pred = line["s"] * xavg + line["i"]
     est = df.filter(F.col(family_col) == target).select(
         F.col("model_id"), F.col(family_col).alias("family"), F.col(order_col),
         simple_pred.alias("simple"), ridge_pred.alias("ridge"),

@@ -69,8 +69,8 @@ def _trim(x: str) -> str:
     return "regexp_replace(" + x + ", '^" + _WS + "+|" + _WS + "+$', '', 'g')"
 
 
-@query("render_core_prompts", oracle(f"""
-with {_FEW},
+_PROMPTS = f"""
+{_FEW},
 txt as (select i.item_id, i.task_type, i.query, i.c0, i.c1, i.context, i.continuation,
           coalesce((select string_agg(s.query || ' ' || case when s.gold = 0 then s.c0 else s.c1 end || chr(10) || chr(10), ''
                                       order by s.shot_no) from shot_items s where s.item_id = i.item_id), '') as mc_shots,
@@ -86,7 +86,11 @@ p as (
   union all
   select item_id, 1, case task_type when 'multiple_choice' then mc_shots || query || ' ' || c1
          when 'schema' then sc_shots || c1 || ' ' || continuation
-         else lm_shots || {_trim('context')} || ' ' || continuation end from txt)
+         else lm_shots || {_trim('context')} || ' ' || continuation end from txt)"""
+
+
+@query("render_core_prompts", oracle(f"""
+with {_PROMPTS}
 select item_id, cast(option as bigint) as option, md5(prompt) as prompt_md5 from p""", "core_items"))
 def q_render_core_prompts(spark, sf_dir):
     d = CP.render_core_prompts(CP.fewshot_sample(load(spark, sf_dir).core_items))
@@ -100,13 +104,47 @@ def _spans(spark, sf_dir):
     return CP.answer_spans(d.select("item_id", "task", "task_type", "gold", "tokens"))
 
 
-@query("answer_span")
+# one token per byte after a BOS; shared bytes by bisection on the hex text
+_SPANS = f"""{_PROMPTS},
+hx as (select p.item_id, i.task_type, p.option, hex(encode(p.prompt)) as h, cast(octet_length(encode(p.prompt)) as bigint) as n
+       from p join core_items i on i.item_id = p.item_id),
+two as (select a.item_id, a.task_type, a.h as h0, a.n as n0, b.h as h1, b.n as n1
+        from hx a join hx b on b.item_id = a.item_id where a.option = 0 and b.option = 1),
+halves(item_id, lo, hi) as (
+  select item_id, cast(0 as bigint), least(n0, n1) from two where task_type <> 'language_modeling'
+  union all
+  select item_id, case when same then mid else lo end, case when same then hi else mid - 1 end from (
+    select h.item_id, lo, hi, (lo + hi + 1) // 2 as mid,
+           case when task_type = 'schema' then right(h0, 2 * ((lo + hi + 1) // 2)) = right(h1, 2 * ((lo + hi + 1) // 2))
+                else left(h0, 2 * ((lo + hi + 1) // 2)) = left(h1, 2 * ((lo + hi + 1) // 2)) end as same
+    from halves h join two t on t.item_id = h.item_id where lo < hi) x),
+shared as (select item_id, lo as k from halves where lo = hi),
+spans as (
+  select t.item_id, t.task_type, o.option, case when o.option = 0 then n0 else n1 end + 1 as n_tokens,
+         case when t.task_type = 'schema'
+              then case when o.option = 0 then n0 else n1 end + 1 - k - case when n0 = n1 and k = n0 then 1 else 0 end
+              else k + 1 end as first, cast(null as varchar) as reason
+  from two t join shared s on s.item_id = t.item_id, (select unnest([0, 1]) as option) o
+  union all
+  select item_id, task_type, 0, n1 + 1, n0 + 1,
+         case when not (n0 < n1 and left(h1, 2 * n0) = h0) then 'lm_not_prefix' end
+  from two where task_type = 'language_modeling')"""
+
+
+@query("answer_span", oracle(f"""
+with recursive {_SPANS}
+select item_id, task_type, cast(option as int) as option, cast(first as int) as start, cast(n_tokens as int) as "end",
+       reason, cast(n_tokens as int) as n_tokens from spans""", "core_items"))
 def q_answer_span(spark, sf_dir):
     return _spans(spark, sf_dir).select("item_id", "task_type", "option", "start", "end", "reason",
                                         F.size("tokens").alias("n_tokens"))
 
 
-@query("crop_left")
+@query("crop_left", oracle(f"""
+with recursive {_SPANS}
+select item_id, task_type, cast(option as int) as option, cast(first - greatest(n_tokens - {MAX_SEQ}, 0) as int) as start,
+       cast(least(n_tokens, {MAX_SEQ}) as int) as "end", cast(least(n_tokens, {MAX_SEQ}) as int) as n_tokens
+from spans""", "core_items"))
 def q_crop_left(spark, sf_dir):
     c = CP.crop_left(_spans(spark, sf_dir), MAX_SEQ)
     return c.select("item_id", "task_type", "option", "start", "end", F.size("tokens").alias("n_tokens"))

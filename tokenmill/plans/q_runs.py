@@ -170,16 +170,59 @@ def q_head_to_head(spark, sf_dir):
     return R.head_to_head(load(spark, sf_dir).model_scores, "family", "BUILDING", "MACHINERY", "size_bucket", "core")
 
 
-@query("ridge_fit")
+_X = ["x1", "x2", "x3"]
+
+
+def _ridge_sql(rows: str, alphas) -> str:
+    """CTEs ``sums`` and ``ridge`` over ``rows``: elimination of the penalised
+    normal equations, one step per CTE, and back substitution."""
+    f, k = ["1.0e0", *_X], len(_X) + 1
+    upper = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = ", ".join([*(f"sum({f[i]} * {f[j]}) as g{i}{j}" for i, j in upper),
+                      *(f"sum({f[i]} * core) as b{i}" for i in range(k))])
+    start = ", ".join([*(f"g{i}{j}" + (" + alpha" if i == j and i else "") + f" as m{i}{j}" for i, j in upper),
+                       *(f"b{i} as c{i}" for i in range(k))])
+    out = [f"sums as (select family, count(*) as n, sum(core * core) as yy, {sums} from {rows} group by family)",
+           f"e0 as (select *, {start} from sums, (select unnest({alphas}) as alpha) a)"]
+    for p in range(k - 1):
+        new = [f"m{i}{j} - m{p}{i} * m{p}{j} / m{p}{p} as m{i}{j}" for i, j in upper if i > p]
+        new += [f"c{i} - m{p}{i} * c{p} / m{p}{p} as c{i}" for i in range(p + 1, k)]
+        out.append(f"e{p + 1} as (select * replace ({', '.join(new)}) from e{p})")
+    last = f"e{k - 1}"
+    for i in reversed(range(k)):
+        known = "".join(f" - m{i}{j} * w{j}" for j in range(i + 1, k))
+        out.append(f"s{i} as (select *, (c{i}{known}) / m{i}{i} as w{i} from {last})")
+        last = f"s{i}"
+    fit = " + ".join(f"w{i} * b{i}" for i in range(k))
+    quad = " + ".join(f"{1 if i == j else 2} * w{i} * w{j} * g{i}{j}" for i, j in upper)
+    norm = " + ".join(f"w{i} * w{i}" for i in range(1, k))
+    weights = ", ".join(f"w{i + 1} as w_{x}" for i, x in enumerate(_X))
+    out.append(f"ridge as (select family, alpha, w0 as intercept, {weights}, sqrt({norm}) as weight_norm, "
+               f"1 - (yy - 2 * ({fit}) + {quad}) / (yy - b0 * b0 / n) as r2 from {last})")
+    return ",\n".join(out)
+
+
+@query("ridge_fit", oracle(f"""
+with {_ridge_sql("model_scores", "[0.0e0, 0.01e0, 0.1e0, 1.0e0]")}
+select * from ridge""", "model_scores"))
 def q_ridge_fit(spark, sf_dir):
     m = load(spark, sf_dir).model_scores
-    return ridge_fit(m, ["x1", "x2", "x3"], "core", alphas=[0.0, 0.01, 0.1, 1.0], group_col="family")
-
-
-@query("ensemble_predict")
+    return ridge_fit(m, _X, "core", alphas=[0.0, 0.01, 0.1, 1.0], group_col="family")
+
+
+@query("ensemble_predict", oracle(f"""
+with cal as (select * from model_scores where family = 'BUILDING'),
+{_ridge_sql("cal", "[0.1e0]")},
+line as (select regr_slope(core, (x1 + x2 + x3) / 3) as s, regr_intercept(core, (x1 + x2 + x3) / 3) as i from cal),
+est as (select model_id, m.family, size_bucket, s * (x1 + x2 + x3) / 3 + i as simple,
+               intercept + w_x1 * x1 + w_x2 * x2 + w_x3 * x3 as ridge
+        from model_scores m, line, ridge where m.family = 'MACHINERY')
+select model_id, family, size_bucket, simple, ridge, (simple + ridge) / 2 as core, 'Estimated' as source from est
+union all
+select model_id, family, size_bucket, null, null, core, 'Measured' from cal""", "model_scores"))
 def q_ensemble_predict(spark, sf_dir):
     m = load(spark, sf_dir).model_scores
-    return ensemble_predict(m, ["x1", "x2", "x3"], "core", family_col="family", calib="BUILDING",
+    return ensemble_predict(m, _X, "core", family_col="family", calib="BUILDING",
                             target="MACHINERY", order_col="size_bucket", alpha=0.1)
 
 
