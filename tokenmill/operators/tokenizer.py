@@ -302,7 +302,8 @@ def train_bpe(hist: DataFrame, vocab_size: int, most_runs: int = MOST_RUNS, firs
 
 
 def merges_vocab(spark: SparkSession, merges) -> DataFrame:
-    """Vocabulary table of a trained merge list (hex bytes per token)."""
+    """Vocabulary table of a trained merge list (hex bytes per token, no
+    names), without a job: the driver holds the list already."""
     hexes = {i: f"{i:02X}" for i in range(N_BYTES)}
     for a, b, new in merges:
         hexes[new] = hexes[a] + hexes[b]
@@ -312,6 +313,49 @@ def merges_vocab(spark: SparkSession, merges) -> DataFrame:
     return spark.createDataFrame(rows, "token_id int, hex string, is_special boolean")
 
 
+def build_vocab(merges: DataFrame, specials=SPECIAL_TOKENS, rounds: int = 40) -> DataFrame:
+    """Vocabulary from a merge table (``a, b, token_id``): ``token_id, hex,
+    is_special, name``. Specials follow the merges in their own order.
+
+    Every token is a string over ids; a round replaces the merged ids at all
+    places at once, by the strings that they have become, so the strings
+    double in depth: a vocabulary whose merges nest d deep takes log2(d) + 1
+    rounds. A merge of an unknown or later token fails after ``rounds``.
+    """
+    spark = merges.sparkSession
+    base = spark.range(N_BYTES).select(F.col("id").cast("int").alias("token_id"),
+                                       F.lpad(F.hex("id"), 2, "0").alias("hex"))
+    # parts: what a token is made of so far, in order; ids under 256 are bytes
+    parts = merges.select("token_id", F.posexplode(F.array("a", "b")).alias("i", "part"))
+    parts = parts.select("token_id", F.array("i").alias("at"), "part").checkpoint()
+    for _ in range(rounds):
+        if parts.filter(F.col("part") >= N_BYTES).isEmpty():
+            break
+        inner = parts.select(F.col("token_id").alias("part"), F.col("at").alias("_in"), F.col("part").alias("_p"))
+        done, rest = parts.filter(F.col("part") < N_BYTES), parts.filter(F.col("part") >= N_BYTES)
+        parts = done.unionByName(rest.join(inner, "part").select(
+            "token_id", F.concat("at", "_in").alias("at"), F.col("_p").alias("part"))).checkpoint()
+    else:
+        raise ValueError("the merge table has a cycle")
+    spelt = parts.groupBy("token_id").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("s")).select(
+        "token_id", F.array_join(F.transform("s", lambda x: F.lpad(F.hex(x["part"]), 2, "0")), "").alias("hex"))
+    n = merges.select(F.count("*")).scalar()
+    names = spark.createDataFrame(list(enumerate(specials)), "i int, name string")
+    special = names.select((F.lit(N_BYTES) + n + F.col("i")).cast("int").alias("token_id"),
+                           F.lit(None).cast("string").alias("hex"), F.lit(True).alias("is_special"), "name")
+    tokens = base.unionByName(spelt).select("token_id", "hex", F.lit(False).alias("is_special"),
+                                            F.lit(None).cast("string").alias("name"))
+    return tokens.unionByName(special)
+
+
+def bos_id(vocab: DataFrame) -> Column:
+    """Id of the token a document starts with: ``<|bos|>``, or
+    ``<|endoftext|>`` where there is none; the query fails if neither is."""
+    wanted = vocab.filter(F.col("name").isin("<|bos|>", "<|endoftext|>"))
+    found = wanted.select(F.min_by("token_id", F.col("name") != "<|bos|>")).scalar()
+    return F.coalesce(found, F.raise_error(F.lit("the vocabulary has no BOS token")).cast("int"))
+
+
 REMEMBERED_PIECES = 1 << 20
 
 

@@ -7,9 +7,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenmill.operators.conversations import nest_conversations, validate_conversations
+from tokenmill.operators.packing import GROUP_DOCS
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.packing_report import byte_token_lengths
 from tokenmill.plans.positions import global_position
+from tokenmill.plans.q_packing import _BESTFIT_CROP_PLAN_SQL, _GREEDY_HEAD
 from tokenmill.plans.registry import query
 from tokenmill.streaming import jobs as S
 
@@ -65,8 +67,21 @@ def q_stream_run_metrics(spark, sf_dir):
     return r.filter(~F.col("late")).drop("late")
 
 
-@query("stream_pack")
+# the rule of a whole stream, for each pack group by itself
+_GROUPED_HEAD = _GREEDY_HEAD.replace("d as (", "stream as (") + f""",
+d as (select split || '|' || cast(i // {GROUP_DOCS} as varchar) as split, n, i % {GROUP_DOCS} as i from stream)"""
+
+
+@query("stream_pack", oracle(f"""
+with placed as ({_BESTFIT_CROP_PLAN_SQL.replace(_GREEDY_HEAD, _GROUPED_HEAD).format(cap=STREAM_T + 1)}),
+numbered as (select split, doc_id, row_number() over (partition by split order by source, doc_id) - 1 as i from (
+  select source, doc_id, case when source = (select max(source) from documents) then 'val' else 'train' end as split
+  from documents) t),
+p as (select split_part(split, '|', 1) as split, cast(split_part(split, '|', 2) as bigint) as pack_group, row_no, doc_pos,
+             dst, take from placed)
+select p.split, pack_group, row_no, doc_id, dst, take
+from p join numbered d on d.split = p.split and d.i = pack_group * {GROUP_DOCS} + doc_pos"""))
 def q_stream_pack(spark, sf_dir):
     lengths = byte_token_lengths(load(spark, sf_dir).documents)
     d = global_position(lengths, ["source", "doc_id"], ["split"], out="pos")
-    return S.stream_pack(spark, d, STREAM_T + 1)
+    return S.stream_pack(spark, d, STREAM_T + 1, group_docs=GROUP_DOCS)

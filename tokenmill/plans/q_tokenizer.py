@@ -108,6 +108,14 @@ def q_encode_bpe(spark, sf_dir):
     return j.select("doc_id", (F.coalesce(F.col("decoded"), F.lit("")) == F.col("text")).alias("roundtrip_ok"))
 
 
+@query("build_vocab")
+def q_build_vocab(spark, sf_dir):
+    """Vocabulary of the trained merges with the id a document starts with."""
+    merges = spark.createDataFrame(trained_merges(spark, sf_dir), "a int, b int, token_id int")
+    vocab = TK.build_vocab(merges)
+    return vocab.withColumn("bos_id", TK.bos_id(vocab))
+
+
 @query("token_bytes")
 def q_token_bytes(spark, sf_dir):
     return TK.token_bytes(TK.merges_vocab(spark, trained_merges(spark, sf_dir)))
