@@ -172,8 +172,10 @@ def linear_fits(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
     """Per key: ``y = slope*x + intercept`` and R^2, ranked by R^2 desc."""
     g = df.groupBy(key).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
                             F.regr_r2(y, x).alias("r2"), F.count("*").alias("n"))
-    w = Window.orderBy(F.col("r2").desc_nulls_last(), F.col(key))
-    return g.withColumn("rank", F.row_number().over(w))
+    # ascending order of (no R^2, -R^2, key) is the ranking
+    g = g.withColumn("_worse", F.struct(F.col("r2").isNull().alias("none"), (-F.col("r2")).alias("minus")))
+    return global_position(g, ["_worse", key], (), out="rank").withColumn(
+        "rank", (F.col("rank") + 1).cast("int")).drop("_worse")
 
 
 def head_to_head(df: DataFrame, family_col: str, a: str, b: str, bucket: str, metric: str) -> DataFrame:

@@ -125,11 +125,9 @@ select cast(length(text) as bigint) as length, count(*) as docs,
        cast(max(length(text)) over () as bigint) as max_length
 from documents group by length(text)"""))
 def q_length_histogram(spark, sf_dir):
-    d = load(spark, sf_dir).documents
-    h = C.length_histogram(d).withColumn("length", F.col("length").cast("long"))
-    return h.select("length", "docs",
-                    d.select(F.min(F.length("text")).cast("long")).scalar().alias("min_length"),
-                    d.select(F.max(F.length("text")).cast("long")).scalar().alias("max_length"))
+    h = C.length_histogram(load(spark, sf_dir).documents).withColumn("length", F.col("length").cast("long"))
+    return h.select("length", "docs", h.select(F.min("length")).scalar().alias("min_length"),
+                    h.select(F.max("length")).scalar().alias("max_length"))
 
 
 @query("seeded_shuffle", oracle("""
