@@ -274,6 +274,58 @@ def test_html_articles_that_are_teasers():
     assert html_text.extract_text(f"<body><nav><a href=x>Home</a><article>{body}</article><p>{teaser}</p></body>", tree) == f"{one} {two}"
 
 
+def test_html_forms_around_the_page():
+    tree = html_text.trained()
+    one, two = prose(60, 90), prose(60, 91)
+    for attributes in ("", " id=aspnetForm action=x", " class='page-form'"):
+        for page in (f"<form{attributes}><nav><a href=x>Home</a></nav><div><p>{one}</p><p>{two}</p></div><footer>{two}</footer></form>",
+                     f"<form class=search><p>Find</p><input></form><form{attributes}><p>{one}</p><p>{two}</p><div class=sidebar>{one}</div></form>"):
+            want = f"{one} {two}"
+            assert html_text.extract_text(f"<body>{page}</body>", tree) == want, page
+    # a form beside the text is none, in an article or not
+    form = "<form class=mail><p>Leave us your address</p><label>Name <input></label></form>"
+    assert html_text.extract_text(f"<body><p>{one}</p>{form}<p>{two}</p></body>", tree) == f"{one} {two}"
+    assert html_text.extract_text(f"<body><article><p>{one}</p>{form}<p>{two}</p></article></body>", tree) == f"{one} {two}"
+    assert html_text.extract_text("<body><form><p>Name</p><input><p>Password</p></form></body>", tree) == ""
+
+
+def test_html_teasers_in_plain_sections():
+    tree = html_text.trained()
+    one, two, teaser = prose(80, 92), prose(80, 93), prose(20, 94)
+    section = f"<section><article><p>{teaser}</p></article></section>"
+    for page in (f"<div><p>{one}</p><p>{two}</p></div>{section}", f"{section}<div><p>{one}</p><p>{two}</p></div>"):
+        assert html_text.extract_text(f"<body>{page}</body>", tree) == f"{one} {two}"
+    # an article with a title is the page's, however short
+    assert html_text.extract_text(f"<body><article><h1>Title</h1><p>{teaser}</p></article><div><p>{one}</p><p>{two}</p></div></body>", tree) == f"Title {teaser}"
+
+
+def test_html_hidden_articles():
+    tree = html_text.trained()
+    one, two = prose(60, 95), prose(60, 96)
+    for tag, attributes in (("div", " style='display:none'"), ("div", " hidden"), ("template", ""), ("dialog", ""), ("section", " aria-hidden=true")):
+        hidden = f"<{tag}{attributes}><div><article><p>{two}</p></article></div></{tag}>"
+        assert html_text.extract_text(f"<body><article><p>{one}</p></article>{hidden}</body>", tree) == one, tag
+        assert html_text.extract_text(f"<body>{hidden}<div><p>{one}</p></div></body>", tree) == one, tag
+        # unclosed, it ends at the article
+        assert html_text.extract_text(f"<body><{tag}{attributes}>x<article><p>{one}</p></article></body>", tree) == one, tag
+    assert html_text.extract_text(f"<body style='display:none'><p>{one}</p></body>", tree) == one
+
+
+def test_html_links_inside_an_article_stay():
+    tree = html_text.trained()
+    one, link = prose(60, 97), "<a href=x>see the whole list here</a>"
+    links = "<ul>" + "".join(f"<li><a href={i}>{w}</a></li>" for i, w in enumerate(("first thing", "second thing", "third"))) + "</ul>"
+    want = f"{one} see the whole list here first thing second thing third {one}"
+    assert html_text.extract_text(f"<body><ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul><article><p>{one}</p><p>{link}</p>{links}<p>{one}</p></article></body>", tree) == want
+    # but a menu in main is a menu
+    assert html_text.extract_text(f"<body><main>{links}<p>{one}</p></main></body>", tree) == one
+
+
+def test_html_of_many_unclosed_hidden_elements_is_quick():
+    page = "<div hidden>" * 20_000 + "<article><p>some text of the page</p></article>"
+    assert html_text.extract_text(page, html_text.trained()) == "some text of the page"
+
+
 def test_html_articles_of_the_given_pages(spark):
     import html
     pages = spark.read.parquet(f"{SF}/pages.parquet")

@@ -5,8 +5,8 @@ every tag that is not inline. Each block has its word count and link density
 (the share of its words inside links), the same of the block before and the
 block after, and four marks of its place: inside an element that is
 boilerplate by its tag, inside one that is by the words of its class, id or
-role, outside the article (0 inside, 1 outside, 0.5 if the page has none), and
-inside a heading. A
+role, outside the article (0 inside an article, 0.25 inside main only, 1
+outside, 0.5 if the page has none), and inside a heading. A
 decision tree, trained on the small labelled table ``LABELLED``, keeps or
 drops the block. Kept blocks are joined in page order.
 
@@ -14,13 +14,17 @@ An element whose names mark boilerplate may wrap the whole page (``has-sidebar``
 ``page-with-comments``). The mark is void if the article inside holds most of
 the page's words, or if the name is a compound and the element holds most of
 the words that no plain mark (``sidebar``, ``comments``) is on. An article
-inside an aside, nav or footer, or inside boilerplate by name, is none.
+inside an aside, nav, footer, dialog or menu, or inside boilerplate by name, is
+none. A form is boilerplate like an element with a compound name; one that
+holds ``FORM_WORDS`` words or more and most of the page's words is a wrapper.
+Articles without h1 or main are teasers if the text outside of them has over
+twice their words; then the page has no article, and they are left out.
 
 Defined results: null or empty html has empty text. Character references are
 decoded, white space inside a block becomes one space, blocks are trimmed.
 Scripts, styles, templates, comments, hidden elements and the head are no
 text. Unclosed elements end with what contains them, an opening article or
-main ends unclosed boilerplate around it, and an unclosed comment, tag or
+main ends unclosed boilerplate and unclosed hidden elements around it, and an unclosed comment, tag or
 script runs to the end of the page. Null ids and repeated rows are rows like
 any other, other columns are not read, an empty table gives an empty result.
 """
@@ -43,8 +47,9 @@ SILENT = frozenset("script style noscript template head title svg math iframe ob
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
-ASIDES = ("aside", "nav", "footer")
-BOILER_TAGS = frozenset("nav footer aside form dialog menu header".split())
+BOILER_TAGS = frozenset("nav footer aside dialog menu header".split())
+#: Words from which a form that holds most of a page's words is its wrapper.
+FORM_WORDS = 50
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of a class, id or role that mark boilerplate.
 BOILER_NAMES = frozenset("""ad ads advert adverts advertisement advertising alert alertdialog banner breadcrumb breadcrumbs comment comments complementary consent
@@ -100,13 +105,27 @@ LABELLED = """
 55 0.00 20 0.00 40 0.00 1 0 0 0 0
 1 0.00 4 0.00 1 0.00 1 0 0 0 0
 30 0.00 1 0.00 28 0.00 1 1 1 0 0
-1 1.00 2 1.00 1 1.00 0 0 0 0 0
-3 1.00 2 1.00 4 1.00 0 0 0 0 0
-2 1.00 30 0.00 3 1.00 0 0 0 0 0
-4 1.00 5 1.00 50 0.00 0 0 0 0 0
-6 0.83 4 1.00 5 1.00 0 0 0 0 0
-8 0.75 6 0.80 7 0.90 0 0 0 0 0
-10 0.90 40 0.00 12 0.90 0 0 0 0 0
+1 1.00 2 1.00 1 1.00 0 0 0 0 1
+1 1.00 2 1.00 1 1.00 0 0 0.25 0 0
+1 1.00 2 1.00 1 1.00 0 0 0.5 0 0
+3 1.00 2 1.00 4 1.00 0 0 0 0 1
+3 1.00 2 1.00 4 1.00 0 0 0.25 0 0
+3 1.00 2 1.00 4 1.00 0 0 0.5 0 0
+2 1.00 30 0.00 3 1.00 0 0 0 0 1
+2 1.00 30 0.00 3 1.00 0 0 0.25 0 0
+2 1.00 30 0.00 3 1.00 0 0 0.5 0 0
+4 1.00 5 1.00 50 0.00 0 0 0 0 1
+4 1.00 5 1.00 50 0.00 0 0 0.25 0 0
+4 1.00 5 1.00 50 0.00 0 0 0.5 0 0
+6 0.83 4 1.00 5 1.00 0 0 0 0 1
+6 0.83 4 1.00 5 1.00 0 0 0.25 0 0
+6 0.83 4 1.00 5 1.00 0 0 0.5 0 0
+8 0.75 6 0.80 7 0.90 0 0 0 0 1
+8 0.75 6 0.80 7 0.90 0 0 0.25 0 0
+8 0.75 6 0.80 7 0.90 0 0 0.5 0 0
+10 0.90 40 0.00 12 0.90 0 0 0 0 1
+10 0.90 40 0.00 12 0.90 0 0 0.25 0 0
+10 0.90 40 0.00 12 0.90 0 0 0.5 0 0
 5 0.00 1 1.00 1 1.00 0 0 1 0 0
 9 0.00 0 0.00 8 0.00 0 0 1 0 0
 22 0.00 80 0.00 0 0.00 0 0 1 0 0
@@ -118,6 +137,9 @@ LABELLED = """
 3 0.00 0 0.00 1 1.00 0 0 0.5 0 0
 5 0.00 1 1.00 2 1.00 0 0 0.5 0 0
 2 1.00 2 1.00 2 1.00 0 0 0.5 0 0
+40 0.00 30 0.00 1 1.00 0 0 0.25 0 1
+7 0.00 0 0.00 40 0.00 0 0 0.25 1 1
+3 0.00 2 1.00 2 0.00 0 0 0.25 0 1
 45 0.00 2 1.00 50 0.00 0 0 0.5 0 1
 30 0.00 40 0.00 1 1.00 0 0 0.5 0 1
 6 0.00 1 1.00 40 0.00 0 0 0.5 1 1
@@ -127,13 +149,31 @@ LABELLED = """
 9 0.00 0 0.00 70 0.00 0 0 0.5 0 1
 60 0.05 0 0.00 0 0.00 0 0 0.5 0 1
 1 0.00 0 0.00 0 0.00 0 0 0.5 0 1
+60 0.00 60 0.00 0 0.00 1 0 0 0 0
+24 0.00 0 0.00 60 0.00 1 0 0 0 0
+4 0.00 2 1.00 30 0.00 1 0 0 1 0
+60 0.00 60 0.00 0 0.00 1 0 0.25 0 0
+24 0.00 0 0.00 60 0.00 1 0 0.25 0 0
+4 0.00 2 1.00 30 0.00 1 0 0.25 1 0
+60 0.00 60 0.00 0 0.00 1 0 0.5 0 0
+24 0.00 0 0.00 60 0.00 1 0 0.5 0 0
+4 0.00 2 1.00 30 0.00 1 0 0.5 1 0
+60 0.00 60 0.00 0 0.00 0 1 0 0 0
+24 0.00 0 0.00 60 0.00 0 1 0 0 0
+4 0.00 2 1.00 30 0.00 0 1 0 1 0
+60 0.00 60 0.00 0 0.00 0 1 0.25 0 0
+24 0.00 0 0.00 60 0.00 0 1 0.25 0 0
+4 0.00 2 1.00 30 0.00 0 1 0.25 1 0
+60 0.00 60 0.00 0 0.00 0 1 0.5 0 0
+24 0.00 0 0.00 60 0.00 0 1 0.5 0 0
+4 0.00 2 1.00 30 0.00 0 1 0.5 1 0
 """
 
 
 class Tree:
     """A binary decision tree grown by Gini impurity."""
 
-    def __init__(self, depth: int = 6):
+    def __init__(self, depth: int = 10):
         self.depth = depth
         self.feature, self.limit, self.child, self.value = [], [], [], []
 
@@ -184,7 +224,7 @@ def _marks(tag: str, attributes: str) -> tuple[int, bool]:
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            hidden = True
+            hidden = tag not in ("html", "body")
         elif key in ("class", "id", "role", "aria-label") and tag not in ("html", "body", "article", "main"):
             if any(p.lower() in BOILER_NAMES for p in NAME_PART.findall(value)):
                 whole = any(p.lower() in BOILER_NAMES for p in value.split())
@@ -192,13 +232,14 @@ def _marks(tag: str, attributes: str) -> tuple[int, bool]:
     return named, hidden
 
 
-def _place(words: list[int], inside: list[tuple[int, int]], names: list[tuple[int, int]], articles: list[tuple[int, int]], first_heading: int | None) -> tuple[list[bool], list[bool], bool]:
+def _place(words: list[int], inside: list[tuple[int, int]], names: list[tuple[int, int]], articles: list[tuple[int, int]], first_heading: int | None,
+           forms: set[int]) -> tuple[list[bool], list[bool], bool]:
     """For each block whether it is boilerplate by name and whether inside an
     article, and whether there is an article. ``inside`` is the nearest named
     element and article of each block (-1: none), ``names`` the mark of each
     named element and the one around it, ``articles`` the named element and
     the article around each article, ``first_heading`` the block of the first
-    h1. What is around has the smaller number, so one pass each way is enough."""
+    h1, ``forms`` the named elements that are forms. What is around has the smaller number, so one pass each way is enough."""
     whole = []
     for mark, up in names:
         whole.append(mark == 2 or up >= 0 and whole[up])
@@ -225,7 +266,8 @@ def _place(words: list[int], inside: list[tuple[int, int]], names: list[tuple[in
     if main is None and first_heading is None:
         around = range(len(names))
     most = main is not None and 2 * by_article[main] > sum(words)
-    void = {i for i in around if most or names[i][0] == 1 and 2 * held[i] > plain}
+    void = {i for i in around if i not in forms and (most or names[i][0] == 1 and 2 * held[i] > plain)}
+    void |= {i for i in forms if most and i in around or held[i] >= FORM_WORDS and 2 * held[i] > plain}
     marked: list[bool] = []
     for i, (_, up) in enumerate(names):
         marked.append(i not in void or up >= 0 and marked[up])
@@ -247,7 +289,10 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     above, within = [-1], [-1]  # open elements with names of boilerplate, open articles
     inside: list[tuple[int, int]] = []
     first_heading = None
-    ends: dict[str, list[tuple[int, bool]]] = {}
+    ends: dict[str, tuple[list[int], np.ndarray, np.ndarray]] = {}
+    forms: set[int] = set()
+    mains: set[int] = set()
+    sure = False  # an article with an h1, or a main
     opened: Counter[str] = Counter()
     linked, inside_link = 0, 0
     tag_count = silent_count = heading_count = 0
@@ -279,12 +324,22 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         heading_count -= tag in HEADINGS
         inside_link -= tag == "a"
 
-    def closes(tag: str, pos: int) -> bool:
-        """Whether an open element is closed after ``pos``, before the next of its kind."""
-        if tag not in ends:
-            ends[tag] = [(m.start(), bool(m.group(1))) for m in re.finditer(rf"<(/?){tag}(?=[\s/>])", page, re.I)]
-        at = bisect_left(ends[tag], (pos, False))
-        return at < len(ends[tag]) and ends[tag][at][1]
+    def marked_around(pos: int) -> Iterator[tuple[int, bool]]:
+        """Open elements that are boilerplate by tag or silent, from the inner
+        to the outer, and whether each is closed after ``pos``."""
+        open_of: Counter[str] = Counter()
+        for i in range(len(stack) - 1, -1, -1):
+            tag, by_tag, _, silent, _ = stack[i]
+            open_of[tag] += 1
+            if by_tag or silent:
+                if tag not in ends:
+                    found = [(m.start(), -1 if m.group(1) else 1) for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])", page, re.I)]
+                    depth = np.cumsum([0, *(step for _, step in found)])
+                    # the least depth at or after each tag
+                    ends[tag] = [at for at, _ in found], depth, np.minimum.accumulate(depth[::-1])[::-1]
+                starts, depth, least = ends[tag]
+                at = bisect_left(starts, pos)
+                yield i, bool(least[at] <= depth[at] - open_of[tag])
 
     pos, n = 0, len(page)
     while pos < n:
@@ -323,13 +378,20 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         if tag == "body":
             while stack and stack[-1][0] in ("head", "title", "style", "script"):
                 pop()
-        article = tag in ARTICLE and not any(opened[t] and closes(t, pos) for t in ASIDES)
-        if article:
-            while tag_count + silent_count:
-                pop()
+        article = tag in ARTICLE
+        if article and tag_count + silent_count:
+            around = list(marked_around(pos))
+            # a header may wrap the article that it opens; what else is closed has no article
+            article = not any(closed and stack[i][0] != "header" for i, closed in around)
+            if article:
+                while len(stack) > around[-1][0]:
+                    pop()
         named, hidden = _marks(tag, m.group(3)) if m.group(3) else (0, False)
         by_tag = tag in BOILER_TAGS and not (tag == "header" and len(within) > 1)
         silent = tag in SILENT or hidden
+        if tag == "form" and named < 2:
+            forms.add(len(names))
+            named = 1
         stack.append((tag, by_tag, named, silent, article))
         opened[tag] += 1
         tag_count += by_tag
@@ -337,7 +399,10 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         if named:
             above.append(len(names))
             names.append((named, above[-2]))
+        sure |= tag == "main" and article or tag == "h1" and within[-1] >= 0
         if article:
+            if tag == "main":
+                mains.add(len(articles))
             within.append(len(articles))
             articles.append((above[-1], within[-2]))
         heading_count += tag in HEADINGS
@@ -354,8 +419,15 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     near[1:, :2] = r[:-1, :2]
     near[:-1, 2:] = r[1:, :2]
     words = [0 if row[2] else row[0] for row in rows]
-    r[:, 3], r[:, 4], has_article = _place(words, inside, names, articles, first_heading)
-    outside = np.where(r[:, 4] > 0, 0, 1) if has_article else np.full(len(r), 0.5)
+    by_tag = r[:, 2] > 0
+    r[:, 3], r[:, 4], has_article = _place(words, inside, names, articles, first_heading, forms)
+    within_article = r[:, 4] > 0
+    outside = np.where(within_article, 0, 1) if has_article else np.full(len(r), 0.5)
+    if has_article and not sure:
+        prose = (r[:, 0] >= 20) & (3 * r[:, 1] < 1) & ~by_tag & (r[:, 3] == 0)
+        if r[prose & ~within_article, 0].sum() > 2 * r[within_article & ~by_tag, 0].sum():
+            outside = np.where(within_article, 1, 0.5)
+    outside = np.where((outside == 0) & np.array([article in mains for _, article in inside]), 0.25, outside)
     return texts, np.column_stack([r[:, :2], near, r[:, 2:4], outside, r[:, 5]])
 
 
