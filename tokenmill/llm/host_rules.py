@@ -99,11 +99,14 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
     """(source, rejected) of every host, from rows with rule columns."""
     n = F.count("*").cast("double")
     hosts = materialise(rows.where("source is not null").groupBy("source").agg(n.alias("n"), *(F.sum(F.col(r).cast("long")).cast("double").alias(r) for r in LIMITS)), "hosts")
+    # sums over all hosts, of every rule at once: sizes, failures, and failures squared by size
+    sums = [F.sum("n").alias("n"), F.count("*").alias("hosts"), *(F.sum(r).alias(r) for r in LIMITS), *(F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_sq") for r in LIMITS)]
+    all_hosts = hosts.agg(F.struct(*sums).alias("s")).scalar()
     rejected = F.lit(False)
     for rule, limit in LIMITS.items():
-        mean = hosts.agg(F.sum(rule) / F.sum("n")).scalar()
+        mean = all_hosts[rule] / all_hosts["n"]
         # variance of the rates beyond what chance gives a host of its size
-        spread = hosts.agg(F.sum(F.col("n") * F.pow(F.col(rule) / F.col("n") - mean, 2)) / F.sum("n") - mean * (1 - mean) * F.count("*") / F.sum("n")).scalar()
+        spread = all_hosts[f"{rule}_sq"] / all_hosts["n"] - mean * mean - mean * (1 - mean) * all_hosts["hosts"] / all_hosts["n"]
         weight = F.when(spread > 0, F.greatest(F.lit(PRIOR_WEIGHT[0]), F.least(F.lit(PRIOR_WEIGHT[1]), mean * (1 - mean) / spread - 1))).otherwise(PRIOR_WEIGHT[1])
         rejected = rejected | ((F.col(rule) + mean * weight) / (F.col("n") + weight) > limit)
     return hosts.select("source", rejected.alias("rejected"))
