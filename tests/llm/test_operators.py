@@ -557,6 +557,44 @@ def test_edited_counts_match_full_encoding(spark):
     same(got.select("doc_id", "n_tokens", "n_edits", "n_tokens_after").collect(), want)
 
 
+def test_edited_trees_are_edited_again(spark):
+    with open(RANKS, "rb") as f:
+        n_tokens = token_counts.Encoder(f.read(), PATTERN)
+    rng = random.Random(5)
+    han = "".join(chr(0x4E00 + rng.randrange(900)) + ("，" if rng.random() < 0.1 else "") for _ in range(3000))
+    texts = [t for _, t, *_ in awkward_rows() + small_corpus(spark)[:20]] + ["\n".join(f"id{i},{i * 7}" for i in range(900)), han, "it's 'so' don't.Stop\x1cx", " \n x\n\ny" * 200]
+
+    def some_edits(text):
+        cuts = sorted(rng.randrange(len(text) + 1) for _ in range(rng.choice([0, 2, 6])))
+        return [(a, b, rng.choice(["", " ", "\n", "Qz9 ", "'s", "，好", "long words " * 300])) for a, b in zip(cuts[::2], cuts[1::2])]
+
+    def applied(text, edits):
+        for s, e, new in sorted(edits, reverse=True):
+            text = text[:s] + new + text[e:]
+        return text
+
+    first = [some_edits(t or "") for t in texts]
+    after = [applied(t or "", e) for t, e in zip(texts, first)]
+    second = [some_edits(t) for t in after]
+    schema = f"doc_id long, text string, first {token_counts.EDITS}, second {token_counts.EDITS}"
+    df = spark.createDataFrame(list(zip(range(len(texts)), texts, first, second)), schema)
+    trees = token_counts.build_trees(df, RANKS, PATTERN)
+    for column, before, edits in (("first", texts, first), ("second", after, second)):
+        trees = token_counts.edit_trees(trees.join(df.select("doc_id", F.col(column).alias("edits")), "doc_id"), RANKS, PATTERN)
+        for r in trees.collect():
+            old, own = before[r.doc_id], edits[r.doc_id]
+            assert r.text == (applied(old or "", own) if own else r.text) and (r.text or "") == applied(old or "", own)
+            assert (r.n_tokens, r.n_edits) == (n_tokens(r.text or ""), len(own))
+            ends = [*r.cuts[1:], len(r.text or "")]
+            assert r.cuts[0] == 0 and all(a < b for a, b in zip(r.cuts[:-1], r.cuts[1:]))
+            assert r.sums[len(r.sums) // 2:][:len(r.cuts)] == [n_tokens((r.text or "")[a:b]) for a, b in zip(r.cuts, ends)]
+
+
+def test_texts_without_blanks_have_many_leaves():
+    assert len(token_counts.safe_cuts("\n".join(str(i) for i in range(2000)))) > 20
+    assert len(token_counts.safe_cuts("一二三四五六，" * 500)) > 8
+
+
 def test_only_touched_leaves_are_encoded_again():
     text = prose(5000, 8)
     calls = []

@@ -1,17 +1,20 @@
 """Edit-aware token counts.
 
-A document's text is cut into leaves at safe places: before a single space
-between two characters that are not white space. The pre-token pattern starts
-a pre-token there whatever stands before, so leaves are whole runs of
-pre-tokens, their token counts add up to the document's, and a place stays
-safe as long as the three characters around it stay. A segment tree over the
-leaves' counts is kept with the document.
+A document's text is cut into leaves at safe places (``SAFE``): before a
+single space between two characters that are not white space, after a single
+line break between two such, and between a closing or separating mark and a
+letter. The pre-token pattern starts a pre-token there whatever stands
+before, so leaves are whole runs of pre-tokens, their token counts add up to
+the document's, and a place stays safe as long as the characters around
+it (two before, two after) stay. A segment tree over the leaves' counts is kept with the document.
 
 An edit re-encodes only the leaves it touches plus the boundary context: the
 region from the last safe place that ends before it to the first one that
 begins after it. The region's new count goes to its first leaf, the others
 become empty, and the sums above are updated. Edits of one document are taken
-together when their regions meet.
+together when their regions meet. ``edit_trees`` returns the edited text with
+its own cuts and sums, regions that grew beyond ``LONGEST`` being cut again, so
+the next edits start from there and the whole text is never encoded again.
 
 Edits are structs (start, end, replacement) in code points of the original
 text, not overlapping. Defined results: null text counts as empty, with no
@@ -33,25 +36,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAF = 256
+#: Characters from which the region of an edit is cut into leaves again.
+LONGEST = 4 * LEAF
+#: Where a pre-token starts whatever is around. Letters are those of fixed
+#: ranges, so that no version of Unicode tells them otherwise; an apostrophe
+#: is no such mark, as contractions are pre-tokens.
+SAFE = re.compile(r"(?<=\S) (?=\S)|(?<=\S\n)(?=\S)|(?<=[.,;:!?)\]}\"|/\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])(?=[A-Za-z\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])")
 EDITS = "array<struct<start: int, end: int, replacement: string>>"
 #: Redactions whose cost in tokens the registered query measures.
 REDACTIONS = [(re.compile(r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "<email>"),
               (re.compile(r"[0-9a-f]{32,}"), "<key>"), (re.compile(r"[0-9]{13,19}"), "<number>"), (re.compile(r"\t+| {2,}"), " ")]
 
 
-def is_safe(text: str, p: int) -> bool:
-    return 0 < p < len(text) - 1 and text[p] == " " and not text[p - 1].isspace() and not text[p + 1].isspace()
-
-
 def safe_cuts(text: str, leaf: int = LEAF) -> list[int]:
     """Starts of the leaves: 0, then safe places at least ``leaf`` apart."""
-    cuts, p = [0], leaf
-    while (p := text.find(" ", p)) >= 0:
-        if is_safe(text, p):
-            cuts.append(p)
-            p += leaf
-        else:
-            p += 1
+    cuts = [0]
+    while m := SAFE.search(text, cuts[-1] + leaf):
+        cuts.append(m.start())
     return cuts
 
 
@@ -75,6 +76,9 @@ class CountTree:
     def total(self) -> int:
         return self.sums[1]
 
+    def leaves(self, n: int) -> list[int]:
+        return self.sums[self.size:self.size + n]
+
     def put(self, leaf: int, count: int) -> None:
         i = self.size + leaf
         change = count - self.sums[i]
@@ -97,9 +101,9 @@ def regions(cuts: list[int], length: int, edits: list[tuple[int, int, str]]) ->
     starts = np.array(cuts)
     out = []
     for e in edits:
-        # kept places have all their characters, p - 1 to p + 1, outside the edit
+        # kept places have all their characters, p - 2 to p + 1, outside the edit
         lo = max(int(np.searchsorted(starts, e[0] - 1, side="left")) - 1, 0)
-        hi = int(np.searchsorted(starts, e[1] + 1, side="left"))
+        hi = int(np.searchsorted(starts, e[1] + 2, side="left"))
         hi = max(hi, lo + 1)
         if out and lo < out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]), [*out[-1][2], e])
@@ -128,6 +132,41 @@ def apply_edits(text: str, cuts: list[int], tree: CountTree, edits: list, n_toke
     return again
 
 
+def edited_tree(text: str, cuts: list[int], tree: CountTree, edits: list, n_tokens) -> tuple[str, list[int], CountTree, int]:
+    """Text, cuts and tree after the edits, and how many leaves were encoded
+    again. A region becomes one leaf, or several where it is long; the others
+    keep their counts and move."""
+    counts = tree.leaves(len(cuts))
+    parts, new_cuts, new_counts = [], [], []
+    at = done = again = 0  # length of the new text, leaves taken over
+
+    def take_over(end: int) -> None:
+        nonlocal at, done
+        if done < end:
+            first, last = cuts[done], cuts[end] if end < len(cuts) else len(text)
+            new_cuts.extend(c - first + at for c in cuts[done:end])
+            new_counts.extend(counts[done:end])
+            parts.append(text[first:last])
+            at += last - first
+            done = end
+
+    for lo, hi, own in regions(cuts, len(text), edits):
+        take_over(lo)
+        piece = region_text(text, cuts, lo, hi, own)
+        inner = safe_cuts(piece) if len(piece) > LONGEST else [0]
+        if piece or not new_cuts:
+            new_cuts.extend(c + at for c in inner)
+            new_counts.extend(n_tokens(piece[a:b]) for a, b in zip(inner, [*inner[1:], len(piece)]))
+        parts.append(piece)
+        at += len(piece)
+        done = hi
+        again += hi - lo
+    take_over(len(cuts))
+    if len(new_cuts) > 1 and new_cuts[1] == 0:  # an empty region before the rest
+        new_cuts, new_counts = new_cuts[1:], new_counts[1:]
+    return "".join(parts), new_cuts, CountTree(new_counts), again
+
+
 def redactions(text: str) -> list[dict]:
     """Edits that replace personal data, keys and runs of blanks."""
     found = sorted((m.start(), m.end(), new) for pattern, new in REDACTIONS for m in pattern.finditer(text))
@@ -176,6 +215,24 @@ def _edited(batches: Iterator[pa.RecordBatch], n_tokens, edits_of=None) -> Itera
                                          names=["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_leaves", "n_encoded_again"])
 
 
+def _edited_trees(batches: Iterator[pa.RecordBatch], n_tokens) -> Iterator[pa.RecordBatch]:
+    """The kept trees after the edits of a column."""
+    for batch in batches:
+        texts, all_cuts, sums, numbers = [], [], [], []
+        for x, cuts, kept, edits in zip(*(batch.column(c) for c in ("text", "cuts", "sums", "edits"))):
+            text = x.as_py()
+            edits = clean_edits(edits.as_py(), len(text or ""))
+            after, cuts, tree, again = edited_tree(text or "", cuts.as_py(), CountTree(sums=kept.as_py()), edits, n_tokens)
+            texts.append(after if edits else text)
+            all_cuts.append(cuts)
+            sums.append(tree.sums)
+            numbers.append((tree.total, len(edits), again))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(all_cuts, pa.list_(pa.int32())), pa.array(sums, pa.list_(pa.int64())),
+             *(pa.array([n[k] for n in numbers], pa.int64()) for k in range(3))],
+            names=["doc_id", "text", "cuts", "sums", "n_tokens", "n_edits", "n_encoded_again"])
+
+
 COUNTS = "doc_id long, n_tokens long, n_edits long, n_tokens_after long, n_leaves long, n_encoded_again long"
 
 
@@ -199,6 +256,16 @@ def count_edited(trees: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(lambda batches: _edited(batches, make()), COUNTS)
 
 
+def edit_trees(trees: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Kept trees (doc_id, text, cuts, sums) after their column ``edits``, with
+    n_tokens, n_edits and n_encoded_again; they can be edited again. A null
+    text without edits stays null."""
+    make = _encoder(trees, ranks_path, pattern)
+    rows = trees.select("doc_id", "text", "cuts", "sums", F.col("edits").cast(EDITS).alias("edits"))
+    return rows.mapInArrow(lambda batches: _edited_trees(batches, make()),
+                           "doc_id long, text string, cuts array<int>, sums array<long>, n_tokens long, n_edits long, n_encoded_again long")
+
+
 def count_redacted(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Token counts of every row before and after ``redactions``, in one pass:
     trees are built and edited batch by batch."""
