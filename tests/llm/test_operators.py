@@ -685,6 +685,24 @@ def test_random_strings_of_one_case_are_found(spark):
         assert sum(got[50 * k + i] == f"random:5:{5 + len(s)}" for i, s in enumerate(sort)) >= 45, sort
 
 
+def test_short_secrets_and_secrets_with_signs(spark):
+    rng = random.Random(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    sorts = [(a, n) for a in (letters, letters + "!@#$%^&*") for n in (12, 16, 19, 24, 40)]
+    strings = [[f"a{''.join(rng.choice(a) for _ in range(n - 2))}Q" for _ in range(50)] for a, n in sorts]
+    dotted = [".".join("".join(rng.choice(letters) for _ in range(n)) for n in (36, 74, 43)) for _ in range(20)]
+    plain = """foo.bar@example.com www.example.org/index.html?page=2 v1.2.3-beta.4+build.567 978-3-16-148410-0 192.168.100.254 utf8mb4_unicode_ci x86_64-pc-linux-gnu
+        libc6-dev-i386 jquery-3.6.0.min.js 2024-05-01T12:33:44Z 20240501T123344Z $1.299.99 document.getElementById torch.nn.functional.relu getHTTPResponseCode iPhone13ProMax
+        linux-image-5.15.0-91-generic python3.11-venv test_utils_v2.py a.b.c.d.e.f.g.h ................ !!!!!!!!!!!!!! 100%.200%.300% #hashtag#another#third A.B.C.D.E.F.G.H.
+        h264_nvenc_1080p60 i18n/l10n/a11y 3d_model_v2_final.obj arm64-v8a/x86_64 covid-19.vaccine git@github.com user_id=42&name=x""".split()
+    rows = [(i, f"word {s} word", None, None, 0) for i, s in enumerate([*itertools.chain(*strings), *dotted, *plain])]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(make(spark, rows), RANKS, PATTERN).collect()}
+    found = [sum("random" in got[50 * k + i] for i in range(50)) for k in range(len(strings))]
+    assert min(found) >= 44, found
+    assert all(got[500 + i] == f"random:5:{5 + len(s)}" for i, s in enumerate(dotted))
+    assert [s for i, s in enumerate(plain) if "random" in got[520 + i]] == []
+
+
 def test_random_strings_are_found_beside_plain_words(spark):
     rng = random.Random(9)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -5,10 +5,11 @@ top, runs of key characters that look like nothing a language or a program
 would write are found by how badly a tokenizer packs them: a vocabulary
 learned from text needs few tokens for words and identifiers but about one
 token for every character or two of a random string. A run is cut at base
-spans and known digests, and its parts between ``-``, ``_``, ``/``, ``+`` and
-``=`` are judged, so plain words beside a secret do not hide it: each window
-of neighbouring parts that takes more tokens than one for ``RATIO`` characters
-is reported as ``random`` if it has ``LEAST_CHARS`` characters or more. A run
+spans and known digests, and its parts between signs (``SIGNS``) are judged, so
+plain words beside a secret do not hide it: each window of neighbouring parts
+that takes more tokens than one for ``RATIO`` characters is reported as
+``random`` if it has ``LEAST_CHARS`` characters or more, and, under
+``LEAST_PLAIN`` characters, a part that looks like no word or name. A run
 without such a window is judged whole. Known digests are UUIDs and hex of the
 lengths of common digests (the base reports hex as ``hex``). Identifiers are
 not reported: words joined by separators whose parts are plain, and names with
@@ -36,15 +37,22 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_ASSIGNED, LEAST_ACCESS = 12, 18
-LEAST_CHARS = 20
+LEAST_CHARS = 12
+#: Characters from which plain parts alone (letters of one case, names) count.
+LEAST_PLAIN = 20
+#: Characters of the part that makes a shorter span one, of no word or name.
+LEAST_PART = 10
 RATIO = 2.0
-RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}")
+SIGNS = "-_/+=.!@#$%^&*~"
+RUN = re.compile(rf"[A-Za-z0-9{re.escape(SIGNS)}]{{{LEAST_CHARS},}}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})\Z", re.I)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\Z", re.I)
 KNOWN = re.compile(rf"(?<![A-Za-z0-9])(?:{DIGEST.pattern[:-2]}|{UUID.pattern[:-2]})(?![A-Za-z0-9])", re.I)
-SIGNS = "-_/+="
 PART = re.compile(r"[A-Za-z0-9]+")
-PLAIN_PART = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]+(?:[A-Z][a-z]+)+|(?:[A-Z][a-z]+)+)?[0-9]*\Z")
+#: Words and names with a number at an end (in front of two digits at most), and times as in 20240501T1200Z.
+PLAIN_PART = re.compile(r"(?:[0-9]{0,2}(?:[A-Z]?[a-z]+|[A-Z]+|[a-z]+(?:[A-Z][a-z]+)+|(?:[A-Z][a-z]+)+)?[0-9]*|[0-9]{2,8}T[0-9]{2,6}Z?)\Z")
+#: Signs that names do not have.
+RARE_SIGN = re.compile(r"[!@#$%^&*~]")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -57,8 +65,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _letters(part: str) -> str:
-    """What of a part is judged: a plain part without the number at its end."""
-    return part.rstrip("0123456789") if PLAIN_PART.match(part) else part
+    """What of a part is judged: a plain part without the numbers at its ends."""
+    return part.strip("0123456789") if PLAIN_PART.match(part) else part
 
 
 def _score(part: str, n_tokens) -> tuple[float, bool]:
@@ -81,6 +89,16 @@ def is_named(run: str, n_tokens) -> bool:
     return all(map(PLAIN_PART.match, parts)) and sum(_score(p, n_tokens)[0] for p in parts) <= 0
 
 
+def _long_enough(span: str) -> bool:
+    """Short spans need more: a part of ``LEAST_PART`` characters, or any part
+    beside a rare sign, that no word or name looks like. One word of an unknown
+    language packs badly too, and so do names of versions, sizes and dates."""
+    if len(span) >= LEAST_PLAIN:
+        return True
+    least = 1 if RARE_SIGN.search(span) else LEAST_PART
+    return len(span) >= LEAST_CHARS and any(len(p) >= least and not PLAIN_PART.match(p) for p in PART.findall(span))
+
+
 def _pieces(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
     """Bounds of the runs, cut at base spans and at known digests and UUIDs."""
     spans: list[tuple[int, int]] = []  # of the base, put together
@@ -154,10 +172,10 @@ def random_spans(text: str, base: list[tuple[int, int, int]], n_tokens) -> list[
             # signs at an end of the run belong to the part there
             s = parts[first][0] if first else 0
             e = parts[end - 1][1] if end < len(parts) or run[parts[-1][1]:].strip("=") and first else len(run)
-            if s >= at and e - s >= LEAST_CHARS:
+            if s >= at and _long_enough(run[s:e]):
                 found.append((lo + s, 3, lo + e))
                 at = e
-        if not found and not is_named(run, n_tokens) and len(run) < RATIO * n_tokens(run):
+        if not found and _long_enough(run) and not is_named(run, n_tokens) and len(run) < RATIO * n_tokens(run):
             found = [(lo, 3, hi)]
         out += found
     return out
