@@ -101,7 +101,8 @@ def host_verdicts(rows: DataFrame) -> DataFrame:
     hosts = materialise(rows.where("source is not null").groupBy("source").agg(n.alias("n"), *(F.sum(F.col(r).cast("long")).cast("double").alias(r) for r in LIMITS)), "hosts")
     # sums over all hosts, of every rule at once: sizes, failures, and failures squared by size
     sums = [F.sum("n").alias("n"), F.count("*").alias("hosts"), *(F.sum(r).alias(r) for r in LIMITS), *(F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_sq") for r in LIMITS)]
-    all_hosts = hosts.agg(F.struct(*sums).alias("s")).scalar()
+    hosts = hosts.withColumn("all_hosts", hosts.agg(F.struct(*sums).alias("s")).scalar())  # one row, read as a column
+    all_hosts = F.col("all_hosts")
     rejected = F.lit(False)
     for rule, limit in LIMITS.items():
         mean = all_hosts[rule] / all_hosts["n"]
