@@ -51,3 +51,14 @@ def test_interpolation_shuffles_the_points_once(spark):
     at = runs.groupBy("k").agg({"x": "avg"}).withColumnRenamed("avg(x)", "q")
     plan = R.interpolate_at(runs, at, ["k"], "x", {"u": "y"}, "q")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Union" not in plan
+
+
+def test_sweeps_are_not_broadcast(spark, tmp_path):
+    """Files don't tell how many sweeps the runs have: nothing of one row a key
+    may go to the driver, whatever the estimate."""
+    from tokenmill.plans.registry import load_all
+    spark.range(3).selectExpr("id + 1 as c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    for name in ("bracket_interpolate", "power_law_fit", "ratio_summary"):
+        df = load_all()[0][name](spark, str(tmp_path))
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString(), name
+        assert df.count() > 0

@@ -53,13 +53,14 @@ def interpolate_at(points: DataFrame, at: DataFrame, keys, x: str, ys: dict, at_
     ``max_by`` / ``min_by`` of those on either side: map-side aggregates, no
     arrays, windows or sorts, whatever the number of points. Points without
     an ``x`` take no part; a key without points (or an ``at`` without ``at_x``)
-    gives nulls.
+    gives nulls. ``at`` has as many rows as there are keys, which the size of the
+    files below it doesn't tell: it is merged, never sent whole to the driver.
     """
     keys = list(keys)
     px, q = F.col("_p.x"), F.col("_q")
     pts = points.filter(F.col(x).isNotNull()).select(*keys, F.struct(
         F.col(x).cast("double").alias("x"), *[F.col(c).cast("double").alias(o) for o, c in ys.items()]).alias("_p"))
-    met = pts.join(at.select(*keys, F.col(at_x).cast("double").alias("_q")), keys)
+    met = pts.join(at.select(*keys, F.col(at_x).cast("double").alias("_q")).hint("merge"), keys)
     near = met.groupBy(*keys).agg(
         F.max(F.when(px <= q, F.col("_p"))).alias("_a"), F.min(F.when(px >= q, F.col("_p"))).alias("_b"),
         F.first("_q").alias("_q"))
@@ -71,7 +72,7 @@ def interpolate_at(points: DataFrame, at: DataFrame, keys, x: str, ys: dict, at_
         return (F.when(F.col("_a").isNull(), b).when(F.col("_b").isNull(), a)
                  .when(F.col("_b.x") == F.col("_a.x"), a).otherwise(a + t * (b - a)))
 
-    return at.join(near.select(*keys, *[value(o).alias(o) for o in ys]), keys, "left")
+    return at.join(near.select(*keys, *[value(o).alias(o) for o in ys]).hint("merge"), keys, "left")
 
 
 def isoflop_fit(runs: DataFrame, keys=("exp_id", "flops_budget"), x_raw: str = "effective_params",
