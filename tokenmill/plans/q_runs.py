@@ -98,7 +98,7 @@ def q_power_law_fit(spark, sf_dir):
     o = _opt(spark, sf_dir)
     n = R.power_law_fit(o, "exp_id", "flops_budget", "opt_params", "n")
     d = R.power_law_fit(o, "exp_id", "flops_budget", "opt_tokens", "d")
-    return n.join(d, "exp_id")
+    return n.join(d.hint("merge"), "exp_id")       # a row per sweep: as many as the input has
 
 
 @query("ratio_summary", oracle(f"""
