@@ -62,3 +62,12 @@ def test_sweeps_are_not_broadcast(spark, tmp_path):
         df = load_all()[0][name](spark, str(tmp_path))
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString(), name
         assert df.count() > 0
+
+
+def test_runs_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One small file of sweeps gives many runs, not all in one task."""
+    from tokenmill.plans import catalog
+    monkeypatch.setattr(catalog, "_DEALT", {"runs": ("customer", "c_custkey", 10)})
+    spark.range(100).selectExpr("id + 1 as c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    runs = catalog.load(spark, str(tmp_path)).runs
+    assert runs.rdd.getNumPartitions() == 10 and runs.count() == 100 * 4 * 7
