@@ -224,3 +224,15 @@ def test_items_without_enough_shots_are_quarantined(spark):
     kept = {r.item_id: len(r.shots) for r in fewshot_sample(items).collect()}
     assert kept == {1: 1, 2: 2, 3: 0}
     assert [(r.item_id, r.reason) for r in fewshot_quarantine(items).collect()] == [(4, "too_few_items")]
+
+
+def test_shards_may_be_files_or_folders_of_parts(spark, tmp_path):
+    from tokenmill.sources.corpus import scan_shards
+    spark.range(0, 7).coalesce(1).write.parquet(str(tmp_path / "raw"))
+    next((tmp_path / "raw").glob("part-*.parquet")).rename(tmp_path / "a.parquet")
+    spark.range(7, 20, 1, 3).write.parquet(str(tmp_path / "b.parquet"))
+    (tmp_path / "c.parquet.tmp").write_text("not yet whole")
+    df = scan_shards(spark, str(tmp_path / "none"), legacy_path=str(tmp_path))
+    rows = df.collect()
+    assert sorted((r.id, r.file_name) for r in rows) == [(i, "a.parquet" if i < 7 else "b.parquet") for i in range(20)]
+    assert len({(r.file_name, r.part_name, r.row_index) for r in rows}) == 20

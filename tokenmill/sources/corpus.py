@@ -2,39 +2,50 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenmill.functions.text import strip
 
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"      # what stands before the path of a URI
+
 
-def _has_files(spark: SparkSession, path: str, glob: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return False
-    return len(fs.globStatus(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + glob))) > 0
+def _entries(spark: SparkSession, path: str, glob: str) -> list[str]:
+    """Files and folders directly below ``path`` whose name matches ``glob``;
+    as for Spark, names that begin with ``_`` or ``.`` are hidden."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [e.getPath() for e in fs.globStatus(hadoop.Path(p, glob)) or []] if fs.exists(p) else []
+    return [e.toString() for e in found if e.getName()[0] not in "_."]
 
 
 def scan_shards(spark: SparkSession, path: str, glob: str = "*.parquet",
                 schema: T.StructType | None = None, legacy_path: str | None = None) -> DataFrame:
     """All parquet shards of a folder (``.tmp`` and other files ignored).
 
-    Falls back to ``legacy_path`` when ``path`` holds no shard. Adds
-    ``file_name`` and ``row_index`` from the hidden file metadata, so
-    "order by file name, then row" is available without reading order.
+    A shard is a file, or a folder of part files as Spark writes it. Falls back
+    to ``legacy_path`` when ``path`` holds no shard. Adds ``file_name``, the
+    shard's name, ``part_name`` (the name of the file read) and ``row_index``
+    from the hidden file metadata, so "order by file name, part, then row" is
+    available without reading order.
     """
-    if legacy_path and not _has_files(spark, path, glob):
-        path = legacy_path
-    r = spark.read.option("pathGlobFilter", glob)
+    found = _entries(spark, path, glob)
+    if not found and legacy_path:
+        path, found = legacy_path, _entries(spark, legacy_path, glob)
+    r = spark.read.option("recursiveFileLookup", True) if found else spark.read.option("pathGlobFilter", glob)
     if schema is not None:
         r = r.schema(schema)
-    df = r.parquet(path)
-    return df.select("*", F.col("_metadata.file_name").alias("file_name"),
-                     F.col("_metadata.row_index").alias("row_index"))
+    df = r.parquet(*(found or [path]))
+    name = part = F.col("_metadata.file_name")
+    if found:  # shards are equally deep: what is deeper is a part, below its shard's name
+        names = F.split(F.regexp_replace(F.col("_metadata.file_path"), HOST, ""), "/")
+        deep = len(re.sub(HOST, "", found[0]).split("/"))
+        name = F.when(F.size(names) > deep, F.get(names, F.lit(deep - 1))).otherwise(part)
+    return df.select("*", name.alias("file_name"), part.alias("part_name"), F.col("_metadata.row_index").alias("row_index"))
 
 
 def read_delimited_corpus(spark: SparkSession, path: str, sep: str = "\n\n---\n\n") -> DataFrame:
