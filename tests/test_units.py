@@ -236,3 +236,14 @@ def test_shards_may_be_files_or_folders_of_parts(spark, tmp_path):
     rows = df.collect()
     assert sorted((r.id, r.file_name) for r in rows) == [(i, "a.parquet" if i < 7 else "b.parquet") for i in range(20)]
     assert len({(r.file_name, r.part_name, r.row_index) for r in rows}) == 20
+
+
+def test_train_val_split_moves_no_text(spark):
+    from tokenmill.operators.corpus import train_val_docs
+    df = spark.createDataFrame([(3, " c "), (1, "a"), (2, None), (9, " \n"), (5, "e")], "doc_id long, text string")
+    out = train_val_docs(df, ["doc_id"])
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.groupBy("doc_id", "split", "text").count().collect()
+    assert sorted((r.doc_id, r.split, r.text) for r in got) == [(1, "train", "a"), (3, "train", "c"), (5, "val", "e")]
+    one = train_val_docs(df.filter("doc_id = 1"), ["doc_id"]).select("doc_id", "split").distinct().collect()
+    assert sorted(tuple(r) for r in one) == [(1, "train"), (1, "val")]

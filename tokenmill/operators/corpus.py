@@ -125,14 +125,15 @@ def pretrain_text(df: DataFrame, title_col: str = "title", text_col: str = "text
 
 def train_val_docs(docs: DataFrame, order_cols, text_col: str = "text") -> DataFrame:
     """Split stripped, non-empty docs: val = last doc; with <= 2 docs train is
-    the first and val the second (or the same one). Train rows are repeated
-    ``max(1, 500000 // total_chars)`` times. Adds ``split`` and ``copy``."""
+    the first and val the second (or the same one). ``order_cols`` are unique.
+    Train rows are repeated ``max(1, 500000 // total_chars)`` times. Adds ``split`` and ``copy``."""
     d = docs.withColumn(text_col, strip(text_col)).filter(F.length(text_col) > 0)
-    d = global_position(d, order_cols, (), out="doc_pos")
-    n = d.select(F.count("*")).scalar()
+    key = F.struct(*order_cols)
+    # the last document is known by its key, so that no text is moved to find it
+    n, last = d.select(F.count("*")).scalar(), d.select(F.max(key)).scalar()
     mult = corpus_multiplier(d, text_col)
-    is_val = F.col("doc_pos") == n - 1
-    is_train = (F.col("doc_pos") < n - 1) | ((n == 1) & (F.col("doc_pos") == 0))
+    is_val = key.eqNullSafe(last)
+    is_train = ~is_val | (n == 1)
     train = d.filter(is_train).withColumn("split", F.lit("train"))
     train = train.withColumn("copy", F.explode(F.sequence(F.lit(1), mult)))
     val = d.filter(is_val).withColumn("split", F.lit("val")).withColumn("copy", F.lit(1))
