@@ -96,3 +96,12 @@ def test_blocks_of_null_keys_and_groups(spark):
 
 def test_positions_of_no_rows(spark):
     assert global_position(spark.createDataFrame([], "k long"), ["k"]).columns == ["k", "pos"]
+
+
+def test_blocks_are_dealt_to_as_many_tasks(spark):
+    """Small rows may become many in the task that numbers them, so blocks are
+    not put together by their bytes."""
+    df = spark.range(1000).selectExpr("id as k", "1 as v")
+    out = prefix_sum(df, ["k"], "v", (), out="p", rows_per_block=50)
+    assert out.rdd.getNumPartitions() >= 20
+    assert all(r.p == r.k for r in out.collect())
