@@ -247,3 +247,14 @@ def test_train_val_split_moves_no_text(spark):
     assert sorted((r.doc_id, r.split, r.text) for r in got) == [(1, "train", "a"), (3, "train", "c"), (5, "val", "e")]
     one = train_val_docs(df.filter("doc_id = 1"), ["doc_id"]).select("doc_id", "split").distinct().collect()
     assert sorted(tuple(r) for r in one) == [(1, "train"), (1, "val")]
+
+
+def test_pad_batches_sorts_no_ids(spark):
+    from tokenmill.operators.render import pad_batches
+    rows = [(i, [1] * (1 + i % 5), [1] * (1 + i % 5)) for i in range(11)]
+    df = pad_batches(spark.createDataFrame(rows, "row_id long, ids array<int>, mask array<int>"), 4, 9)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    for r in df.collect():
+        n, longest = 1 + r.row_id % 5, max(1 + i % 5 for i in range(11) if i // 4 == r.row_id // 4)
+        assert r.batch == r.row_id // 4 and r.ids == [1] * n + [9] * (longest - n) and r.mask == [1] * n + [0] * (longest - n)

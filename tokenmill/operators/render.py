@@ -135,8 +135,12 @@ def pad_batches(rendered: DataFrame, batch_size: int, pad_id: int, row_col: str
     """Pad every row of a batch (``row_id div batch_size``) to the batch's
     longest row with ``pad_id``; padded mask positions are 0."""
     d = rendered.withColumn("batch", F.floor(F.col(row_col) / batch_size))
+    # the lengths alone meet per batch; a row then gets its batch's by its own
+    # key, hashed: rows of ids are not sorted
     w = Window.partitionBy("batch")
-    d = d.withColumn("_len", F.max(F.size("ids")).over(w))
+    lens = d.select("batch", F.col(row_col).alias("_row"), F.size("ids").alias("_n"))
+    lens = lens.select("_row", F.max("_n").over(w).alias("_len")).hint("shuffle_hash")
+    d = d.join(lens, F.col(row_col) == F.col("_row")).drop("_row")
     pad = F.col("_len") - F.size("ids")
     return (d.withColumn("ids", F.concat("ids", F.array_repeat(F.lit(pad_id), pad)))
              .withColumn("mask", F.concat("mask", F.array_repeat(F.lit(0), pad))).drop("_len"))

@@ -449,7 +449,10 @@ lens as (select conv_id, cast(least(1 + sum(n), {RD.MAX_TOKENS}) as bigint) as n
 b as (select *, (row_number() over (order by conv_id) - 1) // 8 as batch from lens)
 select conv_id, cast(batch as bigint) as batch, max(n_tokens) over (partition by batch) as n_tokens, mask_sum from b"""))
 def q_pad_right(spark, sf_dir):
-    r = global_position(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), ["conv_id"], (), out="row_id")
+    # written once: positions, lengths and rows read the same ids
+    r = PK.written(_rendered(spark, sf_dir).filter(F.col("reason").isNull()), "rendered")
+    at = global_position(r.select(F.col("conv_id").alias("_id")), ["_id"], (), out="row_id")
+    r = r.join(at.hint("shuffle_hash"), F.col("conv_id").eqNullSafe(F.col("_id")))
     p = RD.pad_batches(r, 8, BOS)
     return p.select("conv_id", F.col("batch").cast("long").alias("batch"), F.size("ids").cast("long").alias("n_tokens"),
                     F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("mask_sum"))
