@@ -142,8 +142,8 @@ def pad_batches(rendered: DataFrame, batch_size: int, pad_id: int, row_col: str
     lens = lens.select("_row", F.max("_n").over(w).alias("_len")).hint("shuffle_hash")
     d = d.join(lens, F.col(row_col) == F.col("_row")).drop("_row")
     pad = F.col("_len") - F.size("ids")
-    return (d.withColumn("ids", F.concat("ids", F.array_repeat(F.lit(pad_id), pad)))
-             .withColumn("mask", F.concat("mask", F.array_repeat(F.lit(0), pad))).drop("_len"))
+    return d.withColumns({"ids": F.concat("ids", F.array_repeat(F.lit(pad_id), pad)),
+                          "mask": F.concat("mask", F.array_repeat(F.lit(0), pad))}).drop("_len")
 
 
 def mask_breakdown(rendered: DataFrame, vocab: DataFrame, id_col: str = "conv_id") -> DataFrame:
