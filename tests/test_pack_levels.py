@@ -130,3 +130,12 @@ def test_bpe_rows_end_to_end(spark):
     assert (got[3].reason, got[3].ids) == ("system_not_followed_by_user", None) and got[4].reason == "empty"
     bytes_of = {r.conv_id: r for r in RD.render_conversations(convs, has_parts=True).collect()}
     assert bytes(x for x in bytes_of[1].ids if x < 256) == "be low\n\nnewest widerlow1+12".encode()
+
+
+def test_masks_travel_as_bytes(spark):
+    from tokenmill.operators.packing import pack_rows
+    docs = spark.createDataFrame([(i, [i] * 3, [0, 1, 1]) for i in range(5)], "doc_id long, ids array<int>, mask array<int>")
+    rows = pack_rows(docs, "bestfit_pad", 7, 99, ["doc_id"], (), mask_col="mask", buffer_size=3)
+    assert "array<tinyint>" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.schema["mask"].dataType.simpleString() == "array<int>"
+    assert sorted((r.n_content, r.tokens.count(99), sum(r.mask)) for r in rows.collect()) == [(3, 4, 2), (6, 1, 4), (6, 1, 4)]
