@@ -40,6 +40,29 @@ def test_bad_lines_do_not_fail_the_job(spark):
     assert {r.stage: r.value for r in R.scrape_report_kv(lines, ["CORE"]).collect()} == {"base": None, "sft": "0.5"}
 
 
+def test_words_merged_together_equal_words_merged_one_by_one():
+    import numpy as np
+    draw = random.Random(5)
+    for n_ids in (1, 2, 5):
+        merges = []
+        for new in range(n_ids, n_ids + 30):
+            pair = (draw.randrange(new), draw.randrange(new))
+            merges += [] if pair in {m[:2] for m in merges} else [(*pair, new)]
+        ranks = {(a, b): new for a, b, new in merges}
+        words = [[draw.randrange(n_ids) for _ in range(draw.choice([0, 1, 2, 3, 8, 40, TK.LONG_WORD + 9]))] for _ in range(300)]
+        at = np.append(0, np.cumsum([len(w) for w in words]))
+        ids, starts = TK.merge_words(np.array(sum(words, []), np.int64), at, TK.merge_ranks(merges))
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [TK.encode_piece(w, ranks) for w in words]
+
+
+def test_a_round_leaves_settled_words_alone(spark):
+    hist = spark.createDataFrame([("ab", 3), ("xab", 2), ("xyz", 1), ("q", 9)], "piece string, freq long")
+    spelt = lambda *ids: "".join(chr(TK.ID_BASE + i) for i in ids)
+    got = {tuple(r) for r in TK.rewrite(TK.word_table(hist), [(97, 98, 256)]).select("old", "word", "freq").collect()}
+    # untouched words carry no old form, so the counts of the round don't read them; "q" has no pair
+    assert got == {(spelt(97, 98), spelt(256), 3), (spelt(120, 97, 98), spelt(120, 256), 2), (None, spelt(120, 121, 122), 1)}
+
+
 def test_extract_answer_and_grade(spark):
     df = spark.createDataFrame([("#### 1,234", "x #### 1234"), ("none", "none"), ("#### 12.", "#### 12")],
                                "ref string, comp string")

@@ -15,7 +15,10 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,45 +144,148 @@ def word_table(hist: DataFrame) -> DataFrame:
                .groupBy("word").agg(F.sum("freq").alias("freq"))
 
 
-def _pairs(word: str, weight: Column) -> Column:
-    ids = F.split(word, "")
-    n = F.size(ids)
-    pairs = F.zip_with(F.slice(ids, 1, n - 1), F.slice(ids, 2, n - 1), lambda a, b: F.concat(a, b))
-    return F.when(F.length(word) >= 2, F.transform(pairs, lambda p: F.struct(p.alias("pair"), weight.alias("n"))))
+NO_RANK = 1 << 62
+LONG_WORD = 256        # ids; longer words are merged one by one
+
+
+def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words in a row, and where each word starts (then the
+    end). All characters from ID_BASE on take four bytes."""
+    if not len(words):
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+    words = words.cast(pa.large_string())
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    b = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].reshape(-1, 4).astype(np.int64)
+    return ((b[:, 0] & 7) << 18 | (b[:, 1] & 63) << 12 | (b[:, 2] & 63) << 6 | b[:, 3] & 63) - ID_BASE, (at - at[0]) // 4
+
+
+def _spelt(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The words of ids in a row."""
+    c = ids + ID_BASE
+    b = np.stack([0xF0 | c >> 18, 0x80 | c >> 12 & 63, 0x80 | c >> 6 & 63, 0x80 | c & 63], axis=1).astype(np.uint8)
+    return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer((4 * at).astype(np.int64)), pa.py_buffer(b.tobytes())).cast(pa.string())
+
+
+def _neighbours(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code of each id and the next, and whether both are in one word."""
+    inside = np.ones(max(0, len(ids) - 1), bool)
+    ends = at[1:-1] - 1
+    inside[ends[(ends >= 0) & (ends < len(inside))]] = False
+    return ids[:-1] << 32 | ids[1:], inside
+
+
+def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of stretches, one after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def merge_ranks(merges) -> tuple[np.ndarray, np.ndarray]:
+    """Pair codes of ``merges``, ascending, and their new ids."""
+    m = np.array(merges, np.int64).reshape(-1, 3)
+    code = m[:, 0] << 32 | m[:, 1]
+    order = np.argsort(code)
+    return code[order], m[order, 2]
+
+
+def merge_words(ids: np.ndarray, at: np.ndarray, ranks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All words after the merges of ``ranks``, as flat ids and starts. In
+    every step each word has its lowest-ranked pair merged wherever it stands,
+    from the left; words without such a pair are done and leave the step."""
+    codes, new = ranks
+    n_words, sizes = len(at) - 1, np.diff(at)
+    if not len(codes) or not len(ids):
+        return ids, at
+    of = np.repeat(np.arange(n_words), sizes)
+    done = []
+    if (sizes > LONG_WORD).any():
+        table = {(c >> 32, c & 0xFFFFFFFF): x for c, x in zip(codes.tolist(), new.tolist())}
+        for w in np.flatnonzero(sizes > LONG_WORD):
+            got = np.array(encode_piece(ids[at[w]:at[w + 1]].tolist(), table), np.int64)
+            done.append((got, np.full(len(got), w)))
+        short = sizes[of] <= LONG_WORD
+        ids, of = ids[short], of[short]
+    while len(ids):
+        code = ids[:-1] << 32 | ids[1:]
+        k = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        rank = np.append(np.where((codes[k] == code) & (of[:-1] == of[1:]), new[k], NO_RANK), NO_RANK)
+        starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
+        live = best < NO_RANK
+        done.append((ids[~live], of[~live]))
+        ids, of, rank, best = ids[live], of[live], rank[live], best[live]
+        hit = rank == best
+        after = np.zeros_like(hit)
+        after[1:] = hit[:-1]
+        if (hit & after).any():  # a pair of equal ids: every other one of a stretch
+            i = np.arange(len(hit))
+            hit &= (i - np.maximum.accumulate(np.where(hit & ~after, i, 0))) % 2 == 0
+            after[1:] = hit[:-1]
+        ids = np.where(hit, rank, ids)[~after]
+        of = of[~after]
+    ids, of = (np.concatenate(x) for x in zip(*done))
+    order = np.argsort(of, kind="stable")
+    return ids[order], np.searchsorted(of[order], np.arange(n_words + 1))
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with the sums of ``n``, without those of sum 0."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n, starts) if len(keys) else n
+    return keys[starts][sums != 0], sums[sums != 0]
+
+
+def _pair_sums(df: DataFrame, *signs: tuple[str, int]) -> DataFrame:
+    """``(pair, n)``: pairs of the named word columns, times their signs and
+    ``freq``, added up in each batch."""
+    def run(batches):
+        for batch in batches:
+            freq = np.asarray(batch.column("freq"))
+            found = []
+            for name, sign in signs:
+                ids, at = _flat(batch.column(name))
+                code, inside = _neighbours(ids, at)
+                found.append((code[inside], np.repeat(sign * freq, np.diff(at))[:-1][inside]))
+            code, n = _summed(*(np.concatenate(x) for x in zip(*found)))
+            pair = np.stack([code >> 32, code & 0xFFFFFFFF], axis=1).ravel()
+            yield pa.RecordBatch.from_arrays([_spelt(pair, np.arange(0, len(pair) + 1, 2)), pa.array(n, pa.int64())], ["pair", "n"])
+
+    return df.select(*[name for name, _ in signs], "freq").mapInArrow(run, "pair string, n long")
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
     """``(pair, n)``: how often two ids stand next to each other."""
-    return words.select(F.inline(_pairs("word", F.col("freq")))).groupBy("pair").agg(F.sum("n").alias("n"))
+    return _pair_sums(words.where("length(word) > 1"), ("word", 1)).groupBy("pair").agg(F.sum("n").alias("n"))
 
 
 def changed_counts(counts: DataFrame, rewritten: DataFrame) -> DataFrame:
     """``counts`` after a round: only words that it changed take part, with
     their old pairs taken off and their new ones added."""
-    changed = rewritten.where("word <> old")
-    delta = changed.select(F.inline(F.concat(F.coalesce(_pairs("old", -F.col("freq")), F.array()), F.coalesce(_pairs("word", F.col("freq")), F.array()))))
+    delta = _pair_sums(rewritten.where("old is not null"), ("old", -1), ("word", 1))
     return counts.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def hot_runs(words: DataFrame, hot: list[str]) -> DataFrame:
     """``(run, freq)``: the longest stretches of words whose neighbours are
     all hot pairs, with how often each occurs."""
-    shared = words.sparkSession.sparkContext.broadcast(frozenset(hot))
+    shared = words.sparkSession.sparkContext.broadcast(np.sort(np.array([(ord(p[0]) - ID_BASE) << 32 | ord(p[1]) - ID_BASE for p in hot], np.int64)))
 
     def cut(batches):
-        for pdf in batches:
-            runs, freqs = [], []
-            for word, freq in zip(pdf["word"], pdf["freq"]):
-                start = 0
-                for i in range(1, len(word) + 1):
-                    if i == len(word) or word[i - 1:i + 1] not in shared.value:
-                        if i - start > 1:
-                            runs.append(word[start:i])
-                            freqs.append(freq)
-                        start = i
-            yield pd.DataFrame({"run": pd.Series(runs, dtype=object), "freq": pd.Series(freqs, dtype="int64")})
-
-    return words.mapInPandas(cut, "run string, freq long").groupBy("run").agg(F.sum("freq").alias("freq"))
+        codes = shared.value
+        for batch in batches:
+            ids, at = _flat(batch.column("word"))
+            code, inside = _neighbours(ids, at)
+            k = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            edge = np.diff(np.concatenate([[False], inside & (codes[k] == code), [False]]).astype(np.int8))
+            starts, sizes = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - np.flatnonzero(edge == 1) + 1
+            runs = _spelt(ids[_gather(starts, sizes)], np.append(0, np.cumsum(sizes)))
+            freq = np.asarray(batch.column("freq"))[np.searchsorted(at, starts, side="right") - 1]
+            summed = pa.table({"run": runs, "freq": pa.array(freq, pa.int64())}).group_by("run").aggregate([("freq", "sum")])
+            yield from summed.select(["run", "freq_sum"]).rename_columns(["run", "freq"]).to_batches()
+
+    runs = words.select("word", "freq").where("length(word) > 1").mapInArrow(cut, "run string, freq long")
+    return runs.groupBy("run").agg(F.sum("freq").alias("freq"))
 
 
 def replay(runs: list[tuple[str, int]], last: tuple[int, int, int] | None, first_id: int, most: int) -> list[tuple[int, int, int]]:
@@ -234,15 +340,19 @@ def replay(runs: list[tuple[str, int]], last: tuple[int, int, int] | None, first
 
 
 def rewrite(words: DataFrame, merges) -> DataFrame:
-    """``(old, word, freq)``: every word after ``merges``, in order."""
-    shared = words.sparkSession.sparkContext.broadcast({(a, b): new for a, b, new in merges})
+    """``(old, word, freq)``: every word after ``merges``, in order; ``old`` is
+    null where none applies. Words of one id have no pair left and go."""
+    shared = words.sparkSession.sparkContext.broadcast(merge_ranks(merges))
 
     def run(batches):
-        for pdf in batches:
-            new = ["".join([chr(ID_BASE + x) for x in encode_piece([ord(c) - ID_BASE for c in word], shared.value)]) for word in pdf["word"]]
-            yield pd.DataFrame({"old": pdf["word"], "word": pd.Series(new, dtype=object), "freq": pdf["freq"]})
-
-    return words.select("word", "freq").mapInPandas(run, "old string, word string, freq long")
+        for batch in batches:
+            ids, at = _flat(batch.column("word"))
+            new, new_at = merge_words(ids, at, shared.value)
+            same = pa.array(np.diff(at) == np.diff(new_at))
+            old = pc.if_else(same, pa.scalar(None, pa.string()), batch.column("word").cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([old, _spelt(new, new_at), batch.column("freq")], ["old", "word", "freq"])
+
+    return words.select("word", "freq").where("length(word) > 1").mapInArrow(run, "old string, word string, freq long")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
