@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from tokenmill.functions import grading as G
@@ -63,6 +64,25 @@ def test_a_round_leaves_settled_words_alone(spark):
     assert got == {(spelt(97, 98), spelt(256), 3), (spelt(120, 97, 98), spelt(120, 256), 2), (None, spelt(120, 121, 122), 1)}
 
 
+def test_slices_of_pieces_give_each_document_its_own_ids(spark, monkeypatch):
+    draw = random.Random(7)
+    words = ["".join(draw.choices("abé ", k=draw.choice([1, 3, 9, 90]))) for _ in range(40)]
+    texts = [None, "", *(" ".join(draw.choices(words, k=draw.choice([0, 1, 30]))) for _ in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    merges = naive_bpe(Counter(regex.findall(TK.SPLIT_PATTERN, " ".join(words))), 40)
+    ranks = {(a, b): new for a, b, new in merges}
+    rows = docs.select("doc_id", F.coalesce(TK.pretokenize("text"), F.array().cast("array<string>")).alias("pieces")).toArrow().to_batches()
+    monkeypatch.setattr(TK, "SLICE", 16)
+    parts = list(TK._slices(rows, "pieces"))
+    # a slice has more than SLICE pieces only if it is one document
+    assert len(parts) > 20 and all(len(at) == 2 or at[-1] <= 16 for _, _, at in parts)
+    want = {i: [7, *(x for p in regex.findall(TK.SPLIT_PATTERN, t or "") for x in TK.encode_piece(p.encode(), ranks)), 8] for i, t in enumerate(texts)}
+    enc = TK.encode_bpe(docs, merges, prepend=7, append=8)
+    assert {r.doc_id: r.ids for r in enc.collect()} == want
+    ids = spark.createDataFrame([(0, [97, 999, -5, 98]), (1, []), (2, [195])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in TK.decode_ids(ids, TK.merges_vocab(spark, merges)).collect()} == {0: "ab", 1: "", 2: "\ufffd"}
+
+
 def test_extract_answer_and_grade(spark):
     df = spark.createDataFrame([("#### 1,234", "x #### 1234"), ("none", "none"), ("#### 12.", "#### 12")],
                                "ref string, comp string")

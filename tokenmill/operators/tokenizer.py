@@ -204,15 +204,20 @@ def merge_words(ids: np.ndarray, at: np.ndarray, ranks: tuple[np.ndarray, np.nda
             done.append((got, np.full(len(got), w)))
         short = sizes[of] <= LONG_WORD
         ids, of = ids[short], of[short]
-    while len(ids):
-        code = ids[:-1] << 32 | ids[1:]
+
+    def rank_at(i):
+        code = ids[i] << 32 | ids[i + 1]
         k = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-        rank = np.append(np.where((codes[k] == code) & (of[:-1] == of[1:]), new[k], NO_RANK), NO_RANK)
+        return np.where((codes[k] == code) & (of[i] == of[i + 1]), new[k], NO_RANK)
+
+    rank = np.append(rank_at(np.arange(len(ids) - 1)), NO_RANK)[:len(ids)]
+    while len(ids):
         starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         best = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
         live = best < NO_RANK
-        done.append((ids[~live], of[~live]))
-        ids, of, rank, best = ids[live], of[live], rank[live], best[live]
+        if not live.all():
+            done.append((ids[~live], of[~live]))
+            ids, of, rank, best = ids[live], of[live], rank[live], best[live]
         hit = rank == best
         after = np.zeros_like(hit)
         after[1:] = hit[:-1]
@@ -221,7 +226,12 @@ def merge_words(ids: np.ndarray, at: np.ndarray, ranks: tuple[np.ndarray, np.nda
             hit &= (i - np.maximum.accumulate(np.where(hit & ~after, i, 0))) % 2 == 0
             after[1:] = hit[:-1]
         ids = np.where(hit, rank, ids)[~after]
-        of = of[~after]
+        of, rank, hit = of[~after], rank[~after], hit[~after]
+        anew = hit.copy()  # a merge changes the pair at its place and the one before
+        anew[:-1] |= hit[1:]
+        rank[anew] = NO_RANK
+        anew = np.flatnonzero(anew[:-1])
+        rank[anew] = rank_at(anew)
     ids, of = (np.concatenate(x) for x in zip(*done))
     order = np.argsort(of, kind="stable")
     return ids[order], np.searchsorted(of[order], np.arange(n_words + 1))
@@ -466,7 +476,8 @@ def bos_id(vocab: DataFrame) -> Column:
     return F.coalesce(found, F.raise_error(F.lit("the vocabulary has no BOS token")).cast("int"))
 
 
-REMEMBERED_PIECES = 1 << 20
+REMEMBERED_PIECES = 1 << 18     # by a worker
+SLICE = 1 << 19                 # pieces or ids that a worker handles at once, unless one row has more
 
 
 def encode_piece(data: bytes | list[int], ranks: dict) -> list[int]:
@@ -510,18 +521,60 @@ def _piece_encoder(merges):
     return ids_of
 
 
+def _batch_encoder(merges):
+    """A function from distinct pieces to their ids in a row and where each
+    piece starts. It remembers pieces as packed ids, made per worker."""
+    ranks = merge_ranks(merges)
+    seen: dict[str, bytes] = {}
+
+    def ids_of(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        names = pieces.to_pylist()
+        fresh = [p for p in names if p not in seen]
+        if fresh:
+            raw = [p.encode("utf-8") for p in fresh]
+            at = np.append(0, np.cumsum([len(r) for r in raw]))
+            ids, at = merge_words(np.frombuffer(b"".join(raw), np.uint8).astype(np.int64), at, ranks)
+            packed = ids.astype(np.int32).tobytes()
+            seen.update((p, packed[4 * a:4 * b]) for p, a, b in zip(fresh, at[:-1].tolist(), at[1:].tolist()))
+        parts = [seen[p] for p in names]
+        if len(seen) > REMEMBERED_PIECES:
+            seen.clear()
+        for p in fresh:
+            if len(p) > 64:
+                seen.pop(p, None)
+        return np.frombuffer(b"".join(parts), np.int32), np.append(0, np.cumsum([len(x) // 4 for x in parts], dtype=np.int64))
+
+    return ids_of
+
+
+def _slices(batches, col: str):
+    """Slices of batches with the values and starts of list column ``col``:
+    about ``SLICE`` values each, one row at least."""
+    for batch in batches:
+        lists = batch.column(col)
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.append(0, np.cumsum(sizes))
+        row = 0
+        while row < len(sizes):
+            end = max(row + 1, int(np.searchsorted(at, at[row] + SLICE, side="right")) - 1)
+            part = batch.slice(row, end - row)
+            yield part, part.column(col).flatten(), at[row:end + 1] - at[row]
+            row = end
+
+
 def encode_pieces(pieces: DataFrame, merges, piece_col: str = "piece") -> DataFrame:
     """``(piece, ids)`` for distinct pieces; lowest-rank merge first."""
     shared = pieces.sparkSession.sparkContext.broadcast(merges)
 
     def run(batches):
-        ids_of = _piece_encoder(shared.value)
-        for pdf in batches:
-            yield pd.DataFrame({piece_col: pdf[piece_col], "ids": [ids_of(p) for p in pdf[piece_col]]})
+        ids_of = _batch_encoder(shared.value)
+        for batch in batches:
+            ids, at = ids_of(batch.column(0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(at.astype(np.int32), ids)], [piece_col, "ids"])
 
     schema = T.StructType([T.StructField(piece_col, T.StringType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return pieces.select(piece_col).distinct().mapInPandas(run, schema)
+    return pieces.select(piece_col).distinct().mapInArrow(run, schema)
 
 
 def _end_id(token: int | str | None, n_merges: int) -> list[int]:
@@ -534,19 +587,34 @@ def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str =
                prepend: int | str | None = "<|bos|>", append: int | str | None = None, keep=()) -> DataFrame:
     """``(doc_id, *keep, ids)``: pre-tokens from the JVM, ids of each document in one
     Arrow pass, no shuffle. ``prepend`` and ``append`` are ids or names of
-    special tokens."""
+    special tokens. A worker looks up the distinct pieces of a slice of documents
+    and copies their ids to where the pieces stand, all in flat arrays."""
     shared = docs.sparkSession.sparkContext.broadcast(merges)
     head, tail = _end_id(prepend, len(merges)), _end_id(append, len(merges))
+    ends = len(head) + len(tail)
 
     def run(batches):
-        ids_of = _piece_encoder(shared.value)
-        for pdf in batches:
-            ids = [head + [x for piece in pieces for x in ids_of(piece)] + tail for pieces in pdf["pieces"]]
-            yield pdf[[id_col, *keep]].assign(ids=pd.Series(ids, index=pdf.index, dtype=object))
+        ids_of = _batch_encoder(shared.value)
+        for part, pieces, starts in _slices(batches, "pieces"):
+            coded = pieces.dictionary_encode()
+            known, at = ids_of(coded.dictionary)
+            which = coded.indices.to_numpy(zero_copy_only=False)
+            sizes = np.diff(at)[which]
+            total = np.append(0, np.cumsum(sizes))[starts]  # ids before each document
+            n = np.diff(total)
+            begin = total + ends * np.arange(len(total))
+            out = np.empty(begin[-1], np.int32)
+            out[_gather(begin[:-1] + len(head), n)] = known[_gather(at[which], sizes)]
+            for k, x in enumerate(head):
+                out[begin[:-1] + k] = x
+            for k, x in enumerate(tail):
+                out[begin[1:] - len(tail) + k] = x
+            ids = pa.ListArray.from_arrays(begin.astype(np.int32), out)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in (id_col, *keep)], ids], [id_col, *keep, "ids"])
 
     pieces = F.coalesce(pretokenize(text_col), F.array().cast("array<string>"))
     schema = T.StructType([*[docs.schema[c] for c in (id_col, *keep)], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.select(id_col, *keep, pieces.alias("pieces")).mapInPandas(run, schema)
+    return docs.select(id_col, *keep, pieces.alias("pieces")).mapInArrow(run, schema)
 
 
 def encode_nested(spark: SparkSession, merges):
@@ -580,12 +648,20 @@ def decode_ids(tokens: DataFrame, vocab: DataFrame, id_col: str = "doc_id", ids_
     shared = tokens.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        for pdf in batches:
-            texts = [b"".join(shared.value.get(int(i), b"") for i in ids).decode("utf-8", errors="replace") for ids in pdf[ids_col]]
-            yield pd.DataFrame({id_col: pdf[id_col], "text": texts})
+        size = max(shared.value, default=-1) + 2  # the last entry, without bytes, stands for unknown ids
+        spelt = [shared.value.get(i, b"") for i in range(size)]
+        data, at = np.frombuffer(b"".join(spelt), np.uint8), np.append(0, np.cumsum([len(x) for x in spelt], dtype=np.int64))
+        for part, ids, starts in _slices(batches, ids_col):
+            which = pc.fill_null(ids, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            which[(which < 0) | (which >= size)] = size - 1
+            sizes = np.diff(at)[which]
+            total = np.append(0, np.cumsum(sizes))[starts]
+            raw = data[_gather(at[which], sizes)].tobytes()
+            texts = [raw[a:b].decode("utf-8", errors="replace") for a, b in zip(total[:-1].tolist(), total[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([part.column(id_col), pa.array(texts, pa.string())], [id_col, "text"])
 
     schema = T.StructType([tokens.schema[id_col], T.StructField("text", T.StringType())])
-    return tokens.select(id_col, ids_col).mapInPandas(run, schema)
+    return tokens.select(id_col, ids_col).mapInArrow(run, schema)
 
 
 def compression_ratio(tokens: DataFrame, texts: DataFrame, group_col: str, id_col: str = "doc_id",
