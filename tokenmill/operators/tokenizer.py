@@ -8,7 +8,7 @@
   both are written to the folder of ``spark.checkpoint.dir``;
 * encoding and decoding are one pass per document batch without a shuffle;
   merge ranks or token bytes are broadcast (their size is the vocabulary's)
-  and workers remember the pieces they have seen, up to a bound.
+  and workers code the distinct pieces of a slice of documents once.
 """
 
 from __future__ import annotations
@@ -148,15 +148,22 @@ NO_RANK = 1 << 62
 LONG_WORD = 256        # ids; longer words are merged one by one
 
 
-def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words in a row, and where each word starts (then the
-    end). All characters from ID_BASE on take four bytes."""
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all words in a row, and where each word starts (then
+    the end)."""
     if not len(words):
         return np.zeros(0, np.int64), np.zeros(1, np.int64)
     words = words.cast(pa.large_string())
     at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
-    b = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].reshape(-1, 4).astype(np.int64)
-    return ((b[:, 0] & 7) << 18 | (b[:, 1] & 63) << 12 | (b[:, 2] & 63) << 6 | b[:, 3] & 63) - ID_BASE, (at - at[0]) // 4
+    return np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].astype(np.int64), at - at[0]
+
+
+def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words in a row, and where each word starts (then the
+    end). All characters from ID_BASE on take four bytes."""
+    b, at = _bytes(words)
+    b = b.reshape(-1, 4)
+    return ((b[:, 0] & 7) << 18 | (b[:, 1] & 63) << 12 | (b[:, 2] & 63) << 6 | b[:, 3] & 63) - ID_BASE, at // 4
 
 
 def _spelt(ids: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -521,30 +528,9 @@ def _piece_encoder(merges):
     return ids_of
 
 
-def _batch_encoder(merges):
-    """A function from distinct pieces to their ids in a row and where each
-    piece starts. It remembers pieces as packed ids, made per worker."""
-    ranks = merge_ranks(merges)
-    seen: dict[str, bytes] = {}
-
-    def ids_of(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        names = pieces.to_pylist()
-        fresh = [p for p in names if p not in seen]
-        if fresh:
-            raw = [p.encode("utf-8") for p in fresh]
-            at = np.append(0, np.cumsum([len(r) for r in raw]))
-            ids, at = merge_words(np.frombuffer(b"".join(raw), np.uint8).astype(np.int64), at, ranks)
-            packed = ids.astype(np.int32).tobytes()
-            seen.update((p, packed[4 * a:4 * b]) for p, a, b in zip(fresh, at[:-1].tolist(), at[1:].tolist()))
-        parts = [seen[p] for p in names]
-        if len(seen) > REMEMBERED_PIECES:
-            seen.clear()
-        for p in fresh:
-            if len(p) > 64:
-                seen.pop(p, None)
-        return np.frombuffer(b"".join(parts), np.int32), np.append(0, np.cumsum([len(x) // 4 for x in parts], dtype=np.int64))
-
-    return ids_of
+def _coded(pieces: pa.Array, ranks: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all pieces in a row and where each piece starts."""
+    return merge_words(*_bytes(pieces), ranks)
 
 
 def _slices(batches, col: str):
@@ -567,10 +553,10 @@ def encode_pieces(pieces: DataFrame, merges, piece_col: str = "piece") -> DataFr
     shared = pieces.sparkSession.sparkContext.broadcast(merges)
 
     def run(batches):
-        ids_of = _batch_encoder(shared.value)
+        ranks = merge_ranks(shared.value)
         for batch in batches:
-            ids, at = ids_of(batch.column(0))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(at.astype(np.int32), ids)], [piece_col, "ids"])
+            ids, at = _coded(batch.column(0), ranks)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(at.astype(np.int32), ids.astype(np.int32))], [piece_col, "ids"])
 
     schema = T.StructType([T.StructField(piece_col, T.StringType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -587,17 +573,17 @@ def encode_bpe(docs: DataFrame, merges, id_col: str = "doc_id", text_col: str =
                prepend: int | str | None = "<|bos|>", append: int | str | None = None, keep=()) -> DataFrame:
     """``(doc_id, *keep, ids)``: pre-tokens from the JVM, ids of each document in one
     Arrow pass, no shuffle. ``prepend`` and ``append`` are ids or names of
-    special tokens. A worker looks up the distinct pieces of a slice of documents
+    special tokens. A worker codes the distinct pieces of a slice of documents
     and copies their ids to where the pieces stand, all in flat arrays."""
     shared = docs.sparkSession.sparkContext.broadcast(merges)
     head, tail = _end_id(prepend, len(merges)), _end_id(append, len(merges))
     ends = len(head) + len(tail)
 
     def run(batches):
-        ids_of = _batch_encoder(shared.value)
+        ranks = merge_ranks(shared.value)
         for part, pieces, starts in _slices(batches, "pieces"):
             coded = pieces.dictionary_encode()
-            known, at = ids_of(coded.dictionary)
+            known, at = _coded(coded.dictionary, ranks)
             which = coded.indices.to_numpy(zero_copy_only=False)
             sizes = np.diff(at)[which]
             total = np.append(0, np.cumsum(sizes))[starts]  # ids before each document
