@@ -74,6 +74,13 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
         d = merge_system_message(d).withColumn("messages", as_parts(F.col("messages")))
     else:
         d = merge_system_parts(d)
+    # before the texts have ids: a filter on the reason goes below them
+    bad_role = F.exists(F.sequence(F.lit(0), F.greatest(F.size("messages") - 1, F.lit(0))),
+                        lambda i: F.get(F.col("messages"), i)["role"] !=
+                        F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")))
+    d = d.withColumn("reason", F.coalesce("_r0", "reason",
+                                          F.when(F.size("messages") < 1, F.lit("empty"))
+                                           .when(bad_role, F.lit("bad_role_order")))).drop("_r0")
     # every part gets its ids here, so that the segments below only join them
     if merges is not None:
         pieces = F.transform("messages", lambda m: F.transform(m["parts"], lambda p: F.coalesce(pretokenize(p["text"]), F.array().cast("array<string>"))))
@@ -83,12 +90,6 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
         part_ids = lambda p, i, j: tokenize(p["text"])
     d = d.withColumn("messages", F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.transform(
         m["parts"], lambda p, j: F.struct(p["type"].alias("type"), part_ids(p, i, j).alias("ids"))).alias("parts"))))
-    bad_role = F.exists(F.sequence(F.lit(0), F.greatest(F.size("messages") - 1, F.lit(0))),
-                        lambda i: F.get(F.col("messages"), i)["role"] !=
-                        F.when(i % 2 == 0, F.lit("user")).otherwise(F.lit("assistant")))
-    d = d.withColumn("reason", F.coalesce("_r0", "reason",
-                                          F.when(F.size("messages") < 1, F.lit("empty"))
-                                           .when(bad_role, F.lit("bad_role_order")))).drop("_r0")
     def seg(ids: Column, mask: int, pre=None, post=None) -> Column:
         out = ids
         if pre is not None:
@@ -128,7 +129,10 @@ def render_conversations(convs: DataFrame, id_col: str = "conv_id", messages_col
 def drop_unusable_examples(rendered: DataFrame, min_tokens: int = 4) -> DataFrame:
     """Keep rows with >= ``min_tokens`` ids and a supervised target after the shift."""
     has_target = F.exists(F.slice("mask", 2, F.size("mask")), lambda m: m == 1)
-    return rendered.filter((F.size("ids") >= min_tokens) & has_target)
+    # a filter does not go below the generator, where it would make ids and mask
+    # once more for each mention
+    made = rendered.select(*[c for c in rendered.columns if c not in ("ids", "mask")], F.inline(F.array(F.struct("ids", "mask"))))
+    return made.filter((F.size("ids") >= min_tokens) & has_target).select(*rendered.columns)
 
 
 def pad_batches(rendered: DataFrame, batch_size: int, pad_id: int, row_col: str = "row_id") -> DataFrame:
