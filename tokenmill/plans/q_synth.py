@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tokenmill.operators import synth as SY
 from tokenmill.operators.conversations import validate_conversations
 from tokenmill.operators.corpus import clean_transcript
+from tokenmill.operators.packing import written
 from tokenmill.plans.catalog import load, oracle
 from tokenmill.plans.registry import query
 
@@ -65,8 +66,9 @@ from d"""
 @query("spelling_bee_rows", oracle("with " + _SPELL_SQL.replace("i0 as (select w0.word as idx from w w0),\n", ""),
                                    "words"))
 def q_spelling_bee_rows(spark, sf_dir):
-    words = load(spark, sf_dir).words
-    n = words.select("word").distinct().count()
+    # written once: counts, samples and positions read the words, not the texts
+    words = written(load(spark, sf_dir).words.select("word").distinct(), "words")
+    n = words.count()
     rows = SY.spelling_bee_rows(spark.range(n).withColumnRenamed("id", "idx"), words)
     return rows.select("idx", "word", "letter", "count", "user_msg",
                        F.md5(F.get(F.col("assistant_parts"), 0)["text"]).alias("manual_md5"))
