@@ -522,6 +522,44 @@ def test_no_task_holds_a_large_file(spark, monkeypatch):
                 assert (a[1], b[1]) in together, (a, b)
 
 
+def test_tiles_read_codes_of_likely_classes_only(spark, monkeypatch):
+    # one line in many short texts that are no near copies, and one linked pair
+    monkeypatch.setattr(ngram_jaccard, "ROUNDS", 0)
+    line = prose(30, 55)
+    rows = [(i, line + " " + prose(30 + i % 5, 7000 + i), "en", "line", 1) for i in range(4 * SMALL)]
+    rows += [(5000, rows[5][1] + " " + prose(2, 1), "en", "line", 1)]
+    coded = []
+    monkeypatch.setattr(ngram_jaccard, "_texts", lambda base, ids, texts=ngram_jaccard._texts: (coded.append(ids.count()), texts(base, ids))[1])
+    same(jaccard_components(make(spark, rows)).select("doc_id", "n_shingles", "component_id").collect(), brute_components(rows))
+    assert max(coded[1:], default=0) < SMALL, coded
+
+
+def test_tile_members_keep_every_linked_class():
+    rng = np.random.default_rng(4)
+    sets, root = [], []
+    for k, size in enumerate((90, 128, 300, 520)):
+        first = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for i in range(80):
+            own = first.copy()
+            own[:rng.integers(0, size // 3)] = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+            sets.append(np.unique(own[rng.integers(0, size // 8):]))
+            root.append(i % 7 + 10 * k)
+    n = np.array([len(s) for s in sets])
+    bits = [ngram_jaccard.bitmaps(np.zeros(len(s), np.int64), s, np.array([len(s)]))[0] for s in sets]
+    tile = np.where(np.arange(len(sets)) % 3 == 0, 1, 2)
+    order = np.lexsort((np.arange(len(sets)), n, tile))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(sets), 9)), pa.array(tile[order]), pa.array(n[order]), pa.array(order), pa.array(np.array(root)[order]),
+         pa.array([bits[i] for i in order], pa.binary())], names=["key", "tile", "n", "cid", "root", "bits"])
+    stays = {c for b in ngram_jaccard._tile_members(iter([batch])) for c in b.column("cid").to_pylist()}
+    linked = set()
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if tile[a] != tile[b] and root[a] != root[b] and 100 * both >= 75 * (n[a] + n[b] - both):
+            linked |= {a, b}
+    assert linked and linked <= stays
+
+
 def ngram_jaccard_band(n):
     return int(np.floor(np.log(n) / np.log(4 / 3)))
 

@@ -24,9 +24,10 @@ band only. After the components of these links are known, ``ROUNDS`` more
 rounds compare what lies in several components with other pivots. Then the
 classes left are dealt into tiles of about ``SPREAD`` classes of one size
 band, a large component into tiles of its own, and every two tiles whose sizes
-fit are compared, by wider bitmaps and by sorted 32-bit codes that bound the
-overlap too, but only pairs of different components, so no pair that could
-join two components is left out. Two tiles are one unit of the shuffle, so a
+fit are compared, but only pairs of different components, so no pair that could
+join two components is left out: by the usual bitmaps first, then, among the
+classes that have a likely partner left, by wider bitmaps and by sorted 32-bit
+codes that bound the overlap too. Two tiles are one unit of the shuffle, so a
 large file is spread over as many tasks as it has pairs of tiles.
 
 Defined results: null or empty text has no shingles and component_id is its
@@ -256,6 +257,44 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _meetings(key: np.ndarray, tile: np.ndarray):
+    """Bounds (first, last) of the two tiles of each unit, which are one if a
+    tile meets itself."""
+    bounds = _file_bounds(key)
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cuts = [lo + c for c in _file_bounds(tile[lo:hi])]
+        yield (lo, cuts[1]), (cuts[-2], hi)
+
+
+def _tile_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of two tiles (or one, with itself) that have a likely partner
+    of another component there, by the usual bitmaps."""
+    names = ["key", "tile", "n", "cid", "root"]
+    for key, tile, n, cid, root, bits in _whole_files(batches, [*names, "bits"]):
+        stays = np.zeros(len(key), bool)
+        width = np.array([len(b) for b in bits])
+        for first, last in _meetings(key, tile):
+            # blocks of one width each; sizes ascend in a tile, so widths do
+            blocks = [[(s, min(s + TILE, hi)) for lo, hi in zip(cuts[:-1], cuts[1:]) for s in range(lo, hi, TILE)]
+                      for cuts in (one[0] + _file_bounds(width[slice(*one)]) for one in (first, last))]
+            packed = [[np.frombuffer(b"".join(bits[s:e]), np.uint64).reshape(e - s, -1) for s, e in side] for side in blocks]
+            for (s, e), wide_x in zip(blocks[0], packed[0]):
+                for (t, u), wide_y in zip(blocks[1], packed[1]):
+                    if (first == last and t < s) or 3 * n[t] > 4 * n[e - 1] or 3 * n[s] > 4 * n[u - 1]:
+                        continue
+                    fits = 3 * np.maximum(n[s:e, None], n[None, t:u]) <= 4 * np.minimum(n[s:e, None], n[None, t:u])
+                    i, j = np.nonzero(fits & (root[s:e, None] != root[None, t:u]))
+                    x, y = fold(wide_x, wide_y.shape[1]), fold(wide_y, wide_x.shape[1])
+                    set_x, set_y = (np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x, y))
+                    for cut in range(0, len(i), CHUNK):
+                        p, q = i[cut:cut + CHUNK], j[cut:cut + CHUNK]
+                        both = np.bitwise_count(x[p] & y[q]).sum(1, dtype=np.int64)
+                        likely = np.minimum(n[s + p] - set_x[p], n[t + q] - set_y[q]) + both >= needed(n[s + p], n[t + q])
+                        stays[s + p[likely]] = True
+                        stays[t + q[likely]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(c[stays]) for c in (key, tile, n, cid, root)], names=names)
+
+
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Likely pairs of different components in two tiles (or one, with
     itself): by bitmaps of about ``WIDE`` bits per shingle, then by sorted
@@ -263,15 +302,11 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, tile, n, cid, root, codes in _whole_files(batches, ["key", "tile", "n", "cid", "root", "codes"]):
         out = [np.zeros((0, 2), np.int64)]
         codes = [np.frombuffer(c, np.uint32) for c in codes]
-        bounds = _file_bounds(key)
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            cuts = [lo + c for c in _file_bounds(tile[lo:hi])]
-            # the first tile against the last, which are one if it meets itself
-            first, last = (lo, cuts[1]), (cuts[-2], hi)
+        for first, last in _meetings(key, tile):
             for s in range(*first, TILE):
                 e = min(s + TILE, first[1])
-                for t in range(s if first == last else last[0], hi, TILE):
-                    u = min(t + TILE, hi)
+                for t in range(s if first == last else last[0], last[1], TILE):
+                    u = min(t + TILE, last[1])
                     if 3 * n[t] > 4 * n[e - 1]:
                         break
                     differs = root[s:e, None] != root[None, t:u]
@@ -455,11 +490,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             roots = connected(links)
             waiting = _waiting(large, roots)
     if not waiting.isEmpty():
-        members = classes.join(waiting.select("cid").distinct(), "cid").select("ord", "th", "cid")
-        ids = materialise(members, "members")
-        codes = _texts(base, ids.select("ord", "th").distinct()).join(ids, ["ord", "th"]).select("cid", "text").mapInArrow(_codes, "cid long, codes binary")
+        # narrow bitmaps first: few classes have a likely partner left, and only their texts are read
         rows, met = _dealt(waiting)
-        tiles = rows.drop("key").join(codes, "cid").join(met, "tile").withColumnRenamed("pair", "key").repartition("key").sortWithinPartitions("key", "tile", "n", "cid")
+        met = rows.drop("key").join(classes.select("cid", "bits"), "cid").join(met, "tile").withColumnRenamed("pair", "key")
+        met = met.repartition("key").sortWithinPartitions("key", "tile", "n", "cid").select("key", "tile", "n", "cid", "root", "bits")
+        members = materialise(met.mapInArrow(_tile_members, "key long, tile long, n long, cid long, root long"), "members")
+        ids = materialise(classes.join(members.select("cid").distinct(), "cid").select("ord", "th", "cid"), "member-ids")
+        codes = _texts(base, ids.select("ord", "th").distinct()).join(ids, ["ord", "th"]).select("cid", "text").mapInArrow(_codes, "cid long, codes binary")
+        tiles = members.join(codes, "cid").repartition("key").sortWithinPartitions("key", "tile", "n", "cid")
         rest = materialise(tiles.select("key", "tile", "n", "cid", "root", "codes").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
         if not rest.isEmpty():
             roots = connected(links.union(_verify(base, classes, rest)))
