@@ -560,6 +560,15 @@ def test_tile_members_keep_every_linked_class():
     assert linked and linked <= stays
 
 
+def test_long_texts_come_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    long = spark.range(0, 600, 1, 1).selectExpr("id", "repeat('x', 50000) as text")
+    with ngram_jaccard._small_batches(spark):
+        sizes = [r.n for r in long.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long").collect()]
+    assert max(sizes) <= 2 * ngram_jaccard.BATCH and spark.conf.get(name) == before
+
+
 def ngram_jaccard_band(n):
     return int(np.floor(np.log(n) / np.log(4 / 3)))
 

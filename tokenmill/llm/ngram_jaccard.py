@@ -40,10 +40,11 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.llm.components import connected
@@ -65,6 +66,8 @@ WIDE = 8
 SIEVE_BITS = 1 << 22
 #: Bytes of text whose shingles a task holds at a time (one longer text alone).
 SLICE = 1 << 19
+#: Bytes of an Arrow batch; Spark's 64 MB are held several times on both sides.
+BATCH = 1 << 22
 #: Classes a task remembers, so that it files copies once (memory only).
 REMEMBERED = 1 << 20
 _U = np.uint64
@@ -459,9 +462,25 @@ def _dealt(waiting: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("key", "cid", "n", "root", tile), pairs
 
 
+@contextmanager
+def _small_batches(spark: SparkSession):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(ord, th, doc_id, n_shingles, component_id) of every row of ``docs``;
     ord and th identify a row by its id and text."""
+    with _small_batches(docs.sparkSession):  # all steps in Python are run in here
+        return _components(docs)
+
+
+def _components(docs: DataFrame) -> DataFrame:
     base = _identified(docs)
     prof = materialise(base.mapInArrow(_profile, "ord long, th long, n long, cid long, bits binary, often array<long>, often_n array<long>"), "sets")
     often = prof.select(F.explode(F.arrays_zip("often", "often_n")).alias("x")).groupBy("x.often").agg(F.sum("x.often_n").alias("n"))
