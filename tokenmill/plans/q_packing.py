@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenmill.functions.grading import parse_tool_calls
 from tokenmill.operators import packing as PK
@@ -20,9 +25,25 @@ T_DOCS = 256          # row length T (rows hold T + 1 tokens) for corpus packing
 T_CONVS = 2048        # row length for conversation packing
 
 
-def _digest(ids):
-    """md5 over ids as four hex digits each, -1 as FFFF."""
-    return F.md5(F.array_join(F.transform(ids, lambda t: F.when(t < 0, F.lit("FFFF")).otherwise(F.lpad(F.hex(t), 4, "0"))), ""))
+_HEX4 = np.array([f"{i:04X}" for i in range(1 << 16)], "S4")
+_DIGEST_ROWS = 1 << 10  # lists whose digits a task holds at a time
+
+
+@F.arrow_udf(T.StringType())
+def _digest(ids: pa.Array) -> pa.Array:
+    """md5 over ids as four hex digits each (the first four), -1 as FFFF."""
+    out = []
+    for lo in range(0, len(ids), _DIGEST_ROWS):
+        part = ids.slice(lo, _DIGEST_ROWS)
+        bounds = part.offsets.to_numpy()
+        values = part.values.slice(bounds[0], bounds[-1] - bounds[0]).to_numpy()
+        values = np.where(values < 0, 0xFFFF, values)
+        while (wide := values > 0xFFFF).any():
+            values = np.where(wide, values >> 4, values)
+        digits = memoryview(_HEX4[values].tobytes())
+        cuts = (4 * (bounds - bounds[0]).astype(np.int64)).tolist()
+        out += [hashlib.md5(digits[x:y]).hexdigest() if given else None for x, y, given in zip(cuts[:-1], cuts[1:], part.is_valid().to_pylist())]
+    return pa.array(out, pa.string())
 
 
 # ids of byte tokens as four hex digits each: BOS is 0100
