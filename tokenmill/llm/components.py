@@ -9,16 +9,17 @@ from tokenmill.llm.scratch import materialise
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """One half round. Large: every node sends its larger neighbours to its
-    smallest neighbour. Small: it sends itself and its smaller ones there."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    """One half round on edges with u > v, which gives such edges again.
+    Large: every node sends its larger neighbours to its smallest neighbour
+    (or itself). Small: it sends itself and its smaller ones there. Both sides
+    of an edge come from one row, so a step is not run once for each side."""
+    pairs = lambda *x: F.explode(F.array(*(F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in x))).alias("e")
     if large:
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = edges.select(pairs(("u", "v"), ("v", "u"))).select("e.*").groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        out = edges.select(F.col("v").alias("u"), F.col("u").alias("w")).join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v"))
     else:
-        down = both.where("v < u")
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        out = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        out = edges.join(least, "u").select(pairs(("v", "m"), ("u", "m"))).select("e.*")
     return out.where("u <> v").distinct()
 
 

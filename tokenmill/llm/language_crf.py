@@ -44,6 +44,8 @@ from tokenmill.llm.text import _LOWER, Words, forget_powers, mix, slices
 TRAIN_DOCS = 300
 TRAIN_TOTAL = 8_000
 TRAIN_CHARS = 20_000
+#: Bytes of training texts that are hashed at a time.
+TRAIN_SLICE = 1 << 17
 HASH_BITS = 18
 ORDERS = (2, 3, 4)
 SEGMENT = 32
@@ -176,7 +178,10 @@ def train(texts: list[str], langs: list[str], seed: int = 5) -> Crf:
     labels = sorted(set(langs))
     k = len(labels)
     rng = np.random.default_rng(seed)
-    w = Words.of(pa.array(texts, pa.large_string()), lower=True)
+    sample = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    w = Words.of(sample.column("text"), lower=True)
+    # slice by slice: the driver would keep the prefix sums of the whole sample
+    w.hash = np.concatenate([np.zeros(0, np.uint64), *(Words.of(part.column("text"), lower=True).hash for part in slices(sample, limit=TRAIN_SLICE))])
     label = np.array([labels.index(x) for x in langs], np.int64)[w.doc] if texts else np.zeros(0, np.int64)
     seen, counts = np.unique(w.hash, return_counts=True)
     lexicon = seen[counts >= 5]
@@ -279,7 +284,7 @@ def fit(docs: DataFrame) -> Crf:
     sample = fit_for.join(picked, (fit_for.doc_id == picked.doc_id) & (F.xxhash64(fit_for.text) == picked.key), "left_semi")
     got = sample.orderBy("lang", F.xxhash64("doc_id", "text")).select("lang", "text").limit(TRAIN_TOTAL).collect()
     crf = train([r["text"] for r in got], [r["lang"] for r in got])
-    forget_powers()  # the sample was one large slice
+    forget_powers()
     return crf
 
 

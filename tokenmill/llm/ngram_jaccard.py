@@ -420,6 +420,11 @@ def _verify(base: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialise(joined.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a long, b long"), "linked")
 
 
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Links of the components found so far, one for each node, and new ones."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+
+
 def _waiting(large: DataFrame, roots: DataFrame) -> DataFrame:
     """(key, cid, n, band, root) of the large files whose classes fall into
     several components."""
@@ -495,8 +500,7 @@ def _components(docs: DataFrame) -> DataFrame:
     pairs = found.where("kind = 0").select("a", "b").distinct()
     side = lambda s: classes.select(F.col("cid").alias(s), F.col("n").alias(f"n_{s}"), F.col("bits").alias(f"bits_{s}"))
     sized = lambda x: x.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(_likely, "a long, b long")
-    links = _verify(base, classes, sized(pairs))
-    roots = connected(links)
+    roots = connected(_verify(base, classes, sized(pairs)))
 
     large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cid"), F.col("n_b").alias("n")).distinct()
     waiting = _waiting(large, roots)
@@ -505,8 +509,7 @@ def _components(docs: DataFrame) -> DataFrame:
             break
         more = _verify(base, classes, sized(_pivot_pairs(waiting, turn)))
         if not more.isEmpty():
-            links = links.union(more)
-            roots = connected(links)
+            roots = connected(_joined(roots, more))
             waiting = _waiting(large, roots)
     if not waiting.isEmpty():
         # narrow bitmaps first: few classes have a likely partner left, and only their texts are read
@@ -519,7 +522,7 @@ def _components(docs: DataFrame) -> DataFrame:
         tiles = members.join(codes, "cid").repartition("key").sortWithinPartitions("key", "tile", "n", "cid")
         rest = materialise(tiles.select("key", "tile", "n", "cid", "root", "codes").mapInArrow(_tiles, "a long, b long").distinct(), "tiles")
         if not rest.isEmpty():
-            roots = connected(links.union(_verify(base, classes, rest)))
+            roots = connected(_joined(roots, _verify(base, classes, rest)))
 
     rows = prof.where("n > 0").select("ord", "th", "n", "cid")
     named = rows.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
