@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tokenmill.operators import conversations as CV
+from tokenmill.operators import packers as PR
+from tokenmill.operators import packing as PK
 from tokenmill.plans import positions as P
 from tokenmill.plans.registry import load_all
 
@@ -68,3 +70,46 @@ def test_recipe_mixture_reads_its_tables_once(spark):
     files = plan.inputFiles()
     assert files and not any(f"{SF_SMALL}/" in f for f in files)
     assert "lambda" not in _plan(plan)
+
+
+def test_buffered_packers_read_as_they_go():
+    for packer, args in (("bestfit_crop", {"buffer_size": 20, "refill": 8}), ("bestfit_pad", {"buffer_size": 20})):
+        lengths = [random.Random(i).randint(1, 40) for i in range(2000)]
+        for last in (True, False):
+            (d, r, dst, _, take), rest = PR.pack(packer, lengths, 25, last, **args)
+            seen, left, got, placed = [0], [], [], 0
+
+            def docs():
+                for x in enumerate(lengths):
+                    seen[0] += 1
+                    yield x
+            for k, row in enumerate(PR.packed_rows(packer, docs(), 25, last, left, **args)):
+                got += [(k, *x) for x in row]
+                placed += len(row)
+                assert seen[0] <= placed + 20 + 8
+            assert got == list(zip(*(x.tolist() for x in (r, d, dst, take)))) and left == rest.tolist()
+
+
+def test_a_long_stream_is_one_group(spark):
+    """45 million tokens, of which rows take few."""
+    n, cap = 1500, 33
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("train").alias("split"), F.expr("sequence(0, cast(29000 + id * 7919 % 2000 as int))").alias("ids"))
+    out = PK.pack_rows(df, "bestfit_crop", cap, -5, ["doc_id"], ["split"], buffer_size=1000)
+    text = _plan(out)
+    assert "FlatMapGroupsInArrow" not in text
+    # what is shuffled: the tokens that a row can take
+    assert spark.read.parquet(*out.inputFiles()).agg(F.max(F.size("_ids"))).first()[0] == cap
+    d, r, dst, _, take = PR.bestfit_crop([29001 + i * 7919 % 2000 for i in range(n)], cap, 1000)
+    got = {(x.pack_group, x.row_no): (x.docs, x.takes, x.tokens) for x in out.collect()}
+    assert got == {(0, k): ([i], [cap], list(range(cap))) for i, k in zip(d.tolist(), r.tolist())} and len(got) == n
+
+
+def test_streams_of_odd_keys(spark):
+    """Null streams, equal order keys and a null key: every document once."""
+    rows = [(s, k, i, [i, i + 1]) for i, (s, k) in enumerate([(s, k) for s in (None, "a", "b") for k in (None, "x", "x", "y")] * 10)]
+    df = spark.createDataFrame(rows, "split string, k string, doc_id long, ids array<int>").repartition(5)
+    for by, streams in ((["split"], 3), ([], 1)):
+        got = PK.pack_rows(df, "bestfit_pad", 7, -5, ["k"], by, buffer_size=6).collect()
+        assert sorted(d for x in got for d in x.docs) == list(range(120)) and all(x.pack_group == 0 for x in got)
+        assert all(x.tokens == [t for d in x.docs for t in (d, d + 1)] + [-5] * (7 - 2 * len(x.docs)) for x in got)
+        assert len(got) == streams * -(-120 // streams // 3)

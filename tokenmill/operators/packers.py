@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from bisect import bisect_right, insort
 from collections import deque
+from itertools import islice
 
 import numpy as np
 
@@ -76,94 +77,101 @@ def _out(pl):
     return a[:, 0], a[:, 1], a[:, 2], a[:, 3], a[:, 4]
 
 
-def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128, left: list | None = None):
-    """Largest buffered doc that fits; when none fits, crop the shortest.
-
-    The buffer is topped up in batches of ``refill`` while it holds fewer
-    than ``buffer_size`` docs. Finite input: the buffer is drained and a
-    last row that cannot be filled is dropped (100% utilisation). With a list
-    ``left`` it stops at the first refill that finds no input instead, and
-    puts the documents of that row and of the buffer there.
-    """
-    n = len(lengths)
+def crop_rows(read, cap: int, buffer_size: int = 1000, refill: int = 128, left: list | None = None):
+    """Rows ``[(doc, dst, take)]`` of ``bestfit_crop``, one by one. ``read(k)``
+    gives the next ``k`` ``(doc, length)`` of the stream, fewer at its end, so
+    only the buffer and one row are held."""
     buf = _LengthBuffer()
-    nxt = 0
-    placed = []
-    row = 0
+    more = True
     while True:
         pos = 0
         cur = []
         while pos < cap:
-            while buf.count < buffer_size and nxt < n:
-                stop = min(n, nxt + refill)
-                for d in range(nxt, stop):
-                    buf.add(int(lengths[d]), d)
-                nxt = stop
+            while buf.count < buffer_size and more:
+                got = read(refill)
+                more = len(got) == refill
+                for d, length in got:
+                    buf.add(length, d)
             if left is not None and buf.count < buffer_size:
                 left.extend(sorted([c[0] for c in cur] + buf.docs()))
-                return _out(placed)
+                return
             if buf.count == 0:
-                break
+                return                 # input exhausted: short last row dropped
             room = cap - pos
             hit = buf.pop_largest_fitting(room)
             if hit is not None:
                 d, length = hit
-                cur.append((d, row, pos, 0, length))
+                cur.append((d, pos, length))
                 pos += length
             else:
                 d, _ = buf.pop_shortest()
-                cur.append((d, row, pos, 0, room))
+                cur.append((d, pos, room))
                 pos = cap
-        if pos < cap:
-            break                      # input exhausted: short last row dropped
-        placed.extend(cur)
-        row += 1
-        if buf.count == 0 and nxt >= n:
-            break
-    return _out(placed)
-
+        yield cur
 
-def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "truncate", left: list | None = None):
-    """Largest buffered doc that fits; when none fits, pad the row.
 
-    Nothing is cropped except documents longer than ``cap``: with
-    ``oversize='truncate'`` they are cut to ``cap``; with ``'reject'`` they
-    are left out of the plan (see ``packing.rejected``). The last row is
-    padded, not dropped. ``left`` as in ``bestfit_crop``.
-    """
-    n = len(lengths)
+def pad_rows(read, cap: int, buffer_size: int = 100, oversize: str = "truncate", left: list | None = None):
+    """Rows of ``bestfit_pad`` one by one, as in ``crop_rows``."""
     buf = _LengthBuffer()
-    nxt = 0
-    placed = []
-    row = 0
+    more = True
     while True:
-        pos, first = 0, len(placed)
+        pos = 0
+        cur = []
         while pos < cap:
-            while buf.count < buffer_size and nxt < n:
-                length = int(lengths[nxt])
-                if length > cap:
-                    if oversize == "truncate":
-                        buf.add(cap, nxt)
-                else:
-                    buf.add(length, nxt)
-                nxt += 1
+            while buf.count < buffer_size and more:
+                asked = buffer_size - buf.count
+                got = read(asked)
+                more = len(got) == asked
+                for d, length in got:
+                    if length > cap:
+                        if oversize == "truncate":
+                            buf.add(cap, d)
+                    else:
+                        buf.add(length, d)
             if left is not None and buf.count < buffer_size:
-                left.extend(sorted([c[0] for c in placed[first:]] + buf.docs()))
-                return _out(placed[:first])
+                left.extend(sorted([c[0] for c in cur] + buf.docs()))
+                return
             if buf.count == 0:
                 break
             hit = buf.pop_largest_fitting(cap - pos)
             if hit is None:
                 break                  # pad the rest of this row
             d, length = hit
-            placed.append((d, row, pos, 0, length))
+            cur.append((d, pos, length))
             pos += length
-        if pos == 0:
-            break
-        row += 1
-        if buf.count == 0 and nxt >= n:
-            break
-    return _out(placed)
+        if not cur:
+            return
+        yield cur
+
+
+def _whole(rows, lengths, cap: int, **args):
+    """Placements of all rows of the documents ``0, 1, ...``."""
+    docs = enumerate(map(int, lengths))
+    made = rows(lambda k: list(islice(docs, k)), cap, **args)
+    return _out([(d, r, dst, 0, take) for r, row in enumerate(made) for d, dst, take in row])
+
+
+def bestfit_crop(lengths, cap: int, buffer_size: int = 1000, refill: int = 128, left: list | None = None):
+    """Largest buffered doc that fits; when none fits, crop the shortest.
+
+    The buffer is topped up in batches of ``refill`` while it holds fewer
+    than ``buffer_size`` docs. Finite input: the buffer is drained and a
+    last row that cannot be filled is dropped (100% utilisation). With a list
+    ``left`` it stops at the first refill that finds no input instead, and
+    puts the documents of that row and of the buffer there.
+    """
+    return _whole(crop_rows, lengths, cap, buffer_size=buffer_size, refill=refill, left=left)
+
+
+def bestfit_pad(lengths, cap: int, buffer_size: int = 100, oversize: str = "truncate", left: list | None = None):
+    """Largest buffered doc that fits; when none fits, pad the row.
+
+    Nothing is cropped except documents longer than ``cap``: with
+    ``oversize='truncate'`` they are cut to ``cap``; with ``'reject'`` they
+    are left out of the plan (see ``packing.rejected``). The last row is
+    padded, not dropped. ``left`` as in ``bestfit_crop``.
+    """
+    return _whole(pad_rows, lengths, cap, buffer_size=buffer_size, oversize=oversize, left=left)
 
 
 def greedy_crop(lengths, cap: int):
@@ -267,7 +275,7 @@ PACKERS = {
 
 # packers that fill every row completely (no padding)
 CROPPING = {"bestfit_crop", "greedy_crop"}
-BUFFERED = {"bestfit_crop", "bestfit_pad"}
+BUFFERED = {"bestfit_crop": crop_rows, "bestfit_pad": pad_rows}
 
 
 def pack(packer: str, lengths, cap: int, last: bool = True, **args):
@@ -289,3 +297,26 @@ def pack(packer: str, lengths, cap: int, last: bool = True, **args):
         return placed, placed[0]
     open_row = placed[1] == placed[1].max()
     return tuple(x[~open_row] for x in placed), np.sort(placed[0][open_row])
+
+
+def packed_rows(packer: str, docs, cap: int, last: bool, left: list, **args):
+    """Rows ``[(doc, dst, take)]`` of one part of a stream, an iterator of
+    ``(doc, length)``; a packer takes a document's first tokens. What is left
+    for later is put into ``left`` at the end. A buffered packer reads
+    on as it needs documents, the others hold all lengths."""
+    if packer in BUFFERED:
+        yield from BUFFERED[packer](lambda k: list(islice(docs, k)), cap, **({} if last else {"left": left}), **args)
+        return
+    names, lengths = zip(*docs)
+    (d, r, dst, _, take), rest = pack(packer, np.array(lengths, np.int64), cap, last, **args)
+    order = np.lexsort((dst, r))
+    row, at = [], None
+    for k, i, x, n in zip(r[order].tolist(), d[order].tolist(), dst[order].tolist(), take[order].tolist()):
+        if row and k != at:
+            yield row
+            row = []
+        row.append((names[i], x, n))
+        at = k
+    if row:
+        yield row
+    left.extend(names[i] for i in rest.tolist())
